@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ordermill.registry import reporting
+from ordermill.registry import checking, reporting
 
-_MODULES = (reporting,)
+_MODULES = (reporting, checking)
 
 
 def all_queries() -> dict:
