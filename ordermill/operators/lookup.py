@@ -74,6 +74,6 @@ def orphans(child: DataFrame, column: str, parents: DataFrame) -> DataFrame:
     return counted.join(right, counted["key"] == right["_parent"], "left_anti")
 
 
-def orphan_total(found: DataFrame) -> Column:
-    """Aggregate for :func:`orphans`: number of orphaned records."""
+def orphan_total() -> Column:
+    """Aggregate over :func:`orphans`: number of orphaned records."""
     return F.coalesce(F.sum("records"), F.lit(0)).alias("orphan_records")

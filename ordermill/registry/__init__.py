@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ordermill.registry import checking, reporting
+from ordermill.registry import checking, reporting, transforming
 
-_MODULES = (reporting, checking)
+_MODULES = (reporting, checking, transforming)
 
 
 def all_queries() -> dict:

@@ -183,11 +183,13 @@ def _time(text: str) -> str:
     return f"try_strptime({text}, {_STAMP})"
 
 
-_RAW_SQL = {
+RAW_SQL = {
     "raw_customers": f"""
         SELECT CAST(c_custkey AS VARCHAR) AS key, c_custkey + 1 AS position,
                NULLIF(CASE WHEN c_nationkey = 0 THEN '' ELSE n_name END, '') AS city,
-               CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN c_name END AS email,
+               c_name AS customer_name,
+               CASE WHEN c_mktsegment <> 'HOUSEHOLD'
+                    THEN lower(replace(c_name, '#', '.')) || '@example.com' END AS email,
                CASE WHEN c_mktsegment = 'BUILDING' AND c_acctbal < 0
                     THEN strftime({_SIGNUP}, '%d/%m/%Y') ELSE strftime({_SIGNUP}, '%Y-%m-%d') END
                    AS signup_date
@@ -244,6 +246,7 @@ _RAW_SQL = {
                    AS position,
                CAST(l_orderkey AS VARCHAR) AS order_id,
                CAST(l_extendedprice AS DECIMAL(12,2)) - 5000 AS payment_amount,
+               l_shipdate AS payment_timestamp,
                CASE WHEN l_returnflag = 'N' THEN 'SUCCESS' WHEN l_returnflag = 'A' THEN 'FAILED'
                     WHEN l_linestatus = 'O' THEN 'REFUNDED' ELSE 'PENDING' END AS payment_status,
                CASE WHEN l_linenumber = 7 THEN 'CHEQUE' WHEN l_linenumber % 4 = 0 THEN 'UPI'
@@ -259,7 +262,9 @@ _RAW_SQL = {
         FROM raw_payments""",
     "raw_delivery": """
         SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderkey + 1 AS position,
-               date_diff('day', o_orderdate, l_shipdate) AS gap,
+               date_diff('day', o_orderdate, l_shipdate) AS gap, CAST(l_partkey AS VARCHAR)
+                   AS delivery_partner_id,
+               o_orderdate + to_seconds((o_orderkey * 37) % 86400) AS pickup_time,
                CASE WHEN date_diff('day', o_orderdate, l_shipdate) % 50 = 0 THEN 'unknown'
                     WHEN day(l_shipdate) <> 1 THEN 'readable' END AS delivery_time,
                CASE WHEN l_linestatus = 'F' THEN 'DELIVERED' WHEN l_returnflag = 'R' THEN 'FAILED'
@@ -279,9 +284,9 @@ _RAW_SQL = {
 }
 
 
-def _checks(body: str, line: bool = True) -> str:
+def over_raw(body: str, line: bool = True) -> str:
     """``body`` over the raw and flagged records."""
-    return sql(body, *(("line",) if line else ()), **_RAW_SQL)
+    return sql(body, *(("line",) if line else ()), **RAW_SQL)
 
 
 def _errors(dataset: str) -> str:
@@ -290,7 +295,7 @@ def _errors(dataset: str) -> str:
 
 
 def _broken_sql(dataset: str, rule_id: str) -> str:
-    return _checks(f'SELECT key, position FROM flag_{dataset} WHERE "{rule_id}"')
+    return over_raw(f'SELECT key, position FROM flag_{dataset} WHERE "{rule_id}"')
 
 
 def _counts_sql() -> str:
@@ -314,7 +319,7 @@ _ORDER_RULES = ", ".join(
 )
 
 SQL = {
-    "dq_normalise": _checks(
+    "dq_normalise": over_raw(
         """SELECT payment_method, payment_status, COUNT(*) AS records
            FROM raw_payments GROUP BY payment_method, payment_status"""
     ),
@@ -330,32 +335,32 @@ SQL = {
     "dq_column_lte": _broken_sql("delivery", "DQ-DEL-005"),
     "dq_exists_in": _broken_sql("orders", "DQ-ORD-005"),
     "dq_required_when": _broken_sql("delivery", "DQ-DEL-008"),
-    "dq_parent_keys": _checks(
+    "dq_parent_keys": over_raw(
         "SELECT order_id FROM ok_orders WHERE order_id IN (SELECT key FROM raw_delivery)"
     ),
-    "dq_valid_split": _checks(
+    "dq_valid_split": over_raw(
         """SELECT key AS order_id, customer_id, restaurant_id, order_date,
                   CAST(order_amount AS DECIMAL(10,2)) AS order_amount, order_status
            FROM raw_orders WHERE key IN (SELECT order_id FROM ok_orders)"""
     ),
-    "dq_quarantine_split": _checks(
+    "dq_quarantine_split": over_raw(
         f"""SELECT key AS order_id, order_date, order_amount, order_status,
                    concat_ws(';', {_ORDER_RULES}) AS _dq_failed_rules
             FROM raw_orders JOIN flag_orders USING (key) WHERE {_errors("orders")}"""
     ),
-    "dq_cascade": _checks(
+    "dq_cascade": over_raw(
         """SELECT key AS payment_id, order_id, position FROM flag_payments
            WHERE "DQ-PAY-003" AND NOT ("DQ-PAY-001" OR "DQ-PAY-002" OR "DQ-PAY-004"
                                        OR "DQ-PAY-005" OR "DQ-PAY-006" OR "DQ-PAY-007")"""
     ),
-    "dq_rule_counts": _checks(_counts_sql()),
-    "dq_quality_score": _checks(
+    "dq_rule_counts": over_raw(_counts_sql()),
+    "dq_quality_score": over_raw(
         f"""SELECT *, quality_score >= 95 AS passed,
                    CASE WHEN quality_score >= 95 THEN 'PASSED' ELSE 'FAILED' END AS status
             FROM ({_SCORED})"""
     ),
-    "dq_gate": _checks(f"SELECT dataset, quality_score FROM ({_SCORED}) WHERE quality_score < 95"),
-    "dq_reconcile": _checks(
+    "dq_gate": over_raw(f"SELECT dataset, quality_score FROM ({_SCORED}) WHERE quality_score < 95"),
+    "dq_reconcile": over_raw(
         """SELECT rule_id, expected_records, detected_records,
                   detected_records >= expected_records AS found
            FROM (SELECT 'DQ-ORD-006' AS rule_id,
