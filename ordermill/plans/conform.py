@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.errors import OrphanRecords
 from ordermill.functions.values import half_up, minutes_between
-from ordermill.model import ALLOWED, CONFORMED, DATASETS, KEY
+from ordermill.model import ALLOWED, CONFORMED, KEY
 from ordermill.operators.keyed import (
     conform,
     current_state,
@@ -84,34 +86,37 @@ def delivery(validated: DataFrame, current_orders: DataFrame, run_id: str) -> Da
     return conform(dated, CONFORMED["delivery"])
 
 
-def conform_all(
-    validated: dict[str, DataFrame], earlier: dict[str, DataFrame | None], run_id: str
-) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """The six conformed datasets, and the current state of those others refer to."""
-    made = {
-        "customers": customers(validated["customers"], run_id),
-        "restaurants": restaurants(validated["restaurants"], run_id),
-        "delivery_partners": delivery_partners(validated["delivery_partners"], run_id),
-        "orders": orders(validated["orders"], run_id),
-        "payments": payments(validated["payments"], run_id),
-    }
-    current = {
-        name: current_state(made[name], earlier.get(name), KEY[name])
-        for name in ("customers", "restaurants", "delivery_partners", "orders")
-    }
-    made["delivery"] = delivery(validated["delivery"], current["orders"], run_id)
-    return {name: made[name] for name in DATASETS}, current
-
-
 def build_processed(
-    validated: dict[str, DataFrame], earlier: dict[str, DataFrame | None], run_id: str
+    validated: dict[str, DataFrame],
+    earlier: dict[str, DataFrame | None],
+    run_id: str,
+    keep: Callable[[str, DataFrame], DataFrame] | None = None,
+    check: bool = False,
 ) -> dict[str, DataFrame]:
-    """All eight processed datasets of a batch, lazily.
+    """All eight processed datasets of a batch.
 
     ``earlier`` holds the processed history before the run date.  Payments and deliveries of the
-    analytics come from this batch, dimensions from their current state.
+    analytics come from this batch, dimensions from their current state.  Lazy unless ``keep``
+    writes datasets (later ones then read the written copies) or ``check`` asks for the reference
+    assertions.
     """
-    made, current = conform_all(validated, earlier, run_id)
+    made: dict[str, DataFrame] = {}
+
+    def add(name: str, df: DataFrame) -> None:
+        made[name] = keep(name, df) if keep else df
+
+    add("customers", customers(validated["customers"], run_id))
+    add("restaurants", restaurants(validated["restaurants"], run_id))
+    add("delivery_partners", delivery_partners(validated["delivery_partners"], run_id))
+    add("orders", orders(validated["orders"], run_id))
+    add("payments", payments(validated["payments"], run_id))
+    current = {
+        name: current_state(made[name], earlier.get(name), KEY[name])
+        for name in ("customers", "restaurants", "delivery_partners", "orders")
+    }
+    add("delivery", delivery(validated["delivery"], current["orders"], run_id))
+    if check:
+        assert_references(made, current)
     analytics = metrics.order_analytics(
         made["orders"],
         made["payments"],
@@ -120,10 +125,9 @@ def build_processed(
         current["restaurants"],
         run_id,
     )
-    return made | {
-        "order_analytics": analytics,
-        "daily_order_metrics": metrics.daily_order_metrics(analytics, run_id),
-    }
+    add("order_analytics", analytics)
+    add("daily_order_metrics", metrics.daily_order_metrics(made["order_analytics"], run_id))
+    return {name: made[name] for name in CONFORMED}
 
 
 def assert_no_orphans(

@@ -109,12 +109,12 @@ def _null_orphans(spark, folder):
 
 
 def _trim(spark, folder):
-    padded = F.concat(F.lit("  "), F.substring_index("text", "\n", 1), F.lit(" "))
+    padded = blank_to_null(F.concat(F.lit("  "), F.col("text"), F.lit(" ")))
     return trade.read(spark, folder, "documents").select(
         "doc_id",
-        F.md5(blank_to_null(F.col("text")).cast("binary")).alias("digest"),
-        blank_to_null(F.substring_index("text", " ", 1)).alias("first_word"),
-        F.length(blank_to_null(padded)).alias("first_line_length"),
+        F.md5(padded.cast("binary")).alias("digest"),
+        F.length(padded).alias("characters"),
+        blank_to_null(F.lpad(F.lit(""), 3, " ")).alias("blank"),
     )
 
 
@@ -299,9 +299,8 @@ _DAILY = f"""SELECT *, {mean("total_revenue", "paid_orders")} AS average_order_v
 
 SQL = {
     "cln_trim_nullify": """SELECT doc_id, md5(NULLIF(TRIM(text), '')) AS digest,
-        NULLIF(TRIM(split_part(text, ' ', 1)), '') AS first_word,
-        CAST(length(NULLIF(TRIM('  ' || split_part(text, chr(10), 1) || ' '), '')) AS INTEGER)
-            AS first_line_length FROM documents""",
+        CAST(length(NULLIF(TRIM(text), '')) AS INTEGER) AS characters,
+        CAST(NULL AS VARCHAR) AS blank FROM documents""",
     "cln_upper_codes": """SELECT upper(TRIM(' ' || event_type)) AS event_code,
         COUNT(*) AS events FROM events GROUP BY 1""",
     "cln_normalise_typed": over_raw(_CUSTOMERS),
