@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ordermill.operators.lookup import broadcast_within
 
@@ -48,8 +49,18 @@ def number_file_rows(
             "_block": F.col("_metadata.file_block_start"),
             "_id": F.monotonically_increasing_id(),
         }
-    ).write.mode("overwrite").parquet(staging)
-    located = scan.sparkSession.read.parquet(staging)
+    ).write.mode("overwrite").parquet(f"{staging}/rows")
+    read = scan.sparkSession.read
+    place = T.StructType(
+        [
+            T.StructField("_file", T.StringType()),
+            T.StructField("_block", T.LongType()),
+            T.StructField("_id", T.LongType()),
+        ]
+    )
+    located = read.schema(T.StructType(scan.schema.fields + place.fields)).parquet(
+        f"{staging}/rows"
+    )
     blocks = located.groupBy("_file", "_block").agg(
         F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows")
     )
@@ -57,10 +68,15 @@ def number_file_rows(
     in_file = F.sum("_rows").over(Window.partitionBy("_file").orderBy("_block")) - F.col("_rows")
     files = blocks.groupBy("_file").agg(F.sum("_rows").alias("_file_rows"))
     before = F.sum("_file_rows").over(Window.orderBy("_file")) - F.col("_file_rows")
-    starts = (
+    (
         blocks.withColumn("_in_file", in_file)
         .join(files.select("_file", before.alias("_before")), "_file")
         .select("_file", "_block", "_first", (F.col("_before") + F.col("_in_file")).alias("_start"))
+        .write.mode("overwrite")
+        .parquet(f"{staging}/starts")
+    )
+    starts = read.schema("_file string, _block long, _first long, _start long").parquet(
+        f"{staging}/starts"
     )
     return (
         located.join(broadcast_within(starts, rows=500_000), ["_file", "_block"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from ordermill.operators.keyed import (
 )
 from ordermill.operators.lookup import attach, orphan_total, orphans
 from ordermill.plans import metrics
+from ordermill.session import side_by_side
 
 SAMPLE_KEYS = 5
 
@@ -102,19 +104,22 @@ def build_processed(
     """
     made: dict[str, DataFrame] = {}
 
-    def add(name: str, df: DataFrame) -> None:
-        made[name] = keep(name, df) if keep else df
+    def add(**frames: DataFrame) -> None:
+        kept = side_by_side([partial(keep, *named) for named in frames.items()]) if keep else None
+        made.update(zip(frames, kept, strict=True) if kept else frames)
 
-    add("customers", customers(validated["customers"], run_id))
-    add("restaurants", restaurants(validated["restaurants"], run_id))
-    add("delivery_partners", delivery_partners(validated["delivery_partners"], run_id))
-    add("orders", orders(validated["orders"], run_id))
-    add("payments", payments(validated["payments"], run_id))
+    add(
+        customers=customers(validated["customers"], run_id),
+        restaurants=restaurants(validated["restaurants"], run_id),
+        delivery_partners=delivery_partners(validated["delivery_partners"], run_id),
+        orders=orders(validated["orders"], run_id),
+        payments=payments(validated["payments"], run_id),
+    )
     current = {
         name: current_state(made[name], earlier.get(name), KEY[name])
         for name in ("customers", "restaurants", "delivery_partners", "orders")
     }
-    add("delivery", delivery(validated["delivery"], current["orders"], run_id))
+    add(delivery=delivery(validated["delivery"], current["orders"], run_id))
     if check:
         assert_references(made, current)
     analytics = metrics.order_analytics(
@@ -125,8 +130,8 @@ def build_processed(
         current["restaurants"],
         run_id,
     )
-    add("order_analytics", analytics)
-    add("daily_order_metrics", metrics.daily_order_metrics(made["order_analytics"], run_id))
+    add(order_analytics=analytics)
+    add(daily_order_metrics=metrics.daily_order_metrics(made["order_analytics"], run_id))
     return {name: made[name] for name in CONFORMED}
 
 
@@ -148,6 +153,16 @@ def assert_no_orphans(
 
 def assert_references(made: dict[str, DataFrame], current: dict[str, DataFrame]) -> None:
     """All references between the datasets of a batch resolve in the parents' current state."""
-    for dataset, column, parent in REFERENCES:
-        keys = current[parent].select(KEY[parent])
-        assert_no_orphans(made[dataset], column, keys, dataset, parent)
+    side_by_side(
+        [
+            partial(
+                assert_no_orphans,
+                made[dataset],
+                column,
+                current[parent].select(KEY[parent]),
+                dataset,
+                parent,
+            )
+            for dataset, column, parent in REFERENCES
+        ]
+    )

@@ -9,20 +9,32 @@ from __future__ import annotations
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date
+from functools import partial
 
 from pyspark.sql import functions as F
-
-from ordermill.model import CONFORMED, DATASETS, KEY, MIN_QUALITY_SCORE, SOURCE, WHOLE_RUN
-from ordermill.model import LINEAGE, struct
+from pyspark.sql import types as T
+
+from ordermill.model import (
+    CONFORMED,
+    DATASETS,
+    KEY,
+    LINEAGE,
+    MIN_QUALITY_SCORE,
+    SOURCE,
+    WHOLE_RUN,
+)
 from ordermill.plans import audit, checks, load
 from ordermill.plans.conform import build_processed
 from ordermill.quality import evaluate, report
 from ordermill.quality.catalog import parents_of
+from ordermill.session import side_by_side
 from ordermill.sources import ingest, layout, publish
 from ordermill.sources.lake import Lake
 from ordermill.sources.warehouse import Warehouse
 
 HISTORY = ("customers", "restaurants", "delivery_partners", "orders")
+# Datasets of a wave do not refer to each other, only to earlier waves.
+WAVES = (("customers", "restaurants", "delivery_partners"), ("orders",), ("payments", "delivery"))
 
 
 @dataclass
@@ -70,8 +82,9 @@ class Run:
 
 
 def ingest_drops(run: Run) -> list[dict]:
-    results = []
-    for dataset in DATASETS:
+    """All drops; they do not depend on each other."""
+
+    def one(dataset: str) -> dict:
         with run.stage("ingestion", dataset) as record:
             result = ingest.ingest(
                 run.lake, run.source_root, dataset, run.load_type, run.run_date, run.run_id
@@ -82,8 +95,9 @@ def ingest_drops(run: Run) -> list[dict]:
                 records_in=result["records_read"],
                 records_out=result["records_written"],
             )
-            results.append(result)
-    return results
+            return result
+
+    return side_by_side([partial(one, dataset) for dataset in DATASETS])
 
 
 def validate_dataset(run: Run, dataset: str, valid: dict) -> tuple[dict, object]:
@@ -101,17 +115,15 @@ def validate_dataset(run: Run, dataset: str, valid: dict) -> tuple[dict, object]
     tagged.write.mode("overwrite").parquet(lake.uri(scratch))
     tagged = lake.read(scratch, tagged.schema)
 
-    counts = evaluate.summary(tagged, dataset).first().asDict()
     validated_at = audit.now().replace(microsecond=0)
-    lake.write_partition(
-        evaluate.valid_records(tagged, dataset), "validated", dataset, day, run.run_id
-    )
-    lake.write_partition(
-        evaluate.quarantined_records(tagged, dataset, validated_at),
-        "quarantine",
-        dataset,
-        day,
-        run.run_id,
+    kept = evaluate.valid_records(tagged, dataset)
+    held = evaluate.quarantined_records(tagged, dataset, validated_at)
+    counts, _, _ = side_by_side(
+        [
+            lambda: evaluate.summary(tagged, dataset).first().asDict(),
+            lambda: lake.write_partition(kept, "validated", dataset, day, run.run_id),
+            lambda: lake.write_partition(held, "quarantine", dataset, day, run.run_id),
+        ]
     )
     result = report.build_report(dataset, counts, run.run_id, day, validated_at, run.min_score)
     lake.write_json(layout.quality_report(dataset, day), result)
@@ -123,30 +135,27 @@ def validate(run: Run) -> list[dict]:
     """All datasets, parents first; the gate is applied after every output is written."""
     reports, valid = [], {}
     with run.stage("validation") as record:
-        for dataset in DATASETS:
-            result, valid[dataset] = validate_dataset(run, dataset, valid)
-            reports.append(result)
-            record(
-                dataset,
-                {"PASSED": "SUCCESS"}.get(result["status"], result["status"]),
-                records_in=result["total_records"],
-                records_out=result["valid_records"],
-                records_rejected=result["invalid_records"],
-                quality_score=result["quality_score"],
-            )
+        for wave in WAVES:
+            done = side_by_side([partial(validate_dataset, run, name, valid) for name in wave])
+            for dataset, (result, keys) in zip(wave, done, strict=True):
+                valid[dataset] = keys
+                reports.append(result)
+                record(
+                    dataset,
+                    {"PASSED": "SUCCESS"}.get(result["status"], result["status"]),
+                    records_in=result["total_records"],
+                    records_out=result["valid_records"],
+                    records_rejected=result["invalid_records"],
+                    quality_score=result["quality_score"],
+                )
         for dataset in DATASETS:
             run.lake.delete(layout.staging("validated", dataset, run.run_id))
         report.enforce_gate(reports, run.min_score)
     return reports
 
 
-def validated_schema(dataset: str):
-    return struct(
-        ", ".join(
-            f"{f.name} {'long' if f.dataType.typeName() == 'long' else f.dataType.simpleString()}"
-            for f in (*SOURCE[dataset].fields, *LINEAGE.fields)
-        )
-    )
+def validated_schema(dataset: str) -> T.StructType:
+    return T.StructType(SOURCE[dataset].fields + LINEAGE.fields)
 
 
 def transform(run: Run) -> dict[str, int]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 from datetime import UTC, date, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from ordermill.functions.values import count_if
 from ordermill.model import CALENDAR_END, CALENDAR_START, CONFORMED, KEY, STAR
 from ordermill.operators.lookup import attach
 from ordermill.operators.merge import CHANGE, merge, with_new_keys
+from ordermill.session import side_by_side
 from ordermill.sources.lake import Lake
 from ordermill.sources.publish import read_manifest
 from ordermill.sources.star import Star
@@ -46,11 +48,12 @@ class Target:
         return keys + ((self.day[1],) if self.day else ())
 
 
-# In load order: dimensions before the facts that point at them.
-TARGETS = (
+DIMENSIONS = (
     Target("dim_customer", "customers", "customer_key"),
     Target("dim_restaurant", "restaurants", "restaurant_key"),
     Target("dim_delivery_partner", "delivery_partners", "delivery_partner_key"),
+)
+FACTS = (
     Target(
         "fact_order",
         "orders",
@@ -70,6 +73,7 @@ TARGETS = (
         ("order_date", "order_date_key"),
     ),
 )
+TARGETS = DIMENSIONS + FACTS
 STAGED_ONLY = "daily_order_metrics"  # kept for the reconciliation check
 
 
@@ -105,16 +109,6 @@ def resolve(staged: DataFrame, target: Target, star: Star) -> DataFrame:
     return rows.select(*own)
 
 
-def merged_table(
-    staged: DataFrame, target: Target, stored: DataFrame, star: Star, highest: int, loaded_at
-) -> DataFrame:
-    """``stored`` after the batch, with a ``_change`` per row.  Lazy."""
-    rows = with_new_keys(
-        resolve(staged, target, star), stored, target.key, target.surrogate, highest
-    )
-    return merge(stored, rows, target.key, target.surrogate, loaded_at)
-
-
 def _month(date_key: str):
     return F.expr(f"{date_key} div 100")
 
@@ -133,16 +127,22 @@ def touched_months(
     return [str(row[MONTH]) for row in months.distinct().collect() if row[MONTH] is not None]
 
 
-def _check_written(written: DataFrame, staged: DataFrame, target: Target) -> None:
-    """No required key is missing and every staged key arrived."""
-    if target.resolved:
-        missing = written.agg(*(count_if(F.col(n).isNull()).alias(n) for n in target.resolved))
-        unresolved = {n: c for n, c in missing.first().asDict().items() if c}
-        if unresolved:
-            raise LoadRefused("keys do not resolve", table=target.table, unresolved=unresolved)
-    lost = staged.join(written.select(target.key), target.key, "left_anti").count()
-    if lost:
-        raise LoadRefused("staged rows did not arrive", table=target.table, missing=lost)
+def _check_written(written: DataFrame, staged: DataFrame, target: Target, loaded_at) -> dict:
+    """Rows updated and inserted, once every staged key has arrived and no required key is NULL."""
+    stamp = F.lit(loaded_at).cast("timestamp")
+    counts = written.agg(
+        count_if((F.col("updated_at") == stamp) & (F.col("created_at") < stamp)).alias("updated"),
+        count_if(F.col("created_at") == stamp).alias("inserted"),
+        *(count_if(F.col(name).isNull()).alias(name) for name in target.resolved),
+    )
+    lost = staged.join(written.select(target.key), target.key, "left_anti")
+    found, missing = side_by_side([lambda: counts.first().asDict(), lost.count])
+    unresolved = {name: found[name] for name in target.resolved if found[name]}
+    if unresolved:
+        raise LoadRefused("keys do not resolve", table=target.table, unresolved=unresolved)
+    if missing:
+        raise LoadRefused("staged rows did not arrive", table=target.table, missing=missing)
+    return found
 
 
 def load_table(
@@ -161,9 +161,7 @@ def load_table(
         resolved = resolve(staged, target, warehouse.star())
         months = touched_months(warehouse, target, staged, resolved) if target.day else [WHOLE]
         stored = warehouse.read(target.table, months)
-        fresh = with_new_keys(
-            resolved, stored, target.key, target.surrogate, record["highest_key"]
-        )
+        fresh = with_new_keys(resolved, stored, target.key, target.surrogate, record["highest_key"])
         result = merge(stored, fresh, target.key, target.surrogate, loaded_at).drop(CHANGE)
         folder = warehouse.next_folder(target.table)
         uri = warehouse.files.uri(f"{target.table}/{folder}")
@@ -181,18 +179,8 @@ def load_table(
             result.write.parquet(uri)
             parts[WHOLE] = folder
         written = warehouse.spark.read.schema(STAR[target.table]).parquet(uri)
-        _check_written(written, staged, target)
-        stamp = F.lit(loaded_at).cast("timestamp")
-        counted = written.agg(
-            count_if((F.col("updated_at") == stamp) & (F.col("created_at") < stamp)).alias(
-                "updated"
-            ),
-            count_if(F.col("created_at") == stamp).alias("inserted"),
-        ).first()
-        changes = counted.asDict()
-        warehouse.commit(
-            target.table, parts, record["highest_key"] + changes["inserted"]
-        )
+        changes = _check_written(written, staged, target, loaded_at)
+        warehouse.commit(target.table, parts, record["highest_key"] + changes["inserted"])
     return {
         "table": target.table,
         "dataset": target.dataset,
@@ -206,10 +194,15 @@ def load_table(
 
 
 def load_warehouse(warehouse: Warehouse, lake: Lake, run_date: date) -> list[dict]:
-    """All tables in dependency order, then the metrics that are only staged."""
+    """All tables, dimensions before the facts that point at them, and the metrics that are only
+    staged."""
     loaded_at = datetime.now(UTC).replace(tzinfo=None)
     warehouse.init(CALENDAR_START, CALENDAR_END)
-    results = [load_table(warehouse, lake, t, run_date, loaded_at) for t in TARGETS]
+    results = []
+    for wave in (DIMENSIONS, FACTS):
+        results += side_by_side(
+            [partial(load_table, warehouse, lake, t, run_date, loaded_at) for t in wave]
+        )
     started = time.monotonic()
     _, rows = staged_partition(lake, STAGED_ONLY, run_date)
     results.append(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -45,3 +47,12 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.gettempdir()
     return f"{root.rstrip('/')}/ordermill-{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def side_by_side(tasks: list[Callable[[], object]]) -> list:
+    """Results of independent Spark actions submitted together, so that small jobs do not wait for
+    each other and large ones fill each other's gaps.  All finish before the first error is raised.
+    """
+    with ThreadPoolExecutor(max_workers=max(len(tasks), 1)) as pool:
+        futures = [pool.submit(task) for task in tasks]
+    return [future.result() for future in futures]

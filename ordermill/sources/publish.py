@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import UTC, date, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from ordermill.errors import PublishRefused
 from ordermill.model import CONFORMED
+from ordermill.session import side_by_side
 from ordermill.sources import layout
 from ordermill.sources.lake import Lake
 
@@ -133,14 +135,22 @@ def publish(lake: Lake, run_date: date, run_id: str, datasets=tuple(CONFORMED))
 
     Datasets this run has already published are left alone, so a retry after success does nothing.
     """
-    manifests, pending = {}, {}
-    for dataset in datasets:
+
+    def already_published(dataset: str) -> dict | None:
         manifest = read_manifest(lake, dataset, run_date)
         staged = lake.exists(f"{layout.staging('processed', dataset, run_id)}/{STAGED}")
-        if manifest and manifest["run_id"] == run_id and not staged:
-            manifests[dataset] = manifest
-        else:
-            pending[dataset] = verify_staged(lake, dataset, run_date, run_id)
-    for dataset, (folder, rows) in pending.items():
-        manifests[dataset] = _publish_one(lake, dataset, folder, rows, run_date, run_id)
+        return manifest if manifest and manifest["run_id"] == run_id and not staged else None
+
+    manifests = {dataset: already_published(dataset) for dataset in datasets}
+    pending = [dataset for dataset in datasets if manifests[dataset] is None]
+    verified = side_by_side(
+        [partial(verify_staged, lake, dataset, run_date, run_id) for dataset in pending]
+    )
+    published = side_by_side(
+        [
+            partial(_publish_one, lake, dataset, folder, rows, run_date, run_id)
+            for dataset, (folder, rows) in zip(pending, verified, strict=True)
+        ]
+    )
+    manifests |= dict(zip(pending, published, strict=True))
     return [manifests[dataset] for dataset in datasets]
