@@ -1,10 +1,10 @@
 """Joins from many child rows to a parent that is unique by key.
 
-All three join shapes below leave the child on the outer side of a left or anti join.  Spark
-broadcasts the parent when it is under ``spark.sql.autoBroadcastJoinThreshold`` (by statistics when
-planning, by real size at run time).  Beyond that the join is a sort-merge join whose child
-partitions AQE may split, so a parent key shared by a third of all child rows is spread over tasks
-while only the matching parent partition is repeated.
+The child is on the outer side of a left or anti join.  Spark broadcasts the parent when it is under
+``spark.sql.autoBroadcastJoinThreshold`` (by statistics when planning, by real size at run time).
+Beyond that the join sorts and merges, and AQE splits hot child partitions: a parent key shared by
+a third of all child rows, or a third without any key, is spread over many tasks while only the
+matching parent partition is repeated.
 """
 
 from __future__ import annotations
@@ -13,6 +13,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def splittable_left_join(child: DataFrame, parent: DataFrame, column: str, key: str) -> DataFrame:
+    """Left join of ``child.column`` with ``parent.key`` (unique) that AQE can always split.
+
+    A parent that was just grouped or deduplicated by its key is already partitioned by it, and
+    AQE only splits join sides that come straight from a shuffle.  Joining on a hash of the key as
+    well makes Spark shuffle both sides for this join; the parent is the small side of the two.
+    """
+    types = child.schema[column].dataType, parent.schema[key].dataType
+    if types[0] != types[1]:
+        raise TypeError(f"{column} and {key} have different types: {types}")
+    left = child.withColumn("_hash", F.hash(column))
+    right = parent.withColumnRenamed(key, "_key").withColumn("_key_hash", F.hash("_key"))
+    matched = (left["_hash"] == right["_key_hash"]) & (left[column] == right["_key"])
+    return left.join(right, matched, "left").drop("_hash", "_key_hash", "_key")
+
+
 def broadcast_within(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast ``df`` only after counting that it has at most ``rows`` rows."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
@@ -21,7 +37,7 @@ def broadcast_within(df: DataFrame, rows: int) -> DataFrame:
 def attach(child: DataFrame, parent: DataFrame, on: str, **columns: str) -> DataFrame:
     """Left join columns of ``parent`` (unique by ``on``): ``attach(c, p, "id", new_name="col")``."""
     picked = parent.select(on, *(F.col(source).alias(name) for name, source in columns.items()))
-    return child.join(picked, on, "left")
+    return splittable_left_join(child, picked, on, on)
 
 
 def known_keys(wanted: DataFrame, *parents: DataFrame) -> DataFrame:
@@ -42,8 +58,8 @@ def known_keys(wanted: DataFrame, *parents: DataFrame) -> DataFrame:
 def flag_unknown(child: DataFrame, column: str, known: DataFrame, flag: str) -> DataFrame:
     """Add ``flag``: TRUE where ``column`` is NULL or not among ``known`` (one distinct column)."""
     right = known.toDF("_known_key").withColumn("_known", F.lit(True))
-    joined = child.join(right, child[column] == right["_known_key"], "left")
-    return joined.withColumn(flag, F.col("_known").isNull()).drop("_known_key", "_known")
+    joined = splittable_left_join(child, right, column, "_known_key")
+    return joined.withColumn(flag, F.col("_known").isNull()).drop("_known")
 
 
 def flag_repeats(child: DataFrame, column: str, position: str, flag: str) -> DataFrame:
@@ -59,9 +75,9 @@ def flag_repeats(child: DataFrame, column: str, position: str, flag: str) -> Dat
         .where("_copies > 1")
         .drop("_copies")
     )
-    joined = child.join(firsts, child[column] == firsts["_repeated"], "left")
+    joined = splittable_left_join(child, firsts, column, "_repeated")
     later = F.coalesce(F.col(position) > F.col("_first"), F.lit(False))
-    return joined.withColumn(flag, later).drop("_repeated", "_first")
+    return joined.withColumn(flag, later).drop("_first")
 
 
 def orphans(child: DataFrame, column: str, parents: DataFrame) -> DataFrame:
