@@ -193,11 +193,17 @@ def load_table(
     }
 
 
-def load_warehouse(warehouse: Warehouse, lake: Lake, run_date: date) -> list[dict]:
+def load_warehouse(
+    warehouse: Warehouse,
+    lake: Lake,
+    run_date: date,
+    first_day: str = CALENDAR_START,
+    last_day: str = CALENDAR_END,
+) -> list[dict]:
     """All tables, dimensions before the facts that point at them, and the metrics that are only
     staged."""
     loaded_at = datetime.now(UTC).replace(tzinfo=None)
-    warehouse.init(CALENDAR_START, CALENDAR_END)
+    warehouse.init(first_day, last_day)
     results = []
     for wave in (DIMENSIONS, FACTS):
         results += side_by_side(

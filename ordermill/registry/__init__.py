@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ordermill.registry import checking, reporting, transforming
+from ordermill.registry import checking, loading, reporting, transforming
 
-_MODULES = (reporting, checking, transforming)
+_MODULES = (reporting, checking, transforming, loading)
 
 
 def all_queries() -> dict:

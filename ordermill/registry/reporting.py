@@ -21,7 +21,7 @@ _DAY_ORDERS = """
            COUNT(*) FILTER (WHERE order_status = 'DELIVERED') AS delivered_orders,
            COUNT(*) FILTER (WHERE order_status = 'CANCELLED') AS cancelled_orders
     FROM ord GROUP BY order_date"""
-_DAY_REVENUE = f"""
+DAY_REVENUE = f"""
     SELECT order_date, COUNT(revenue) AS paid_orders,
            {amount("COALESCE(SUM(revenue), 0)")} AS total_revenue
     FROM ord LEFT JOIN paid USING (order_id) GROUP BY order_date"""
@@ -84,7 +84,7 @@ SQL = {
         f"SELECT *, {_CANCEL} AS cancellation_rate_pct FROM ({_DAY_ORDERS})", "ord"
     ),
     "vw_daily_revenue": sql(
-        f"SELECT *, {_AOV} AS average_order_value FROM ({_DAY_REVENUE})", *_ORDER_TABLES
+        f"SELECT *, {_AOV} AS average_order_value FROM ({DAY_REVENUE})", *_ORDER_TABLES
     ),
     "vw_restaurant_performance": sql(_PERFORMANCE, "rest", *_ORDER_TABLES, "dlv"),
     "vw_delivery_performance": sql(
@@ -95,13 +95,13 @@ SQL = {
     "vw_customer_summary": sql(_CUSTOMERS, "cust", *_ORDER_TABLES),
     "vw_payment_summary": sql(_PAYMENTS, "pay"),
     "q01_daily_orders": sql(_DAY_ORDERS, "ord"),
-    "q02_daily_revenue": sql(_DAY_REVENUE, *_ORDER_TABLES),
+    "q02_daily_revenue": sql(DAY_REVENUE, *_ORDER_TABLES),
     "q03_average_order_value": sql(
         f"""SELECT *, {_AOV} AS average_order_value FROM (
-            SELECT 'daily' AS period, * FROM ({_DAY_REVENUE})
+            SELECT 'daily' AS period, * FROM ({DAY_REVENUE})
             UNION ALL
             SELECT 'overall', NULL, {number("SUM(paid_orders)")}, {amount("SUM(total_revenue)")}
-            FROM ({_DAY_REVENUE}))""",
+            FROM ({DAY_REVENUE}))""",
         *_ORDER_TABLES,
     ),
     "q04_cancellation_rate": sql(
@@ -175,7 +175,7 @@ SQL = {
             SELECT strftime(order_date, '%Y-%m') AS order_month,
                    {number("SUM(paid_orders)")} AS paid_orders,
                    {amount("SUM(total_revenue)")} AS total_revenue
-            FROM ({_DAY_REVENUE}) GROUP BY 1)""",
+            FROM ({DAY_REVENUE}) GROUP BY 1)""",
         *_ORDER_TABLES,
     ),
     "q15_peak_ordering_hours": sql(

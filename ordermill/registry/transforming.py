@@ -25,7 +25,7 @@ RUN_ID = "r1"
 _SECOND = "yyyy-MM-dd HH:mm:ss"
 
 
-def _typed(spark, folder: str, dataset: str):
+def typed(spark, folder: str, dataset: str):
     """Raw records in their types, unchecked."""
     clean = normalise(trade_raw.RAW[dataset](spark, folder), dataset)
     return clean.select(
@@ -48,7 +48,7 @@ def _shown(df):
 
 
 def _conformed(spark, folder: str, dataset: str):
-    records = _typed(spark, folder, dataset)
+    records = typed(spark, folder, dataset)
     if dataset == "delivery":
         return conforming.delivery(records, _conformed(spark, folder, "orders"), RUN_ID)
     return getattr(conforming, dataset)(records, RUN_ID)
@@ -59,7 +59,7 @@ def _conform_query(dataset: str):
 
 
 def _batch(spark, folder):
-    return {dataset: _typed(spark, folder, dataset) for dataset in SOURCE}
+    return {dataset: typed(spark, folder, dataset) for dataset in SOURCE}
 
 
 def _analytics(spark, folder):
@@ -222,7 +222,7 @@ QUERIES = {
     "cln_trim_nullify": _trim,
     "cln_upper_codes": _upper,
     "cln_normalise_typed": lambda spark, folder: _shown(
-        _typed(spark, folder, "customers").drop(*LINEAGE_COLUMNS)
+        typed(spark, folder, "customers").drop(*LINEAGE_COLUMNS)
     ),
     "cln_dedupe": _dedupe,
     "cln_latest_by_key": _latest,
@@ -284,7 +284,7 @@ _TYPED = (
 _TEXT = "strftime({0}, '%Y-%m-%d %H:%M:%S') AS {0}"
 
 
-def _over_typed(body: str) -> str:
+def over_typed(body: str) -> str:
     return over_raw("@").replace("\n@", f",\n{_TYPED}\n{body}")
 
 
@@ -329,39 +329,39 @@ SQL = {
         FROM orders GROUP BY o_orderstatus""",
     "cln_conform": """SELECT c_name, CAST(c_custkey AS INTEGER) AS c_custkey,
         CAST(c_acctbal AS DECIMAL(10,2)) AS c_acctbal FROM customer""",
-    "trf_customers": _over_typed("SELECT * FROM t_customers"),
-    "trf_restaurants": _over_typed("SELECT * FROM t_restaurants"),
+    "trf_customers": over_typed("SELECT * FROM t_customers"),
+    "trf_restaurants": over_typed("SELECT * FROM t_restaurants"),
     "trf_delivery_partners": """SELECT CAST(p_partkey AS VARCHAR) AS delivery_partner_id,
         p_name AS partner_name, p_brand AS city,
         CAST(DATE '1995-01-01' + p_size AS DATE) AS joining_date FROM part""",
-    "trf_orders": _over_typed(
+    "trf_orders": over_typed(
         f"""SELECT * EXCLUDE (order_timestamp), {_TEXT.format("order_timestamp")},
             CAST(order_timestamp AS DATE) AS order_date FROM t_orders"""
     ),
-    "trf_payments": _over_typed(
+    "trf_payments": over_typed(
         f"""SELECT * EXCLUDE (payment_timestamp), {_TEXT.format("payment_timestamp")},
             CAST(payment_timestamp AS DATE) AS payment_date FROM t_payments"""
     ),
-    "trf_delivery": _over_typed(
+    "trf_delivery": over_typed(
         f"""SELECT * EXCLUDE (pickup_time, delivery_time), {_TEXT.format("pickup_time")},
             {_TEXT.format("delivery_time")} FROM t_delivery"""
     ),
     "trf_orphans": """SELECT l_orderkey AS key, COUNT(*) AS records FROM lineitem
         WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey
                           AND o_orderdate < TIMESTAMP '2001-01-01') GROUP BY l_orderkey""",
-    "trf_orphans_without_reference": _over_typed(
+    "trf_orphans_without_reference": over_typed(
         """SELECT restaurant_id AS key, COUNT(*) AS records FROM t_orders AS o
            WHERE NOT EXISTS (SELECT 1 FROM t_restaurants AS r
                              WHERE r.restaurant_id = o.restaurant_id) GROUP BY restaurant_id"""
     ),
-    "trf_payments_per_order": _over_typed("SELECT * FROM t_paid"),
-    "trf_late_flag": _over_typed(
+    "trf_payments_per_order": over_typed("SELECT * FROM t_paid"),
+    "trf_late_flag": over_typed(
         f"""SELECT order_id, delivery_status, delivery_duration_minutes, {_LATE} AS is_late
             FROM t_delivery"""
     ),
-    "trf_order_analytics": _over_typed("SELECT * FROM t_analytics"),
-    "trf_daily_metrics": _over_typed(_DAILY),
-    "trf_processed_counts": _over_typed(
+    "trf_order_analytics": over_typed("SELECT * FROM t_analytics"),
+    "trf_daily_metrics": over_typed(_DAILY),
+    "trf_processed_counts": over_typed(
         """SELECT 'customers' AS dataset, COUNT(*) AS records FROM customer
            UNION ALL SELECT 'restaurants', COUNT(*) FROM supplier
            UNION ALL SELECT 'delivery_partners', COUNT(*) FROM part

@@ -151,9 +151,10 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def payments(spark: SparkSession, folder: str) -> DataFrame:
+def payments(spark: SparkSession, folder: str, with_copies: bool = False) -> DataFrame:
     methods = F.array(*(F.lit(name) for name in ALLOWED["payment_method"]))
-    return lines(spark, folder).select(
+    source = read(spark, folder, "lineitem") if with_copies else lines(spark, folder)
+    return source.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("payment_key"),
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("payment_id"),
         text("l_orderkey").alias("order_id"),
