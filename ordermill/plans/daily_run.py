@@ -11,13 +11,12 @@ from dataclasses import dataclass, field
 from datetime import date
 from functools import partial
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ordermill.model import (
     CONFORMED,
     DATASETS,
-    KEY,
     LINEAGE,
     MIN_QUALITY_SCORE,
     SOURCE,
@@ -26,15 +25,13 @@ from ordermill.model import (
 from ordermill.plans import audit, checks, load
 from ordermill.plans.conform import build_processed
 from ordermill.quality import evaluate, report
-from ordermill.quality.catalog import parents_of
+from ordermill.quality.catalog import WAVES, parents_of
 from ordermill.session import side_by_side
 from ordermill.sources import ingest, layout, publish
 from ordermill.sources.lake import Lake
 from ordermill.sources.warehouse import Warehouse
 
 HISTORY = ("customers", "restaurants", "delivery_partners", "orders")
-# Datasets of a wave do not refer to each other, only to earlier waves.
-WAVES = (("customers", "restaurants", "delivery_partners"), ("orders",), ("payments", "delivery"))
 
 
 @dataclass
@@ -100,7 +97,7 @@ def ingest_drops(run: Run) -> list[dict]:
     return side_by_side([partial(one, dataset) for dataset in DATASETS])
 
 
-def validate_dataset(run: Run, dataset: str, valid: dict) -> tuple[dict, object]:
+def validate_dataset(run: Run, dataset: str, valid: dict) -> tuple[dict, DataFrame]:
     """Write one dataset's valid and quarantined records and its report.
 
     The tagged records are written once and everything else is read from that copy.  Returns the
@@ -110,11 +107,13 @@ def validate_dataset(run: Run, dataset: str, valid: dict) -> tuple[dict, object]
     raw = lake.read_partition("raw", dataset, day, ingest.raw_schema(dataset))
     earlier = {name: lake.history_keys(name, day) for name in parents_of(dataset)}
     scope = evaluate.scope_for(dataset, raw, day, valid, earlier)
-    tagged = evaluate.tag(raw, dataset, scope)
-    scratch = layout.staging("validated", dataset, run.run_id) + "/tagged"
-    tagged.write.mode("overwrite").parquet(lake.uri(scratch))
-    tagged = lake.read(scratch, tagged.schema)
+    scratch = layout.staging("validated", dataset, run.run_id)
 
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(lake.uri(f"{scratch}/{name}"))
+        return lake.read(f"{scratch}/{name}", df.schema)
+
+    tagged = keep("tagged", evaluate.tag(raw, dataset, scope, keep=keep))
     validated_at = audit.now().replace(microsecond=0)
     kept = evaluate.valid_records(tagged, dataset)
     held = evaluate.quarantined_records(tagged, dataset, validated_at)
@@ -127,8 +126,7 @@ def validate_dataset(run: Run, dataset: str, valid: dict) -> tuple[dict, object]
     )
     result = report.build_report(dataset, counts, run.run_id, day, validated_at, run.min_score)
     lake.write_json(layout.quality_report(dataset, day), result)
-    keys = tagged.where(F.size(evaluate.ERRORS) == 0).select(KEY[dataset])
-    return result, keys
+    return result, evaluate.valid_keys(tagged, dataset)
 
 
 def validate(run: Run) -> list[dict]:

@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.values import blank_to_null, count_if, parse_as, upper_code
 from ordermill.model import ALLOWED, KEY, LINEAGE, SOURCE
-from ordermill.operators.lookup import known_keys
-from ordermill.quality.catalog import CATALOG
-from ordermill.quality.rules import ERROR, Rule, Scope
-
-ERRORS, FAILED = "_broken_errors", "_broken_rules"
+from ordermill.operators.lookup import broadcast_within, known_keys
+from ordermill.quality.catalog import CATALOG, WAVES
+from ordermill.quality.rules import ERROR, POSITION, Rule, Scope, SetRule
+from ordermill.session import side_by_side
+
+BROKEN = "_broken_rules"  # one bit per rule of the dataset, in catalogue order
+BROADCAST_POSITIONS = 2_000_000  # two numbers each
+Keep = Callable[[str, DataFrame], DataFrame]  # write a frame under a name, return the copy
 LINEAGE_COLUMNS = LINEAGE.fieldNames()
 
 
@@ -27,40 +31,85 @@ def normalise(raw: DataFrame, dataset: str) -> DataFrame:
     return raw.select(*map(cleaned, SOURCE[dataset].fieldNames()), *LINEAGE_COLUMNS)
 
 
+def broken_positions(records: DataFrame, scope: Scope, rules: list[SetRule]) -> DataFrame | None:
+    """Positions of records that break set rules, with one bit per rule; None without any."""
+    found = None
+    for bit, rule in enumerate(rules):
+        positions = rule.positions(records, scope)
+        if positions is not None:
+            marked = positions.withColumn("_bit", F.lit(1 << bit))
+            found = marked if found is None else found.unionByName(marked)
+    return None if found is None else found.groupBy(POSITION).agg(F.bit_or("_bit").alias("_bits"))
+
+
 def tag(
-    raw: DataFrame, dataset: str, scope: Scope, rules: tuple[Rule, ...] | None = None
+    raw: DataFrame,
+    dataset: str,
+    scope: Scope,
+    rules: tuple[Rule, ...] | None = None,
+    keep: Keep | None = None,
 ) -> DataFrame:
-    """Normalised records with the ids of the rules each one breaks: errors, and all rules."""
+    """Normalised records with the rules each one breaks, as bits in ``_broken_rules``.
+
+    ``keep`` may write the broken positions; they are then broadcast when few enough, and the
+    records are evaluated where they are read.
+    """
     rules = CATALOG[dataset] if rules is None else rules
     records = normalise(raw, dataset)
     columns = records.columns
-    for rule in rules:
-        records = rule.prepare(records, scope)
-    flagged = records.select(*columns, *(r.failed(scope).alias(r.rule_id) for r in rules))
-
-    def ids(chosen):
-        named = (F.when(F.col(f"`{r.rule_id}`"), F.lit(r.rule_id)) for r in chosen)
-        return F.array_compact(F.array(*named)).cast("array<string>")
-
-    return flagged.select(
-        *columns,
-        ids([r for r in rules if r.severity == ERROR]).alias(ERRORS),
-        ids(rules).alias(FAILED),
-    )
+    set_rules = [rule for rule in rules if isinstance(rule, SetRule)]
+    found = broken_positions(records, scope, set_rules)
+    if found is not None:
+        if keep:
+            found = broadcast_within(keep(f"{dataset}_positions", found), BROADCAST_POSITIONS)
+        bits = F.coalesce("_bits", F.lit(0))
+        records = records.join(found, POSITION, "left").withColumns(
+            {
+                f"_{rule.rule_id}": bits.bitwiseAND(F.lit(1 << bit)) != 0
+                for bit, rule in enumerate(set_rules)
+            }
+        )
+    marks = (F.when(r.failed(scope), F.lit(_bit(dataset, r))).otherwise(0) for r in rules)
+    return records.select(*columns, reduce(Column.bitwiseOR, marks).cast("long").alias(BROKEN))
+
+
+def _bit(dataset: str, rule: Rule) -> int:
+    return 1 << CATALOG[dataset].index(rule)
+
+
+def breaks(dataset: str, *rules: Rule) -> Column:
+    """Whether a tagged record breaks any of ``rules``."""
+    return F.col(BROKEN).bitwiseAND(F.lit(sum(_bit(dataset, r) for r in rules))) != 0
+
+
+def held_back(dataset: str) -> Column:
+    """Whether a tagged record breaks a rule of severity ERROR."""
+    return breaks(dataset, *(r for r in CATALOG[dataset] if r.severity == ERROR))
+
+
+def broken_ids(dataset: str) -> Column:
+    """Ids of the rules a tagged record breaks, joined by ``;``."""
+    ids = (F.when(breaks(dataset, r), F.lit(r.rule_id)) for r in CATALOG[dataset])
+    return F.concat_ws(";", *ids)
 
 
 def valid_records(tagged: DataFrame, dataset: str) -> DataFrame:
     """Records without errors, in their types; warnings do not hold a record back."""
     typed = (parse_as(F.col(f.name), f.dataType).alias(f.name) for f in SOURCE[dataset])
-    return tagged.where(F.size(ERRORS) == 0).select(*typed, *LINEAGE_COLUMNS)
+    return tagged.where(~held_back(dataset)).select(*typed, *LINEAGE_COLUMNS)
+
+
+def valid_keys(tagged: DataFrame, dataset: str) -> DataFrame:
+    """Business keys of the records without errors."""
+    return tagged.where(~held_back(dataset)).select(KEY[dataset])
 
 
 def quarantined_records(tagged: DataFrame, dataset: str, validated_at) -> DataFrame:
-    """Records with errors as text, with all broken rules (warnings too) joined by ``;``."""
-    return tagged.where(F.size(ERRORS) > 0).select(
+    """Records with errors as text, with the ids of all broken rules, warnings too."""
+    return tagged.where(held_back(dataset)).select(
         *SOURCE[dataset].fieldNames(),
         *LINEAGE_COLUMNS,
-        F.concat_ws(";", FAILED).alias("_dq_failed_rules"),
+        broken_ids(dataset).alias("_dq_failed_rules"),
         F.lit(validated_at).cast("timestamp").alias("_dq_validated_at"),
     )
 
@@ -69,11 +118,8 @@ def summary(tagged: DataFrame, dataset: str) -> DataFrame:
     """One row: ``total``, ``valid`` and one count per rule of the dataset."""
     return tagged.agg(
         F.count(F.lit(1)).alias("total"),
-        count_if(F.size(ERRORS) == 0).alias("valid"),
-        *(
-            count_if(F.array_contains(FAILED, rule.rule_id)).alias(rule.rule_id)
-            for rule in CATALOG[dataset]
-        ),
+        count_if(~held_back(dataset)).alias("valid"),
+        *(count_if(breaks(dataset, rule)).alias(rule.rule_id) for rule in CATALOG[dataset]),
     )
 
 
@@ -119,17 +165,23 @@ def tag_all(
     raw: dict[str, DataFrame],
     run_date,
     earlier: dict[str, DataFrame] | None = None,
-    keep: Callable[[str, DataFrame], DataFrame] | None = None,
+    keep: Keep | None = None,
 ) -> dict[str, DataFrame]:
     """Tag all datasets, parents first; a record whose parent is held back is held back too.
 
-    ``keep(dataset, tagged)`` may write a tagged dataset and return the written copy, so that
-    children read it instead of evaluating its rules again.
+    ``keep(name, df)`` may write a frame and return the written copy, so that children read it
+    instead of evaluating its rules again; datasets of a wave are then written together.
     """
     tagged, valid = {}, {}
-    for dataset in CATALOG:
+
+    def one(dataset: str) -> DataFrame:
         scope = scope_for(dataset, raw[dataset], run_date, valid, earlier or {})
-        frame = tag(raw[dataset], dataset, scope)
-        tagged[dataset] = keep(dataset, frame) if keep else frame
-        valid[dataset] = tagged[dataset].where(F.size(ERRORS) == 0).select(KEY[dataset])
+        frame = tag(raw[dataset], dataset, scope, keep=keep)
+        return keep(dataset, frame) if keep else frame
+
+    for wave in WAVES:
+        made = side_by_side([partial(one, name) for name in wave]) if keep else map(one, wave)
+        for dataset, frame in zip(wave, made, strict=True):
+            tagged[dataset] = frame
+            valid[dataset] = valid_keys(frame, dataset)
     return tagged

@@ -1,7 +1,9 @@
 """The nine kinds of record checks.
 
 A rule says when a record is broken.  Row rules are plain expressions and are all evaluated in one
-projection; the two set rules (``Unique``, ``ExistsIn``) first join a flag onto the records.
+projection.  The two set rules (``Unique``, ``ExistsIn``) compare records with other records; they
+work on one column and the record's position only, and give the positions of broken records, so the
+full records are not shuffled for them.
 """
 
 from __future__ import annotations
@@ -45,13 +47,6 @@ class Rule:
     column: str
     severity: str = field(default=ERROR, kw_only=True)
 
-    @property
-    def flag(self) -> str:
-        return f"_flag_{self.rule_id}"
-
-    def prepare(self, records: DataFrame, scope: Scope) -> DataFrame:
-        return records
-
     def broken(self, scope: Scope) -> Column:
         raise NotImplementedError
 
@@ -65,14 +60,28 @@ class NotNull(Rule):
         return F.col(self.column).isNull()
 
 
-class Unique(Rule):
+class SetRule(Rule):
+    """A rule that needs other records: :meth:`positions` are looked up by :meth:`broken`."""
+
+    def positions(self, records: DataFrame, scope: Scope) -> DataFrame | None:
+        """Positions of broken records; None when ``broken`` can tell without them."""
+        raise NotImplementedError
+
+    @property
+    def listed(self) -> Column:
+        """Whether the record's position is among :meth:`positions` (joined on by the caller)."""
+        return F.col(f"_{self.rule_id}")
+
+
+class Unique(SetRule):
     """Every copy of a key after the first one; NULL keys are left to ``NotNull``."""
 
-    def prepare(self, records, scope):
-        return flag_repeats(records, self.column, POSITION, self.flag)
+    def positions(self, records, scope):
+        keyed = records.select(self.column, POSITION).where(F.col(self.column).isNotNull())
+        return flag_repeats(keyed, self.column, POSITION, "_later").where("_later").select(POSITION)
 
     def broken(self, scope):
-        return F.col(self.flag)
+        return self.listed
 
 
 @dataclass(frozen=True)
@@ -133,19 +142,22 @@ class NotAfter(Rule):
 
 
 @dataclass(frozen=True)
-class ExistsIn(Rule):
+class ExistsIn(SetRule):
     """``column`` is a key of ``parent``; a parent without known keys breaks every record."""
 
     parent: str
 
-    def prepare(self, records, scope):
+    def positions(self, records, scope):
         known = scope.parents.get(self.parent)
         if known is None:
-            return records.withColumn(self.flag, F.lit(True))
-        return flag_unknown(records, self.column, known, self.flag)
+            return None
+        given = records.select(self.column, POSITION).where(F.col(self.column).isNotNull())
+        return flag_unknown(given, self.column, known, "_new").where("_new").select(POSITION)
 
     def broken(self, scope):
-        return F.col(self.flag) | F.col(self.column).isNull()
+        if scope.parents.get(self.parent) is None:
+            return F.lit(True)
+        return F.col(self.column).isNull() | self.listed
 
 
 @dataclass(frozen=True)

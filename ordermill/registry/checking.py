@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,19 +13,19 @@ from ordermill.operators.lookup import known_keys
 from ordermill.quality import evaluate, report
 from ordermill.quality.catalog import CATALOG, parents_of
 from ordermill.registry.sqltext import share, sql
-from ordermill.session import shared_folder
+from ordermill.session import shared_folder, side_by_side
 from ordermill.sources import trade_raw
 
 VALIDATED_AT = "2001-06-30 08:00:00"
 
 
 def _kept(spark):
-    """Write each tagged dataset once into the shared folder and go on with the written copy."""
+    """Write each frame once into the shared folder and go on with the written copy."""
     folder = shared_folder(spark, "tagged")
 
-    def keep(dataset: str, tagged: DataFrame) -> DataFrame:
-        tagged.write.parquet(f"{folder}/{dataset}")
-        return spark.read.schema(tagged.schema).parquet(f"{folder}/{dataset}")
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
     return keep
 
@@ -41,7 +43,7 @@ def _tagged(spark, folder: str, *datasets: str) -> dict[str, DataFrame]:
     for name in raw:
         scope = evaluate.scope_for(name, raw[name], trade_raw.RUN_DATE, valid, {})
         tagged[name] = evaluate.tag(raw[name], name, scope)
-        valid[name] = tagged[name].where(F.size(evaluate.ERRORS) == 0).select(KEY[name])
+        valid[name] = evaluate.valid_keys(tagged[name], name)
     return tagged
 
 
@@ -54,12 +56,12 @@ def _broken_by(dataset: str, rule_id: str):
         valid = {}
         if hasattr(rule, "parent"):
             valid = {
-                name: evaluate.valid_records(frame, name)
+                name: evaluate.valid_keys(frame, name)
                 for name, frame in _tagged(spark, folder, rule.parent).items()
             }
         scope = evaluate.scope_for(dataset, raw, trade_raw.RUN_DATE, valid, {})
         tagged = evaluate.tag(raw, dataset, scope, (rule,))
-        return tagged.where(F.size(evaluate.FAILED) > 0).select(
+        return tagged.where(evaluate.breaks(dataset, rule)).select(
             F.col(KEY[dataset]).alias("key"), F.col("_source_row_number").alias("position")
         )
 
@@ -78,15 +80,25 @@ def _normalised(spark, folder):
 def _parent_keys(spark, folder):
     """Order keys known to the deliveries, out of this batch's valid orders."""
     tagged = _tagged(spark, folder, "orders")["orders"]
-    valid = evaluate.valid_records(tagged, "orders").select("order_id")
+    valid = evaluate.valid_keys(tagged, "orders")
     wanted = trade_raw.RAW["delivery"](spark, folder).select(blank_to_null(F.col("order_id")))
     return known_keys(wanted.toDF("order_id"), valid)
 
 
+_TAGGED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
 def _all_tagged(spark, folder):
-    return evaluate.tag_all(
-        trade_raw.raw(spark, folder), trade_raw.RUN_DATE, keep=_kept(spark)
-    )
+    """All datasets, from written raw records as in a daily run; once per session and folder."""
+    at = (spark.sparkContext.applicationId, folder)
+    if at not in _TAGGED:
+        keep = _kept(spark)
+        raw = trade_raw.raw(spark, folder)
+        written = side_by_side([partial(keep, f"{name}_raw", df) for name, df in raw.items()])
+        _TAGGED[at] = evaluate.tag_all(
+            dict(zip(raw, written, strict=True)), trade_raw.RUN_DATE, keep=keep
+        )
+    return _TAGGED[at]
 
 
 def _rule_counts(spark, folder):
@@ -129,7 +141,7 @@ def _quarantined_orders(spark, folder):
 def _cascade(spark, folder):
     """Payments held back only because their order was held back."""
     tagged = _tagged(spark, folder, "payments")["payments"]
-    return tagged.where(F.col(evaluate.ERRORS) == F.array(F.lit("DQ-PAY-003"))).select(
+    return tagged.where(evaluate.broken_ids("payments") == "DQ-PAY-003").select(
         "payment_id", "order_id", F.col("_source_row_number").alias("position")
     )
 
@@ -242,7 +254,8 @@ RAW_SQL = {
         WHERE NOT ("DQ-ORD-004" OR "DQ-ORD-005" OR "DQ-ORD-006" OR "DQ-ORD-007" OR "DQ-ORD-008")""",
     "raw_payments": """
         SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS key,
-               l_partkey * 100000000 + l_suppkey * 10000 + CAST(l_quantity * 100 AS BIGINT)
+               (l_orderkey * 10 + l_linenumber) * 1000000000
+                   + (l_partkey * 50000 + l_suppkey * 50 + CAST(l_quantity AS BIGINT)) % 1000000000
                    AS position,
                CAST(l_orderkey AS VARCHAR) AS order_id,
                CAST(l_extendedprice AS DECIMAL(12,2)) - 5000 AS payment_amount,

@@ -101,7 +101,9 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 def payments(spark: SparkSession, folder: str) -> DataFrame:
     return _records(
         trade.read(spark, folder, "lineitem"),
-        "l_partkey * 100000000 + l_suppkey * 10000 + CAST(l_quantity * 100 AS BIGINT)",
+        # numbers the records: unique per order, line and copy
+        "(l_orderkey * 10 + l_linenumber) * 1000000000"
+        " + (l_partkey * 50000 + l_suppkey * 50 + CAST(l_quantity AS BIGINT)) % 1000000000",
         "concat(l_orderkey, '-', l_linenumber) AS payment_id",
         "CAST(l_orderkey AS STRING) AS order_id",
         "CASE WHEN l_linenumber = 7 THEN 'cheque' WHEN l_linenumber % 4 = 0 THEN 'upi'"
