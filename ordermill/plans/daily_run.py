@@ -105,7 +105,8 @@ def validate_dataset(run: Run, dataset: str, valid: dict) -> tuple[dict, DataFra
     """
     lake, day = run.lake, run.run_date
     raw = lake.read_partition("raw", dataset, day, ingest.raw_schema(dataset))
-    earlier = {name: lake.history_keys(name, day) for name in parents_of(dataset)}
+    # Not made distinct here: the lookup first narrows the history to the keys of this batch.
+    earlier = {name: lake.history(name, day) for name in parents_of(dataset)}
     scope = evaluate.scope_for(dataset, raw, day, valid, earlier)
     scratch = layout.staging("validated", dataset, run.run_id)
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import UTC, date, datetime
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.errors import LoadRefused
@@ -21,7 +21,7 @@ from ordermill.sources.publish import read_manifest
 from ordermill.sources.star import Star
 from ordermill.sources.warehouse import WHOLE, Warehouse
 
-MONTH = "_month"
+PART = "_part"
 
 
 @dataclass(frozen=True)
@@ -109,22 +109,23 @@ def resolve(staged: DataFrame, target: Target, star: Star) -> DataFrame:
     return rows.select(*own)
 
 
-def _month(date_key: str):
-    return F.expr(f"{date_key} div 100")
+def _part(warehouse: Warehouse, date_key: str) -> Column:
+    return F.expr(f"{date_key} div {warehouse.period}")
 
 
-def touched_months(
+def touched_parts(
     warehouse: Warehouse, target: Target, staged: DataFrame, rows: DataFrame
 ) -> list[str]:
-    """Months the batch writes to, and months that hold an older version of one of its keys.
+    """Parts the batch writes to, and parts that hold an older version of one of its keys.
 
-    Reads only keys and dates of the stored table; the result has one entry per calendar month.
+    Reads only keys and dates of the stored table; the result has one entry per calendar period.
     """
     date_key = target.day[1]
     stored = warehouse.read(target.table).select(target.key, date_key)
     older = stored.join(staged.select(target.key), target.key, "left_semi").select(date_key)
-    months = older.unionByName(rows.select(date_key)).select(_month(date_key).alias(MONTH))
-    return [str(row[MONTH]) for row in months.distinct().collect() if row[MONTH] is not None]
+    both = older.unionByName(rows.select(date_key)).where(F.col(date_key).isNotNull())
+    parts = both.select(_part(warehouse, date_key).alias(PART)).distinct()
+    return [str(row[PART]) for row in parts.collect()]
 
 
 def _check_written(written: DataFrame, staged: DataFrame, target: Target, loaded_at) -> dict:
@@ -150,7 +151,7 @@ def load_table(
 ) -> dict:
     """Merge one published partition into its table; on any error the table stays as it was.
 
-    Dimensions are rewritten whole, facts only in the months a batch touches.
+    Dimensions are rewritten whole, facts only in the parts a batch touches.
     """
     started = time.monotonic()
     staged, rows = staged_partition(lake, target.dataset, run_date)
@@ -159,18 +160,18 @@ def load_table(
         record = warehouse.record(target.table)
         parts = dict(record["parts"])
         resolved = resolve(staged, target, warehouse.star())
-        months = touched_months(warehouse, target, staged, resolved) if target.day else [WHOLE]
-        stored = warehouse.read(target.table, months)
+        touched = touched_parts(warehouse, target, staged, resolved) if target.day else [WHOLE]
+        stored = warehouse.read(target.table, touched)
         fresh = with_new_keys(resolved, stored, target.key, target.surrogate, record["highest_key"])
         result = merge(stored, fresh, target.key, target.surrogate, loaded_at).drop(CHANGE)
         folder = warehouse.next_folder(target.table)
         uri = warehouse.files.uri(f"{target.table}/{folder}")
         if target.day:
-            # Rebalancing by month gives few, even files and splits a month that is too large.
-            by_month = result.withColumn(MONTH, _month(target.day[1]))
-            by_month.hint("rebalance", MONTH).write.partitionBy(MONTH).parquet(uri)
-            prefix = f"{MONTH}="
-            parts = {month: path for month, path in parts.items() if month not in months} | {
+            # Rebalancing by part gives few, even files and splits a part that is too large.
+            by_part = result.withColumn(PART, _part(warehouse, target.day[1]))
+            by_part.hint("rebalance", PART).write.partitionBy(PART).parquet(uri)
+            prefix = f"{PART}="
+            parts = {part: path for part, path in parts.items() if part not in touched} | {
                 name.removeprefix(prefix): f"{folder}/{name}"
                 for name in warehouse.files.names(f"{target.table}/{folder}")
                 if name.startswith(prefix)

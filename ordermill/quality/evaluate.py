@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ordermill.functions.values import blank_to_null, count_if, parse_as, upper_code
 from ordermill.model import ALLOWED, KEY, LINEAGE, SOURCE
 from ordermill.operators.lookup import broadcast_within, known_keys
-from ordermill.quality.catalog import CATALOG, WAVES
+from ordermill.quality.catalog import CATALOG, WAVES, parents_of
 from ordermill.quality.rules import ERROR, POSITION, Rule, Scope, SetRule
 from ordermill.session import side_by_side
 
@@ -146,18 +146,16 @@ def scope_for(
     known keys.
     """
     parents = {}
-    for rule in CATALOG[dataset]:
-        parent = getattr(rule, "parent", None)
-        if parent is None or parent in parents:
-            continue
+    for parent in parents_of(dataset):
         frames = [
             side[parent].select(KEY[parent])
             for side in (valid_parents, earlier_parents)
             if side.get(parent) is not None
         ]
         if frames:
-            wanted = records.select(blank_to_null(F.col(rule.column)).alias("key"))
-            parents[parent] = known_keys(wanted, *frames)
+            columns = {r.column for r in CATALOG[dataset] if getattr(r, "parent", None) == parent}
+            seen = F.explode(F.array(*(blank_to_null(F.col(name)) for name in sorted(columns))))
+            parents[parent] = known_keys(records.select(seen.alias("key")), *frames)
     return Scope(SOURCE[dataset], run_date, parents)
 
 

@@ -115,6 +115,6 @@ class Lake:
         )
 
     def history_keys(self, dataset: str, before: date) -> DataFrame | None:
-        """Business keys of :meth:`history`, not yet distinct (lookups combine them later)."""
+        """Distinct business keys of :meth:`history`."""
         rows = self.history(dataset, before)
-        return None if rows is None else rows.select(KEY[dataset])
+        return None if rows is None else rows.select(KEY[dataset]).distinct()

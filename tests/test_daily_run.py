@@ -123,6 +123,18 @@ def test_only_touched_months_are_rewritten(ran):
     assert parts["202608"].startswith("v00000002")
 
 
+def test_parts_can_be_days(spark, ran):
+    root, first, _, before = ran
+    daily = Warehouse(spark, f"{root}/star-by-day", period="day")
+    results = load.load_warehouse(daily, first.lake, HISTORICAL)
+    assert {r["table"]: r["rows_inserted"] for r in results}["fact_order"] == 30
+    assert set(daily.record("fact_order")["parts"]) == {"20260715", "20260801", "20260802"}
+    assert business_rows(daily, "fact_order") == before["fact_order"]
+    again = load.load_warehouse(daily, first.lake, HISTORICAL)
+    assert {r["table"]: r["rows_updated"] for r in again}["fact_order"] == 30
+    assert business_rows(daily, "fact_order") == before["fact_order"]
+
+
 def test_views_over_the_loaded_star(ran):
     _, _, second, _ = ran
     star = second.warehouse.star()
