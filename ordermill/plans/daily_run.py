@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ordermill.model import (
+    CALENDAR_END,
+    CALENDAR_START,
     CONFORMED,
     DATASETS,
     LINEAGE,
@@ -45,6 +47,7 @@ class Run:
     load_type: str
     run_id: str
     min_score: float = MIN_QUALITY_SCORE
+    calendar: tuple[str, str] = (CALENDAR_START, CALENDAR_END)
     results: dict = field(default_factory=dict)
 
     @contextmanager
@@ -192,7 +195,7 @@ def publish_processed(run: Run) -> list[dict]:
 
 def load_star(run: Run) -> list[dict]:
     with run.stage("warehouse_load") as record:
-        results = load.load_warehouse(run.warehouse, run.lake, run.run_date)
+        results = load.load_warehouse(run.warehouse, run.lake, run.run_date, *run.calendar)
         for result in results:
             record(
                 result["dataset"],

@@ -22,6 +22,7 @@ from ordermill.sources.star import Star
 from ordermill.sources.warehouse import WHOLE, Warehouse
 
 PART = "_part"
+BROADCAST_KEYS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -113,8 +114,15 @@ def _part(warehouse: Warehouse, date_key: str) -> Column:
     return F.expr(f"{date_key} div {warehouse.period}")
 
 
+def staged_keys(staged: DataFrame, target: Target, rows: int) -> DataFrame:
+    """Business keys of a batch, sent to every task when its manifest says they are few enough:
+    the stored table is then scanned for them without being shuffled."""
+    keys = staged.select(target.key)
+    return F.broadcast(keys) if rows <= BROADCAST_KEYS else keys
+
+
 def touched_parts(
-    warehouse: Warehouse, target: Target, staged: DataFrame, rows: DataFrame
+    warehouse: Warehouse, target: Target, keys: DataFrame, rows: DataFrame
 ) -> list[str]:
     """Parts the batch writes to, and parts that hold an older version of one of its keys.
 
@@ -122,7 +130,7 @@ def touched_parts(
     """
     date_key = target.day[1]
     stored = warehouse.read(target.table).select(target.key, date_key)
-    older = stored.join(staged.select(target.key), target.key, "left_semi").select(date_key)
+    older = stored.join(keys, target.key, "left_semi").select(date_key)
     both = older.unionByName(rows.select(date_key)).where(F.col(date_key).isNotNull())
     parts = both.select(_part(warehouse, date_key).alias(PART)).distinct()
     return [str(row[PART]) for row in parts.collect()]
@@ -160,7 +168,8 @@ def load_table(
         record = warehouse.record(target.table)
         parts = dict(record["parts"])
         resolved = resolve(staged, target, warehouse.star())
-        touched = touched_parts(warehouse, target, staged, resolved) if target.day else [WHOLE]
+        keys = staged_keys(staged, target, rows)
+        touched = touched_parts(warehouse, target, keys, resolved) if target.day else [WHOLE]
         stored = warehouse.read(target.table, touched)
         fresh = with_new_keys(resolved, stored, target.key, target.surrogate, record["highest_key"])
         result = merge(stored, fresh, target.key, target.surrogate, loaded_at).drop(CHANGE)

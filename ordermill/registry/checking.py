@@ -320,13 +320,13 @@ def _counts_sql() -> str:
     )
 
 
-_SCORES = " UNION ALL ".join(
+SCORES = " UNION ALL ".join(
     f"""SELECT '{dataset}' AS dataset, COUNT(*) AS total_records,
         COUNT(*) FILTER (WHERE NOT {_errors(dataset)}) AS valid_records FROM flag_{dataset}"""
     for dataset in CATALOG
 )
 _SCORED = f"""SELECT *, total_records - valid_records AS invalid_records,
-    {share("valid_records", "total_records")} AS quality_score FROM ({_SCORES})"""
+    {share("valid_records", "total_records")} AS quality_score FROM ({SCORES})"""
 _ORDER_RULES = ", ".join(
     f"""CASE WHEN "{r.rule_id}" THEN '{r.rule_id}' END""" for r in CATALOG["orders"]
 )
