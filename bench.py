@@ -1,7 +1,8 @@
 """Times the headline queries: ``python bench.py`` prints one JSON line.
 
 ``BENCH_SF_DIR`` names the folder of parquet tables, ``BENCH_CPUS`` the number of local cores.
-Results are written to a sink that discards them, so every row is computed.
+Results are written to a sink that discards them, so every row is computed.  ``run_historical`` is a
+whole run, from writing its CSV drops to the checked star schema (150,000 orders at sf0.1).
 """
 
 from __future__ import annotations
@@ -48,6 +49,7 @@ HEADLINE = (
     "wh_merge_scd1",
     "wh_resolve_fact_order",
     "chk_fact_keys",
+    "run_historical",
 )
 
 

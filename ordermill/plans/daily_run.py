@@ -19,6 +19,7 @@ from ordermill.model import (
     CALENDAR_START,
     CONFORMED,
     DATASETS,
+    KEY,
     LINEAGE,
     MIN_QUALITY_SCORE,
     SOURCE,
@@ -103,8 +104,7 @@ def ingest_drops(run: Run) -> list[dict]:
 def validate_dataset(run: Run, dataset: str, valid: dict) -> tuple[dict, DataFrame]:
     """Write one dataset's valid and quarantined records and its report.
 
-    The tagged records are written once and everything else is read from that copy.  Returns the
-    report and the valid keys for the datasets that refer to this one.
+    Returns the report and the valid keys for the datasets that refer to this one.
     """
     lake, day = run.lake, run.run_date
     raw = lake.read_partition("raw", dataset, day, ingest.raw_schema(dataset))
@@ -117,7 +117,7 @@ def validate_dataset(run: Run, dataset: str, valid: dict) -> tuple[dict, DataFra
         df.write.mode("overwrite").parquet(lake.uri(f"{scratch}/{name}"))
         return lake.read(f"{scratch}/{name}", df.schema)
 
-    tagged = keep("tagged", evaluate.tag(raw, dataset, scope, keep=keep))
+    tagged = evaluate.tag(raw, dataset, scope, keep=keep)
     validated_at = audit.now().replace(microsecond=0)
     kept = evaluate.valid_records(tagged, dataset)
     held = evaluate.quarantined_records(tagged, dataset, validated_at)
@@ -130,7 +130,8 @@ def validate_dataset(run: Run, dataset: str, valid: dict) -> tuple[dict, DataFra
     )
     result = report.build_report(dataset, counts, run.run_id, day, validated_at, run.min_score)
     lake.write_json(layout.quality_report(dataset, day), result)
-    return result, evaluate.valid_keys(tagged, dataset)
+    written = lake.read_partition("validated", dataset, day, validated_schema(dataset))
+    return result, written.select(KEY[dataset])
 
 
 def validate(run: Run) -> list[dict]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.values import blank_to_null, count_if, parse_as, upper_code
 from ordermill.model import ALLOWED, KEY, LINEAGE, SOURCE
-from ordermill.operators.lookup import broadcast_within, known_keys
+from ordermill.operators.lookup import known_keys
 from ordermill.quality.catalog import CATALOG, WAVES, parents_of
 from ordermill.quality.rules import ERROR, POSITION, Rule, Scope, SetRule
 from ordermill.session import side_by_side
@@ -51,17 +51,21 @@ def tag(
 ) -> DataFrame:
     """Normalised records with the rules each one breaks, as bits in ``_broken_rules``.
 
-    ``keep`` may write the broken positions; they are then broadcast when few enough, and the
-    records are evaluated where they are read.
+    With ``keep`` the broken positions are written.  When they are few enough they are broadcast,
+    and records are then tagged wherever they are read, without a shuffle; otherwise the tagged
+    records are written too, so that the join happens once.
     """
     rules = CATALOG[dataset] if rules is None else rules
     records = normalise(raw, dataset)
     columns = records.columns
     set_rules = [rule for rule in rules if isinstance(rule, SetRule)]
     found = broken_positions(records, scope, set_rules)
+    few = True
     if found is not None:
         if keep:
-            found = broadcast_within(keep(f"{dataset}_positions", found), BROADCAST_POSITIONS)
+            found = keep(f"{dataset}_positions", found)
+            few = found.count() <= BROADCAST_POSITIONS
+            found = F.broadcast(found) if few else found
         bits = F.coalesce("_bits", F.lit(0))
         records = records.join(found, POSITION, "left").withColumns(
             {
@@ -70,7 +74,8 @@ def tag(
             }
         )
     marks = (F.when(r.failed(scope), F.lit(_bit(dataset, r))).otherwise(0) for r in rules)
-    return records.select(*columns, reduce(Column.bitwiseOR, marks).cast("long").alias(BROKEN))
+    tagged = records.select(*columns, reduce(Column.bitwiseOR, marks).cast("long").alias(BROKEN))
+    return tagged if few else keep(f"{dataset}_tagged", tagged)
 
 
 def _bit(dataset: str, rule: Rule) -> int:
@@ -167,15 +172,14 @@ def tag_all(
 ) -> dict[str, DataFrame]:
     """Tag all datasets, parents first; a record whose parent is held back is held back too.
 
-    ``keep(name, df)`` may write a frame and return the written copy, so that children read it
-    instead of evaluating its rules again; datasets of a wave are then written together.
+    ``keep(name, df)`` may write a frame and return the written copy (see :func:`tag`); the
+    datasets of a wave are then evaluated together.
     """
     tagged, valid = {}, {}
 
     def one(dataset: str) -> DataFrame:
         scope = scope_for(dataset, raw[dataset], run_date, valid, earlier or {})
-        frame = tag(raw[dataset], dataset, scope, keep=keep)
-        return keep(dataset, frame) if keep else frame
+        return tag(raw[dataset], dataset, scope, keep=keep)
 
     for wave in WAVES:
         made = side_by_side([partial(one, name) for name in wave]) if keep else map(one, wave)
