@@ -11,7 +11,7 @@ from ordermill.functions.values import (
     parse_as,
     upper_code,
 )
-from ordermill.model import CONFORMED, SOURCE, struct
+from ordermill.model import SOURCE, struct
 from ordermill.operators.keyed import conform, current_state, deduplicate, top_per_key
 from ordermill.operators.lookup import orphans
 from ordermill.plans import conform as conforming

@@ -1,11 +1,8 @@
 """Keyed operators, numbering, lookups, calendar and merge."""
 
-import os
 import random
 from datetime import date, datetime
-from decimal import Decimal
 
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
