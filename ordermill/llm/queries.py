@@ -13,7 +13,9 @@ from ordermill.llm import (
     bin_packing,
     chat_grammar,
     imatch,
+    language_filters,
     license_rules,
+    ordinal_quality,
     sentencepiece_rounds,
     token_records,
 )
@@ -46,6 +48,14 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_rules.licences(read(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    apart = language_filters.held_out(F.col("doc_id"))
+    filters = language_filters.learn(docs.where(~apart).select("lang", "text"))
+    found = language_filters.predicted(docs, filters)
+    return found.select("doc_id", apart.alias("held_out"), "lang_pred", "score")
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.createDataFrame(
@@ -60,8 +70,23 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = ordinal_quality.learn(docs, read(spark, sf_dir, "labels"))
+    return ordinal_quality.rated(docs, model)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_records, op2_sentencepiece, op3_fingerprints, op5_license_scan, op7_chat_format, op8_packing)
+    for f in (
+        op1_token_records,
+        op2_sentencepiece,
+        op3_fingerprints,
+        op5_license_scan,
+        op6_language_id,
+        op7_chat_format,
+        op8_packing,
+        op9_ordinal_quality,
+    )
 }
 SQL = {"op5_license_scan": license_rules.comparison_sql()}
