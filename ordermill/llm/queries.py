@@ -15,6 +15,7 @@ from ordermill.llm import (
     imatch,
     language_filters,
     license_rules,
+    onebit_search,
     ordinal_quality,
     sentencepiece_rounds,
     token_records,
@@ -44,6 +45,10 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.near_report(read(spark, sf_dir, "documents"))
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return onebit_search.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_rules.licences(read(spark, sf_dir, "documents"))
 
@@ -82,6 +87,7 @@ QUERIES = {
         op1_token_records,
         op2_sentencepiece,
         op3_fingerprints,
+        op4_nearest,
         op5_license_scan,
         op6_language_id,
         op7_chat_format,
