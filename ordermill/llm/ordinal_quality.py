@@ -36,7 +36,6 @@ EPOCHS, RATE, DECAY = 12, 0.05, 2e-5
 LEAST = 0.5
 
 _ROOT = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 # classes of bytes for shapes: capitals, small letters (all of non-ASCII), digits, white space, each other sign
@@ -46,39 +45,14 @@ _CLASS[[9, 10, 11, 12, 13, 32]] = 32
 _KINDS = {"upper": [65], "digit": [48], "space": [32], "mark": [ord(x) for x in "!*#%&$|@~^<>=+_/\\"]}
 
 
-def _powers(root: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n + 1, root, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-def run_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of all bytes of each run, from one cumulative sum."""
-    sums = np.zeros(len(flat) + 1, np.uint64)
-    np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * _powers(_ROOT, len(flat))[:-1], out=sums[1:])
-    mixed = (sums[ends] - sums[starts]) * _powers(_INVERSE, len(flat))[starts]
-    mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return mixed ^ (mixed >> np.uint64(29))
-
-
-def _runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of runs of true, which end at row ends too."""
-    edge = np.zeros(len(inside) + 1, bool)
-    edge[1:-1] = inside[1:] != inside[:-1]
-    edge[offsets] = True
-    at = np.append(np.flatnonzero(edge[:-1]), len(inside))
-    kept = inside[at[:-1]]
-    return at[:-1][kept], at[1:][kept]
-
-
 def features(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row and place of each feature, distinct in a row, and the number of words of each row."""
     rows = len(offsets) - 1
     if len(flat) == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(rows, np.int64)
     lower = np.where((flat >= 65) & (flat <= 90), flat + 32, flat).astype(np.uint8)
-    starts, ends = _runs(_WORD[flat], offsets)
-    words = run_hashes(lower, starts, ends)
+    starts, ends = segments.runs(_WORD[flat], offsets)
+    words = segments.run_hashes(lower, starts, ends)
     row = np.searchsorted(offsets, starts, side="right") - 1
     number = np.bincount(row, minlength=rows)
     pair = np.unique(row.astype(np.uint64) << np.uint64(40) | words >> np.uint64(24))
@@ -91,8 +65,8 @@ def features(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     at = np.flatnonzero(first)
     short = kinds[at]
     short_offsets = np.searchsorted(at, offsets)
-    s, e = _runs(short != 32, short_offsets)
-    shapes = run_hashes(short, s, e)
+    s, e = segments.runs(short != 32, short_offsets)
+    shapes = segments.run_hashes(short, s, e)
     shape_row = np.searchsorted(short_offsets, s, side="right") - 1
     pair, times = np.unique(shape_row.astype(np.uint64) << np.uint64(40) | shapes >> np.uint64(24), return_counts=True)
     for step in range(int(np.log2(times.max(initial=1))) + 1):  # one feature for each power of two reached

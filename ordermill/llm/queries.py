@@ -13,6 +13,7 @@ from ordermill.llm import (
     bin_packing,
     chat_grammar,
     imatch,
+    jaccard_regions,
     language_filters,
     license_rules,
     onebit_search,
@@ -81,6 +82,10 @@ def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_quality.rated(docs, model)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_regions.classes(read(spark, sf_dir, "documents"), words=4, per_cent=85)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -93,6 +98,7 @@ QUERIES = {
         op7_chat_format,
         op8_packing,
         op9_ordinal_quality,
+        op10_jaccard_join,
     )
 }
 SQL = {"op5_license_scan": license_rules.comparison_sql()}
