@@ -403,3 +403,20 @@ def classes(docs: DataFrame, words: int = 5, per_cent: int = 80) -> DataFrame:
     return named.join(to_group, named["name"] == to_group["node"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), of_set.alias("component_id")
     )
+
+
+def one_of_each(docs: DataFrame, words: int = 5, per_cent: int = 80) -> DataFrame:
+    """``docs``, all columns as they are, with one document of each class: the one with the smallest id.
+
+    Rows without an id stay.  Of rows that share id and text one stays; rows that share an id and differ in
+    text are one document here and stay or go together.
+    """
+    found = classes(docs, words, per_cent)
+    gone = written(found.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct(), "gone")
+    same = F.xxhash64("text")
+    again = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id", same.alias("same")).agg(F.count(F.lit(1)).alias("rows"))
+    again = written(again.where(F.col("rows") > 1).select("doc_id").distinct(), "again")
+    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    once = Window.partitionBy("doc_id", same).orderBy(same)
+    repeated = left.join(again, "doc_id", "left_semi").withColumn("__row", F.row_number().over(once)).where("__row = 1")
+    return left.join(again, "doc_id", "left_anti").select(docs.columns).union(repeated.select(docs.columns))

@@ -126,7 +126,8 @@ class Filters:
     def _bit(self, i: int, at) -> np.ndarray:
         return self.slots[i // 63][at] >> (i % 63) & 1
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[int]]:
+        """Language, score and number of n-grams of each text."""
         found, rows, has_letter = grams(texts)
         number = np.bincount(rows, minlength=len(texts))
         masks = None
@@ -143,7 +144,7 @@ class Filters:
             "und" if not has or self.usual is None else self.langs[b] if b >= 0 else self.usual
             for has, b in zip(has_letter.tolist(), best.tolist(), strict=True)
         ]
-        return names, np.clip(most / np.maximum(number, 1), 0, 1).tolist()
+        return names, np.clip(most / np.maximum(number, 1), 0, 1).tolist(), number.tolist()
 
 
 def gram_slots(found: np.ndarray) -> Iterator[np.ndarray]:
@@ -191,7 +192,7 @@ def predicted(docs: DataFrame, filters: Filters) -> DataFrame:
         for batch in batches:
             names, scores = [], []
             for _, _, texts in _row_slices(batch.column("text")):
-                some, their = shared.value.predict(texts)
+                some, their, _ = shared.value.predict(texts)
                 names += some
                 scores += their
             yield pa.RecordBatch.from_arrays(
@@ -204,6 +205,21 @@ def predicted(docs: DataFrame, filters: Filters) -> DataFrame:
     )
 
 
+def accepted(docs: DataFrame, filters: Filters, least: float) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, but texts that are ``und`` or score below ``least``.  A text
+    with letters that is too short for n-grams gives no reason to reject it."""
+    shared = docs.sparkSession.sparkContext.broadcast(filters)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, texts in _row_slices(batch.column("text")):
+                found = zip(*shared.value.predict(texts), strict=True)
+                keep = [name != "und" and (score >= least or not number) for name, score, number in found]
+                yield batch.slice(low, high - low).filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(choose, docs.schema)
+
+
 def held_out(doc_id: Column) -> Column:
     """Every fifth document, by a checksum of its id; those without an id are not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -193,3 +193,19 @@ def rated(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         rate, "doc_id long, expected_grade double, top_probability double, keep boolean"
     )
+
+
+def kept(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose top grade is likely enough."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitted = shared.value
+        for batch in batches:
+            flat, offsets = segments.utf8(batch.column("text"))
+            for low, high in segments.slices(offsets, 2_000_000):
+                row, place, words = features(flat[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
+                top = fitted.tails(np.bincount(row, fitted.weights[place], high - low))[:, -1]
+                yield batch.slice(low, high - low).filter(pa.array((top >= LEAST) & (words > 0)))
+
+    return docs.mapInArrow(choose, docs.schema)
