@@ -14,8 +14,8 @@ compares them with all members of the region, in blocks of ``BLOCK`` members.  S
 a pivot are linked to it.  A set is settled once it was a pivot, or if it is linked to the pivot with most
 links: such sets are in one component already, and pairs of one settled and one unsettled set are found
 from the unsettled side.  Unsettled sets go to the Voronoi region of their nearest pivot, with those members
-of the old region whose distance to that pivot lies within the radius of theirs; no other can be close to
-them.  Regions are joined anew until every set is settled.  The links found connect the same sets as all
+of the old region whose distances to all pivots lie within the radius of theirs; by the triangle inequality
+no other can be close to them.  Regions are joined anew until every set is settled.  The links found connect the same sets as all
 links do.
 
 Equal sets are one from the beginning, so a text with very many copies costs as much as one.  A large region
@@ -70,17 +70,19 @@ def shingle_sets(flat: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.
     lower = np.where((flat >= 65) & (flat <= 90), flat + 32, flat).astype(np.uint8)
     starts, ends = segments.runs(~_SEPARATOR[flat], offsets)
     word = segments.run_hashes(lower, starts, ends)
-    row = np.searchsorted(offsets, starts, side="right") - 1
-    count = np.bincount(row, minlength=rows)
-    first = np.cumsum(count) - count
+    first = np.searchsorted(starts, offsets)
+    count = np.diff(first)
+    row = np.repeat(np.arange(rows), count)
     size = np.minimum(count, words)  # words of each row's shingles
-    place = np.arange(len(word)) - first[row]
-    at = np.flatnonzero(place + size[row] <= count[row])
-    combined = size[row[at]].astype(np.uint64)
-    for k in range(words):
-        inside = k < size[row[at]]
-        following = word[np.minimum(at + k, len(word) - 1)]
-        combined = np.where(inside, _mixed(combined * _M1 + following), combined)
+    at = np.flatnonzero(np.arange(len(word)) + size[row] <= first[1:][row])
+    mixed = word * _M1
+    combined = size[row[at]].astype(np.uint64) + mixed[at]
+    for k in range(1, words):
+        following = mixed[np.minimum(at + k, len(word) - 1)]
+        if (size < words).any():
+            following = np.where(k < size[row[at]], following, np.uint64(0))
+        combined = (combined ^ (combined >> np.uint64(29))) * _M2 + following
+    combined = _mixed(combined)
     # rows of a slice fit in 16 bits
     keys = np.unique(row[at].astype(np.uint64) << np.uint64(48) | combined >> np.uint64(16))
     of = (keys >> np.uint64(48)).astype(np.int64)
@@ -207,24 +209,28 @@ def _shared(table: pa.Table) -> pa.Table:
     token, name = token[kept], name[kept]
     _, back, times = np.unique(token, return_inverse=True, return_counts=True)
     several = times[back] > 1
-    return pa.table([pa.array(token[several]), pa.array(name[several])], names=["token", "name"])
+    many = (times[back] > SHORT)[several]
+    return pa.table([pa.array(token[several]), pa.array(name[several]), pa.array(many)], names=["token", "name", "many"])
 
 
 def _pairs(table: pa.Table) -> pa.Table:
-    """Pairs (a, b) of sets of a bucket, how many shingles they meet in, and how many they have to; for
-    a shingle of many sets, the pairs of its smallest name with each other one, which need no number."""
-    token, name, least = (table.column(c).to_numpy() for c in ("token", "name", "least"))
-    order = np.lexsort((name, token))
-    token, name, least = token[order], name[order], least[order]
-    start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+    """Pairs (a, b) of sets of a bucket, how many uncommon shingles they meet in, and how many they have to.
+    For a common shingle come the pairs of its smallest name with each other one, which need no number;
+    only sets whose common shingles are enough for a link take part in those."""
+    token, name, least, common, many = (table.column(c).to_numpy() for c in ("token", "name", "least", "common", "many"))
+    some = ~many | (common >= table.column("fewest").to_numpy())
+    order = np.lexsort((name[some], token[some]))
+    token, name, least, common, many = (x[some][order] for x in (token, name, least, common, many))
+    start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, np.int64)
     size = np.diff(np.append(start, len(token)))
+    single = ~many[start]
     parts = [np.zeros((0, 3), np.int64)]
     for n in range(2, SHORT + 1):
-        rows = start[size == n][:, None] + np.arange(n)[None, :]
+        rows = start[(size == n) & single][:, None] + np.arange(n)[None, :]
         i, j = np.triu_indices(n, 1)
         left, right = rows[:, i].ravel(), rows[:, j].ravel()
-        parts.append(np.stack([name[left], name[right], np.minimum(least[left], least[right])], axis=1))
-    many = np.repeat(size > SHORT, size)
+        needed = np.minimum(least[left], least[right]) - np.minimum(common[left], common[right])
+        parts.append(np.stack([name[left], name[right], needed], axis=1))
     centre = np.repeat(name[start], size)
     star = many & (centre != name)
     parts.append(np.stack([centre[star], name[star], np.zeros(star.sum(), np.int64)], axis=1))
@@ -235,15 +241,16 @@ def _pairs(table: pa.Table) -> pa.Table:
 def family_links(listed: DataFrame, named: DataFrame, per_cent: int, buckets: int) -> DataFrame:
     """Links (a, b) that connect the sets of each family."""
     shared = written(
-        listed.groupBy("bucket").applyInArrow(_shared, "token long, name long"), "shared"
+        listed.groupBy("bucket").applyInArrow(_shared, "token long, name long, many boolean"), "shared"
     )
     # in whole numbers, as in shared_least
     first = lambda n: n - F.ceil(n * per_cent / 100) + 1
     least = lambda n: F.least(n, first(n) + F.greatest(F.lit(8), F.floor(first(n) / 2))) - first(n) + 1
     sizes = named.where(F.col("name").isNotNull()).groupBy("name").agg(F.max("n").alias("n"))
-    met = shared.groupBy("name").agg(F.count(F.lit(1)).alias("met"))
-    smallest = F.ceil(F.col("n") * per_cent / 100)
-    enough = met.join(sizes, "name").where(F.col("met") >= least(smallest)).select("name", least(F.col("n")).alias("least"))
+    met = shared.groupBy("name").agg(F.count(F.lit(1)).alias("met"), F.count_if("many").alias("common"))
+    fewest = least(F.ceil(F.col("n") * per_cent / 100))  # with the smallest set that is close enough
+    enough = met.join(sizes, "name").where(F.col("met") >= fewest)
+    enough = enough.select("name", least(F.col("n")).alias("least"), fewest.alias("fewest"), "common")
     by_bucket = shared.join(enough, "name").withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(buckets)))
     pairs = by_bucket.groupBy("bucket").applyInArrow(_pairs, "a long, b long, least long, times long")
     met_in = pairs.groupBy("a", "b").agg(F.min("least").alias("least"), F.sum("times").alias("times"))
@@ -344,16 +351,19 @@ def region_links(families: DataFrame, sets: DataFrame, per_cent: int) -> list[Da
         marked = compared.join(main, "region", "left")
         settled = F.col("pivot") | F.coalesce(F.array_contains("links", F.col("main")), F.lit(False))
         marked = written(marked.select("region", "node", (F.col("unsettled") & ~settled).alias("open"), "nearest", "distances"), "marked")
-        own = F.col("distances")[F.col("nearest")]
-        windows = marked.where("open").groupBy("region", F.col("nearest").alias("at")).agg(F.min(own).alias("low"), F.max(own).alias("high"))
-        windows = written(windows, "windows")
-        if windows.isEmpty():
+        number = F.expr("transform(distances, (d, i) -> i)")
+        each = marked.where("open").select("region", F.col("nearest").alias("at"), F.explode(F.arrays_zip("distances", number.alias("number"))).alias("d"))
+        sides = each.groupBy("region", "at", F.col("d.number").alias("number")).agg(F.min("d.distances").alias("low"), F.max("d.distances").alias("high"))
+        boxes = sides.groupBy("region", "at").agg(F.array_sort(F.collect_list(F.struct("number", "low", "high"))).alias("box"))
+        boxes = written(boxes, "boxes")
+        if boxes.isEmpty():
             return found
-        distance = F.element_at("distances", F.col("at") + 1)
-        inside = (distance >= F.col("low") - radius) & (distance <= F.col("high") + radius)
+        near = F.forall(
+            F.zip_with("box", "distances", lambda side, d: (d >= side["low"] - radius) & (d <= side["high"] + radius)), lambda x: x
+        )
         regions = (
-            marked.join(windows, "region")
-            .where(inside)
+            marked.join(boxes, "region")
+            .where(near)
             .select(F.xxhash64("region", "at").alias("region"), "node", (F.col("open") & (F.col("nearest") == F.col("at"))).alias("unsettled"))
         )
 

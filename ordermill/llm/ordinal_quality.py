@@ -53,8 +53,8 @@ def features(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     lower = np.where((flat >= 65) & (flat <= 90), flat + 32, flat).astype(np.uint8)
     starts, ends = segments.runs(_WORD[flat], offsets)
     words = segments.run_hashes(lower, starts, ends)
-    row = np.searchsorted(offsets, starts, side="right") - 1
-    number = np.bincount(row, minlength=rows)
+    number = np.diff(np.searchsorted(starts, offsets))
+    row = np.repeat(np.arange(rows), number)
     pair = np.unique(row.astype(np.uint64) << np.uint64(40) | words >> np.uint64(24))
     parts = [(pair >> np.uint64(40), pair & np.uint64((1 << 40) - 1))]
 
@@ -67,7 +67,7 @@ def features(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     short_offsets = np.searchsorted(at, offsets)
     s, e = segments.runs(short != 32, short_offsets)
     shapes = segments.run_hashes(short, s, e)
-    shape_row = np.searchsorted(short_offsets, s, side="right") - 1
+    shape_row = np.repeat(np.arange(rows), np.diff(np.searchsorted(s, short_offsets)))
     pair, times = np.unique(shape_row.astype(np.uint64) << np.uint64(40) | shapes >> np.uint64(24), return_counts=True)
     for step in range(int(np.log2(times.max(initial=1))) + 1):  # one feature for each power of two reached
         some = times >= 1 << step

@@ -220,17 +220,24 @@ _ROOT = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
-def _powers(root: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n + 1, root, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(root: np.uint64, n: int) -> np.ndarray:
+    """The first n powers of an odd number, kept for the next slice."""
+    held = _powers.get(int(root))
+    if held is None or len(held) < n:
+        held = np.full(max(n, SLICE // 2), root, np.uint64)
+        held[0] = 1
+        _powers[int(root)] = held = np.multiply.accumulate(held)
+    return held[:n]
 
 
 def run_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of all bytes of each run, from one cumulative sum."""
     sums = np.zeros(len(flat) + 1, np.uint64)
-    np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * _powers(_ROOT, len(flat))[:-1], out=sums[1:])
-    mixed = (sums[ends] - sums[starts]) * _powers(_INVERSE, len(flat))[starts]
+    np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * powers(_ROOT, len(flat)), out=sums[1:])
+    mixed = (sums[ends] - sums[starts]) * powers(_INVERSE, len(flat) + 1)[starts]
     mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return mixed ^ (mixed >> np.uint64(29))
 
