@@ -12,7 +12,7 @@ is in different ones is not linked.
 Families are regions.  A round takes up to ``PIVOTS`` sets of every region that are not yet settled, and
 compares them with all members of the region, in blocks of ``BLOCK`` members.  Sets within the radius of
 a pivot are linked to it.  A set is settled once it was a pivot, or if it is linked to the pivot with most
-links: such sets are in one component already, and pairs of one settled and one unsettled set are found
+links or to one that shares a linked set with that: such sets are in one component already, and pairs of one settled and one unsettled set are found
 from the unsettled side.  Unsettled sets go to the Voronoi region of their nearest pivot, with those members
 of the old region whose distances to all pivots lie within the radius of theirs; by the triangle inequality
 no other can be close to them.  Regions are joined anew until every set is settled.  The links found connect the same sets as all
@@ -46,8 +46,10 @@ from ordermill.llm.tables import written
 
 #: Sets that share a shingle are listed as pairs up to this number.
 SHORT = 32
+#: Shingles that a set lists at least, if it has as many.
+LEAST_LISTED = 64
 #: Pivots of a region in a round, members compared in one task's block, bits of a filter.
-PIVOTS, BLOCK, FILTER_BITS = 32, 256, 24
+PIVOTS, BLOCK, FILTER_BITS = 64, 256, 24
 #: Shingles that a task holds before it passes them on.
 HELD = 1_000_000
 
@@ -111,9 +113,8 @@ def first_size(n: np.ndarray, per_cent: int) -> np.ndarray:
 
 
 def listed_size(n: np.ndarray, per_cent: int) -> np.ndarray:
-    """Shingles that a set lists: half as many more, eight more at least, all at most."""
-    first = first_size(n, per_cent)
-    return np.minimum(n, first + np.maximum(8, first // 2))
+    """Shingles that a set lists: twice as many, ``LEAST_LISTED`` at least, all at most."""
+    return np.minimum(n, np.maximum(LEAST_LISTED, 2 * first_size(n, per_cent)))
 
 
 def shared_least(n: np.ndarray, per_cent: int) -> np.ndarray:
@@ -238,23 +239,24 @@ def _pairs(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(pairs[:, 2]), pa.array(times.astype(np.int64))], names=["a", "b", "least", "times"])
 
 
-def family_links(listed: DataFrame, named: DataFrame, per_cent: int, buckets: int) -> DataFrame:
-    """Links (a, b) that connect the sets of each family."""
+def family_links(listed: DataFrame, named: DataFrame, per_cent: int, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) that connect the sets of each family; and (name, share) of sets that can have links."""
     shared = written(
         listed.groupBy("bucket").applyInArrow(_shared, "token long, name long, many boolean"), "shared"
     )
     # in whole numbers, as in shared_least
     first = lambda n: n - F.ceil(n * per_cent / 100) + 1
-    least = lambda n: F.least(n, first(n) + F.greatest(F.lit(8), F.floor(first(n) / 2))) - first(n) + 1
+    least = lambda n: F.least(n, F.greatest(F.lit(LEAST_LISTED), 2 * first(n))) - first(n) + 1
     sizes = named.where(F.col("name").isNotNull()).groupBy("name").agg(F.max("n").alias("n"))
     met = shared.groupBy("name").agg(F.count(F.lit(1)).alias("met"), F.count_if("many").alias("common"))
     fewest = least(F.ceil(F.col("n") * per_cent / 100))  # with the smallest set that is close enough
     enough = met.join(sizes, "name").where(F.col("met") >= fewest)
-    enough = enough.select("name", least(F.col("n")).alias("least"), fewest.alias("fewest"), "common")
-    by_bucket = shared.join(enough, "name").withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(buckets)))
+    share = F.col("met") / F.least("n", F.greatest(F.lit(LEAST_LISTED), 2 * first(F.col("n"))))
+    enough = written(enough.select("name", least(F.col("n")).alias("least"), fewest.alias("fewest"), "common", share.alias("share")), "enough")
+    by_bucket = shared.join(enough.drop("share"), "name").withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(buckets)))
     pairs = by_bucket.groupBy("bucket").applyInArrow(_pairs, "a long, b long, least long, times long")
     met_in = pairs.groupBy("a", "b").agg(F.min("least").alias("least"), F.sum("times").alias("times"))
-    return met_in.where(F.col("times") >= F.col("least")).select("a", "b")
+    return met_in.where(F.col("times") >= F.col("least")).select("a", "b"), enough.select("name", "share")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -316,18 +318,25 @@ def _compare(table: pa.Table, per_cent: int) -> pa.Table:
         out["links"].append(pivot_names[close[j] & (pivot_names != names[i])].tolist())
         out["nearest"].append(int(np.argmin(distance[j])))
         out["distances"].append(distance[j].tolist())
-    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.float64()))
+    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.float32()))
     return pa.table([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], names=list(out))
 
 
-def region_links(families: DataFrame, sets: DataFrame, per_cent: int) -> list[DataFrame]:
-    """Links (a, b) that connect what all links connect, from (node, root) and (node, shingles)."""
-    radius = 1 - per_cent / 100 + 1e-9
-    regions = families.select(F.col("root").alias("region"), "node", F.lit(True).alias("unsettled"))
+def region_links(families: DataFrame, sets: DataFrame, shares: DataFrame, per_cent: int) -> list[DataFrame]:
+    """Links (a, b) that connect what all links connect, from (node, root), (node, shingles)
+    and (name, share), the share of a set's listed shingles that others list too.
+
+    The first pivots are those with the largest share, as they lie in the middle of their family; later
+    ones are taken by a hash.
+    """
+    radius = 1 - per_cent / 100 + 1e-6
+    regions = families.join(shares.withColumnRenamed("name", "node"), "node").select(
+        F.col("root").alias("region"), "node", F.lit(True).alias("unsettled"), "share"
+    )
     found = []
     while True:
         regions = written(regions, "regions")
-        by_hash = Window.partitionBy("region").orderBy(F.xxhash64("node"), "node")
+        by_hash = Window.partitionBy("region").orderBy(F.desc("share"), F.xxhash64("node"), "node")
         pivots = regions.where("unsettled").withColumn("rank", F.row_number().over(by_hash) - 1).where(F.col("rank") < PIVOTS)
         blocks = regions.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
         members = regions.join(blocks, "region").select(
@@ -340,7 +349,7 @@ def region_links(families: DataFrame, sets: DataFrame, per_cent: int) -> list[Da
         compared = written(
             whole.groupBy("region", "block").applyInArrow(
                 lambda table: _compare(table, per_cent),
-                "region long, node long, unsettled boolean, pivot boolean, links array<long>, nearest int, distances array<double>",
+                "region long, node long, unsettled boolean, pivot boolean, links array<long>, nearest int, distances array<float>",
             ),
             "compared",
         )
@@ -348,8 +357,11 @@ def region_links(families: DataFrame, sets: DataFrame, per_cent: int) -> list[Da
         found.append(links.select("a", "b"))
         times = links.groupBy("region", "b").agg(F.count(F.lit(1)).alias("times"))
         main = times.groupBy("region").agg(F.max_by("b", F.struct("times", "b")).alias("main"))
-        marked = compared.join(main, "region", "left")
-        settled = F.col("pivot") | F.coalesce(F.array_contains("links", F.col("main")), F.lit(False))
+        # pivots with a link to a set that the main pivot is linked to; they and theirs are one component
+        joined = compared.join(main, "region").where(F.array_contains("links", F.col("main")))
+        hub = joined.select("region", F.explode("links").alias("b")).groupBy("region").agg(F.collect_set("b").alias("hub"))
+        marked = compared.join(hub, "region", "left")
+        settled = F.col("pivot") | F.coalesce(F.arrays_overlap("links", "hub"), F.lit(False))
         marked = written(marked.select("region", "node", (F.col("unsettled") & ~settled).alias("open"), "nearest", "distances"), "marked")
         number = F.expr("transform(distances, (d, i) -> i)")
         each = marked.where("open").select("region", F.col("nearest").alias("at"), F.explode(F.arrays_zip("distances", number.alias("number"))).alias("d"))
@@ -364,7 +376,7 @@ def region_links(families: DataFrame, sets: DataFrame, per_cent: int) -> list[Da
         regions = (
             marked.join(boxes, "region")
             .where(near)
-            .select(F.xxhash64("region", "at").alias("region"), "node", (F.col("open") & (F.col("nearest") == F.col("at"))).alias("unsettled"))
+            .select(F.xxhash64("region", "at").alias("region"), "node", (F.col("open") & (F.col("nearest") == F.col("at"))).alias("unsettled"), F.lit(0.0).alias("share"))
         )
 
 
@@ -375,7 +387,8 @@ def classes(docs: DataFrame, words: int = 5, per_cent: int = 80) -> DataFrame:
     rows = written(_listed(docs, words, per_cent, buckets), "shingles")
     named = rows.where(F.col("bucket").isNull()).select("doc_id", "n", "name")
     listed = rows.where(F.col("bucket").isNotNull()).select("bucket", "tokens", "names")
-    families = components(family_links(listed, named, per_cent, buckets))
+    links, shares = family_links(listed, named, per_cent, buckets)
+    families = components(links)
 
     smallest = named.where(F.col("name").isNotNull()).groupBy(F.col("name").alias("node")).agg(F.min("doc_id").alias("doc_id"))
     firsts = written(smallest.join(families, "node").select("node", "doc_id"), "firsts")
@@ -402,7 +415,7 @@ def classes(docs: DataFrame, words: int = 5, per_cent: int = 80) -> DataFrame:
     sets = written(picked.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
 
     links = None
-    for some in region_links(families, sets, per_cent):
+    for some in region_links(families, sets, shares, per_cent):
         links = some if links is None else links.union(some)
     groups = components(links)
     by_node = smallest.join(groups, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
