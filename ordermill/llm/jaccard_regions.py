@@ -21,8 +21,8 @@ links do.
 Equal sets are one from the beginning, so a text with very many copies costs as much as one.  A large region
 is cut into blocks, and all else is grouped aggregates and two-table joins.  Shingles are 48-bit hashes and
 sets are named by a 64-bit hash; pairs are compared by their whole sets of shingle hashes.  What comes to
-the driver is a filter of fixed size (``FILTER_BITS``) that picks texts to be read again; a full one would
-cost speed, not links.
+the driver are filters of fixed size (``FILTER_BITS``) that leave out sets without links before a shuffle; a
+full one would cost speed, not links.
 
 Defined results: a text that is null or has no word has an empty set and is linked with nothing; rows
 without an id are linked with nothing and have no component; rows that repeat an id each have a row;
@@ -94,7 +94,7 @@ def shingle_sets(flat: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.
 def sets_of(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Slices of a batch: first row, row after the last, shingles, places."""
     flat, offsets = segments.utf8(batch.column("text"))
-    for low, high in segments.slices(offsets, 2_000_000):
+    for low, high in segments.slices(offsets, 1_000_000):
         for begin in range(low, high, 1 << 16):
             end = min(high, begin + (1 << 16))
             part = flat[offsets[begin] : offsets[end]]
@@ -113,8 +113,9 @@ def first_size(n: np.ndarray, per_cent: int) -> np.ndarray:
 
 
 def listed_size(n: np.ndarray, per_cent: int) -> np.ndarray:
-    """Shingles that a set lists: twice as many, ``LEAST_LISTED`` at least, all at most."""
-    return np.minimum(n, np.maximum(LEAST_LISTED, 2 * first_size(n, per_cent)))
+    """Shingles that a set lists: half as many more, ``LEAST_LISTED`` at least, all at most."""
+    first = first_size(n, per_cent)
+    return np.minimum(n, np.maximum(LEAST_LISTED, first + first // 2))
 
 
 def shared_least(n: np.ndarray, per_cent: int) -> np.ndarray:
@@ -146,7 +147,8 @@ def filter_of(numbers: DataFrame, name: str) -> Broadcast:
 
 def _listed(docs: DataFrame, words: int, per_cent: int, buckets: int) -> DataFrame:
     """Rows of two kinds: doc_id, n, name for each document; and packed (shingle, name) pairs by bucket,
-    in which equal sets of a task come once."""
+    in which equal sets of a task come once.  A listed shingle is its bucket and 32 bits more; shingles that
+    these do not tell apart make families larger, never smaller."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, waiting, seen = [], 0, set()
@@ -163,7 +165,8 @@ def _listed(docs: DataFrame, words: int, per_cent: int, buckets: int) -> DataFra
             token = np.concatenate([t for t, _ in held] or [np.zeros(0, np.uint64)])
             name = np.concatenate([n for _, n in held] or [np.zeros(0, np.uint64)])
             held.clear()
-            bucket = (_mixed(token) % np.uint64(buckets)).astype(np.int64)
+            mixed = _mixed(token)
+            bucket, token = (mixed % np.uint64(buckets)).astype(np.int64), (mixed >> np.uint64(32)).astype(np.uint32)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
             some = np.flatnonzero(np.diff(cuts)).tolist()
@@ -201,7 +204,7 @@ def _listed(docs: DataFrame, words: int, per_cent: int, buckets: int) -> DataFra
 
 def _shared(table: pa.Table) -> pa.Table:
     """Distinct (shingle, name) pairs of a bucket whose shingle several sets list."""
-    token = np.frombuffer(b"".join(table.column("tokens").to_pylist()), np.int64)
+    token = np.frombuffer(b"".join(table.column("tokens").to_pylist()), np.uint32).astype(np.int64)
     name = np.frombuffer(b"".join(table.column("names").to_pylist()), np.int64)
     order = np.lexsort((name, token))
     token, name = token[order], name[order]
@@ -210,6 +213,7 @@ def _shared(table: pa.Table) -> pa.Table:
     token, name = token[kept], name[kept]
     _, back, times = np.unique(token, return_inverse=True, return_counts=True)
     several = times[back] > 1
+    token = token + (table.column("bucket")[0].as_py() << 32)
     many = (times[back] > SHORT)[several]
     return pa.table([pa.array(token[several]), pa.array(name[several]), pa.array(many)], names=["token", "name", "many"])
 
@@ -246,14 +250,23 @@ def family_links(listed: DataFrame, named: DataFrame, per_cent: int, buckets: in
     )
     # in whole numbers, as in shared_least
     first = lambda n: n - F.ceil(n * per_cent / 100) + 1
-    least = lambda n: F.least(n, F.greatest(F.lit(LEAST_LISTED), 2 * first(n))) - first(n) + 1
+    listed_of = lambda n: F.least(n, F.greatest(F.lit(LEAST_LISTED), first(n) + F.floor(first(n) / 2)))
+    least = lambda n: listed_of(n) - first(n) + 1
     sizes = named.where(F.col("name").isNotNull()).groupBy("name").agg(F.max("n").alias("n"))
     met = shared.groupBy("name").agg(F.count(F.lit(1)).alias("met"), F.count_if("many").alias("common"))
     fewest = least(F.ceil(F.col("n") * per_cent / 100))  # with the smallest set that is close enough
     enough = met.join(sizes, "name").where(F.col("met") >= fewest)
-    share = F.col("met") / F.least("n", F.greatest(F.lit(LEAST_LISTED), 2 * first(F.col("n"))))
+    share = F.col("met") / listed_of(F.col("n"))
     enough = written(enough.select("name", least(F.col("n")).alias("least"), fewest.alias("fewest"), "common", share.alias("share")), "enough")
-    by_bucket = shared.join(enough.drop("share"), "name").withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(buckets)))
+    able = filter_of(enough.select(F.xxhash64("name").alias("key")), "key")
+
+    def drop_others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            some = able.value.holds(batch.column("key").to_numpy().view(np.uint64))
+            yield batch.filter(pa.array(some)).select(["token", "name", "many"])
+
+    fewer = shared.withColumn("key", F.xxhash64("name")).mapInArrow(drop_others, "token long, name long, many boolean")
+    by_bucket = fewer.join(enough.drop("share"), "name").withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(buckets)))
     pairs = by_bucket.groupBy("bucket").applyInArrow(_pairs, "a long, b long, least long, times long")
     met_in = pairs.groupBy("a", "b").agg(F.min("least").alias("least"), F.sum("times").alias("times"))
     return met_in.where(F.col("times") >= F.col("least")).select("a", "b"), enough.select("name", "share")
@@ -262,24 +275,24 @@ def family_links(listed: DataFrame, named: DataFrame, per_cent: int, buckets: in
 def components(links: DataFrame) -> DataFrame:
     """node, root for all nodes of links (a, b): the connected components, named by their smallest node.
 
-    Every round points each node to its smallest neighbour, follows the pointers twice and contracts the
-    links, until none is left between different nodes.
+    Every round points each node to its smallest neighbour, follows the pointers once more and contracts
+    the links, until none is left between different nodes.
     """
     both = lambda df: df.union(df.select("b", "a")).distinct()
     edges = written(both(links.select("a", "b").where(F.col("a") != F.col("b"))), "edges")
-    roots = written(edges.select(F.col("a").alias("node")).distinct().select("node", F.col("node").alias("root")), "roots")
-    while not edges.isEmpty():
+    roots = None
+    while roots is None or not edges.isEmpty():
         up = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("up"))
-        for _ in range(2):
-            up = written(up, "up")
-            further = up.select(F.col("node").alias("up"), F.col("up").alias("further"))
-            up = up.join(further, "up").select("node", F.col("further").alias("up"))
-        up = written(up, "up")
+        further = up.select(F.col("node").alias("up"), F.col("up").alias("further"))
+        up = written(up.join(further, "up").select("node", F.col("further").alias("up")), "up")
         moved = edges.join(up.select(F.col("node").alias("a"), F.col("up").alias("x")), "a")
         moved = moved.join(up.select(F.col("node").alias("b"), F.col("up").alias("y")), "b")
         edges = written(moved.where(F.col("x") != F.col("y")).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "edges")
-        new = up.select(F.col("node").alias("root"), "up")
-        roots = written(roots.join(new, "root", "left").select("node", F.coalesce("up", "root").alias("root")), "roots")
+        if roots is None:
+            roots = up.select("node", F.col("up").alias("root"))
+        else:
+            new = up.select(F.col("node").alias("root"), "up")
+            roots = written(roots.join(new, "root", "left").select("node", F.coalesce("up", "root").alias("root")), "roots")
     return roots
 
 
@@ -362,7 +375,7 @@ def region_links(families: DataFrame, sets: DataFrame, shares: DataFrame, per_ce
         hub = joined.select("region", F.explode("links").alias("b")).groupBy("region").agg(F.collect_set("b").alias("hub"))
         marked = compared.join(hub, "region", "left")
         settled = F.col("pivot") | F.coalesce(F.arrays_overlap("links", "hub"), F.lit(False))
-        marked = written(marked.select("region", "node", (F.col("unsettled") & ~settled).alias("open"), "nearest", "distances"), "marked")
+        marked = marked.select("region", "node", (F.col("unsettled") & ~settled).alias("open"), "nearest", "distances")
         number = F.expr("transform(distances, (d, i) -> i)")
         each = marked.where("open").select("region", F.col("nearest").alias("at"), F.explode(F.arrays_zip("distances", number.alias("number"))).alias("d"))
         sides = each.groupBy("region", "at", F.col("d.number").alias("number")).agg(F.min("d.distances").alias("low"), F.max("d.distances").alias("high"))

@@ -155,7 +155,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         for batch in batches:
             flat, offsets = segments.utf8(batch.column("text"))
             out = []
-            for low, high in segments.slices(offsets, 2_000_000):
+            for low, high in segments.slices(offsets, 1_000_000):
                 row, place, _ = features(flat[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
                 order = np.argsort(row, kind="stable")
                 cuts = np.cumsum(np.bincount(row, minlength=high - low))[:-1]
@@ -178,7 +178,7 @@ def rated(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             flat, offsets = segments.utf8(batch.column("text"))
             expected, top, keep = [], [], []
-            for low, high in segments.slices(offsets, 2_000_000):
+            for low, high in segments.slices(offsets, 1_000_000):
                 row, place, words = features(flat[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
                 tails = fitted.tails(np.bincount(row, fitted.weights[place], high - low)) * (words > 0)[:, None]
                 expected.append(tails.sum(axis=1))
@@ -203,7 +203,7 @@ def kept(docs: DataFrame, model: Model) -> DataFrame:
         fitted = shared.value
         for batch in batches:
             flat, offsets = segments.utf8(batch.column("text"))
-            for low, high in segments.slices(offsets, 2_000_000):
+            for low, high in segments.slices(offsets, 1_000_000):
                 row, place, words = features(flat[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
                 top = fitted.tails(np.bincount(row, fitted.weights[place], high - low))[:, -1]
                 yield batch.slice(low, high - low).filter(pa.array((top >= LEAST) & (words > 0)))
