@@ -87,12 +87,13 @@ def licences(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules=RULES
     """doc_id, licences (distinct, sorted), sentence_ids (the text's known sentences in order), n_rules
     (places where a rule matches), times (rows with this id and text)."""
     spark = docs.sparkSession
-    part = docs.select(
+    numbered = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.xxhash64("text"), F.lit(0)).alias("same"),
         F.monotonically_increasing_id().alias("row"),
-        F.posexplode(F.split("text", BREAK)).alias("at", "raw"),
-    ).select("doc_id", "same", "row", "at", normalised(F.col("raw")).alias("sentence"))
+        "text",
+    )
+    part = numbered.select("doc_id", "same", "row", F.posexplode(F.split("text", BREAK)).alias("at", "raw")).select("doc_id", "same", "row", "at", normalised(F.col("raw")).alias("sentence"))
     # the known sentences are fixed text of a few kB
     found = part.join(F.broadcast(known_sentences(spark, sentences)), "sentence")
     by_text = found.groupBy("row", "doc_id", "same").agg(
