@@ -16,10 +16,10 @@ import pyarrow as pa
 
 #: Segments of up to this many bytes are compared as 64-bit words; longer ones one by one.
 KEY_WORDS = 4
-#: Segments kept by a worker between batches (some 80 MB); a full table is emptied and filled anew.
-KEPT = 400_000
+#: Segments kept by a worker between batches (some 120 MB); a full table is emptied and filled anew.
+KEPT = 600_000
 #: Texts are worked on in slices of about this many bytes, so that arrays stay small.
-SLICE = 2_000_000
+SLICE = 4_000_000
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
