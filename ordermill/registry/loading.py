@@ -567,7 +567,7 @@ SQL = {
     "src_history_before": over_typed(
         """SELECT CAST(year(order_timestamp) AS INTEGER) AS year, COUNT(*) AS orders,
                   CAST(SUM(order_amount) AS DECIMAL(20,2)) AS amount
-           FROM t_orders WHERE year(order_timestamp) < 1999 OR order_timestamp = '1999-01-01'
+           FROM t_orders WHERE year(order_timestamp) < 1999
            GROUP BY 1"""
     ),
     "snk_replace_partition": """
