@@ -114,7 +114,7 @@ def run_rollup(
 
 
 def assert_no_failed_stage(records: DataFrame) -> None:
-    failed = [row["failed"] for row in failed_stages(records).limit(20).collect()]
+    failed = [row["failed"] for row in failed_stages(records).collect()]
     if failed:
         raise RunError("run has failed stages; it is not successful", failed=failed)
 
