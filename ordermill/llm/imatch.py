@@ -1,16 +1,18 @@
 """I-Match document fingerprints, of SQL functions only.
 
-A document's terms are its distinct lower-case runs of letters and digits.  The lexicon holds the terms
-whose share of all documents lies within a band, so their inverse document frequency is neither that of
-everyday words nor that of rare ones.  A fingerprint has a hash for the whole lexicon and one for each of
-several random subsets, which hold a half, a quarter or an eighth of it: the document's terms in that
+A document's terms are its distinct lower-case runs of letters and digits, as 64-bit hashes.  The lexicon holds
+the terms whose share of all documents lies within a band, so their inverse document frequency is neither that
+of everyday words nor that of rare ones.  A fingerprint has a hash for the whole lexicon and one for each of
+several random subsets, which hold from an eighth to a thousandth of it: the document's terms in that
 subset, distinct and sorted, are hashed in order.  The likeness of two fingerprints is the share of equal
 hashes, so that small subsets tell texts that have little in common from those that have nothing.  Where a
 document has no term of a subset, the hash of all its terms stands in its place.
 
-Document frequencies come from all documents.  With terms per document bounded on average, the lower end of
-the band bounds the lexicon whatever the number of documents; it is written, counted, and broadcast only up
-to ``BROADCAST_TERMS``, beyond which Spark joins it by shuffling.
+Document frequencies come from all documents.  They are counted by the low ``SLOT_BITS`` bits of a term's
+hash, and terms that share these are in the lexicon together or not at all.  The lexicon is therefore a bitmap
+of one size for every corpus (2 MB), and a document's lexicon terms are found by looking at it where the text is
+read: neither the terms nor the lexicon are shuffled.  Subsets go by the bits above those; those of one size
+have no term in common.
 
 ``neighbours`` finds each document's successor without gathering the table: ids are sorted by range, each
 partition looks ahead on its own, and only the partitions' first rows meet in one place.
@@ -23,6 +25,8 @@ rows; long texts are read whole.  Columns other than ``doc_id`` and ``text`` are
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -31,60 +35,77 @@ from ordermill.llm.tables import written
 
 #: Least and largest share of documents of a lexicon term.
 BAND = (0.002, 0.04)
-#: Random subsets of the lexicon, beside the whole: one in so many terms is in each.
-SUBSETS = (2, 2, 2, 4, 4, 4, 4, 8, 8, 8, 8)
-#: Terms of up to 24 bytes each are broadcast.
-BROADCAST_TERMS = 400_000
+#: Random subsets of the lexicon, beside the whole: one in so many terms is in each, and how many there are.
+#: A text that lost half its terms still agrees in some subsets of which it has only a few terms, so sizes
+#: for short, usual and long texts are needed.
+SUBSETS = ((8, 2), (32, 12), (128, 16), (1024, 8))
+PARTS = 1 + sum(number for _, number in SUBSETS)
+#: Low bits of a term's hash by which documents are counted.
+SLOT_BITS = 24
+#: What names a document: whether its id is null, the id (0 for null), a hash of its text.
+KEY = ("absent", "id", "same")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, same (hash of the text), text."""
+    """The columns of ``KEY``, none of them null, and text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("same"), text.alias("text"))
+    own = F.col("doc_id").cast("long")
+    return docs.select(
+        own.isNull().alias("absent"), F.coalesce(own, F.lit(0)).alias("id"), F.xxhash64(text).alias("same"), text.alias("text")
+    )
 
 
 def terms(text: Column) -> Column:
     """Distinct terms of a text, as sorted 64-bit hashes."""
     words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    return F.array_sort(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))))
+    return F.sort_array(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))))
 
 
 def lexicon(texts: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
-    """term, subsets (bit 0 for the whole, bit k for the k-th subset), for terms within the band."""
-    used = texts.select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("documents"))
+    """One row with the bitmap of the slots within the band, as ``bits``, an array of longs."""
+    slots = F.array_distinct(F.transform(terms(F.col("text")), lambda t: t.bitwiseAND(F.lit((1 << SLOT_BITS) - 1))))
+    used = texts.select(F.explode(slots).alias("slot")).groupBy("slot").agg(F.count(F.lit(1)).alias("documents"))
     total = texts.agg(F.count(F.lit(1)).alias("total"))
     # one row with the number of documents
     share = F.col("documents") / total.scalar()
-    held = F.lit(1)
-    for k, one_in in enumerate(SUBSETS, 1):
-        held = held.bitwiseOR(F.when(F.xxhash64("term", F.lit(k)) % one_in == 0, F.lit(1 << k)).otherwise(F.lit(0)))
     inside = used.where((share >= band[0]) & (share <= band[1]))
-    return written(inside.select("term", held.alias("subsets")), "lexicon")
-
-
-def fingerprints(texts: DataFrame, words: DataFrame) -> DataFrame:
-    """doc_id, same, parts (a hash for the lexicon and each subset) of rows with distinct doc_id and same."""
-    small = words.count() <= BROADCAST_TERMS
-    listed = texts.select("doc_id", "same", terms(F.col("text")).alias("terms"))
-    alone = F.xxhash64(F.lit("all"), F.col("terms")).alias("alone")
-    exploded = listed.select("doc_id", "same", alone, F.explode_outer("terms").alias("term"))
-    found = exploded.join(F.broadcast(words) if small else words, "term", "left")
-    per_text = found.groupBy("doc_id", "same", "alone").agg(
-        F.array_sort(F.collect_set(F.when(F.col("subsets").isNotNull(), F.struct("term", "subsets")))).alias("kept")
-    )
-
-    def part(k: int) -> Column:
-        own = F.filter("kept", lambda x: x["subsets"].bitwiseAND(F.lit(1 << k)) != 0)
-        hashed = F.xxhash64(F.lit(k), F.transform(own, lambda x: x["term"]))
-        return F.when(F.size(own) == 0, F.col("alone")).otherwise(hashed)
-
-    parts = F.array(*[part(k) for k in range(len(SUBSETS) + 1)])
-    return per_text.select("doc_id", "same", parts.alias("parts"))
+    bit = F.expr("shiftleft(1L, cast(slot & 63 AS int))")
+    some = inside.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    every = texts.sparkSession.range(1 << (SLOT_BITS - 6)).withColumnRenamed("id", "word").join(some, "word", "left")
+    # as many rows as the bitmap has words, whatever the table
+    ordered = F.sort_array(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0)).alias("bits"))))
+    return written(every.agg(ordered.alias("words")).select(F.col("words.bits").alias("bits")), "lexicon")
+
+
+def with_fingerprint(texts: DataFrame, column: str, words: DataFrame, name: str) -> DataFrame:
+    """``texts`` with ``name`` (a hash for the lexicon and each subset) in place of the text in ``column``."""
+    others = [c for c in texts.columns if c != column]
+
+    def in_lexicon(term: Column) -> Column:
+        word = F.shiftright(term, 6).bitwiseAND(F.lit((1 << (SLOT_BITS - 6)) - 1))
+        return F.getbit(F.get("__bits", word.cast("int")), term.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    def member(bits: Column, value: Column) -> Callable[[Column], Column]:
+        return lambda term: term.bitwiseAND(bits) == value
+
+    # the optimizer puts the one-row query where its only use is, so the bitmap is not copied into rows
+    listed = texts.select(*others, terms(F.col(column)).alias("__terms"))
+    listed = listed.select("*", words.scalar().alias("__bits"))
+    listed = listed.select(*others, "__terms", F.filter("__terms", in_lexicon).alias("__kept"))
+    subsets, low = [F.col("__kept")], SLOT_BITS
+    for one_in, number in SUBSETS:
+        bits = F.lit((one_in - 1) << low)
+        for k in range(number):
+            subsets.append(F.filter("__kept", member(bits, F.lit(k << low))))
+        low += one_in.bit_length() - 1
+    listed = listed.select(*others, F.xxhash64(F.lit("all"), "__terms").alias("__all"), F.array(*subsets).alias("__subsets"))
+    parts = F.transform("__subsets", lambda own, k: F.when(F.size(own) == 0, F.col("__all")).otherwise(F.xxhash64(k, own)))
+    return listed.select(*others, parts.alias(name))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal hashes at equal places."""
-    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda e: e)) / F.lit(float(len(SUBSETS) + 1))
+    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda e: e)) / F.lit(float(PARTS))
 
 
 def shown(parts: Column) -> Column:
@@ -92,16 +113,14 @@ def shown(parts: Column) -> Column:
 
 
 def neighbours(texts: DataFrame) -> DataFrame:
-    """doc_id, same, n_chars, n_rows, next_id, next_same: each document and its successor."""
-    ids = texts.groupBy("doc_id", "same").agg(
-        F.max(F.length("text")).cast("long").alias("n_chars"), F.count(F.lit(1)).alias("n_rows")
-    )
-    order = (F.col("doc_id").asc_nulls_first(), F.col("same"))
+    """The columns of ``KEY``, n_chars, n_rows, and next_ with each of ``KEY``: each document and its successor."""
+    ids = texts.groupBy(*KEY).agg(F.max(F.length("text")).cast("long").alias("n_chars"), F.count(F.lit(1)).alias("n_rows"))
+    order = (F.col("absent").desc(), F.col("id"), F.col("same"))
     at = F.monotonically_increasing_id()
     ordered = written(
         ids.repartitionByRange(*order).sortWithinPartitions(*order).select("*", at.alias("at")), "ids"
     ).withColumn("block", F.shiftright("at", 33))
-    me = F.struct("doc_id", "same")
+    me = F.struct(*KEY)
     # one row for each partition of the sorted ids
     blocks = ordered.groupBy("block").agg(F.min_by(me, "at").alias("first"))
     by_block = Window.orderBy("block")
@@ -111,27 +130,24 @@ def neighbours(texts: DataFrame) -> DataFrame:
     )
     inside = F.lead(me).over(Window.partitionBy("block").orderBy("at"))
     joined = ordered.withColumn("inside", inside).join(after, "block").withColumn("next", F.coalesce("inside", "after"))
-    return written(
-        joined.select(
-            "doc_id", "same", "n_chars", "n_rows", F.col("next.doc_id").alias("next_id"), F.col("next.same").alias("next_same")
-        ),
-        "neighbours",
-    )
+    following = [F.col(f"next.{k}").alias(f"next_{k}") for k in KEY]
+    return written(joined.select(*KEY, "n_chars", "n_rows", *following), "neighbours")
 
 
 def edited_texts(texts: DataFrame, near: DataFrame) -> DataFrame:
-    """doc_id, same, edited: the last half of each text gives way to the beginning of its successor's."""
-    once = texts.groupBy("doc_id", "same").agg(F.any_value("text").alias("text"))
-    half = F.floor(F.col("n_chars") / 2).cast("int")
-    beginnings = once.alias("t").join(
-        near.select(F.col("doc_id").alias("for_id"), F.col("same").alias("for_same"), half.alias("half"), "next_id", "next_same").alias("n"),
-        F.col("t.doc_id").eqNullSafe(F.col("next_id")) & (F.col("t.same") == F.col("next_same")),
-    ).select("for_id", "for_same", F.substring("text", 1, F.col("half")).alias("beginning"))
+    """The columns of ``KEY``, text, edited: the last half of each text gives way to the beginning of its successor's.
+
+    Texts are shuffled once, by ``KEY``; only the beginnings move again, to the documents they are for.
+    """
+    once = texts.groupBy(*KEY).agg(F.any_value("text").alias("text"))
+    half = F.floor(F.col("n_chars") / 2).cast("int").alias("half")
+    wanted = near.select(*[F.col(k).alias(f"for_{k}") for k in KEY], half, *[F.col(f"next_{k}").alias(k) for k in KEY])
+    beginnings = once.join(wanted, list(KEY)).select(
+        *[F.col(f"for_{k}").alias(k) for k in KEY], F.substring("text", F.lit(1), F.col("half")).alias("beginning")
+    )
     n = F.length("text")
-    kept = F.substring("text", 1, (n - F.floor(n / 2)).cast("int"))
-    return once.join(
-        beginnings, F.col("doc_id").eqNullSafe(F.col("for_id")) & (F.col("same") == F.col("for_same"))
-    ).select("doc_id", "same", F.concat(kept, "beginning").alias("edited"))
+    kept = F.substring("text", F.lit(1), (n - F.floor(n / 2)).cast("int"))
+    return once.join(beginnings, list(KEY)).select(*KEY, "text", F.concat(kept, "beginning").alias("edited"))
 
 
 def near_report(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
@@ -139,23 +155,13 @@ def near_report(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
     texts = keyed(docs)
     words = lexicon(texts, band)
     near = neighbours(texts)
-    own = written(fingerprints(texts, words), "fingerprints")
-    edited = edited_texts(texts, near)
-    changed = fingerprints(edited.withColumnRenamed("edited", "text"), words)
-    digests = edited.select("doc_id", "same", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
-
-    def beside(left: DataFrame, right: DataFrame, key: tuple[str, str], names: dict[str, str]) -> DataFrame:
-        right = right.select(F.col("doc_id").alias("r_id"), F.col("same").alias("r_same"), *[F.col(a).alias(b) for a, b in names.items()])
-        on = F.col(key[0]).eqNullSafe(F.col("r_id")) & (F.col(key[1]) == F.col("r_same"))
-        return left.join(right, on).drop("r_id", "r_same")
-
-    key = ("doc_id", "same")
-    out = beside(near, own, key, {"parts": "parts"})
-    out = beside(out, own, ("next_id", "next_same"), {"parts": "next_parts"})
-    out = beside(out, changed, key, {"parts": "edited_parts"})
-    out = beside(out, digests, key, {"edited_sha256": "edited_sha256"})
+    both = edited_texts(texts, near).withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
+    both = with_fingerprint(with_fingerprint(both, "text", words, "parts"), "edited", words, "edited_parts")
+    both = written(both, "fingerprints")
+    following = both.select(*[F.col(k).alias(f"next_{k}") for k in KEY], F.col("parts").alias("next_parts"))
+    out = near.join(both, list(KEY)).join(following, [f"next_{k}" for k in KEY])
     return out.select(
-        "doc_id",
+        F.when(~F.col("absent"), F.col("id")).alias("doc_id"),
         "n_chars",
         "edited_sha256",
         shown(F.col("parts")).alias("fingerprint"),
