@@ -80,7 +80,6 @@ ALLOWED = {
 LOAD_TYPES = ("historical", "incremental")
 LATE_AFTER_MINUTES = 45
 MIN_QUALITY_SCORE = 95.0
-ERROR_TEXT_LIMIT = 1000
 
 # --- fixed values: conformed datasets; each also carries the two batch columns below
 _BATCH = ", source_ingestion_date date, _run_id string"

@@ -29,11 +29,6 @@ def splittable_left_join(child: DataFrame, parent: DataFrame, column: str, key:
     return left.join(right, matched, "left").drop("_hash", "_key_hash", "_key")
 
 
-def broadcast_within(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast ``df`` only after counting that it has at most ``rows`` rows."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def attach(child: DataFrame, parent: DataFrame, on: str, **columns: str) -> DataFrame:
     """Left join columns of ``parent`` (unique by ``on``): ``attach(c, p, "id", new_name="col")``."""
     picked = parent.select(on, *(F.col(source).alias(name) for name, source in columns.items()))

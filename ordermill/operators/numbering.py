@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordermill.operators.lookup import broadcast_within
-
 SLOTS = 4096
 
 
@@ -79,7 +77,7 @@ def number_file_rows(
         f"{staging}/starts"
     )
     return (
-        located.join(broadcast_within(starts, rows=500_000), ["_file", "_block"])
+        located.join(starts, ["_file", "_block"])
         .withColumn(name, F.col("_id") - F.col("_first") + F.col("_start") + F.lit(1))
         .drop("_file", "_block", "_id", "_first", "_start")
     )

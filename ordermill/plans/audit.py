@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ordermill.errors import RunError
 from ordermill.functions.values import half_up, ratio, sum_if
-from ordermill.model import AUDIT, AUDIT_KEY, ERROR_TEXT_LIMIT, WHOLE_RUN
+from ordermill.model import AUDIT, AUDIT_KEY, WHOLE_RUN
 from ordermill.operators.keyed import conform, top_per_key
 from ordermill.operators.merge import replace_rows
 from ordermill.sources import layout
@@ -33,8 +33,6 @@ def save_record(lake: Lake, run_date: date, record: dict) -> dict:
         for name, value in record.items()
         if value is not None
     }
-    if "error_message" in text:
-        text["error_message"] = text["error_message"][:ERROR_TEXT_LIMIT]
     text["run_date"] = run_date.isoformat()
     lake.write_json(layout.audit_record(record["stage"], record["dataset"], run_date), text)
     return record
@@ -49,20 +47,16 @@ def run_records(lake: Lake, run_date: date, run_id: str) -> DataFrame:
     return rows.where(F.col("run_id") == run_id)
 
 
-def cut_messages(records: DataFrame) -> DataFrame:
-    return records.withColumn("error_message", F.left("error_message", F.lit(ERROR_TEXT_LIMIT)))
-
-
 def upsert(existing: DataFrame, new: DataFrame) -> DataFrame:
     """Audit table after ``new`` records; records of the same run, dataset and stage go."""
-    return replace_rows(existing, conform(cut_messages(new), AUDIT), AUDIT_KEY)
+    return replace_rows(existing, conform(new, AUDIT), AUDIT_KEY)
 
 
 def write_audit(warehouse: Warehouse, new: DataFrame) -> int:
     """Put records into the audit table; returns its new version."""
-    return warehouse.replace(
-        "pipeline_run_audit", upsert(warehouse.read("pipeline_run_audit"), new)
-    )
+    version = warehouse.version("pipeline_run_audit")
+    merged = upsert(warehouse.read("pipeline_run_audit"), new)
+    return warehouse.replace("pipeline_run_audit", merged, version)
 
 
 # --- run level ----------------------------------------------------------------------------------

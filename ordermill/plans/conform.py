@@ -9,16 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.errors import OrphanRecords
-from ordermill.functions.values import half_up, minutes_between
+from ordermill.functions.values import minutes_between
 from ordermill.model import ALLOWED, CONFORMED, KEY
-from ordermill.operators.keyed import (
-    conform,
-    current_state,
-    deduplicate,
-    trim_and_nullify,
-    upper_codes,
-)
-from ordermill.operators.lookup import attach, orphan_total, orphans
+from ordermill.operators.keyed import clean_text, conform, current_state, deduplicate
+from ordermill.operators.lookup import attach, known_keys, orphan_total, orphans
 from ordermill.plans import metrics
 from ordermill.session import side_by_side
 
@@ -34,61 +28,35 @@ REFERENCES = (
 )
 
 
-def _cleaned(validated: DataFrame, dataset: str, run_id: str) -> DataFrame:
-    """Clean text, one row per key, batch columns."""
-    clean = upper_codes(trim_and_nullify(validated), ALLOWED)
-    return deduplicate(clean, KEY[dataset]).withColumns(
-        {"source_ingestion_date": F.col("_ingestion_date"), "_run_id": F.lit(run_id)}
-    )
-
-
-def customers(validated: DataFrame, run_id: str) -> DataFrame:
-    return conform(_cleaned(validated, "customers", run_id), CONFORMED["customers"])
-
-
-def restaurants(validated: DataFrame, run_id: str) -> DataFrame:
-    rated = _cleaned(validated, "restaurants", run_id).withColumn(
-        "rating", half_up(F.col("rating"), 2, 1)
-    )
-    return conform(rated, CONFORMED["restaurants"])
-
-
-def delivery_partners(validated: DataFrame, run_id: str) -> DataFrame:
-    return conform(_cleaned(validated, "delivery_partners", run_id), CONFORMED["delivery_partners"])
-
-
-def _timed(df: DataFrame, prefix: str) -> DataFrame:
-    """Split the source's ``<prefix>_date`` time into a timestamp and a date; round the amount."""
-    moment = F.col(f"{prefix}_date")
-    return df.withColumns(
-        {
-            f"{prefix}_timestamp": moment,
-            f"{prefix}_date": F.to_date(moment),
-            f"{prefix}_amount": half_up(F.col(f"{prefix}_amount"), 10, 2),
-        }
-    )
-
+#: Columns that are made of source columns; the source's dates carry a time.
+DERIVED = {
+    "orders": {"order_timestamp": "order_date", "order_date": "to_date(order_date)"},
+    "payments": {"payment_timestamp": "payment_date", "payment_date": "to_date(payment_date)"},
+}
+#: Datasets that need no other one.
+FIRST = ("customers", "restaurants", "delivery_partners", "orders", "payments")
 
-def orders(validated: DataFrame, run_id: str) -> DataFrame:
-    return conform(_timed(_cleaned(validated, "orders", run_id), "order"), CONFORMED["orders"])
 
+def conformed(
+    dataset: str, validated: DataFrame, run_id: str, dates: DataFrame | None = None
+) -> DataFrame:
+    """Validated records as a conformed dataset: clean text, the first record of each key, derived
+    columns, and amounts and ratings rounded half up by their types.
 
-def payments(validated: DataFrame, run_id: str) -> DataFrame:
-    return conform(
-        _timed(_cleaned(validated, "payments", run_id), "payment"), CONFORMED["payments"]
-    )
-
-
-def delivery(validated: DataFrame, current_orders: DataFrame, run_id: str) -> DataFrame:
-    """Deliveries with their minutes and their order's date (``current_orders`` is unique by
-    order)."""
-    minutes = minutes_between(F.col("pickup_time"), F.col("delivery_time"))
-    timed = _cleaned(validated, "delivery", run_id).withColumn("delivery_duration_minutes", minutes)
-    dated = attach(timed, current_orders, "order_id", order_date="order_date")
-    return conform(dated, CONFORMED["delivery"])
+    Deliveries take their order's date from ``dates``, orders that are unique by ``order_id``.
+    """
+    rows = deduplicate(clean_text(validated, ALLOWED), KEY[dataset])
+    made = {name: F.expr(text) for name, text in DERIVED.get(dataset, {}).items()}
+    if dates is not None:
+        rows = attach(rows, dates, "order_id", order_date="order_date")
+        made["delivery_duration_minutes"] = minutes_between(
+            F.col("pickup_time"), F.col("delivery_time")
+        )
+    made |= {"source_ingestion_date": F.col("_ingestion_date"), "_run_id": F.lit(run_id)}
+    return conform(rows.withColumns(made), CONFORMED[dataset])
 
 
-def build_processed(
+def process(
     validated: dict[str, DataFrame],
     earlier: dict[str, DataFrame | None],
     run_id: str,
@@ -97,41 +65,29 @@ def build_processed(
 ) -> dict[str, DataFrame]:
     """All eight processed datasets of a batch.
 
-    ``earlier`` holds the processed history before the run date.  Payments and deliveries of the
-    analytics come from this batch, dimensions from their current state.  Lazy unless ``keep``
-    writes datasets (later ones then read the written copies) or ``check`` asks for the reference
-    assertions.
+    ``earlier`` holds the processed history before the run date, of which only the keys that the batch
+    refers to are ranked.  Payments and deliveries of the analytics come from this batch, dimensions
+    from their current state.  Lazy unless ``keep`` writes datasets (later ones then read the written
+    copies) or ``check`` asks for the reference assertions.
     """
-    made: dict[str, DataFrame] = {}
-
-    def add(**frames: DataFrame) -> None:
-        kept = side_by_side([partial(keep, *named) for named in frames.items()]) if keep else None
-        made.update(zip(frames, kept, strict=True) if kept else frames)
-
-    add(
-        customers=customers(validated["customers"], run_id),
-        restaurants=restaurants(validated["restaurants"], run_id),
-        delivery_partners=delivery_partners(validated["delivery_partners"], run_id),
-        orders=orders(validated["orders"], run_id),
-        payments=payments(validated["payments"], run_id),
-    )
-    current = {
-        name: current_state(made[name], earlier.get(name), KEY[name])
-        for name in ("customers", "restaurants", "delivery_partners", "orders")
-    }
-    add(delivery=delivery(validated["delivery"], current["orders"], run_id))
+
+    def kept(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        if keep is None:
+            return frames
+        return dict(zip(frames, side_by_side([partial(keep, *x) for x in frames.items()]), strict=True))
+
+    def looked_up(parent: str, child: DataFrame) -> DataFrame:
+        return current_state(made[parent], earlier.get(parent), KEY[parent], child)
+
+    made = kept({name: conformed(name, validated[name], run_id) for name in FIRST})
+    dates = looked_up("orders", clean_text(validated["delivery"].select("order_id")))
+    made |= kept({"delivery": conformed("delivery", validated["delivery"], run_id, dates)})
     if check:
-        assert_references(made, current)
-    analytics = metrics.order_analytics(
-        made["orders"],
-        made["payments"],
-        made["delivery"],
-        current["customers"],
-        current["restaurants"],
-        run_id,
-    )
-    add(order_analytics=analytics)
-    add(daily_order_metrics=metrics.daily_order_metrics(made["order_analytics"], run_id))
+        assert_references(made, earlier)
+    parents = {name: looked_up(name, made["orders"]) for name in ("customers", "restaurants")}
+    made |= kept({"order_analytics": metrics.order_analytics(made, parents, run_id)})
+    daily = metrics.daily_order_metrics(made["order_analytics"], run_id)
+    made |= kept({"daily_order_metrics": daily})
     return {name: made[name] for name in CONFORMED}
 
 
@@ -151,18 +107,15 @@ def assert_no_orphans(
         )
 
 
-def assert_references(made: dict[str, DataFrame], current: dict[str, DataFrame]) -> None:
-    """All references between the datasets of a batch resolve in the parents' current state."""
-    side_by_side(
-        [
-            partial(
-                assert_no_orphans,
-                made[dataset],
-                column,
-                current[parent].select(KEY[parent]),
-                dataset,
-                parent,
-            )
-            for dataset, column, parent in REFERENCES
-        ]
-    )
+def assert_references(
+    made: dict[str, DataFrame], earlier: dict[str, DataFrame | None]
+) -> None:
+    """All references of a batch resolve in the batch or its history.  Only keys are read for that,
+    and the history's are narrowed to those of the batch."""
+
+    def check(dataset: str, column: str, parent: str) -> None:
+        sides = [df.select(KEY[parent]) for df in (made[parent], earlier.get(parent)) if df is not None]
+        known = known_keys(made[dataset].select(column), *sides)
+        assert_no_orphans(made[dataset], column, known, dataset, parent)
+
+    side_by_side([partial(check, *reference) for reference in REFERENCES])

@@ -26,7 +26,7 @@ from ordermill.model import (
     WHOLE_RUN,
 )
 from ordermill.plans import audit, checks, load
-from ordermill.plans.conform import build_processed
+from ordermill.plans.conform import process
 from ordermill.quality import evaluate, report
 from ordermill.quality.catalog import WAVES, parents_of
 from ordermill.session import side_by_side
@@ -170,7 +170,7 @@ def transform(run: Run) -> dict[str, int]:
             for name in DATASETS
         }
         earlier = {name: lake.history(name, day) for name in HISTORY}
-        build_processed(
+        process(
             validated,
             earlier,
             run.run_id,

@@ -22,7 +22,6 @@ from ordermill.sources.star import Star
 from ordermill.sources.warehouse import WHOLE, Warehouse
 
 PART = "_part"
-BROADCAST_KEYS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -105,7 +104,7 @@ def resolve(staged: DataFrame, target: Target, star: Star) -> DataFrame:
         days = star.dim_date.select(
             F.col("full_date").alias(column), F.col("date_key").alias(date_key)
         )
-        rows = rows.join(F.broadcast(days), column, "left")  # one row per calendar day
+        rows = rows.join(days, column, "left")
     own = [n for n in STAR[target.table].fieldNames() if n in rows.columns]
     return rows.select(*own)
 
@@ -114,13 +113,6 @@ def _part(warehouse: Warehouse, date_key: str) -> Column:
     return F.expr(f"{date_key} div {warehouse.period}")
 
 
-def staged_keys(staged: DataFrame, target: Target, rows: int) -> DataFrame:
-    """Business keys of a batch, sent to every task when its manifest says they are few enough:
-    the stored table is then scanned for them without being shuffled."""
-    keys = staged.select(target.key)
-    return F.broadcast(keys) if rows <= BROADCAST_KEYS else keys
-
-
 def touched_parts(
     warehouse: Warehouse, target: Target, keys: DataFrame, rows: DataFrame
 ) -> list[str]:
@@ -168,7 +160,7 @@ def load_table(
         record = warehouse.record(target.table)
         parts = dict(record["parts"])
         resolved = resolve(staged, target, warehouse.star())
-        keys = staged_keys(staged, target, rows)
+        keys = staged.select(target.key)
         touched = touched_parts(warehouse, target, keys, resolved) if target.day else [WHOLE]
         stored = warehouse.read(target.table, touched)
         fresh = with_new_keys(resolved, stored, target.key, target.surrogate, record["highest_key"])
@@ -190,7 +182,8 @@ def load_table(
             parts[WHOLE] = folder
         written = warehouse.spark.read.schema(STAR[target.table]).parquet(uri)
         changes = _check_written(written, staged, target, loaded_at)
-        warehouse.commit(target.table, parts, record["highest_key"] + changes["inserted"])
+        highest = record["highest_key"] + changes["inserted"]
+        warehouse.commit(target.table, parts, highest, after=record["version"])
     return {
         "table": target.table,
         "dataset": target.dataset,

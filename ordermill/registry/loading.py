@@ -128,8 +128,8 @@ def _resolved(table: str, *shown: str):
     def query(spark, folder):
         records = typed(spark, folder, target.dataset)
         if target.dataset == "delivery":
-            current = conforming.orders(typed(spark, folder, "orders"), "r1")
-            staged = conforming.delivery(records, current, "r1")
+            current = conforming.conformed("orders", typed(spark, folder, "orders"), "r1")
+            staged = conforming.conformed("delivery", records, "r1", current)
         else:
             staged = getattr(conforming, target.dataset)(records, "r1")
         return load.resolve(staged, target, trade.star(spark, folder)).select(target.key, *shown)
@@ -164,7 +164,7 @@ def _loaded(spark, folder):
     if at not in _LOADED:
         root = shared_folder(spark, "batch")
         lake, warehouse = Lake(spark, f"{root}/lake"), Warehouse(spark, f"{root}/star")
-        conforming.build_processed(
+        conforming.process(
             _usable(spark, folder),
             {},
             "r1",
@@ -224,7 +224,7 @@ def _loaded_revenue(spark, folder):
 def _history(spark, folder):
     """Order history by year, and what is read of it strictly before 1999."""
     lake = Lake(spark, shared_folder(spark, "history"))
-    placed = conforming.orders(typed(spark, folder, "orders"), "r1").where("order_date IS NOT NULL")
+    placed = conforming.conformed("orders", typed(spark, folder, "orders"), "r1").where("order_date IS NOT NULL")
     placed.withColumns(
         {"year": F.year("order_date"), "month": F.lit(1), "day": F.lit(1)}
     ).write.partitionBy("year", "month", "day").parquet(lake.uri("processed/orders"))

@@ -49,9 +49,8 @@ def _shown(df):
 
 def _conformed(spark, folder: str, dataset: str):
     records = typed(spark, folder, dataset)
-    if dataset == "delivery":
-        return conforming.delivery(records, _conformed(spark, folder, "orders"), RUN_ID)
-    return getattr(conforming, dataset)(records, RUN_ID)
+    dates = _conformed(spark, folder, "orders") if dataset == "delivery" else None
+    return conforming.conformed(dataset, records, RUN_ID, dates)
 
 
 def _conform_query(dataset: str):
@@ -63,33 +62,29 @@ def _batch(spark, folder):
 
 
 def _analytics(spark, folder):
-    return conforming.build_processed(_batch(spark, folder), {}, RUN_ID)["order_analytics"]
+    return conforming.process(_batch(spark, folder), {}, RUN_ID)["order_analytics"]
 
 
 def _daily(spark, folder):
-    made = conforming.build_processed(_batch(spark, folder), {}, RUN_ID)
+    made = conforming.process(_batch(spark, folder), {}, RUN_ID)
     return _shown(made["daily_order_metrics"])
 
 
 def _processed_counts(spark, folder):
     rows = None
-    for name, df in conforming.build_processed(_batch(spark, folder), {}, RUN_ID).items():
+    for name, df in conforming.process(_batch(spark, folder), {}, RUN_ID).items():
         row = df.agg(F.count(F.lit(1)).alias("records")).withColumn("dataset", F.lit(name))
         rows = row if rows is None else rows.unionByName(row)
     return rows
 
 
 def _payments_per_order(spark, folder):
-    return metrics.payments_per_order(_conformed(spark, folder, "payments"))
+    return metrics.payment_outcome(_conformed(spark, folder, "payments"))
 
 
 def _latest_delivery(spark, folder):
     """Latest late-flagged delivery per delivery partner's order."""
-    latest = metrics.latest_delivery(_conformed(spark, folder, "delivery"))
-    return latest.withColumn(
-        "is_late",
-        metrics.is_late(F.col("delivery_status"), F.col("delivery_duration_minutes")),
-    )
+    return metrics.delivery_outcome(_conformed(spark, folder, "delivery"))
 
 
 def _orphans(spark, folder):

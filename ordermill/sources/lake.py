@@ -44,6 +44,12 @@ class Lake:
         if not fs.rename(at, to):
             raise OSError(f"could not move {source} to {target}")
 
+    def create_new(self, path: str) -> bool:
+        """Create an empty file; False when it exists, whoever made it."""
+        fs, at = self._at(path)
+        fs.mkdirs(at.getParent())
+        return fs.createNewFile(at)
+
     def names(self, path: str) -> list[str]:
         """Names in a folder; empty when it does not exist."""
         fs, at = self._at(path)

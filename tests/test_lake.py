@@ -6,7 +6,7 @@ import drops
 import pytest
 from pyspark.sql import functions as F
 
-from ordermill.errors import PublishRefused, SourceMalformed, SourceMissing
+from ordermill.errors import PublishRefused, SourceMalformed, SourceMissing, LoadRefused
 from ordermill.model import CONFORMED, SOURCE
 from ordermill.sources import ingest, layout, publish
 from ordermill.sources.lake import Lake
@@ -210,3 +210,20 @@ def test_empty_dataset_can_be_staged(lake, spark):
     assert stage_and_publish(lake, customers(spark, []), DAY, "r1")["row_count"] == 0
 
 
+
+
+def test_second_writer_of_a_version_is_refused(spark, tmp_path):
+    from ordermill.model import STAR
+    from ordermill.sources.warehouse import Warehouse
+
+    first, second = (Warehouse(spark, f"file:{tmp_path}/star") for _ in range(2))
+    rows = spark.createDataFrame([], STAR["dim_date"])
+    seen = first.version("dim_date"), second.version("dim_date")
+    folder = first.next_folder("dim_date")
+    rows.write.parquet(first.files.uri(f"dim_date/{folder}"))
+    assert second.next_folder("dim_date") != folder
+    first.commit("dim_date", {"all": folder}, 0, after=seen[0])
+    with pytest.raises(LoadRefused, match="another load"):
+        second.replace("dim_date", rows, seen[1])
+    assert second.read("dim_date").count() == 0
+    assert first.record("dim_date")["parts"] == {"all": folder}

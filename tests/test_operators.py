@@ -10,16 +10,14 @@ from pyspark.sql import functions as F
 from ordermill.model import STAR, struct
 from ordermill.operators.calendar import calendar, missing_days
 from ordermill.operators.keyed import (
+    clean_text,
     conform,
     current_state,
     deduplicate,
     top_per_key,
-    trim_and_nullify,
-    upper_codes,
 )
 from ordermill.operators.lookup import (
     attach,
-    broadcast_within,
     flag_repeats,
     flag_unknown,
     known_keys,
@@ -62,13 +60,18 @@ def test_current_state(spark):
     got = {r["customer_id"]: r["city"] for r in current_state(batch, earlier, "customer_id").collect()}
     assert got == {"C1": "Mumbai", "C2": "Chennai"}
     assert current_state(batch, None, "customer_id") is batch
+    wanted = spark.createDataFrame([("C1",), (None,)], "customer_id string")
+    narrowed = current_state(batch, earlier, "customer_id", wanted)
+    assert [r["city"] for r in narrowed.collect()] == ["Mumbai"]
+    plan = plan_of(narrowed)
+    assert plan.index("Window") < plan.index("LeftSemi")  # history is narrowed below the window
 
 
 def test_text_columns(spark):
     df = spark.createDataFrame([(" a ", " ", 1)], "x string, status string, n int")
-    assert tuple(trim_and_nullify(df).first()) == ("a", None, 1)
+    assert tuple(clean_text(df).first()) == ("a", None, 1)
     coded = spark.createDataFrame([(" delivered ",)], "status string")
-    assert upper_codes(coded, ["status", "absent"]).first()[0] == "DELIVERED"
+    assert clean_text(coded, ["status", "absent"]).first()[0] == "DELIVERED"
 
 
 def test_conform_fixes_order_and_types(spark):
@@ -150,13 +153,6 @@ def test_orphans_count_nulls(spark):
     assert got == {"O9": 2, None: 1}
 
 
-def test_broadcast_only_within_bound(spark):
-    df = spark.range(50)
-    other = spark.range(10)
-    assert "ResolvedHint" in plan_of(other.join(broadcast_within(df, 50), "id"))
-    assert "ResolvedHint" not in plan_of(other.join(broadcast_within(df, 49), "id"))
-
-
 def test_hot_key_is_split_by_the_join(spark):
     """A parent key shared by most child rows is spread over tasks."""
     conf = {

@@ -81,7 +81,7 @@ def batch(spark):
 
 
 def test_all_datasets_have_their_schemas(batch):
-    made = conform.build_processed(batch, {}, "run")
+    made = conform.process(batch, {}, "run")
     assert list(made) == list(CONFORMED)
     for name, df in made.items():
         assert [(f.name, f.dataType) for f in df.schema] == [
@@ -91,7 +91,7 @@ def test_all_datasets_have_their_schemas(batch):
 
 
 def test_order_analytics(batch):
-    rows = {r["order_id"]: r for r in conform.build_processed(batch, {}, "run")["order_analytics"].collect()}
+    rows = {r["order_id"]: r for r in conform.process(batch, {}, "run")["order_analytics"].collect()}
     assert len(rows) == 4
     one, two, four = rows["O1"], rows["O2"], rows["O4"]
     assert (one["order_hour"], one["customer_city"], one["restaurant_city"], one["cuisine"]) == (
@@ -105,7 +105,7 @@ def test_order_analytics(batch):
 
 
 def test_daily_metrics(batch):
-    made = conform.build_processed(batch, {}, "run")
+    made = conform.process(batch, {}, "run")
     assert plain(made["daily_order_metrics"]) == [(DAY, 4, 3, 375.55, 125.18, 1, 25.0, DAY, "run")]
     only = made["order_analytics"].where("order_id = 'O4'")
     assert plain(metrics.daily_order_metrics(only, "run"))[0][1:7] == (1, 0, 0.0, None, 1, 100.0)
@@ -117,7 +117,7 @@ def test_delivery_takes_the_date_of_earlier_orders(spark, batch):
         CONFORMED["orders"],
     )
     batch["delivery"] = validated(spark, "delivery", [DELIVERY[0] | {"order_id": "O0"}])
-    made = conform.build_processed(batch, {"orders": earlier}, "run", check=True)
+    made = conform.process(batch, {"orders": earlier}, "run", check=True)
     assert made["delivery"].first()["order_date"] == date(2026, 8, 30)
 
 
@@ -128,7 +128,7 @@ def test_cities_come_from_the_current_dimension(spark, batch):
         CONFORMED["customers"],
     )
     batch["orders"] = validated(spark, "orders", [ORDERS[2], ORDERS[3] | {"customer_id": "C3"}])
-    made = conform.build_processed(batch, {"customers": earlier}, "run")
+    made = conform.process(batch, {"customers": earlier}, "run")
     cities = {r["order_id"]: r["customer_city"] for r in made["order_analytics"].collect()}
     assert cities == {"O3": "Pune", "O4": "Goa"}
 
@@ -136,7 +136,7 @@ def test_cities_come_from_the_current_dimension(spark, batch):
 def test_orphans_stop_the_batch(spark, batch):
     batch["payments"] = validated(spark, "payments", [*PAYMENTS, pay(9, "O9", "1", "SUCCESS"), pay(10, None, "1", "SUCCESS")])
     with pytest.raises(OrphanRecords) as caught:
-        conform.build_processed(batch, {}, "run", check=True)
+        conform.process(batch, {}, "run", check=True)
     assert caught.value.context["orphan_count"] == 2
     assert "O9" in caught.value.context["sample_keys"]
 
@@ -149,4 +149,4 @@ def test_rating_is_rounded_half_up(spark):
     rows = spark.createDataFrame([("R1", "a", "b", "c", Decimal("4.25"))], schema).withColumns(
         {f.name: F.lit(None).cast(f.dataType) for f in LINEAGE}
     )
-    assert conform.restaurants(rows, "run").first()["rating"] == Decimal("4.3")
+    assert conform.conformed("restaurants", rows, "run").first()["rating"] == Decimal("4.3")
