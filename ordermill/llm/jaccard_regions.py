@@ -12,8 +12,9 @@ is in different ones is not linked.
 Families are regions.  A round takes up to ``PIVOTS`` sets of every region that are not yet settled, and
 compares them with all members of the region, in blocks of ``BLOCK`` members.  Sets within the radius of
 a pivot are linked to it.  A set is settled once it was a pivot, or if it is linked to the pivot with most
-links or to one that shares a linked set with that: such sets are in one component already, and pairs of one settled and one unsettled set are found
-from the unsettled side.  Unsettled sets go to the Voronoi region of their nearest pivot, with those members
+links or to one that a block's links connect with that: such sets are in one component already, and pairs of one
+settled and one unsettled set are found from the unsettled side.  A block passes on one link of each member, and
+for its pivots the number of links and the smallest pivot they connect it with, which is as much.  Unsettled sets go to the Voronoi region of their nearest pivot, with those members
 of the old region whose distances to all pivots lie within the radius of theirs; by the triangle inequality
 no other can be close to them.  Regions are joined anew until every set is settled.  The links found connect the same sets as all
 links do.
@@ -297,7 +298,8 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _compare(table: pa.Table, per_cent: int) -> pa.Table:
-    """Distances of a block's members to their region's pivots."""
+    """Distances of a block's members to their region's pivots.  The first row also has, for each pivot with
+    links here, their number and the smallest pivot it is connected with by links of this block."""
     rank = table.column("rank").to_numpy()
     data = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
     names = table.column("node").to_numpy()
@@ -313,7 +315,7 @@ def _compare(table: pa.Table, per_cent: int) -> pa.Table:
     at = np.minimum(np.searchsorted(distinct, values), len(distinct) - 1)
     mask = np.where(distinct[at] == values, masks[at], np.uint64(0))
     starts = np.cumsum(sizes) - sizes
-    out = {x: [] for x in ("region", "node", "unsettled", "pivot", "links", "nearest", "distances")}
+    out = {x: [] for x in ("region", "node", "unsettled", "pivot", "links", "nearest", "distances", "met")}
     shared = np.stack(
         [np.add.reduceat((mask >> np.uint64(r) & np.uint64(1)).astype(np.int64), starts) for r in range(len(pivots))], axis=1
     ) if len(members) else np.zeros((0, len(pivots)), np.int64)
@@ -323,15 +325,26 @@ def _compare(table: pa.Table, per_cent: int) -> pa.Table:
     distance = 1 - shared / union
     unsettled = table.column("unsettled").to_pylist()
     region = table.column("region")[0].as_py()
+    linked = close & (pivot_names[None, :] != names[members][:, None])
+    among = close.astype(np.int64).T @ close.astype(np.int64) > 0  # pivots that a member is close to both of
+    np.fill_diagonal(among, True)
+    for _ in range(len(pivots).bit_length()):
+        among = among.astype(np.int64) @ among.astype(np.int64) > 0
+    times = linked.sum(axis=0)
+    least = [int(pivot_names[row].min()) for row in among]
+    met = [
+        {"pivot": int(pivot_names[p]), "times": int(times[p]), "least": least[p]} for p in np.flatnonzero(times).tolist()
+    ]
     for j, i in enumerate(members.tolist()):
         out["region"].append(region)
         out["node"].append(int(names[i]))
         out["unsettled"].append(unsettled[i])
         out["pivot"].append(bool((pivot_names == names[i]).any()))
-        out["links"].append(pivot_names[close[j] & (pivot_names != names[i])].tolist())
+        out["links"].append(pivot_names[linked[j]].tolist())
+        out["met"].append(None if j else met)
         out["nearest"].append(int(np.argmin(distance[j])))
         out["distances"].append(distance[j].tolist())
-    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.float32()))
+    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.float32()), pa.list_(pa.struct([("pivot", pa.int64()), ("times", pa.int64()), ("least", pa.int64())])))
     return pa.table([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], names=list(out))
 
 
@@ -362,17 +375,19 @@ def region_links(families: DataFrame, sets: DataFrame, shares: DataFrame, per_ce
         compared = written(
             whole.groupBy("region", "block").applyInArrow(
                 lambda table: _compare(table, per_cent),
-                "region long, node long, unsettled boolean, pivot boolean, links array<long>, nearest int, distances array<float>",
+                "region long, node long, unsettled boolean, pivot boolean, links array<long>, nearest int, distances array<float>, met array<struct<pivot:long,times:long,least:long>>",
             ),
             "compared",
         )
-        links = compared.select("region", F.col("node").alias("a"), F.explode("links").alias("b"))
-        found.append(links.select("a", "b"))
-        times = links.groupBy("region", "b").agg(F.count(F.lit(1)).alias("times"))
-        main = times.groupBy("region").agg(F.max_by("b", F.struct("times", "b")).alias("main"))
-        # pivots with a link to a set that the main pivot is linked to; they and theirs are one component
-        joined = compared.join(main, "region").where(F.array_contains("links", F.col("main")))
-        hub = joined.select("region", F.explode("links").alias("b")).groupBy("region").agg(F.collect_set("b").alias("hub"))
+        # one link of each member, and those among pivots that the others stand for
+        met = compared.select("region", F.explode("met").alias("m")).select("region", "m.*")
+        found.append(compared.where(F.size("links") > 0).select(F.col("node").alias("a"), F.col("links")[0].alias("b")))
+        found.append(met.select(F.col("pivot").alias("a"), F.col("least").alias("b")))
+        times = met.groupBy("region", "pivot").agg(F.sum("times").alias("times"))
+        main = times.groupBy("region").agg(F.max_by("pivot", F.struct("times", "pivot")).alias("main"))
+        # pivots that a block's links connect with the main pivot; they and theirs are one component
+        beside = met.join(main, "region").where(F.col("pivot") == F.col("main")).select("region", "least").distinct()
+        hub = met.join(beside, ["region", "least"]).groupBy("region").agg(F.collect_set("pivot").alias("hub"))
         marked = compared.join(hub, "region", "left")
         settled = F.col("pivot") | F.coalesce(F.arrays_overlap("links", "hub"), F.lit(False))
         marked = marked.select("region", "node", (F.col("unsettled") & ~settled).alias("open"), "nearest", "distances")
