@@ -4,8 +4,8 @@ The Jaccard distance is a metric, so a pivot's distances to two sets differ by n
 distance.  Almost all pairs of documents share nothing, and all pivots are equally far from both.  Therefore
 the space is first parted into families.  Of shingles in the order of their hashes, let ``first(n)`` be
 the number of which a set of n must share one with every set within the radius.  The first ``first(n) + k``
-shingles then share ``k + 1`` with those of a close set, for the smaller k of both.  Sets with too few shared
-shingles are apart from all others; pairs that share enough are of one family, and so are sets that meet
+shingles then share ``k + 1`` with those of a close set, for the smaller k of both.  Sets that share too few
+shingles for a close set of any size are apart from all others; pairs that share enough are of one family, and so are sets that meet
 in a shingle of more than ``SHORT`` sets, whose pairs are not listed.  Families are thus found exactly: what
 is in different ones is not linked.
 
@@ -120,10 +120,27 @@ def listed_size(n: np.ndarray, per_cent: int) -> np.ndarray:
 
 
 def shared_least(n: np.ndarray, per_cent: int) -> np.ndarray:
-    """Listed shingles that a set shares with a close one that is not smaller; grows with n."""
+    """Two close sets share as many listed shingles as the smaller of their two numbers says.  It rises with
+    n, falls from ``LEAST_LISTED`` on, and rises again where more than ``LEAST_LISTED`` are listed."""
     return listed_size(n, per_cent) - first_size(n, per_cent) + 1
 
 
+def shared_fewest(n: Column, per_cent: int) -> Column:
+    """The smallest ``shared_least`` of all sizes that a set close to one of n can have, n among them.
+
+    ``shared_least`` is the smaller of ``ceil(n * per_cent / 100)`` and of ``rest(first_size(n))``.  Both of
+    what they are taken of grow with n, the second in steps of one, and ``rest`` falls up to its lowest place
+    and does not fall after it.  So the first is smallest at the least size, the second nearest to that place.
+    """
+    rest = lambda first: max(LEAST_LISTED - first, first // 2) + 1
+    lowest = min(range(1, LEAST_LISTED + 1), key=rest)
+    whole = lambda m: F.ceil(m * per_cent / 100)
+    first = lambda m: m - whole(m) + 1
+    low, high = whole(n), F.floor(n * 100 / per_cent)
+    place = F.least(F.greatest(F.lit(lowest), first(low)), first(high))
+    return F.least(whole(low), F.greatest(F.lit(LEAST_LISTED) - place, F.floor(place / 2)) + 1)
+
+
 class Filter:
     """Membership in a set of 64-bit numbers, with false positives but no false negatives."""
 
@@ -255,7 +272,7 @@ def family_links(listed: DataFrame, named: DataFrame, per_cent: int, buckets: in
     least = lambda n: listed_of(n) - first(n) + 1
     sizes = named.where(F.col("name").isNotNull()).groupBy("name").agg(F.max("n").alias("n"))
     met = shared.groupBy("name").agg(F.count(F.lit(1)).alias("met"), F.count_if("many").alias("common"))
-    fewest = least(F.ceil(F.col("n") * per_cent / 100))  # with the smallest set that is close enough
+    fewest = shared_fewest(F.col("n"), per_cent)  # with any set that is close enough
     enough = met.join(sizes, "name").where(F.col("met") >= fewest)
     share = F.col("met") / listed_of(F.col("n"))
     enough = written(enough.select("name", least(F.col("n")).alias("least"), fewest.alias("fewest"), "common", share.alias("share")), "enough")

@@ -293,6 +293,27 @@ def test_jaccard_components_against_brute_force(spark, docs):
     assert kept.count() == 20 and kept.columns == docs.columns
 
 
+def test_fewest_shared_shingles_of_all_close_sizes(spark):
+    for per_cent in (50, 80, 85, 90, 100):
+        sizes = spark.range(1, 900).withColumnRenamed("id", "n")
+        for n, fewest in sizes.select("n", jaccard_regions.shared_fewest(F.col("n"), per_cent)).collect():
+            close = np.arange(-(-n * per_cent // 100), n * 100 // per_cent + 1)
+            assert fewest == jaccard_regions.shared_least(close, per_cent).min(), (per_cent, n)
+
+
+def test_jaccard_links_sets_of_just_close_sizes(spark):
+    texts = {}
+    for i, size in enumerate(range(60, 131)):
+        for j in range(2):
+            own = [f"s{i}x{j}x{k}" for k in range(size * 100 // 85 + 3)]  # size + 3 words have size shingles
+            texts |= {10 * i + 2 * j: " ".join(own[: size + 3]), 10 * i + 2 * j + 1: " ".join(own)}
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in jaccard_regions.classes(table, 4, 85).collect()}
+    pairs = [{i: texts[i], i + 1: texts[i + 1]} for i in texts if i % 2 == 0]
+    assert found == {k: v for pair in pairs for k, v in brute_components(pair, 4, 85).items()}
+    assert found == {i: i // 2 * 2 for i in texts}
+
+
 def test_pipeline_keeps_columns_and_removes_copies(spark):
     import corpus_pipeline
     from ordermill.llm.tables import read
