@@ -1,8 +1,11 @@
 """Licence scan by sentence rules.
 
-Texts are split into sentences at line ends and after ``.``, ``!``, ``?``, ``;`` or ``:`` followed by white
-space.  A sentence is normalised: lower case, everything but letters, digits and ``+`` becomes one space.  A
-table of known sentences gives each its identifier, by an equality join with a few dozen rows; the
+Texts are split into pieces at line ends and after ``.``, ``!``, ``?``, ``;`` or ``:`` followed by white
+space.  A piece is normalised: lower case, everything but letters, digits and ``+`` becomes one space, which
+takes comment marks away.  A sentence is one piece, or several that follow each other across single line ends;
+it does not go on after a blank line or one of the marks above.  Pieces are joined by equality with all runs of
+words of the known sentences, some thousand rows.  Pieces in a row that hold the words of a known sentence
+from its first to its last are that sentence, however it is wrapped.  The
 identifiers of a text, in order, are matched against rules, which are sequences of identifiers.  A rule is
 found where its identifiers follow each other in the text's sequence of known sentences (other sentences
 between them do not matter, other known ones do).  Of rules that begin at one place only the longest counts.
@@ -17,6 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 # Sentences of well-known licence notices, and the licences that sequences of them state.
 SENTENCES = {
@@ -63,9 +67,14 @@ RULES = [
     ("proprietary", ["all_rights"]),
 ]
 
-# Java and RE2 read both patterns alike.
+# Java and RE2 read both patterns alike.  Only the comparison SQL uses BREAK: it reads each line by itself, so
+# it agrees where no known sentence is wrapped.
 BREAK = r"[\r\n]+|[.!?;:]+[ \t]+"
 NOISE = r"[^\p{L}\p{N}+]+"
+# A line end with the comment marks and white space that follow; what ends a sentence, written ``|``.
+LINE_END = r"(?:\r\n|\r|\n)[^\p{L}\p{N}+\r\n]*"
+SENTENCE_END = r"\n\n+|[.!?;:]+(?=[ \t\n]|\z)"
+PIECE_END = r"\n|(?=[|])"
 
 
 def normalised(sentence: Column) -> Column:
@@ -78,6 +87,25 @@ def known_sentences(spark: SparkSession, sentences: dict[str, str] = SENTENCES)
     return rows.select("sentence_id", normalised(F.col("sentence")).alias("sentence"))
 
 
+def known_runs(spark: SparkSession, sentences: dict[str, str] = SENTENCES) -> DataFrame:
+    """Every run of words of the known sentences: its text, number of words, and where it stands, as
+    sentence number, words of the sentence and words before the run."""
+    places: dict[str, list[tuple[int, int, int]]] = {}
+    for number, sentence in known_sentences(spark, sentences).collect():
+        words = sentence.split(" ")
+        for low in range(len(words)):
+            for high in range(low + 1, len(words) + 1):
+                places.setdefault(" ".join(words[low:high]), []).append((number, len(words), low))
+    rows = [(text, text.count(" ") + 1, stands) for text, stands in places.items()]
+    return spark.createDataFrame(rows, "piece string, words int, stands array<struct<sentence_id:int,whole:int,before:int>>")
+
+
+def pieces(text: Column) -> Column:
+    """The pieces of a text; one that does not go on with the sentence of the piece before begins with ``|``."""
+    lines = F.regexp_replace(F.translate(text, "|", ","), LINE_END, "\n")
+    return F.split(F.regexp_replace(lines, SENTENCE_END, "|"), PIECE_END)
+
+
 def rule_table(rules=RULES, sentences: dict[str, str] = SENTENCES) -> list[tuple[str, list[int]]]:
     ids = list(sentences)
     return [(licence, [ids.index(name) for name in names]) for licence, names in rules]
@@ -93,11 +121,33 @@ def licences(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules=RULES
         F.monotonically_increasing_id().alias("row"),
         "text",
     )
-    part = numbered.select("doc_id", "same", "row", F.posexplode(F.split("text", BREAK)).alias("at", "raw")).select("doc_id", "same", "row", "at", normalised(F.col("raw")).alias("sentence"))
-    # the known sentences are fixed text of a few kB
-    found = part.join(F.broadcast(known_sentences(spark, sentences)), "sentence")
+    part = numbered.select("doc_id", "same", "row", F.posexplode(pieces(F.col("text"))).alias("at", "raw"))
+    part = part.select("doc_id", "same", "row", "at", F.col("raw").startswith("|").alias("anew"), normalised(F.col("raw")).alias("piece"))
+    # the runs of the known sentences are fixed text of a few hundred kB
+    met = part.join(F.broadcast(known_runs(spark, sentences)), "piece")
+    in_order = Window.partitionBy("row", "doc_id", "same").orderBy("at")
+    up_to_here = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    # pieces without a gap or a sentence end between them, and the words of the text's pieces before each
+    chained = met.select(
+        "row",
+        "doc_id",
+        "same",
+        "at",
+        "words",
+        (F.col("at") - F.row_number().over(in_order)).alias("gaps"),
+        F.sum(F.col("anew").cast("int")).over(up_to_here).alias("ends"),
+        (F.sum("words").over(up_to_here) - F.col("words")).alias("passed"),
+        "stands",
+    )
+    # after the window, which has to count each piece once
+    chained = chained.withColumn("stands", F.explode("stands")).select("*", "stands.*")
+    # pieces of one sentence agree in where it begins; they do not overlap, so all of its words are met once
+    begins = (F.col("passed") - F.col("before")).alias("begins")
+    found = chained.groupBy("row", "doc_id", "same", "gaps", "ends", "sentence_id", "whole", begins).agg(
+        F.min("at").alias("at"), F.sum("words").alias("words")
+    ).where(F.col("words") == F.col("whole"))
     by_text = found.groupBy("row", "doc_id", "same").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("at", "sentence_id"))), lambda x: x["sentence_id"]).alias("sentence_ids")
+        F.transform(F.array_sort(F.collect_list(F.struct("at", "whole", "sentence_id"))), lambda x: x["sentence_id"]).alias("sentence_ids")
     )
     once = by_text.groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("row")).alias("own"), "same", "sentence_ids").agg(F.count(F.lit(1)).alias("times"))
     table = sorted(rule_table(rules, sentences), key=lambda rule: -len(rule[1]))

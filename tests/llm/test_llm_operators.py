@@ -173,6 +173,32 @@ def test_license_rules_in_order(spark):
     assert found[5]["times"] == 2 and found[5]["n_rules"] == 2
 
 
+def test_license_notices_are_found_when_wrapped(spark):
+    import textwrap
+
+    known = license_rules.SENTENCES
+    notices = {
+        "Apache-2.0": [known["apache_header"] + ";", known["apache_comply"] + ".", known["apache_copy"] + "\n\n    http://x\n\n", known["apache_as_is"] + "."],
+        "MIT": [known["mit_grant"] + ":\n\n", known["mit_notice"] + "."],
+        "GPL-2.0-or-later": [known["gpl_free"] + ";", known["gpl_terms2"] + ".\n\n", known["gpl_hope"] + "; without even"],
+        "GPL-3.0-or-later": [known["gpl_free"] + ":", known["gpl_terms3"] + ".\n\n", known["gpl_hope"] + "; without even"],
+        "BSD": ["Copyright 2020 Somebody\n\n" + known["bsd_grant"] + ":\n\n", "1. Redistributions"],
+    }
+    cases, rows = [], []
+    for licence, parts in notices.items():
+        for mark in ("", " * ", "// ", "# ", "; ", "-- ", "| "):
+            for width in (30, 72, 80):
+                for end in ("\n", "\r\n"):
+                    lines = [x for block in " ".join(parts).split("\n\n") for x in [*textwrap.wrap(block, width), ""]]
+                    rows.append((len(rows), end.join(f"{mark}{x}" for x in ["int x = 1", "", *lines])))
+                    cases.append(licence)
+    grant = textwrap.wrap(known["bsd_grant"], 40)
+    apart = ["\n\n".join(grant), ".\n".join(grant), "\nx\n".join(grant), "\n".join(grant[::-1]), "\n".join(grant[:-1])]
+    rows += [(1000 + i, text) for i, text in enumerate(apart)]
+    found = license_rules.licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["licences"] for r in found} == dict(enumerate(cases))
+
+
 def test_language_filters(spark, docs):
     def text(alphabet: str, seed: int) -> str:
         rng = random.Random(seed)
