@@ -16,6 +16,7 @@ from ordermill.operators.lookup import attach, known_keys, orphan_total, orphans
 from ordermill.plans import metrics
 from ordermill.session import side_by_side
 
+#: Keys that the error names; all go to ``report``.
 SAMPLE_KEYS = 5
 
 # child dataset, its column, parent dataset
@@ -62,13 +63,15 @@ def process(
     run_id: str,
     keep: Callable[[str, DataFrame], DataFrame] | None = None,
     check: bool = False,
+    report: Callable[[str, str, DataFrame], None] | None = None,
 ) -> dict[str, DataFrame]:
     """All eight processed datasets of a batch.
 
     ``earlier`` holds the processed history before the run date, of which only the keys that the batch
     refers to are ranked.  Payments and deliveries of the analytics come from this batch, dimensions
     from their current state.  Lazy unless ``keep`` writes datasets (later ones then read the written
-    copies) or ``check`` asks for the reference assertions.
+    copies) or ``check`` asks for the reference assertions.  ``report`` then gets a child dataset, its column and
+    all keys without a parent, with their numbers of records, before the batch is stopped.
     """
 
     def kept(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -83,7 +86,7 @@ def process(
     dates = looked_up("orders", clean_text(validated["delivery"].select("order_id")))
     made |= kept({"delivery": conformed("delivery", validated["delivery"], run_id, dates)})
     if check:
-        assert_references(made, earlier)
+        assert_references(made, earlier, report)
     parents = {name: looked_up(name, made["orders"]) for name in ("customers", "restaurants")}
     made |= kept({"order_analytics": metrics.order_analytics(made, parents, run_id)})
     daily = metrics.daily_order_metrics(made["order_analytics"], run_id)
@@ -92,12 +95,19 @@ def process(
 
 
 def assert_no_orphans(
-    child: DataFrame, column: str, parents: DataFrame, dataset: str, parent: str
+    child: DataFrame,
+    column: str,
+    parents: DataFrame,
+    dataset: str,
+    parent: str,
+    report: Callable[[str, str, DataFrame], None] | None = None,
 ) -> None:
-    """Stop when a child record has no parent, naming the count and a few keys."""
+    """Stop when a child record has no parent, naming the count and a few keys; ``report`` gets all."""
     found = orphans(child, column, parents)
     sample = [row["key"] for row in found.orderBy("key").limit(SAMPLE_KEYS).collect()]
     if sample:
+        if report is not None:
+            report(dataset, column, found)
         count = found.agg(orphan_total()).first()["orphan_records"]
         raise OrphanRecords(
             f"{dataset} has records without a matching {parent}",
@@ -108,7 +118,9 @@ def assert_no_orphans(
 
 
 def assert_references(
-    made: dict[str, DataFrame], earlier: dict[str, DataFrame | None]
+    made: dict[str, DataFrame],
+    earlier: dict[str, DataFrame | None],
+    report: Callable[[str, str, DataFrame], None] | None = None,
 ) -> None:
     """All references of a batch resolve in the batch or its history.  Only keys are read for that,
     and the history's are narrowed to those of the batch."""
@@ -116,6 +128,6 @@ def assert_references(
     def check(dataset: str, column: str, parent: str) -> None:
         sides = [df.select(KEY[parent]) for df in (made[parent], earlier.get(parent)) if df is not None]
         known = known_keys(made[dataset].select(column), *sides)
-        assert_no_orphans(made[dataset], column, known, dataset, parent)
+        assert_no_orphans(made[dataset], column, known, dataset, parent, report)
 
     side_by_side([partial(check, *reference) for reference in REFERENCES])

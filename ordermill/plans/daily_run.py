@@ -170,12 +170,16 @@ def transform(run: Run) -> dict[str, int]:
             for name in DATASETS
         }
         earlier = {name: lake.history(name, day) for name in HISTORY}
+        lake.delete(layout.orphan_keys(day))
         process(
             validated,
             earlier,
             run.run_id,
             keep=lambda name, df: publish.stage(lake, name, df, day, run.run_id),
             check=True,
+            report=lambda name, column, keys: keys.write.parquet(
+                lake.uri(f"{layout.orphan_keys(day)}/{name}__{column}")
+            ),
         )
         counts = {}
         for name in CONFORMED:

@@ -34,6 +34,10 @@ def quality_report(dataset: str, run_date: date) -> str:
     return f"reports/data_quality/{day_folder(run_date)}/{dataset}.json"
 
 
+def orphan_keys(run_date: date) -> str:
+    return f"reports/orphan_keys/{day_folder(run_date)}"
+
+
 def audit_folder(run_date: date) -> str:
     return f"reports/audit/{day_folder(run_date)}"
 

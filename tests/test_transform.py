@@ -141,6 +141,16 @@ def test_orphans_stop_the_batch(spark, batch):
     assert "O9" in caught.value.context["sample_keys"]
 
 
+def test_all_orphan_keys_are_reported(spark, batch):
+    batch["payments"] = validated(spark, "payments", [*PAYMENTS, *(pay(20 + i // 2, f"O{20 + i}", "1", "SUCCESS") for i in range(0, 18, 2)), pay(40, "O20", "1", "SUCCESS")])
+    reported = {}
+    with pytest.raises(OrphanRecords):
+        conform.process(batch, {}, "run", check=True, report=lambda name, column, keys: reported.update({(name, column): keys.collect()}))
+    assert list(reported) == [("payments", "order_id")]
+    keys = {r["key"]: r["records"] for r in reported["payments", "order_id"]}
+    assert keys == {f"O{20 + i}": 1 + (i == 0) for i in range(0, 18, 2)}
+
+
 def test_rating_is_rounded_half_up(spark):
     schema = struct(
         "restaurant_id string, restaurant_name string, city string, cuisine string,"
