@@ -67,10 +67,14 @@ def main() -> None:
     registered = all_queries()
     registered["q01_daily_orders"](spark, folder).write.format("noop").mode("overwrite").save()
 
-    times = {}
+    times, failed = {}, {}
     for name in wanted or HEADLINE:
         started = time.perf_counter()
-        registered[name](spark, folder).write.format("noop").mode("overwrite").save()
+        try:
+            registered[name](spark, folder).write.format("noop").mode("overwrite").save()
+        except Exception as error:  # noqa: BLE001 - the other figures are still wanted
+            failed[name] = f"{type(error).__name__}: {error}"[:300]
+            continue
         times[name] = round(time.perf_counter() - started, 3)
     print(
         json.dumps(
@@ -81,9 +85,11 @@ def main() -> None:
                 "queries": times,
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
             }
+            | ({"failed": failed} if failed else {})
         )
     )
     spark.stop()
+    sys.exit(1 if failed else 0)
 
 
 if __name__ == "__main__":

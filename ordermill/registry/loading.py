@@ -131,7 +131,7 @@ def _resolved(table: str, *shown: str):
             current = conforming.conformed("orders", typed(spark, folder, "orders"), "r1")
             staged = conforming.conformed("delivery", records, "r1", current)
         else:
-            staged = getattr(conforming, target.dataset)(records, "r1")
+            staged = conforming.conformed(target.dataset, records, "r1")
         return load.resolve(staged, target, trade.star(spark, folder)).select(target.key, *shown)
 
     return query
