@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from ordermill.llm import (
     bin_packing,
     chat_grammar,
+    conversation_trie,
+    digest_index,
     imatch,
     jaccard_regions,
     language_filters,
@@ -19,6 +21,7 @@ from ordermill.llm import (
     onebit_search,
     ordinal_quality,
     sentencepiece_rounds,
+    term_ranking,
     token_records,
 )
 from ordermill.llm.tables import read
@@ -86,6 +89,23 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_regions.classes(read(spark, sf_dir, "documents"), words=4, per_cent=85)
 
 
+def op11_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = digest_index.digests(read(spark, sf_dir, "documents"))
+    index = digest_index.DigestIndex(spark, shared_folder(spark, "digest-index"))
+    for delivery in digest_index.in_two_deliveries(rows):
+        index.add(delivery)
+    return digest_index.report(rows, index)
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, lengths = conversation_trie.sequences(read(spark, sf_dir, "conversations"))
+    return conversation_trie.trie(*conversation_trie.grafted(turns, lengths)).drop("t1", "t2")
+
+
+def op13_term_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return term_ranking.ranking(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -99,6 +119,14 @@ QUERIES = {
         op8_packing,
         op9_ordinal_quality,
         op10_jaccard_join,
+        op11_digest_index,
+        op12_conversation_trie,
+        op13_term_ranking,
     )
 }
-SQL = {"op5_license_scan": license_rules.comparison_sql()}
+SQL = {
+    "op5_license_scan": license_rules.comparison_sql(),
+    "op11_digest_index": digest_index.comparison_sql(),
+    "op12_conversation_trie": conversation_trie.comparison_sql(),
+    "op13_term_ranking": term_ranking.comparison_sql(),
+}
