@@ -24,6 +24,12 @@ class SourceMalformed(RunError):
     """A drop breaks its contract: header, field count or encoding."""
 
 
+class SourceUnsteady(RunError):
+    """A drop was not the same in two readings; it may still be arriving."""
+
+    retryable = True
+
+
 class QualityGateFailed(RunError):
     """A quality score or a post-load check is below what a run may pass with."""
 

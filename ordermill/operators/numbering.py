@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 SLOTS = 4096
+_FILE_SETTINGS = (
+    "spark.sql.files.maxPartitionBytes",
+    "spark.sql.files.openCostInBytes",
+    "spark.sql.shuffle.partitions",
+    "spark.sql.session.timeZone",
+)
 
 
 def dense_index(df: DataFrame, key: str, name: str, after: int = 0, slots: int = SLOTS) -> DataFrame:
@@ -30,54 +35,78 @@ def dense_index(df: DataFrame, key: str, name: str, after: int = 0, slots: int =
     )
 
 
-def number_file_rows(
-    scan: DataFrame, staging: str, name: str = "_source_row_number"
-) -> DataFrame:
-    """Number the rows of a file scan 1, 2, ... in file order (files by name, rows by position).
-
-    The scan is parsed once and written to ``staging`` with each row's file, block and
-    ``monotonically_increasing_id``, which runs through the rows of a block without gaps.  The
-    smallest id per block locates every row inside its block, and the counts of the blocks before
-    it do the rest.  Rows are neither shuffled nor sorted.  Working from a written table keeps the
-    numbers right when executors are lost or a later pass would split the files differently.
-    """
-    scan.withColumns(
+def located(scan: DataFrame) -> DataFrame:
+    """A file scan with each row's file, the block of the file it was read in, and an id that runs
+    through the rows of a block without gaps."""
+    return scan.withColumns(
         {
-            "_file": F.col("_metadata.file_path"),
+            "_file": F.col("_metadata.file_name"),
             "_block": F.col("_metadata.file_block_start"),
             "_id": F.monotonically_increasing_id(),
         }
-    ).write.mode("overwrite").parquet(f"{staging}/rows")
-    read = scan.sparkSession.read
-    place = T.StructType(
-        [
-            T.StructField("_file", T.StringType()),
-            T.StructField("_block", T.LongType()),
-            T.StructField("_id", T.LongType()),
-        ]
     )
-    located = read.schema(T.StructType(scan.schema.fields + place.fields)).parquet(
-        f"{staging}/rows"
-    )
-    blocks = located.groupBy("_file", "_block").agg(
+
+
+def block_starts(rows: DataFrame) -> DataFrame:
+    """For each block of :func:`located` rows its first id, its number of rows and the number of rows
+    before it (files by name, blocks by position).
+
+    Only counts are gathered.  Two steps keep the running sums small: inside each file, then over one
+    row per file.
+    """
+    blocks = rows.groupBy("_file", "_block").agg(
         F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows")
     )
-    # Two steps keep the running sums small: inside each file, then over one row per file.
     in_file = F.sum("_rows").over(Window.partitionBy("_file").orderBy("_block")) - F.col("_rows")
     files = blocks.groupBy("_file").agg(F.sum("_rows").alias("_file_rows"))
     before = F.sum("_file_rows").over(Window.orderBy("_file")) - F.col("_file_rows")
-    (
+    return (
         blocks.withColumn("_in_file", in_file)
         .join(files.select("_file", before.alias("_before")), "_file")
-        .select("_file", "_block", "_first", (F.col("_before") + F.col("_in_file")).alias("_start"))
-        .write.mode("overwrite")
-        .parquet(f"{staging}/starts")
-    )
-    starts = read.schema("_file string, _block long, _first long, _start long").parquet(
-        f"{staging}/starts"
+        .select(
+            "_file", "_block", "_first", "_rows", (F.col("_before") + F.col("_in_file")).alias("_start")
+        )
     )
+
+
+def number_rows(
+    rows: DataFrame, starts: DataFrame, name: str = "_source_row_number"
+) -> DataFrame:
+    """Number :func:`located` rows 1, 2, ... in file order by the written :func:`block_starts` of the
+    same scan.
+
+    Rows are neither shuffled nor sorted where ``starts``, one row a block, is under Spark's broadcast
+    threshold.  Both scans must cut the files alike (see :func:`steady_session`); :func:`gapless`
+    tells whether they did.
+    """
     return (
-        located.join(starts, ["_file", "_block"])
+        rows.join(starts.drop("_rows"), ["_file", "_block"], "left")
         .withColumn(name, F.col("_id") - F.col("_first") + F.col("_start") + F.lit(1))
         .drop("_file", "_block", "_id", "_first", "_start")
     )
+
+
+def steady_session(spark: SparkSession) -> SparkSession:
+    """A session whose file scans are cut in the same way however many executors there are."""
+    steady = spark.newSession()
+    for name in _FILE_SETTINGS:
+        steady.conf.set(name, spark.conf.get(name))
+    steady.conf.set("spark.sql.files.minPartitionNum", spark.sparkContext.defaultParallelism)
+    return steady
+
+
+def number_facts(name: str = "_source_row_number") -> list[Column]:
+    """Aggregates over numbered rows that :func:`gapless` judges."""
+    number = F.col(name)
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        F.count(number).alias("numbered"),
+        F.coalesce(F.max(number), F.lit(0)).alias("highest"),
+        F.coalesce(F.sum(number.cast("decimal(38,0)")), F.lit(0)).alias("total"),
+    ]
+
+
+def gapless(facts: dict) -> bool:
+    """Whether the numbers can only be 1, 2, ... up to the number of rows."""
+    rows = facts["rows"]
+    return facts["numbered"] == facts["highest"] == rows and int(facts["total"]) == rows * (rows + 1) // 2

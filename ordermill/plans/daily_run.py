@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from datetime import date
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import types as T
 
 from ordermill.model import (
@@ -117,13 +117,14 @@ def validate_dataset(run: Run, dataset: str, valid: dict) -> tuple[dict, DataFra
         df.write.mode("overwrite").parquet(lake.uri(f"{scratch}/{name}"))
         return lake.read(f"{scratch}/{name}", df.schema)
 
-    tagged = evaluate.tag(raw, dataset, scope, keep=keep)
+    seen = Observation()
+    tagged = evaluate.tag(raw, dataset, scope, keep=keep, seen=seen)
+    counts = seen.get
     validated_at = audit.now().replace(microsecond=0)
     kept = evaluate.valid_records(tagged, dataset)
     held = evaluate.quarantined_records(tagged, dataset, validated_at)
-    counts, _, _ = side_by_side(
+    side_by_side(
         [
-            lambda: evaluate.summary(tagged, dataset).first().asDict(),
             lambda: lake.write_partition(kept, "validated", dataset, day, run.run_id),
             lambda: lake.write_partition(held, "quarantine", dataset, day, run.run_id),
         ]

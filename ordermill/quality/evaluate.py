@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ordermill.functions.values import blank_to_null, count_if, parse_as, upper_code
@@ -16,7 +16,6 @@ from ordermill.quality.rules import ERROR, POSITION, Rule, Scope, SetRule
 from ordermill.session import side_by_side
 
 BROKEN = "_broken_rules"  # one bit per rule of the dataset, in catalogue order
-BROADCAST_POSITIONS = 2_000_000  # two numbers each
 Keep = Callable[[str, DataFrame], DataFrame]  # write a frame under a name, return the copy
 LINEAGE_COLUMNS = LINEAGE.fieldNames()
 
@@ -48,24 +47,23 @@ def tag(
     scope: Scope,
     rules: tuple[Rule, ...] | None = None,
     keep: Keep | None = None,
+    seen: Observation | None = None,
 ) -> DataFrame:
     """Normalised records with the rules each one breaks, as bits in ``_broken_rules``.
 
-    With ``keep`` the broken positions are written.  When they are few enough they are broadcast,
-    and records are then tagged wherever they are read, without a shuffle; otherwise the tagged
-    records are written too, so that the join happens once.
+    With ``keep`` the broken positions and then the tagged records are written, so that the rules are
+    evaluated once however often the result is read; ``seen`` gets the counts of :func:`summary` from
+    that write.  Spark joins the positions by their written size: few are broadcast, many sorted and
+    merged.
     """
     rules = CATALOG[dataset] if rules is None else rules
     records = normalise(raw, dataset)
     columns = records.columns
     set_rules = [rule for rule in rules if isinstance(rule, SetRule)]
     found = broken_positions(records, scope, set_rules)
-    few = True
     if found is not None:
         if keep:
             found = keep(f"{dataset}_positions", found)
-            few = found.count() <= BROADCAST_POSITIONS
-            found = F.broadcast(found) if few else found
         bits = F.coalesce("_bits", F.lit(0))
         records = records.join(found, POSITION, "left").withColumns(
             {
@@ -75,7 +73,9 @@ def tag(
         )
     marks = (F.when(r.failed(scope), F.lit(_bit(dataset, r))).otherwise(0) for r in rules)
     tagged = records.select(*columns, reduce(Column.bitwiseOR, marks).cast("long").alias(BROKEN))
-    return tagged if few else keep(f"{dataset}_tagged", tagged)
+    if seen is not None:
+        tagged = tagged.observe(seen, *summary_columns(dataset))
+    return keep(f"{dataset}_tagged", tagged) if keep else tagged
 
 
 def _bit(dataset: str, rule: Rule) -> int:
@@ -119,13 +119,18 @@ def quarantined_records(tagged: DataFrame, dataset: str, validated_at) -> DataFr
     )
 
 
-def summary(tagged: DataFrame, dataset: str) -> DataFrame:
-    """One row: ``total``, ``valid`` and one count per rule of the dataset."""
-    return tagged.agg(
+def summary_columns(dataset: str) -> list[Column]:
+    """Aggregates over tagged records: ``total``, ``valid`` and one count per rule of the dataset."""
+    return [
         F.count(F.lit(1)).alias("total"),
         count_if(~held_back(dataset)).alias("valid"),
         *(count_if(breaks(dataset, rule)).alias(rule.rule_id) for rule in CATALOG[dataset]),
-    )
+    ]
+
+
+def summary(tagged: DataFrame, dataset: str) -> DataFrame:
+    """One row of :func:`summary_columns`."""
+    return tagged.agg(*summary_columns(dataset))
 
 
 def rule_counts(counts: DataFrame, dataset: str) -> DataFrame:

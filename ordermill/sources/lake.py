@@ -41,7 +41,8 @@ class Lake:
         fs, at = self._at(source)
         _, to = self._at(target)
         fs.mkdirs(to.getParent())
-        if not fs.rename(at, to):
+        # renaming to a folder that exists would move into it
+        if fs.exists(to) or not fs.rename(at, to):
             raise OSError(f"could not move {source} to {target}")
 
     def create_new(self, path: str) -> bool:
@@ -55,6 +56,12 @@ class Lake:
         fs, at = self._at(path)
         return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
 
+    def file_sizes(self, path: str) -> dict[str, int]:
+        """Bytes of each data file in a folder, or of the file itself, by name; hidden files are left out."""
+        fs, at = self._at(path)
+        files = {s.getPath().getName(): s.getLen() for s in fs.listStatus(at) if s.isFile()}
+        return {name: size for name, size in files.items() if name[0] not in "_."}
+
     def write_json(self, path: str, value: dict) -> None:
         fs, at = self._at(path)
         stream = fs.create(at, True)
@@ -82,7 +89,7 @@ class Lake:
         self, zone: str, dataset: str, run_date: date, schema: T.StructType
     ) -> DataFrame:
         path = layout.partition(zone, dataset, run_date)
-        if not self.exists(path):
+        if not self.restore(path):
             raise SourceMissing(f"no {zone} partition; run the stage before first", path=path)
         return self.read(path, schema)
 
@@ -90,15 +97,47 @@ class Lake:
         self, zone: str, dataset: str, run_date: date, run_id: str, write: Callable[[str], None]
     ) -> str:
         """Let ``write`` fill a staging folder, then swap it in; other partitions stay untouched
-        and a failed write leaves the old partition in place."""
+        and a failed write leaves the old partition in place.
+
+        The old partition is set aside, not deleted, until the new one stands; :meth:`restore` puts it
+        back when a run died in between, which readers and the next writer ask for first.
+        """
         staged = layout.staging(zone, dataset, run_id) + "/swap"
         target = layout.partition(zone, dataset, run_date)
         self.delete(staged)
         write(self.uri(staged))
-        self.delete(target)
-        self.move(staged, target)
+        self.swap(staged, target)
         return target
 
+    def swap(self, staged: str, target: str) -> None:
+        """Put ``staged`` in the place of ``target``, which is never lost on the way."""
+        aside = layout.aside(target)
+        self.restore(target)
+        if self.exists(target):
+            self.move(target, aside)
+        self.move(staged, target)
+        self.delete(aside)
+
+    def restore(self, target: str) -> bool:
+        """Undo a swap that stopped half-way: the partition set aside comes back unless the new one
+        stands.  Returns whether ``target`` exists."""
+        aside = layout.aside(target)
+        if self.exists(aside):
+            if self.exists(target):
+                self.delete(aside)
+            else:
+                self.move(aside, target)
+                return True
+        return self.exists(target)
+
+    def restore_all(self, folder: str) -> None:
+        """:meth:`restore` for the partitions of a dataset; there is nothing to do unless a run died."""
+        aside = layout.aside(folder)
+        for year in self.names(aside):
+            for month in self.names(f"{aside}/{year}"):
+                for day in self.names(f"{aside}/{year}/{month}"):
+                    self.restore(f"{folder}/{year}/{month}/{day}")
+
     def write_partition(
         self, df: DataFrame, zone: str, dataset: str, run_date: date, run_id: str
     ) -> str:
@@ -112,6 +151,7 @@ class Lake:
         The comparison is on partition columns only, so later partitions are never opened.
         """
         folder = layout.zone_folder("processed", dataset)
+        self.restore_all(folder)
         if not self.names(folder):
             return None
         parts = T.StructType([T.StructField(n, T.IntegerType()) for n in ("year", "month", "day")])

@@ -30,6 +30,12 @@ def staging(zone: str, dataset: str, run_id: str) -> str:
     return f"_tmp/{safe}/{zone_folder(zone, dataset)}"
 
 
+def aside(target: str) -> str:
+    """Where a partition lies while another one takes its place: outside the zones, so that no scan of a
+    dataset sees both."""
+    return f"_aside/{target}"
+
+
 def quality_report(dataset: str, run_date: date) -> str:
     return f"reports/data_quality/{day_folder(run_date)}/{dataset}.json"
 

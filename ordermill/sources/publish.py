@@ -105,8 +105,7 @@ def _publish_one(
 ) -> dict:
     target = layout.partition("processed", dataset, run_date)
     if folder != target:
-        lake.delete(target)
-        lake.move(folder, target)
+        lake.swap(folder, target)
     # One line per file, written by Spark: large partitions have many files.
     counts = file_counts(lake, dataset, run_date)
     counts.write.mode("overwrite").json(lake.uri(f"{target}/{FILES}"))

@@ -24,7 +24,15 @@ from ordermill.operators.lookup import (
     orphans,
 )
 from ordermill.operators.merge import CHANGE, merge, replace_rows, with_new_keys
-from ordermill.operators.numbering import dense_index, number_file_rows
+from ordermill.operators.numbering import (
+    block_starts,
+    dense_index,
+    gapless,
+    located,
+    number_facts,
+    number_rows,
+    steady_session,
+)
 
 
 def plan_of(df) -> str:
@@ -109,14 +117,20 @@ def test_file_rows_are_numbered_across_splits(spark, tmp_path):
     for name, value in conf.items():
         spark.conf.set(name, value)
     try:
-        scan = spark.read.schema("k string, v string").csv(str(folder), header=True)
+        steady = steady_session(spark)
+        scan = steady.read.schema("k string, v string").csv(str(folder), header=True)
         assert scan.rdd.getNumPartitions() > 5
-        numbered = number_file_rows(scan, str(tmp_path / "scratch"), "n")
+        rows = located(scan)
+        block_starts(rows).write.parquet(str(tmp_path / "starts"))
+        starts = steady.read.parquet(str(tmp_path / "starts"))
+        numbered = number_rows(rows, starts, "n")
         got = {r["n"]: r["k"] for r in numbered.select("n", "k").collect()}
+        facts = numbered.agg(*number_facts("n")).first().asDict()
     finally:
         for name, value in old.items():
             spark.conf.set(name, value)
     assert got == dict(enumerate(expected, 1))
+    assert gapless(facts) and not gapless(facts | {"highest": 6001}) and not gapless(facts | {"total": 1})
 
 
 def test_repeats(spark):
