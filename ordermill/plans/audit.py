@@ -7,7 +7,7 @@ from datetime import UTC, date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.errors import RunError
+from ordermill.errors import LoadRefused, RunError
 from ordermill.functions.values import half_up, ratio, sum_if
 from ordermill.model import AUDIT, AUDIT_KEY, WHOLE_RUN
 from ordermill.operators.keyed import conform, top_per_key
@@ -17,6 +17,7 @@ from ordermill.sources.lake import Lake
 from ordermill.sources.warehouse import Warehouse
 
 RECENT_RUNS = 7
+COMMITS = 5  # attempts to add a run to the audit table while others do
 
 
 # --- records ------------------------------------------------------------------------------------
@@ -53,10 +54,24 @@ def upsert(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def write_audit(warehouse: Warehouse, new: DataFrame) -> int:
-    """Put records into the audit table; returns its new version."""
-    version = warehouse.version("pipeline_run_audit")
-    merged = upsert(warehouse.read("pipeline_run_audit"), new)
-    return warehouse.replace("pipeline_run_audit", merged, version)
+    """Put records into the audit table; returns its new version.
+
+    The table has a part for each run date, and only the parts of ``new`` (one, for a run) are read and
+    written.  When another run closes at the same time, this one starts again from its version.
+    """
+    table = "pipeline_run_audit"
+    days = [row["run_date"] for row in new.select("run_date").distinct().collect()]
+    for attempt in range(1, COMMITS + 1):
+        version = warehouse.version(table)
+        parts = {
+            str(day): upsert(warehouse.read(table, [str(day)]), new.where(F.col("run_date") == F.lit(day)))
+            for day in days
+        }
+        try:
+            return warehouse.replace_parts(table, parts, version)
+        except LoadRefused:
+            if attempt == COMMITS:
+                raise
 
 
 # --- run level ----------------------------------------------------------------------------------

@@ -214,7 +214,9 @@ def load_star(run: Run) -> list[dict]:
 
 def check_star(run: Run) -> list[dict]:
     with run.stage("post_load_checks") as record:
-        results = checks.run_checks(run.warehouse.star(), run.lake, run.run_date)
+        results = checks.run_checks(
+            run.warehouse.star(), run.lake, run.run_date, pruned=run.warehouse.star
+        )
         record(
             WHOLE_RUN,
             "SUCCESS",

@@ -118,14 +118,27 @@ def touched_parts(
 ) -> list[str]:
     """Parts the batch writes to, and parts that hold an older version of one of its keys.
 
-    Reads only keys and dates of the stored table; the result has one entry per calendar period.
+    The latter come from the key index, of which the buckets of the batch's keys are read; the stored
+    facts are not.  The result has one entry per calendar period.
     """
     date_key = target.day[1]
-    stored = warehouse.read(target.table).select(target.key, date_key)
-    older = stored.join(keys, target.key, "left_semi").select(date_key)
-    both = older.unionByName(rows.select(date_key)).where(F.col(date_key).isNotNull())
-    parts = both.select(_part(warehouse, date_key).alias(PART)).distinct()
-    return [str(row[PART]) for row in parts.collect()]
+    index = warehouse.key_index(target.table, keys)
+    older = index.join(keys.toDF("key"), "key", "left_semi").select("part")
+    dated = rows.where(F.col(date_key).isNotNull())
+    parts = older.unionByName(dated.select(_part(warehouse, date_key).cast("string").alias("part")))
+    return [row["part"] for row in parts.distinct().collect()]
+
+
+def new_entries(
+    warehouse: Warehouse, target: Target, keys: DataFrame, written: DataFrame, loaded_at
+) -> DataFrame:
+    """Key index entries of the rows that this load has written, without those already there."""
+    changed = written.where(F.col("updated_at") == F.lit(loaded_at).cast("timestamp")).select(
+        F.col(target.key).alias("key"),
+        _part(warehouse, target.day[1]).cast("string").alias("part"),
+    )
+    known = warehouse.key_index(target.table, keys)
+    return changed.join(known, ["key", "part"], "left_anti")
 
 
 def _check_written(written: DataFrame, staged: DataFrame, target: Target, loaded_at) -> dict:
@@ -183,7 +196,11 @@ def load_table(
         written = warehouse.spark.read.schema(STAR[target.table]).parquet(uri)
         changes = _check_written(written, staged, target, loaded_at)
         highest = record["highest_key"] + changes["inserted"]
-        warehouse.commit(target.table, parts, highest, after=record["version"])
+        index = None
+        if target.day:
+            entries = new_entries(warehouse, target, keys, written, loaded_at)
+            index = warehouse.add_keys(target.table, entries, folder)
+        warehouse.commit(target.table, parts, highest, after=record["version"], keys=index)
     return {
         "table": target.table,
         "dataset": target.dataset,
