@@ -141,6 +141,14 @@ def new_entries(
     return changed.join(known, ["key", "part"], "left_anti")
 
 
+def unresolved_keys(resolved: DataFrame, target: Target) -> DataFrame:
+    """Rows per required key that is NULL in resolved rows; keys that are always set are left out."""
+    counts = resolved.agg(*(count_if(F.col(name).isNull()).alias(name) for name in target.resolved))
+    pairs = ", ".join(f"'{name}', `{name}`" for name in target.resolved)
+    listed = counts.selectExpr(f"stack({len(target.resolved)}, {pairs}) AS (key_column, rows)")
+    return listed.where("rows > 0").select(F.lit(target.table).alias("table_name"), "key_column", "rows")
+
+
 def _check_written(written: DataFrame, staged: DataFrame, target: Target, loaded_at) -> dict:
     """Rows updated and inserted, once every staged key has arrived and no required key is NULL."""
     stamp = F.lit(loaded_at).cast("timestamp")

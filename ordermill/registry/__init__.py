@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ordermill.registry import checking, loading, reporting, transforming
+from ordermill.registry import checking, loading, reporting, running, transforming
 
-_MODULES = (reporting, checking, transforming, loading)
+_MODULES = (reporting, checking, transforming, loading, running)
 
 
 def all_queries() -> dict:

@@ -19,9 +19,9 @@ from ordermill.sources import trade_raw
 VALIDATED_AT = "2001-06-30 08:00:00"
 
 
-def _kept(spark):
+def kept_in_folder(spark, purpose: str = "tagged"):
     """Write each frame once into the shared folder and go on with the written copy."""
-    folder = shared_folder(spark, "tagged")
+    folder = shared_folder(spark, purpose)
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         df.write.parquet(f"{folder}/{name}")
@@ -85,32 +85,24 @@ def _parent_keys(spark, folder):
     return known_keys(wanted.toDF("order_id"), valid)
 
 
-_TAGGED: dict[tuple[str, str], dict[str, DataFrame]] = {}
-
-
-def _all_tagged(spark, folder):
-    """All datasets, from written raw records as in a daily run; once per session and folder."""
-    at = (spark.sparkContext.applicationId, folder)
-    if at not in _TAGGED:
-        keep = _kept(spark)
-        raw = trade_raw.raw(spark, folder)
-        written = side_by_side([partial(keep, f"{name}_raw", df) for name, df in raw.items()])
-        _TAGGED[at] = evaluate.tag_all(
-            dict(zip(raw, written, strict=True)), trade_raw.RUN_DATE, keep=keep
-        )
-    return _TAGGED[at]
+def all_tagged(spark, folder, keep=None):
+    """All datasets, from written raw records as in a daily run."""
+    keep = keep or kept_in_folder(spark)
+    raw = trade_raw.raw(spark, folder)
+    written = side_by_side([partial(keep, f"{name}_raw", df) for name, df in raw.items()])
+    return evaluate.tag_all(dict(zip(raw, written, strict=True)), trade_raw.RUN_DATE, keep=keep)
 
 
 def _rule_counts(spark, folder):
     rows = None
-    for dataset, tagged in _all_tagged(spark, folder).items():
+    for dataset, tagged in all_tagged(spark, folder).items():
         counts = evaluate.rule_counts(evaluate.summary(tagged, dataset), dataset)
         rows = counts if rows is None else rows.unionByName(counts)
     return rows
 
 
 def _scores(spark, folder):
-    tagged = _all_tagged(spark, folder)
+    tagged = all_tagged(spark, folder)
     return report.scores({name: evaluate.summary(frame, name) for name, frame in tagged.items()})
 
 
@@ -302,7 +294,7 @@ def over_raw(body: str, line: bool = True) -> str:
     return sql(body, *(("line",) if line else ()), **RAW_SQL)
 
 
-def _errors(dataset: str) -> str:
+def errors(dataset: str) -> str:
     ids = [f'"{r.rule_id}"' for r in CATALOG[dataset] if r.severity == "ERROR"]
     return "(" + " OR ".join(ids) + ")"
 
@@ -322,7 +314,7 @@ def _counts_sql() -> str:
 
 SCORES = " UNION ALL ".join(
     f"""SELECT '{dataset}' AS dataset, COUNT(*) AS total_records,
-        COUNT(*) FILTER (WHERE NOT {_errors(dataset)}) AS valid_records FROM flag_{dataset}"""
+        COUNT(*) FILTER (WHERE NOT {errors(dataset)}) AS valid_records FROM flag_{dataset}"""
     for dataset in CATALOG
 )
 _SCORED = f"""SELECT *, total_records - valid_records AS invalid_records,
@@ -359,7 +351,7 @@ SQL = {
     "dq_quarantine_split": over_raw(
         f"""SELECT key AS order_id, order_date, order_amount, order_status,
                    concat_ws(';', {_ORDER_RULES}) AS _dq_failed_rules
-            FROM raw_orders JOIN flag_orders USING (key) WHERE {_errors("orders")}"""
+            FROM raw_orders JOIN flag_orders USING (key) WHERE {errors("orders")}"""
     ),
     "dq_cascade": over_raw(
         """SELECT key AS payment_id, order_id, position FROM flag_payments

@@ -88,11 +88,9 @@ def _latest_delivery(spark, folder):
 
 
 def _orphans(spark, folder):
-    """Line items whose order was not placed before 2001, per order."""
-    known = trade.read(spark, folder, "orders").where("o_orderdate < TIMESTAMP '2001-01-01'")
-    return orphans(
-        trade.read(spark, folder, "lineitem"), "l_orderkey", known.select("o_orderkey")
-    )
+    """Customers of orders, which are not among the suppliers, with their numbers of orders."""
+    known = trade.read(spark, folder, "supplier").select("s_suppkey")
+    return orphans(trade.read(spark, folder, "orders"), "o_custkey", known)
 
 
 def _null_orphans(spark, folder):
@@ -151,7 +149,7 @@ def _current(spark, folder):
     batch = event.where("ts >= TIMESTAMP '2024-01-16'")
     earlier = event.where("ts < TIMESTAMP '2024-01-16'")
     return current_state(
-        top_per_key(batch.where("event_type <> 'view'"), "user_id", *newest),
+        top_per_key(batch, "user_id", *newest),
         top_per_key(earlier, ["user_id", "source_ingestion_date"], *newest),
         "user_id",
     ).drop("ts")
@@ -306,7 +304,7 @@ SQL = {
         QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "cln_current_state": """SELECT user_id, event_id, event_type,
         CAST(ts AS DATE) AS source_ingestion_date
-        FROM events WHERE ts < TIMESTAMP '2024-01-16' OR event_type <> 'view'
+        FROM events
         QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "cln_round_decimal": """SELECT l_returnflag, l_linenumber, CAST(SUM(CAST(
         (CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))))
@@ -341,9 +339,8 @@ SQL = {
         f"""SELECT * EXCLUDE (pickup_time, delivery_time), {_TEXT.format("pickup_time")},
             {_TEXT.format("delivery_time")} FROM t_delivery"""
     ),
-    "trf_orphans": """SELECT l_orderkey AS key, COUNT(*) AS records FROM lineitem
-        WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey
-                          AND o_orderdate < TIMESTAMP '2001-01-01') GROUP BY l_orderkey""",
+    "trf_orphans": """SELECT o_custkey AS key, COUNT(*) AS records FROM orders
+        WHERE o_custkey NOT IN (SELECT s_suppkey FROM supplier) GROUP BY o_custkey""",
     "trf_orphans_without_reference": over_typed(
         """SELECT restaurant_id AS key, COUNT(*) AS records FROM t_orders AS o
            WHERE NOT EXISTS (SELECT 1 FROM t_restaurants AS r

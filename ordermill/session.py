@@ -36,7 +36,7 @@ def build_session(app: str = "ordermill", master: str | None = None, **overrides
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under the cluster's ``spark.checkpoint.dir``.
+    """A fresh folder under the cluster's ``spark.checkpoint.dir``, removed when the driver ends.
 
     Where that is unset, a temporary folder is used in local mode only: on a cluster executors
     could not see it, so the setting is required there.
@@ -46,7 +46,12 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.gettempdir()
-    return f"{root.rstrip('/')}/ordermill-{purpose}-{uuid.uuid4().hex[:12]}"
+    folder = f"{root.rstrip('/')}/ordermill-{purpose}-{uuid.uuid4().hex[:12]}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return f"{folder}/data"
 
 
 def side_by_side(tasks: list[Callable[[], object]]) -> list:

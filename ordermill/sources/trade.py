@@ -199,18 +199,8 @@ def days(spark: SparkSession) -> DataFrame:
     return calendar(bounds)
 
 
-_OPEN: dict[tuple[str, str], Star] = {}
-
-
 def star(spark: SparkSession, folder: str) -> Star:
-    """The star schema over the order-processing tables, opened once per session and folder."""
-    opened = (spark.sparkContext.applicationId, folder)
-    if opened not in _OPEN:
-        _OPEN[opened] = _star(spark, folder)
-    return _OPEN[opened]
-
-
-def _star(spark: SparkSession, folder: str) -> Star:
+    """The star schema over the order-processing tables; a table is opened when it is asked for."""
     build = {
         "dim_customer": lambda: customers(spark, folder),
         "dim_restaurant": lambda: restaurants(spark, folder),

@@ -1,5 +1,6 @@
 """Whole runs: historical, daily, late rerun, and runs that must fail."""
 
+import re
 from datetime import date, timedelta
 
 import drops
@@ -14,6 +15,7 @@ from ordermill.sources import layout
 from ordermill.sources.lake import Lake
 from ordermill.sources.star import Star
 from ordermill.sources.warehouse import Warehouse
+from ordermill.sources import warehouse as warehouses
 
 HISTORICAL, DAY1, DAY2 = drops.HISTORICAL, drops.DAY1, drops.DAY2
 
@@ -123,6 +125,66 @@ def test_only_touched_months_are_rewritten(ran):
     assert parts["202608"].startswith("v00000002")
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_load_looks_up_its_keys_in_their_buckets(spark, ran):
+    _, _, second, _ = ran
+    warehouse = second.warehouse
+    keys = spark.createDataFrame([("O2",), ("O99",)], "order_id string")
+    index = warehouse.key_index("fact_order", keys)
+    found = {(r["key"], r["part"]) for r in index.join(keys.toDF("key"), "key", "left_semi").collect()}
+    assert found == {("O2", "202607")}
+    target = next(t for t in load.TARGETS if t.table == "fact_order")
+    rows = warehouse.read("fact_order").limit(0)
+    assert load.touched_parts(warehouse, target, keys, rows) == ["202607"]
+    plan = plan_of(index)
+    assert re.search(r"PartitionFilters: \[[^]]*bucket", plan)
+    assert all("/_keys/bucket=" in file for file in index.inputFiles())  # nothing of the stored facts
+    # every stored key is in the index, under the part that holds it
+    everything = warehouse.read("fact_order").selectExpr("order_id AS key", "CAST(order_date_key div 100 AS STRING) AS part")
+    listed = warehouse.key_index("fact_order", everything.select("key"))
+    assert everything.join(listed, ["key", "part"], "left_anti").count() == 0
+
+
+def test_key_index_is_rewritten_when_it_has_many_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warehouses, "KEY_FOLDERS", 2)
+    house = Warehouse(spark, str(tmp_path / "star"), key_buckets=4)
+    for n in range(4):
+        entries = spark.createDataFrame([(f"O{n}", f"part{n}"), ("O0", f"part{n}")], "key string, part string")
+        folders = house.add_keys("fact_order", entries, f"v{n}")
+        house.commit("fact_order", {}, 0, after=n, keys=folders)
+        assert len(folders) <= 2
+    keys = spark.createDataFrame([("O0",)], "k string")
+    listed = house.key_index("fact_order", keys).where("key = 'O0'")
+    assert sorted(r["part"] for r in listed.distinct().collect()) == [f"part{n}" for n in range(4)]
+
+
+def test_reconciliation_opens_the_batch_days_only(spark, ran):
+    _, _, second, _ = ran
+    days = spark.createDataFrame([(DAY1,)], "order_date date")
+    star = second.warehouse.star(days)
+    assert {r["order_date_key"] for r in star.fact_order.collect()} == {20260901}
+    assert star.fact_order.inputFiles() and all("/_part=202609/" in f for f in star.fact_order.inputFiles())
+    plan = plan_of(views.daily_revenue(checks.of_days(star, days)))
+    assert plan.count("LeftSemi") >= 2
+    assert views.daily_revenue(checks.of_days(second.warehouse.star(), days)).count() == 1
+
+
+def test_audit_write_touches_one_part(spark, ran):
+    root, _, second, _ = ran
+    house = second.warehouse
+    before = house.record("pipeline_run_audit")
+    assert set(before["parts"]) == {str(HISTORICAL), str(DAY1)}
+    rows = house.read("pipeline_run_audit", [str(DAY1)])
+    audit.write_audit(house, rows)
+    after = house.record("pipeline_run_audit")
+    assert after["parts"][str(HISTORICAL)] == before["parts"][str(HISTORICAL)]
+    assert after["parts"][str(DAY1)] != before["parts"][str(DAY1)]
+    assert house.read("pipeline_run_audit", [str(DAY1)]).count() == rows.count()
+
+
 def test_parts_can_be_days(spark, ran):
     root, first, _, before = ran
     daily = Warehouse(spark, f"{root}/star-by-day", period="day")

@@ -6,7 +6,7 @@ import drops
 import pytest
 from pyspark.sql import functions as F
 
-from ordermill.errors import PublishRefused, SourceMalformed, SourceMissing, LoadRefused
+from ordermill.errors import LoadRefused, PublishRefused, SourceMalformed, SourceMissing, SourceUnsteady
 from ordermill.model import CONFORMED, SOURCE
 from ordermill.sources import ingest, layout, publish
 from ordermill.sources.lake import Lake
@@ -110,6 +110,68 @@ def test_drop_of_several_files_is_numbered_through(lake, tmp_path):
     }
 
 
+@pytest.mark.parametrize(
+    ("second", "detail"),
+    [
+        ("customer_id,customer_name,email,City,signup_date", "unexpected=\\['City'\\]"),
+        ("customer_name,customer_id,email,city,signup_date", "order=differs"),
+        ("C9,n,e,c,2026-01-01", "missing="),
+        ("", "file=b.csv"),
+        ("customer_id,customer_name,email,city,signup_date,", "file=b.csv"),
+    ],
+)
+def test_every_file_of_a_drop_needs_its_header(lake, tmp_path, second, detail):
+    folder = tmp_path / "customers" / "customers_2026-09-01.csv"
+    folder.mkdir(parents=True)
+    header = ",".join(SOURCE["customers"].fieldNames())
+    (folder / "a.csv").write_text(f"{header}\nC1,n,e,c,2026-01-01\n")
+    (folder / "b.csv").write_text(f"{second}\nC2,n,e,c,2026-01-01\n")
+    with pytest.raises(SourceMalformed, match=detail) as refused:
+        run(lake, tmp_path)
+    assert refused.value.context["file"] == "b.csv"
+    assert not lake.exists(layout.partition("raw", "customers", DAY))
+
+
+def test_file_without_content_is_refused(lake, tmp_path):
+    folder = tmp_path / "customers" / "customers_2026-09-01.csv"
+    folder.mkdir(parents=True)
+    header = ",".join(SOURCE["customers"].fieldNames())
+    (folder / "a.csv").write_text(f"{header}\nC1,n,e,c,2026-01-01\n")
+    (folder / "b.csv").write_text("")
+    with pytest.raises(SourceMalformed, match="file=b.csv"):
+        run(lake, tmp_path)
+
+
+def test_only_files_with_open_quotes_are_read_whole(lake, tmp_path):
+    folder = tmp_path / "customers" / "customers_2026-09-01.csv"
+    folder.mkdir(parents=True)
+    header = ",".join(f'"{name}"' for name in SOURCE["customers"].fieldNames())
+    (folder / "a.csv").write_text(f"{header}\nC1,n,e,c,2026-01-01\nC2,n,e,c,2026-01-01\n")
+    (folder / "b.csv").write_text(f'{header}\nC3,"two\nlines",e,c,2026-01-01\nC4,n,e,c,2026-01-01\n')
+    (folder / "c.csv").write_text(f"{header}\nC5,n,e,c,2026-01-01\n")
+    drops_of = Lake(lake.spark, str(tmp_path))
+    whole, spanning = ingest.inspect_drop(drops_of, layout.drop("customers", "incremental", DAY), "customers")
+    assert [p.rpartition("/")[2] for p in whole] == ["a.csv", "c.csv"]
+    assert [p.rpartition("/")[2] for p in spanning] == ["b.csv"]
+    result = run(lake, tmp_path)
+    assert (result["records_read"], result["records_written"]) == (5, 5)
+    raw = lake.read_partition("raw", "customers", DAY, ingest.raw_schema("customers"))
+    assert {r["_source_row_number"]: r["customer_id"] for r in raw.collect()} == {n: f"C{n}" for n in range(1, 6)}
+
+
+def test_counts_that_differ_stop_the_write(lake, tmp_path, monkeypatch):
+    drops.write(tmp_path, "customers", "2026-09-01", [("C1", "a", "b", "c", "2026-01-01")])
+    counted = ingest.block_starts
+
+    def another_row(rows):
+        return counted(rows).withColumn("_rows", F.col("_rows") + 1)
+
+    monkeypatch.setattr(ingest, "block_starts", another_row)
+    with pytest.raises(SourceUnsteady, match="counted=2, written=1"):
+        run(lake, tmp_path)
+    assert not lake.exists(layout.partition("raw", "customers", DAY))
+
+
 def test_raw_csv_reader(spark, tmp_path):
     names = ingest.raw_schema("customers").fieldNames()
     path = tmp_path / "customers.csv"
@@ -147,6 +209,31 @@ def test_replacing_a_partition_leaves_others(lake, spark):
     assert read(date(2026, 9, 2)).count() == 1
 
 
+def test_crash_while_replacing_loses_nothing(lake, spark, monkeypatch):
+    lake.write_partition(customers(spark, [("C1", "old")]), "processed", "customers", DAY, "r1")
+    move, moves = Lake.move, []
+
+    def stop_at_second(self, source, target):
+        moves.append(source)
+        if len(moves) == 2:
+            raise RuntimeError("lost")
+        move(self, source, target)
+
+    monkeypatch.setattr(Lake, "move", stop_at_second)
+    with pytest.raises(RuntimeError):
+        lake.write_partition(customers(spark, [("C1", "new")]), "processed", "customers", DAY, "r2")
+    monkeypatch.setattr(Lake, "move", move)
+    assert not lake.exists(layout.partition("processed", "customers", DAY))
+    later = date(2026, 9, 9)
+    assert [r["city"] for r in lake.history("customers", later).collect()] == ["old"]
+    read = lambda: lake.read_partition("processed", "customers", DAY, CONFORMED["customers"])
+    assert read().first()["city"] == "old"
+    lake.write_partition(customers(spark, [("C1", "new")]), "processed", "customers", DAY, "r3")
+    assert [r["city"] for r in read().collect()] == ["new"]
+    with pytest.raises(OSError):  # never into a folder that exists
+        lake.move("processed/customers", layout.partition("processed", "customers", DAY))
+
+
 def test_history_is_strictly_before_and_pruned(lake, spark):
     assert lake.history("customers", DAY) is None
     assert lake.history_keys("customers", DAY) is None
