@@ -1,11 +1,13 @@
 """Best-fit packing of token sequences by bin completion.
 
-Documents are encoded and cut into pieces, and the pieces of each input partition are packed in rounds
-of bounded size where they are read: nothing is shuffled, a task holds a round's lengths and places only,
-and a repeated task reads the same rows and packs them alike.  What a round leaves partly filled goes into
-the next round of its task, so a task ends with about one partly filled sequence.
-
-A round is a search by branch and bound.  Lengths are kept as counts, since pieces of one length are
+Documents are encoded and cut into pieces where they are read; from there on only a piece's document, place,
+length and checksum are moved.  Full pieces are sequences of their own.  The others are dealt by a hash into
+groups of about ``ROUND``, so that every group has the same mix of lengths however the table is sorted or
+split, and each group is packed by one task.  Pieces of sequences that were left with room are dealt anew
+into fewer groups and packed again, until they are one group or less than a tenth of them finds
+a full sequence.
+
+A group is a search by branch and bound.  Lengths are kept as counts, since pieces of one length are
 alike.  Each step takes the largest length left and enumerates ways to fill the rest of its sequence; a
 filling is dominated, and left out, if a longer unused piece would fit in the place of one of its own.
 Fillings are tried from the least waste on.  A branch is cut when its waste so far leaves no room for a
@@ -26,16 +28,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ordermill.llm import segments
+from ordermill.llm.tables import written
 from ordermill.llm.token_records import encoded
 
 #: Pieces packed together; bounds a task's memory.
 ROUND = 20_000
 #: Fillings considered at a step, and steps allowed for each sequence of the incumbent.
 FILLINGS, STEPS_PER_BIN = 4, 3
-SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+_PIECE = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
 
 def best_fit(counts: np.ndarray, capacity: int) -> list[list[int]]:
@@ -169,59 +173,79 @@ def pack(counts: np.ndarray, capacity: int) -> list[list[int]]:
     return best
 
 
-def packed(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 1024) -> DataFrame:
-    """One row per piece: its document, number, start in the document, length and checksum, and its
-    sequence and place there.  Sequence numbers are unique and otherwise arbitrary."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sequence = TaskContext.get().partitionId() << 40
-        waiting: list[list[tuple]] = [[] for _ in range(capacity + 1)]
-        held, done = 0, []
-
-        def emit(limit: int) -> Iterator[pa.RecordBatch]:
-            while len(done) > limit:
-                part = done[: max(limit, 1) if limit else len(done)]
-                del done[: len(part)]
-                columns = zip(*part, strict=True)
-                kinds = (pa.int64(), pa.int32(), *[pa.int64()] * 5)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                    names=[x.split()[0] for x in SCHEMA.split(", ")],
-                )
-
-        def close(last: bool) -> None:
-            nonlocal sequence, held
-            bins = pack(np.array([len(x) for x in waiting]), capacity)
-            for lengths in sorted(bins, key=sum, reverse=True):
-                if not last and sum(lengths) < capacity and held < ROUND // 2:
-                    break  # into the next round
-                offset = 0
-                for length in lengths:
-                    done.append((*waiting[length].pop(), sequence, offset))
-                    offset += length
-                held -= len(lengths)
-                sequence += 1
+def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
+    """Every piece of every document, without a sequence yet, and ``row``, a number of its own."""
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
+            done: list[tuple] = []
             for row, ids in encoded(batch, tokenizer, end_id):
                 data, start, piece = ids.astype("<u4"), 0, 0
                 while start < len(data):
                     size = (len(data) - start - 1) % capacity + 1 if not piece else capacity
                     crc = zlib.crc32(data[start : start + size].tobytes())
-                    entry = (doc_ids[row], piece, start, size, crc)
-                    if size == capacity:
-                        done.append((*entry, sequence, 0))
-                        sequence += 1
-                    else:
-                        waiting[size].append(entry)
-                        held += 1
+                    done.append((doc_ids[row], piece, start, size, crc))
                     start, piece = start + size, piece + 1
-                if held >= ROUND:
-                    close(last=False)
-                yield from emit(20_000)
-        close(last=True)
-        yield from emit(0)
+            columns = zip(*done, strict=True) if done else [[]] * 5
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=_PIECE
+            )
 
     columns = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
-    return columns.mapInArrow(task, SCHEMA)
+    found = columns.mapInArrow(segments.thrifty(cut), "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return written(found.withColumn("row", F.monotonically_increasing_id()), "pieces")
+
+
+def _packed_group(table: pa.Table, capacity: int) -> pa.Table:
+    """Sequence number in the group and offset of each piece, and whether its sequence is full."""
+    rows, lengths = table.column("row").to_numpy(), table.column("length").to_numpy()
+    order = np.argsort(lengths, kind="stable")
+    ends = np.searchsorted(lengths[order], np.arange(capacity + 2))
+    counts = np.diff(ends)
+    following = ends[:-1].copy()
+    sequence, offset, full = (np.zeros(len(rows), np.int64) for _ in range(3))
+    for number, filling in enumerate(pack(counts, capacity)):
+        at = 0
+        for length in filling:
+            i = order[following[length]]
+            following[length] += 1
+            sequence[i], offset[i], full[i] = number, at, sum(filling) == capacity
+            at += length
+    group = table.column("group")[0].as_py()
+    return pa.table(
+        {"row": rows, "sequence_id": (group << 32) + sequence, "offset": offset, "full": full.astype(bool)}
+    )
+
+
+def packed(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 1024) -> DataFrame:
+    """One row per piece: its document, number, start in the document, length and checksum, and its
+    sequence and place there.  Sequence numbers are unique and otherwise arbitrary."""
+    every = pieces(docs, tokenizer, end_id, capacity)
+    whole = every.where(F.col("length") == capacity)
+    # numbers of full pieces are those of their rows, below the numbers that rounds give
+    placed = [whole.select("row", (-F.col("row") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))]
+    left = every.where(F.col("length") < capacity).select("row", "length")
+    waiting, used = left.count(), 0
+    while waiting:
+        groups = -(-waiting // ROUND)
+        group = F.pmod(F.xxhash64("row", F.lit(used)), F.lit(groups)) + used
+        found = written(
+            left.withColumn("group", group)
+            .groupBy("group")
+            .applyInArrow(lambda table: _packed_group(table, capacity), "row long, sequence_id long, offset long, full boolean"),
+            "packed",
+        )
+        used += groups
+        again = found.where("NOT full").select("row").join(left, "row")
+        open_ = again.count() if groups > 1 else 0
+        last = open_ > 0.9 * waiting or not open_
+        placed.append((found if last else found.where("full")).select("row", "sequence_id", "offset"))
+        if last:
+            break
+        left, waiting = written(again, "open"), open_
+    places = placed[0]
+    for some in placed[1:]:
+        places = places.unionByName(some)
+    return every.join(places, "row").select(*_PIECE, "sequence_id", "offset")

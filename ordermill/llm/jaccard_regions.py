@@ -9,15 +9,19 @@ shingles for a close set of any size are apart from all others; pairs that share
 in a shingle of more than ``SHORT`` sets, whose pairs are not listed.  Families are thus found exactly: what
 is in different ones is not linked.
 
-Families are regions.  A round takes up to ``PIVOTS`` sets of every region that are not yet settled, and
-compares them with all members of the region, in blocks of ``BLOCK`` members.  Sets within the radius of
-a pivot are linked to it.  A set is settled once it was a pivot, or if it is linked to the pivot with most
-links or to one that a block's links connect with that: such sets are in one component already, and pairs of one
-settled and one unsettled set are found from the unsettled side.  A block passes on one link of each member, and
-for its pivots the number of links and the smallest pivot they connect it with, which is as much.  Unsettled sets go to the Voronoi region of their nearest pivot, with those members
-of the old region whose distances to all pivots lie within the radius of theirs; by the triangle inequality
-no other can be close to them.  Regions are joined anew until every set is settled.  The links found connect the same sets as all
-links do.
+Families are regions.  A region whose comparison is bounded (``WHOLE``) is joined by one task.  A larger
+region takes up to ``PIVOTS`` sets as pivots and compares them with all its
+members, in blocks of ``BLOCK``; a pivot's pairs are then all known.  Members
+linked with the pivot that has most links, or with one that a block's links connect with it, are settled:
+they are in one component, so pairs among them add nothing.  The others are open, and all pairs with an open set are
+still to be found.  Settled sets are parted into Voronoi cells by their nearest pivot, and an open set goes
+to each cell in which, by the triangle inequality, a member can be close to it: its
+distance to every pivot is within the radius of those of the cell's members.  What is left are pairs of open
+sets.  Where much was settled, the open sets are a region of their own and are joined in the same way; where
+the pivots settled little, the open sets are parted into cells and meet by the same windows, which ends the
+region.  A settled set is never sent twice but for visitors that one task cannot hold.  The links found connect the
+same sets as all links do: a block passes on one link of each member, and
+for its pivots the number of links and the smallest pivot they connect it with, which is as much.
 
 Equal sets are one from the beginning, so a text with very many copies costs as much as one.  A large region
 is cut into blocks, and all else is grouped aggregates and two-table joins.  Shingles are 48-bit hashes and
@@ -51,8 +55,15 @@ SHORT = 32
 LEAST_LISTED = 64
 #: Pivots of a region in a round, members compared in one task's block, bits of a filter.
 PIVOTS, BLOCK, FILTER_BITS = 64, 256, 24
+#: Sets, shingles of all of them, and look-ups of shingles for 64 sets at a time, with which one task joins a
+#: region whole.
+WHOLE, WHOLE_SHINGLES, WHOLE_WORK = 512, 4_000_000, 150_000_000
+#: Members of a cell, and visitors of it, that meet in one task.
+PART, VISITORS = 1024, 4096
+#: Share of a region that pivots have to settle for the rest to be joined as a region of its own.
+SETTLES = 1 / 8
 #: Shingles that a task holds before it passes them on.
-HELD = 1_000_000
+HELD = 400_000
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
@@ -108,6 +119,17 @@ def names_of(shingles: np.ndarray, places: np.ndarray) -> np.ndarray:
     return np.where(np.diff(places) > 0, _mixed(sums ^ np.diff(places).astype(np.uint64)) | np.uint64(1), 0)
 
 
+def packed_shingles(shingles: np.ndarray) -> bytes:
+    """Six bytes for each shingle."""
+    return shingles.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpacked_shingles(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view("<u8")[:, 0]
+
+
 def first_size(n: np.ndarray, per_cent: int) -> np.ndarray:
     """Shingles of which a set must share one with any set within the radius."""
     return np.where(n > 0, n - -(-n * per_cent // 100) + 1, 0)
@@ -144,10 +166,9 @@ def shared_fewest(n: Column, per_cent: int) -> Column:
 class Filter:
     """Membership in a set of 64-bit numbers, with false positives but no false negatives."""
 
-    def __init__(self, words: dict[int, int]):
+    def __init__(self, words: pa.Table):
         self.bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-        for at, bits in words.items():
-            self.bits[at] = np.uint64(bits & (2**64 - 1))
+        self.bits[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
 
     def holds(self, numbers: np.ndarray) -> np.ndarray:
         at = numbers & np.uint64((1 << FILTER_BITS) - 1)
@@ -159,7 +180,7 @@ def filter_of(numbers: DataFrame, name: str) -> Broadcast:
     low = F.col(name).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
     bit = F.expr(f"shiftleft(1L, cast({name} & 63 AS int))")
     words = numbers.select(F.shiftright(low, 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    found = Filter({row["word"]: row["bits"] for row in words.collect()})
+    found = Filter(words.toArrow())
     return numbers.sparkSession.sparkContext.broadcast(found)
 
 
@@ -217,12 +238,16 @@ def _listed(docs: DataFrame, words: int, per_cent: int, buckets: int) -> DataFra
         yield passed_on()
 
     columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return columns.mapInArrow(emit, "doc_id long, n long, name long, bucket int, tokens binary, names binary")
+    return columns.mapInArrow(segments.thrifty(emit), "doc_id long, n long, name long, bucket int, tokens binary, names binary")
+
+
+_BUCKET = "bucket int, tokens binary, names binary, many binary"
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """Distinct (shingle, name) pairs of a bucket whose shingle several sets list."""
-    token = np.frombuffer(b"".join(table.column("tokens").to_pylist()), np.uint32).astype(np.int64)
+    """A bucket's distinct (shingle, name) pairs whose shingle several sets list, by shingle, in one packed row;
+    ``many`` marks shingles of more than ``SHORT`` sets."""
+    token = np.frombuffer(b"".join(table.column("tokens").to_pylist()), np.uint32)
     name = np.frombuffer(b"".join(table.column("names").to_pylist()), np.int64)
     order = np.lexsort((name, token))
     token, name = token[order], name[order]
@@ -231,19 +256,41 @@ def _shared(table: pa.Table) -> pa.Table:
     token, name = token[kept], name[kept]
     _, back, times = np.unique(token, return_inverse=True, return_counts=True)
     several = times[back] > 1
-    token = token + (table.column("bucket")[0].as_py() << 32)
-    many = (times[back] > SHORT)[several]
-    return pa.table([pa.array(token[several]), pa.array(name[several]), pa.array(many)], names=["token", "name", "many"])
-
-
-def _pairs(table: pa.Table) -> pa.Table:
-    """Pairs (a, b) of sets of a bucket, how many uncommon shingles they meet in, and how many they have to.
-    For a common shingle come the pairs of its smallest name with each other one, which need no number;
-    only sets whose common shingles are enough for a link take part in those."""
-    token, name, least, common, many = (table.column(c).to_numpy() for c in ("token", "name", "least", "common", "many"))
-    some = ~many | (common >= table.column("fewest").to_numpy())
-    order = np.lexsort((name[some], token[some]))
-    token, name, least, common, many = (x[some][order] for x in (token, name, least, common, many))
+    packed = [x[several].tobytes() for x in (token, name, times[back] > SHORT)]
+    columns = [pa.array([table.column("bucket")[0].as_py()], pa.int32()), *(pa.array([x], pa.binary()) for x in packed)]
+    return pa.table(columns, names=["bucket", "tokens", "names", "many"])
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for tokens, names, many in zip(*(batch.column(c).to_pylist() for c in ("tokens", "names", "many")), strict=True):
+            yield np.frombuffer(tokens, np.uint32), np.frombuffer(names, np.int64), np.frombuffer(many, bool)
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many listed shingles of each set others list too, and how many of those are common, added up over
+    some buckets of a task."""
+    held, waiting = [], 0
+
+    def passed_on() -> pa.RecordBatch:
+        names, back = np.unique(np.concatenate([n for n, _ in held] or [np.zeros(0, np.int64)]), return_inverse=True)
+        many = np.concatenate([m for _, m in held] or [np.zeros(0, bool)])
+        held.clear()
+        counts = [np.bincount(back, minlength=len(names)), np.bincount(back, many, len(names)).astype(np.int64)]
+        return pa.RecordBatch.from_arrays([pa.array(names), *map(pa.array, counts)], names=["name", "met", "common"])
+
+    for _, names, many in _buckets(batches):
+        held.append((names, many))
+        waiting += len(names)
+        if waiting > HELD:
+            waiting = 0
+            yield passed_on()
+    yield passed_on()
+
+
+def _pairs(token: np.ndarray, name: np.ndarray, many: np.ndarray) -> pa.RecordBatch:
+    """Pairs (a, b) of sets of a bucket and how many uncommon shingles they meet in.  For a common shingle come
+    the pairs of its smallest name with each other one, as ``star``, which need no number."""
     start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, np.int64)
     size = np.diff(np.append(start, len(token)))
     single = ~many[start]
@@ -251,43 +298,54 @@ def _pairs(table: pa.Table) -> pa.Table:
     for n in range(2, SHORT + 1):
         rows = start[(size == n) & single][:, None] + np.arange(n)[None, :]
         i, j = np.triu_indices(n, 1)
-        left, right = rows[:, i].ravel(), rows[:, j].ravel()
-        needed = np.minimum(least[left], least[right]) - np.minimum(common[left], common[right])
-        parts.append(np.stack([name[left], name[right], needed], axis=1))
+        left, right = name[rows[:, i].ravel()], name[rows[:, j].ravel()]
+        parts.append(np.stack([left, right, np.zeros(len(left), np.int64)], axis=1))
     centre = np.repeat(name[start], size)
     star = many & (centre != name)
-    parts.append(np.stack([centre[star], name[star], np.zeros(star.sum(), np.int64)], axis=1))
+    parts.append(np.stack([centre[star], name[star], np.ones(star.sum(), np.int64)], axis=1))
     pairs, times = np.unique(np.concatenate(parts), axis=0, return_counts=True)
-    return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(pairs[:, 2]), pa.array(times.astype(np.int64))], names=["a", "b", "least", "times"])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(pairs[:, 2]), pa.array(times.astype(np.int64))],
+        names=["a", "b", "star", "times"],
+    )
 
 
-def family_links(listed: DataFrame, named: DataFrame, per_cent: int, buckets: int) -> tuple[DataFrame, DataFrame]:
-    """Links (a, b) that connect the sets of each family; and (name, share) of sets that can have links."""
-    shared = written(
-        listed.groupBy("bucket").applyInArrow(_shared, "token long, name long, many boolean"), "shared"
-    )
+def family_links(listed: DataFrame, named: DataFrame, per_cent: int) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) that connect the sets of each family; and (name, share) of sets that can have links.
+
+    Buckets stay packed: a task reads its bucket's shingles twice, to count and then to pair them, and only
+    counts and pairs are shuffled.
+    """
+    shared = written(listed.groupBy("bucket").applyInArrow(_shared, _BUCKET), "shared")
     # in whole numbers, as in shared_least
     first = lambda n: n - F.ceil(n * per_cent / 100) + 1
     listed_of = lambda n: F.least(n, F.greatest(F.lit(LEAST_LISTED), first(n) + F.floor(first(n) / 2)))
     least = lambda n: listed_of(n) - first(n) + 1
     sizes = named.where(F.col("name").isNotNull()).groupBy("name").agg(F.max("n").alias("n"))
-    met = shared.groupBy("name").agg(F.count(F.lit(1)).alias("met"), F.count_if("many").alias("common"))
+    counts = shared.mapInArrow(segments.thrifty(_met), "name long, met long, common long")
+    met = counts.groupBy("name").agg(F.sum("met").alias("met"), F.sum("common").alias("common"))
     fewest = shared_fewest(F.col("n"), per_cent)  # with any set that is close enough
     enough = met.join(sizes, "name").where(F.col("met") >= fewest)
     share = F.col("met") / listed_of(F.col("n"))
     enough = written(enough.select("name", least(F.col("n")).alias("least"), fewest.alias("fewest"), "common", share.alias("share")), "enough")
-    able = filter_of(enough.select(F.xxhash64("name").alias("key")), "key")
-
-    def drop_others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            some = able.value.holds(batch.column("key").to_numpy().view(np.uint64))
-            yield batch.filter(pa.array(some)).select(["token", "name", "many"])
-
-    fewer = shared.withColumn("key", F.xxhash64("name")).mapInArrow(drop_others, "token long, name long, many boolean")
-    by_bucket = fewer.join(enough.drop("share"), "name").withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(buckets)))
-    pairs = by_bucket.groupBy("bucket").applyInArrow(_pairs, "a long, b long, least long, times long")
-    met_in = pairs.groupBy("a", "b").agg(F.min("least").alias("least"), F.sum("times").alias("times"))
-    return met_in.where(F.col("times") >= F.col("least")).select("a", "b"), enough.select("name", "share")
+    able = filter_of(enough.select("name"), "name")
+
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for token, name, many in _buckets(batches):
+            some = able.value.holds(name.view(np.uint64))
+            yield _pairs(token[some], name[some], many[some])
+
+    pairs = shared.select("tokens", "names", "many").mapInArrow(segments.thrifty(pair), "a long, b long, star long, times long")
+    uncommon = F.sum(F.when(F.col("star") == 0, F.col("times")).otherwise(0))
+    met_in = pairs.groupBy("a", "b").agg(uncommon.alias("times"), F.max("star").alias("star"))
+    one = enough.select(F.col("name").alias("a"), F.col("least").alias("least_a"), F.col("common").alias("common_a"))
+    other = enough.select(F.col("name").alias("b"), F.col("least").alias("least_b"), F.col("common").alias("common_b"), "fewest")
+    both = met_in.join(other, "b").join(one, "a", "left")
+    needed = F.least("least_a", "least_b") - F.least("common_a", "common_b")
+    met_often = F.col("least_a").isNotNull() & (F.col("times") > 0) & (F.col("times") >= needed)
+    # a set whose common shingles are enough for a link is of the family of their smallest set, whichever that is
+    by_star = (F.col("star") == 1) & (F.col("common_b") >= F.col("fewest"))
+    return both.where(met_often | by_star).select("a", "b"), enough.select("name", "share")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -314,115 +372,231 @@ def components(links: DataFrame) -> DataFrame:
     return roots
 
 
-def _compare(table: pa.Table, per_cent: int) -> pa.Table:
-    """Distances of a block's members to their region's pivots.  The first row also has, for each pivot with
-    links here, their number and the smallest pivot it is connected with by links of this block."""
-    rank = table.column("rank").to_numpy()
-    data = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
-    names = table.column("node").to_numpy()
-    pivots = sorted(np.flatnonzero(rank >= 0).tolist(), key=lambda i: rank[i])
-    members = np.flatnonzero(rank < 0)
-    held = np.concatenate([data[i] for i in pivots])
-    bit = np.repeat(np.uint64(1) << np.arange(len(pivots), dtype=np.uint64), [len(data[i]) for i in pivots])
+def _unpacked(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Places of the rows with different nodes (rows of documents may repeat) and all rows' shingles."""
+    data = [unpacked_shingles(x) for x in table.column("shingles").to_pylist()]
+    _, first = np.unique(table.column("node").to_numpy(), return_index=True)
+    return first, data
+
+
+def _closeness(pivots: list[np.ndarray], members: list[np.ndarray], per_cent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each member is within the radius of each of up to 64 pivots, and the distances."""
+    held = np.concatenate(pivots)
+    bit = np.repeat(np.uint64(1) << np.arange(len(pivots), dtype=np.uint64), [len(x) for x in pivots])
     order = np.argsort(held, kind="stable")
     distinct, first = np.unique(held[order], return_index=True)
     masks = np.bitwise_or.reduceat(bit[order], first)
-    sizes = np.array([len(data[i]) for i in members])
-    values = np.concatenate([data[i] for i in members]) if len(members) else np.zeros(0, np.uint64)
+    sizes = np.array([len(x) for x in members])
+    values = np.concatenate(members)
     at = np.minimum(np.searchsorted(distinct, values), len(distinct) - 1)
     mask = np.where(distinct[at] == values, masks[at], np.uint64(0))
     starts = np.cumsum(sizes) - sizes
-    out = {x: [] for x in ("region", "node", "unsettled", "pivot", "links", "nearest", "distances", "met")}
     shared = np.stack(
         [np.add.reduceat((mask >> np.uint64(r) & np.uint64(1)).astype(np.int64), starts) for r in range(len(pivots))], axis=1
-    ) if len(members) else np.zeros((0, len(pivots)), np.int64)
-    pivot_names = names[pivots]
-    union = sizes[:, None] + np.array([len(data[i]) for i in pivots])[None, :] - shared
-    close = 100 * shared >= per_cent * union
-    distance = 1 - shared / union
-    unsettled = table.column("unsettled").to_pylist()
+    )
+    union = sizes[:, None] + np.array([len(x) for x in pivots])[None, :] - shared
+    return 100 * shared >= per_cent * union, 1 - shared / union
+
+
+def _connected(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The smallest of n places that links (a, b) connect each place with."""
+    label = np.arange(n)
+    while True:
+        least = label.copy()
+        np.minimum.at(least, a, label[b])
+        np.minimum.at(least, b, label[a])
+        least = least[least]
+        if (least == label).all():
+            return label
+        label = least
+
+
+def _links(names: np.ndarray, members: list[np.ndarray], asked: np.ndarray, others: np.ndarray, per_cent: int) -> pa.Table:
+    """Links (a, b) that connect what all links between ``asked`` and ``others``, places of members, connect."""
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for low in range(0, len(asked) if len(others) else 0, 64):
+        part = asked[low : low + 64]
+        other, pivot = np.nonzero(_closeness([members[i] for i in part], [members[i] for i in others], per_cent)[0])
+        left.append(others[other])
+        right.append(part[pivot])
+    label = _connected(np.concatenate(left), np.concatenate(right), len(names))
+    moved = np.flatnonzero(label != np.arange(len(names)))
+    return pa.table([pa.array(names[moved]), pa.array(names[label[moved]])], names=["a", "b"])
+
+
+def _join_whole(table: pa.Table, per_cent: int) -> pa.Table:
+    """Links (a, b) that connect what all links of a region connect."""
+    some, data = _unpacked(table)
+    every = np.arange(len(some))
+    return _links(table.column("node").to_numpy()[some], [data[i] for i in some], every, every, per_cent)
+
+
+def _join_sides(table: pa.Table, per_cent: int) -> pa.Table:
+    """Links (a, b) that connect what all links between a cell's members and its visitors connect."""
+    data = [unpacked_shingles(x) for x in table.column("shingles").to_pylist()]
+    visiting = table.column("visiting").to_numpy(zero_copy_only=False).astype(bool)
+    names, back = np.unique(table.column("node").to_numpy(), return_inverse=True)
+    members = [np.zeros(0, np.uint64)] * len(names)
+    for i, place in enumerate(back.tolist()):
+        members[place] = data[i]
+    asked, others = np.unique(back[visiting]), np.unique(back[~visiting])
+    if len(others) < len(asked):
+        asked, others = others, asked
+    return _links(names, members, asked, others, per_cent)
+
+
+_COMPARED = (
+    "region long, node long, links array<long>, cell int, distances array<float>,"
+    " met array<struct<pivot:long,times:long,least:long>>"
+)
+
+
+def _compare(table: pa.Table, per_cent: int) -> pa.Table:
+    """Distances of a block's members, without pivots, to their region's pivots.  The first row also has, for
+    each pivot, its number of links here and the smallest pivot it is connected with by links of this block."""
+    rank = table.column("rank").to_numpy()
+    some, data = _unpacked(table)
+    names = table.column("node").to_numpy()
+    pivots = sorted((i for i in some.tolist() if rank[i] > 0), key=lambda i: rank[i])
+    members = [i for i in some.tolist() if rank[i] == 0]
     region = table.column("region")[0].as_py()
-    linked = close & (pivot_names[None, :] != names[members][:, None])
-    among = close.astype(np.int64).T @ close.astype(np.int64) > 0  # pivots that a member is close to both of
-    np.fill_diagonal(among, True)
+    pivot_names = names[pivots]
+    # pivots are compared with each other in every block, so that none of their links is missed
+    close, distance = _closeness([data[i] for i in pivots], [data[i] for i in members + pivots], per_cent)
+    among = close.astype(np.int64).T @ close.astype(np.int64) > 0  # pivots that a row is close to both of
     for _ in range(len(pivots).bit_length()):
         among = among.astype(np.int64) @ among.astype(np.int64) > 0
-    times = linked.sum(axis=0)
-    least = [int(pivot_names[row].min()) for row in among]
+    close, distance = close[: len(members)], distance[: len(members)]
+    times = close.sum(axis=0)
     met = [
-        {"pivot": int(pivot_names[p]), "times": int(times[p]), "least": least[p]} for p in np.flatnonzero(times).tolist()
+        {"pivot": int(pivot_names[p]), "times": int(times[p]), "least": int(pivot_names[among[p]].min())}
+        for p in range(len(pivots))
     ]
-    for j, i in enumerate(members.tolist()):
-        out["region"].append(region)
-        out["node"].append(int(names[i]))
-        out["unsettled"].append(unsettled[i])
-        out["pivot"].append(bool((pivot_names == names[i]).any()))
-        out["links"].append(pivot_names[linked[j]].tolist())
-        out["met"].append(None if j else met)
-        out["nearest"].append(int(np.argmin(distance[j])))
-        out["distances"].append(distance[j].tolist())
-    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.float32()), pa.list_(pa.struct([("pivot", pa.int64()), ("times", pa.int64()), ("least", pa.int64())])))
-    return pa.table([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], names=list(out))
-
-
-def region_links(families: DataFrame, sets: DataFrame, shares: DataFrame, per_cent: int) -> list[DataFrame]:
-    """Links (a, b) that connect what all links connect, from (node, root), (node, shingles)
-    and (name, share), the share of a set's listed shingles that others list too.
+    n = len(members)
+    columns = (
+        [region] * max(n, 1),
+        names[members].tolist() or [None],
+        [pivot_names[row].tolist() for row in close] or [[]],
+        np.argmin(distance, axis=1).tolist() or [0],
+        list(distance.astype(np.float32)) or [[]],
+        [met] + [None] * max(n - 1, 0),
+    )
+    kinds = (
+        pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.float32()),
+        pa.list_(pa.struct([("pivot", pa.int64()), ("times", pa.int64()), ("least", pa.int64())])),
+    )
+    return pa.table(
+        [pa.array(v, t) for v, t in zip(columns, kinds, strict=True)],
+        names=["region", "node", "links", "cell", "distances", "met"],
+    )
 
-    The first pivots are those with the largest share, as they lie in the middle of their family; later
-    ones are taken by a hash.
+
+def _large(regions: DataFrame) -> DataFrame:
+    """Regions that one task does not join whole, with their number of members."""
+    sizes = regions.groupBy("region").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
+    work = F.col("members") * F.col("shingles") / 64
+    bounded = (F.col("members") <= WHOLE) & (F.col("shingles") <= WHOLE_SHINGLES) & (work <= WHOLE_WORK)
+    return sizes.where(~bounded).select("region", "members")
+
+
+def _meet(members: DataFrame, visits: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
+    """Links between the members of cells (region, cell, node) and their visitors (region, cell, node).
+
+    Both sides are cut into parts, and a task compares one part of each; the members of a cell in their own
+    parts meet each other there when they visit it.
     """
+    cell = ["region", "cell"]
+    sizes = members.groupBy(cell).agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
+    numbers = visits.groupBy(cell).agg(F.ceil(F.count(F.lit(1)) / VISITORS).cast("int").alias("rounds"))
+    cells = sizes.join(numbers, cell)
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    turn = F.pmod(F.xxhash64("node"), F.col("rounds")).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    here = members.join(cells, cell).select(*cell, part.alias("part"), every("rounds").alias("turn"), "node", F.lit(False).alias("visiting"))
+    there = visits.join(cells, cell).select(*cell, every("parts").alias("part"), turn.alias("turn"), "node", F.lit(True).alias("visiting"))
+    both = here.union(there).join(sets, "node")
+    return both.groupBy(*cell, "part", "turn").applyInArrow(lambda table: _join_sides(table, per_cent), "a long, b long")
+
+
+def _round(regions: DataFrame, large: DataFrame, sets: DataFrame, per_cent: int) -> tuple[list[DataFrame], DataFrame]:
+    """One round over the large regions: the links it finds, and the regions that are left to join."""
     radius = 1 - per_cent / 100 + 1e-6
-    regions = families.join(shares.withColumnRenamed("name", "node"), "node").select(
-        F.col("root").alias("region"), "node", F.lit(True).alias("unsettled"), "share"
+    held = regions.join(large, "region")
+    by_hash = Window.partitionBy("region").orderBy(F.desc("share"), F.xxhash64("node"), "node")
+    pivots = held.withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= PIVOTS)
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block")
+    rest = held.join(pivots.select("region", "node"), ["region", "node"], "left_anti")
+    members = rest.select("region", own, "node", F.lit(0).alias("rank"))
+    spread = pivots.select("region", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), "node", "rank")
+    compared = written(
+        members.union(spread)
+        .join(sets, "node")
+        .groupBy("region", "block")
+        .applyInArrow(lambda table: _compare(table, per_cent), _COMPARED),
+        "compared",
     )
-    found = []
+    # one link of each member, and those among pivots that the others stand for
+    met = compared.select("region", F.explode("met").alias("m")).select("region", "m.*")
+    links = [
+        compared.where(F.size("links") > 0).select(F.col("node").alias("a"), F.col("links")[0].alias("b")),
+        met.select(F.col("pivot").alias("a"), F.col("least").alias("b")),
+    ]
+    # the pivot with most links, and pivots that a block's links connect with it; they and theirs are one component
+    totals = met.groupBy("region", "pivot").agg(F.sum("times").alias("times"))
+    main = totals.groupBy("region").agg(F.max_by("pivot", F.struct("times", "pivot")).alias("main"))
+    first = met.join(main, "region").where(F.col("pivot") == F.col("main")).select("region", "least").distinct()
+    hub = met.join(first, ["region", "least"]).groupBy("region").agg(F.collect_set("pivot").alias("hub"))
+    marked = compared.where(F.col("node").isNotNull()).join(hub, "region", "left")
+    settled = F.coalesce(F.arrays_overlap("links", "hub"), F.lit(False)).alias("settled")
+    marked = written(marked.select("region", "node", settled, "cell", "distances"), "marked")
+    counted = marked.groupBy("region").agg((F.avg(F.col("settled").cast("int")) >= SETTLES).alias("again"))
+    opened = marked.where("NOT settled").join(counted, "region").withColumnRenamed("cell", "home")
+
+    # the sides of each cell, from one aggregate for each pivot
+    side = lambda of: F.array(*(of(F.get("distances", F.lit(i))) for i in range(PIVOTS)))
+    near = F.forall(
+        F.arrays_zip("distances", "low", "high"),
+        lambda x: x["distances"].isNull() | ((x["distances"] >= x["low"] - radius) & (x["distances"] <= x["high"] + radius)),
+    )
+
+    def visited(rows: DataFrame, cells_of: DataFrame, which: Column) -> DataFrame:
+        boxes = cells_of.groupBy("region", "cell").agg(side(F.min).alias("low"), side(F.max).alias("high"))
+        return rows.join(boxes, "region").where(near & which).select("region", "cell", "node")
+
+    # open sets with settled ones
+    met_settled = visited(opened, marked.where("settled"), F.lit(True))
+    links.append(_meet(marked.where("settled").select("region", "cell", "node"), met_settled, sets, per_cent))
+    # open sets with each other, where little was settled: each goes to its own cell and to those before it
+    last = opened.where("NOT again")
+    homes = last.withColumnRenamed("home", "cell")
+    met_open = visited(last, homes, F.col("cell") <= F.col("home"))
+    links.append(_meet(homes.select("region", "cell", "node"), met_open, sets, per_cent))
+    left = opened.where("again").select(F.xxhash64("region", F.lit("open")).alias("region"), "node")
+    return links, left.withColumn("share", F.lit(0.0))
+
+
+def region_links(regions: DataFrame, sets: DataFrame, per_cent: int) -> list[DataFrame]:
+    """Links (a, b) that connect what all links connect, from ``regions`` (region, node, n, share), in which share is
+    the part of a set's listed shingles that others list too, and ``sets`` (region, node, shingles).
+
+    The first pivots are those with the largest share, as they lie in the middle of their family; later
+    ones are taken by a hash.
+    """
+    found, first = [], True
+    sizes = regions.select("node", "n")
     while True:
-        regions = written(regions, "regions")
-        by_hash = Window.partitionBy("region").orderBy(F.desc("share"), F.xxhash64("node"), "node")
-        pivots = regions.where("unsettled").withColumn("rank", F.row_number().over(by_hash) - 1).where(F.col("rank") < PIVOTS)
-        blocks = regions.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-        members = regions.join(blocks, "region").select(
-            "region", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), "node", "unsettled", F.lit(-1).alias("rank")
-        )
-        spread = pivots.join(blocks, "region").select(
-            "region", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "node", "unsettled", "rank"
-        )
-        whole = members.union(spread).join(sets, "node")
-        compared = written(
-            whole.groupBy("region", "block").applyInArrow(
-                lambda table: _compare(table, per_cent),
-                "region long, node long, unsettled boolean, pivot boolean, links array<long>, nearest int, distances array<float>, met array<struct<pivot:long,times:long,least:long>>",
-            ),
-            "compared",
-        )
-        # one link of each member, and those among pivots that the others stand for
-        met = compared.select("region", F.explode("met").alias("m")).select("region", "m.*")
-        found.append(compared.where(F.size("links") > 0).select(F.col("node").alias("a"), F.col("links")[0].alias("b")))
-        found.append(met.select(F.col("pivot").alias("a"), F.col("least").alias("b")))
-        times = met.groupBy("region", "pivot").agg(F.sum("times").alias("times"))
-        main = times.groupBy("region").agg(F.max_by("pivot", F.struct("times", "pivot")).alias("main"))
-        # pivots that a block's links connect with the main pivot; they and theirs are one component
-        beside = met.join(main, "region").where(F.col("pivot") == F.col("main")).select("region", "least").distinct()
-        hub = met.join(beside, ["region", "least"]).groupBy("region").agg(F.collect_set("pivot").alias("hub"))
-        marked = compared.join(hub, "region", "left")
-        settled = F.col("pivot") | F.coalesce(F.arrays_overlap("links", "hub"), F.lit(False))
-        marked = marked.select("region", "node", (F.col("unsettled") & ~settled).alias("open"), "nearest", "distances")
-        number = F.expr("transform(distances, (d, i) -> i)")
-        each = marked.where("open").select("region", F.col("nearest").alias("at"), F.explode(F.arrays_zip("distances", number.alias("number"))).alias("d"))
-        sides = each.groupBy("region", "at", F.col("d.number").alias("number")).agg(F.min("d.distances").alias("low"), F.max("d.distances").alias("high"))
-        boxes = sides.groupBy("region", "at").agg(F.array_sort(F.collect_list(F.struct("number", "low", "high"))).alias("box"))
-        boxes = written(boxes, "boxes")
-        if boxes.isEmpty():
+        large = written(_large(regions), "large")
+        # the sets of the first regions know their region, so that they are sent to it and nowhere else before
+        whole = sets if first else regions.select("region", "node").join(sets.drop("region"), "node")
+        small = whole.select("region", "node", "shingles").join(large.select("region"), "region", "left_anti")
+        direct = small.groupBy("region").applyInArrow(lambda table: _join_whole(table, per_cent), "a long, b long")
+        found.append(written(direct, "links"))
+        if large.isEmpty():
             return found
-        near = F.forall(
-            F.zip_with("box", "distances", lambda side, d: (d >= side["low"] - radius) & (d <= side["high"] + radius)), lambda x: x
-        )
-        regions = (
-            marked.join(boxes, "region")
-            .where(near)
-            .select(F.xxhash64("region", "at").alias("region"), "node", (F.col("open") & (F.col("nearest") == F.col("at"))).alias("unsettled"), F.lit(0.0).alias("share"))
-        )
+        some, left = _round(regions, large, sets.select("node", "shingles"), per_cent)
+        found += [written(links, "links") for links in some]
+        regions, first = written(left.join(sizes, "node"), "regions"), False
 
 
 def classes(docs: DataFrame, words: int = 5, per_cent: int = 80) -> DataFrame:
@@ -432,11 +606,14 @@ def classes(docs: DataFrame, words: int = 5, per_cent: int = 80) -> DataFrame:
     rows = written(_listed(docs, words, per_cent, buckets), "shingles")
     named = rows.where(F.col("bucket").isNull()).select("doc_id", "n", "name")
     listed = rows.where(F.col("bucket").isNotNull()).select("bucket", "tokens", "names")
-    links, shares = family_links(listed, named, per_cent, buckets)
+    links, shares = family_links(listed, named, per_cent)
     families = components(links)
 
-    smallest = named.where(F.col("name").isNotNull()).groupBy(F.col("name").alias("node")).agg(F.min("doc_id").alias("doc_id"))
-    firsts = written(smallest.join(families, "node").select("node", "doc_id"), "firsts")
+    smallest = named.where(F.col("name").isNotNull()).groupBy(F.col("name").alias("node")).agg(
+        F.min("doc_id").alias("doc_id"), F.max("n").alias("n")
+    )
+    known = smallest.join(families, "node").join(shares.withColumnRenamed("name", "node"), "node")
+    firsts = written(known.select("node", "doc_id", "n", F.col("root").alias("region"), "share"), "firsts")
     wanted = filter_of(firsts.select(F.xxhash64("doc_id").alias("key")), "key")
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -449,21 +626,21 @@ def classes(docs: DataFrame, words: int = 5, per_cent: int = 80) -> DataFrame:
                     [
                         some.column("doc_id").slice(low, high - low),
                         pa.array(names_of(shingles, places).view(np.int64)),
-                        pa.array([shingles[a:b].tobytes() for a, b in zip(places[:-1], places[1:], strict=True)], pa.binary()),
+                        pa.array([packed_shingles(shingles[a:b]) for a, b in zip(places[:-1], places[1:], strict=True)], pa.binary()),
                     ],
                     names=["doc_id", "node", "shingles"],
                 )
 
     id_column = F.col("doc_id").cast("long")
     texts = docs.where(F.col("doc_id").isNotNull()).select(id_column.alias("doc_id"), F.xxhash64(id_column).alias("key"), "text")
-    picked = texts.mapInArrow(pick, "doc_id long, node long, shingles binary").join(firsts, ["doc_id", "node"])
-    sets = written(picked.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
+    picked = texts.mapInArrow(segments.thrifty(pick), "doc_id long, node long, shingles binary")
+    sets = written(picked.join(firsts.select("doc_id", "node", "region"), ["doc_id", "node"]).drop("doc_id"), "sets")
 
     links = None
-    for some in region_links(families, sets, shares, per_cent):
+    for some in region_links(firsts.select("region", "node", "n", "share"), sets, per_cent):
         links = some if links is None else links.union(some)
     groups = components(links)
-    by_node = smallest.join(groups, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
+    by_node = smallest.drop("n").join(groups, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
     by_node = written(by_node, "nodes")
     least = by_node.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     to_group = by_node.join(least, "root").select("node", "component_id")
@@ -485,6 +662,7 @@ def one_of_each(docs: DataFrame, words: int = 5, per_cent: int = 80) -> DataFram
     again = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id", same.alias("same")).agg(F.count(F.lit(1)).alias("rows"))
     again = written(again.where(F.col("rows") > 1).select("doc_id").distinct(), "again")
     left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    number = next(name for name in (f"row_{n}" for n in range(len(docs.columns) + 1)) if name not in docs.columns)
     once = Window.partitionBy("doc_id", same).orderBy(same)
-    repeated = left.join(again, "doc_id", "left_semi").withColumn("__row", F.row_number().over(once)).where("__row = 1")
+    repeated = left.join(again, "doc_id", "left_semi").withColumn(number, F.row_number().over(once)).where(F.col(number) == 1)
     return left.join(again, "doc_id", "left_anti").select(docs.columns).union(repeated.select(docs.columns))

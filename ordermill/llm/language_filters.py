@@ -6,7 +6,9 @@ size of the corpus.  The filter is bit-sliced: a slot is a mask with a bit for e
 sets its languages' bits in several slots.  One lookup, the conjunction of an n-gram's slots, gives all
 languages that hold it.  A text's n-grams are looked up and counted for each language; from the share of a
 language's bits that are set follows how many of its hits are false, and the counts are corrected for that.
-The language with the largest corrected count is the prediction, its share of the text's n-grams the score.
+The count is divided by the share of its training n-grams that the language's filter holds, so that a filter
+that had to leave out more, in a larger corpus or a script of many letters, is no less likely to be chosen.  The
+language with the largest count is the prediction, its share of the text's n-grams, 1 at most, the score.
 
 N-grams are runs of ``N`` signs of the lower-case text in which every sign that is no letter counts as the
 same one and stands only at either end.
@@ -35,7 +37,7 @@ N, LEAST_SHARE = 4, 2e-5
 #: Slots of the filter and slots that an n-gram sets.
 SLOTS, HASHES = 1 << 20, 3
 #: N-gram counts that a task holds before it passes them on.
-HELD = 1_000_000
+HELD = 500_000
 
 _P = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -105,20 +107,21 @@ def gram_counts(training: DataFrame) -> DataFrame:
                     yield passed_on()
         yield passed_on()
 
-    parts = training.select("lang", "text").mapInArrow(count, "lang string, gram long, n long")
+    parts = training.select("lang", "text").mapInArrow(segments.thrifty(count), "lang string, gram long, n long")
     return parts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 class Filters:
     """The learned filters, of fixed size."""
 
-    def __init__(self, langs: list[str], usual: str | None, entries: list[tuple[int, int]]):
-        """``entries``: (slot, mask of languages) with a mask of up to 63 languages a word."""
-        self.langs, self.usual = langs, usual
+    def __init__(self, langs: list[str], usual: str | None, entries: pa.Table | None, covered: list[float]):
+        """``entries``: slot and masks of up to 63 languages each; ``covered``: the share of each language's
+        n-grams, counted with repeats, that its filter holds."""
+        self.langs, self.usual, self.covered = langs, usual, np.array(covered)
         words = -(-max(len(langs), 1) // 63)
         self.slots = np.zeros((words, SLOTS), np.int64)
-        for slot, *masks in entries:
-            self.slots[:, slot] = masks
+        for w in range(words if entries is not None else 0):
+            self.slots[w, entries.column("slot").to_numpy()] = entries.column(f"w{w}").to_numpy()
         if len(langs) <= 7:
             self.slots = self.slots.astype(np.int8)
         self.false = np.array([(self._bit(i, slice(None)) != 0).mean() ** HASHES for i in range(len(langs))])
@@ -138,6 +141,7 @@ class Filters:
         for i in range(len(self.langs)):
             hits = np.bincount(rows, masks[i // 63] >> (i % 63) & 1, len(texts))
             true = (hits - self.false[i] * number) / (1 - self.false[i]) if self.false[i] < 1 else hits * 0
+            true = true / self.covered[i]
             better = true > most + 1e-9
             best[better], most[better] = i, true[better]
         names = [
@@ -159,11 +163,13 @@ def learn(training: DataFrame) -> Filters:
     totals = {row["lang"]: row["texts"] for row in known.groupBy("lang").agg(F.count(F.lit(1)).alias("texts")).collect()}
     langs = sorted(totals)
     if not langs:
-        return Filters([], None, [])
+        return Filters([], None, None, [])
     counts = gram_counts(known)
     counts = written(counts, "grams")
-    sums = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    sums = counts.groupBy("lang").agg(F.sum("n").alias("total"))  # one row a language
     held = counts.join(F.broadcast(sums), "lang").where(F.col("n") >= F.col("total") * LEAST_SHARE)
+    shares = held.groupBy("lang").agg((F.sum("n") / F.max("total")).alias("share")).collect()
+    covered = {row["lang"]: row["share"] for row in shares}
     number = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")) - 1
     held = held.withColumn("number", number.cast("int"))
 
@@ -181,7 +187,7 @@ def learn(training: DataFrame) -> Filters:
     ]
     entries = held.select("gram", "number").mapInArrow(slots, "slot long, number int").groupBy("slot").agg(*masks)
     usual = max(langs, key=lambda x: totals[x])
-    return Filters(langs, usual, [tuple(row) for row in entries.collect()])
+    return Filters(langs, usual, entries.toArrow(), [covered.get(lang, 1.0) for lang in langs])
 
 
 def predicted(docs: DataFrame, filters: Filters) -> DataFrame:
@@ -201,7 +207,7 @@ def predicted(docs: DataFrame, filters: Filters) -> DataFrame:
             )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        predict, "doc_id long, lang_pred string, score double"
+        segments.thrifty(predict), "doc_id long, lang_pred string, score double"
     )
 
 
@@ -217,7 +223,7 @@ def accepted(docs: DataFrame, filters: Filters, least: float) -> DataFrame:
                 keep = [name != "und" and (score >= least or not number) for name, score, number in found]
                 yield batch.slice(low, high - low).filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(choose, docs.schema)
+    return docs.mapInArrow(segments.thrifty(choose), docs.schema)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -11,9 +11,11 @@ the original vectors.  A query looks into so many of its nearest lists that, wit
 the share ``COVER`` of its queries' true neighbours: few lists where vectors cluster, most where they hardly
 do.  Neighbours among all vectors are closer than those within a sample, so the share is a careful one.
 
+Where those lists hold fewer than k other vectors, the query looks into more until they do.
+
 Lists are cut into blocks of about ``BLOCK`` vectors by a hash of the id, so a list that holds a third of
-all vectors, or very many equal ones, is spread over tasks; a query is sent to all blocks of its lists, and
-its best of each block meet in a grouped top-k.
+all vectors, or very many equal ones, is spread over tasks; a query is sent to all blocks of its lists, of
+which each task compares ``ASKING`` queries, and its best of each block meet in a grouped top-k.
 
 Defined results: vectors that are null, empty, zero, of another length than most, or hold a null or
 non-finite component take no part; queries without an id neither; rows that repeat an id are all
@@ -39,6 +41,8 @@ SAMPLE, PER_LIST, MOST_LISTS = 20_000, 1000, 4096
 #: Share of true neighbours that the lists a query looks into shall hold, sample vectors that are asked for
 #: it, and vectors of a block.
 COVER, ASKED, BLOCK = 0.97, 500, 4096
+#: Queries that one task compares with a block.
+ASKING = 2048
 #: Width of the error bound in its standard deviations.
 BOUND = 3.0
 
@@ -122,8 +126,16 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
 
 
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Cosine of each row of ``a`` with ``b``, in double precision."""
-    return (a @ b) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum()))
+    """Cosine of each row of ``a`` with ``b``, in double precision.  Where squares would leave the range of
+    doubles, both are first divided by their largest component, which does not change the cosine."""
+    with np.errstate(over="ignore", under="ignore", invalid="ignore", divide="ignore"):
+        rows, one = (a * a).sum(axis=1), (b * b).sum()
+        out = (a @ b) / (np.sqrt(rows) * np.sqrt(one))
+        sound = (rows > 1e-280) & (rows < 1e280) & (1e-280 < one < 1e280)
+    if not sound.all():
+        x, y = (v / np.abs(v).max(axis=-1, keepdims=True) for v in (a[~sound], b))
+        out[~sound] = (x @ y) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum()))
+    return out
 
 
 def search_block(codes: Codes, own: int, ids: np.ndarray, vectors: np.ndarray, queries: list, k: int) -> list[tuple]:
@@ -155,28 +167,51 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     fitted = _unit(np.array([r["embedding"] for r in sample]))
     codes = spark.sparkContext.broadcast(Codes(fitted, min(MOST_LISTS, max(1, total // PER_LIST))))
 
-    def listed(count: int):
+    def listed(df: DataFrame, sizes: np.ndarray | None = None) -> DataFrame:
+        """Each vector's nearest list; with ``sizes``, of all lists, the lists that a query looks into: the
+        usual number, and more until they hold k vectors besides its own rows."""
+
         def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                if batch.num_rows:
-                    near = codes.value.nearest(_unit(_matrix(batch.column("embedding"))), count)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column("vec_id"), batch.column("embedding"), pa.array(near.tolist(), pa.list_(pa.int32()))],
-                        names=["vec_id", "embedding", "lists"],
-                    )
-
-        return lambda df: df.mapInArrow(assign, "vec_id long, embedding array<double>, lists array<int>")
-
-    members = written(rows.transform(listed(1)).select("vec_id", "embedding", F.col("lists")[0].alias("list")), "lists")
+                if not batch.num_rows:
+                    continue
+                unit = _unit(_matrix(batch.column("embedding")))
+                if sizes is None:
+                    near = codes.value.nearest(unit, 1).tolist()
+                else:
+                    order = codes.value.nearest(unit, len(sizes))
+                    copies = batch.column("copies").to_numpy()
+                    enough = (np.cumsum(sizes[order], axis=1) < k + copies[:, None]).sum(axis=1) + 1
+                    near = [row[: max(codes.value.probes, n)] for row, n in zip(order.tolist(), enough.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("vec_id"), batch.column("embedding"), pa.array(near, pa.list_(pa.int32()))],
+                    names=["vec_id", "embedding", "lists"],
+                )
+
+        return df.mapInArrow(assign, "vec_id long, embedding array<double>, lists array<int>")
+
+    members = written(listed(rows).select("vec_id", "embedding", F.col("lists")[0].alias("list")), "lists")
+    counted = members.groupBy("list").count().collect()  # one row for each list
+    sizes = np.zeros(len(codes.value.centroids), np.int64)
+    for number, count in counted:
+        sizes[number] = count
+    chosen = rows.where(is_query & F.col("vec_id").isNotNull()).groupBy("vec_id").agg(
+        F.min("embedding").alias("embedding"), F.count(F.lit(1)).alias("copies")
+    )
+    asking = written(listed(chosen, sizes).select("vec_id", "embedding", F.explode("lists").alias("list")), "asking")
+    parts = lambda per: F.ceil(F.count(F.lit(1)) / per).cast("int")
     # one row for each list
-    blocks = members.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    blocks = members.groupBy("list").agg(parts(BLOCK).alias("blocks")).join(
+        asking.groupBy("list").agg(parts(ASKING).alias("rounds")), "list"
+    )
+    block = F.pmod(F.xxhash64("vec_id", "embedding"), F.col("blocks")).cast("int").alias("block")
+    turn = F.pmod(F.xxhash64("vec_id"), F.col("rounds")).cast("int").alias("round")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     members = members.join(F.broadcast(blocks), "list").select(
-        "list", F.pmod(F.xxhash64("vec_id", "embedding"), F.col("blocks")).cast("int").alias("block"), "vec_id", "embedding", F.lit(False).alias("asks")
+        "list", block, every("rounds").alias("round"), "vec_id", "embedding", F.lit(False).alias("asks")
     )
-    chosen = rows.where(is_query & F.col("vec_id").isNotNull()).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    asking = chosen.transform(listed(codes.value.probes)).select("vec_id", "embedding", F.explode("lists").alias("list"))
     asking = asking.join(F.broadcast(blocks), "list").select(
-        "list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "vec_id", "embedding", F.lit(True).alias("asks")
+        "list", every("blocks").alias("block"), turn, "vec_id", "embedding", F.lit(True).alias("asks")
     )
 
     def search(key: tuple, table: pa.Table) -> pa.Table:
@@ -191,7 +226,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
         columns = zip(*found, strict=True) if found else ([], [], [])
         return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "vec_id", "score"])
 
-    found = members.unionByName(asking).groupBy("list", "block").applyInArrow(search, "query_id long, vec_id long, score double")
+    found = members.unionByName(asking).groupBy("list", "block", "round").applyInArrow(search, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.when(F.col("vec_id") != -(2**63), F.col("vec_id")).alias("vec_id"), "score")

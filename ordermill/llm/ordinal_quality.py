@@ -9,9 +9,9 @@ their beginnings; the distinct shapes of
 its words (runs of capitals, small letters, digits and each other sign) with the logarithm of their
 number; and shares of kinds of signs, of distinct words and of words equal to the one before, in steps.
 
-The model is fitted on the ``SAMPLE`` labelled documents that come first by a hash of their id (all, if
-fewer), whose hashed features come to the driver; that bound does not depend on the corpus.  Every document
-is scored, where it is read.
+The model is fitted on the ``SAMPLE`` labelled texts that come first by a hash of their id (all, if
+fewer), of which those features come to the driver that recur; that bound does not depend on the corpus.  Every
+document is scored, where it is read.
 
 Defined results: a text that is null or has no word has expected grade 0, probability 0 and is not kept;
 labels that are null in either column are not learned from; several labels of one id are all learned from;
@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm import segments
+from ordermill.llm.tables import written
 
 #: Labelled documents that the model is fitted on, and places of hashed features.
 SAMPLE, FEATURES = 20_000, 1 << 22
@@ -110,15 +111,17 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - scores[:, None], -50, 50)))
 
 
-def fit(rows: list[np.ndarray], grades: np.ndarray) -> Model:
+def fit(rows: list[np.ndarray], grades: np.ndarray, places: np.ndarray) -> Model:
     """Stochastic gradient steps with a rate of its own for each weight, on shuffled batches; ``DECAY`` draws
-    the weights of features that tell nothing to zero, so that long texts score like short ones."""
+    the weights of features that tell nothing to zero, so that long texts score like short ones.
+
+    ``rows`` hold numbers of the features that get a weight, ``places`` where each of those is hashed to.
+    """
     levels = 2
-    weights, squares = np.zeros(FEATURES, np.float32), np.full(FEATURES, 1e-8, np.float32)
+    fitted = np.zeros(FEATURES, np.float32)
     if not len(rows):
-        return Model(weights, np.full(levels, -50.0))
-    times = np.bincount(np.concatenate([np.unique(x) for x in rows]), minlength=FEATURES)
-    rows = [x[times[x] >= OCCURS] for x in rows]
+        return Model(fitted, np.full(levels, -50.0))
+    weights, squares = np.zeros(len(places), np.float32), np.full(len(places), 1e-8, np.float32)
     share = np.array([(np.sum(grades <= k) + 1) / (len(grades) + levels + 1) for k in range(levels)])
     thresholds = np.log(share / (1 - share))
     rng = np.random.default_rng(20)
@@ -128,9 +131,9 @@ def fit(rows: list[np.ndarray], grades: np.ndarray) -> Model:
         order = rng.permutation(len(rows))
         for low in range(0, len(order), 64):
             part = order[low : low + 64]
-            places = np.concatenate([rows[i] for i in part])
+            used = np.concatenate([rows[i] for i in part])
             row = np.repeat(np.arange(len(part)), [len(rows[i]) for i in part])
-            scores = np.bincount(row, weights[places], len(part))
+            scores = np.bincount(row, weights[used], len(part))
             y = grades[part]
             below = 1 / (1 + np.exp(np.clip(scores[:, None] - thresholds[None, :], -50, 50)))
             ones, zeros = np.ones((len(part), 1)), np.zeros((len(part), 1))
@@ -139,7 +142,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray) -> Model:
             own = np.arange(len(part))
             chance = np.maximum(cumulative[own, y + 1] - cumulative[own, y], 1e-9)
             by_score = (slope[own, y + 1] - slope[own, y]) / chance  # of the loss
-            touched, back = np.unique(places, return_inverse=True)
+            touched, back = np.unique(used, return_inverse=True)
             g = np.bincount(back, by_score[row], len(touched))
             g = g / len(part)
             squares[touched] += g * g
@@ -153,34 +156,73 @@ def fit(rows: list[np.ndarray], grades: np.ndarray) -> Model:
             step_squares += by_threshold**2
             thresholds -= rate * by_threshold / np.sqrt(step_squares)
             thresholds = np.maximum.accumulate(thresholds)
-    return Model(weights, thresholds)
+    fitted[places] = weights
+    return Model(fitted, thresholds)
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> Model:
-    """A model from the first ``SAMPLE`` labels by a hash of the id."""
-    quality, toxic = F.col("quality"), F.col("toxic")
-    graded = labels.where(quality.isNotNull() & toxic.isNotNull() & F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").cast("long").alias("doc_id"), (F.when(quality == 0, 0).when(toxic == 1, 1).otherwise(2)).alias("grade")
-    )
-    sample = graded.orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(SAMPLE)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
+def _extracted(texts: DataFrame) -> DataFrame:
+    """doc_id, grade, same (a hash of the text) and the places of the text's features."""
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat, offsets = segments.utf8(batch.column("text"))
-            out = []
             for low, high in segments.slices(offsets, 1_000_000):
                 row, place, _ = features(flat[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
                 order = np.argsort(row, kind="stable")
-                cuts = np.cumsum(np.bincount(row, minlength=high - low))[:-1]
-                out += [x.astype("<i4").tobytes() for x in np.split(place[order], cuts)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("grade"), pa.array(out, pa.binary())], names=["doc_id", "grade", "places"]
-            )
+                ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=high - low))])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(place[order], pa.int32()))
+                own = [batch.column(name).slice(low, high - low) for name in ("doc_id", "grade", "same")]
+                yield pa.RecordBatch.from_arrays([*own, lists], names=["doc_id", "grade", "same", "places"])
+
+    return texts.mapInArrow(segments.thrifty(extract), "doc_id long, grade int, same long, places array<int>")
+
+
+def _numbered(found: DataFrame, places: np.ndarray) -> DataFrame:
+    """Features as numbers in ``places`` (ascending), others left out."""
+    sent = found.sparkSession.sparkContext.broadcast(places)
 
-    found = texts.mapInArrow(extract, "doc_id long, grade int, places binary").collect()
-    found.sort(key=lambda r: (r["doc_id"], r["grade"], bytes(r["places"])))
-    return fit([np.frombuffer(r["places"], "<i4") for r in found], np.array([r["grade"] for r in found], np.int64))
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sent.value
+        for batch in batches:
+            lists = batch.column("places")
+            value = lists.flatten().to_numpy()
+            at = np.minimum(np.searchsorted(known, value), max(len(known) - 1, 0))
+            held = known[at] == value if len(known) else np.zeros(len(value), bool)
+            row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())[held]
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(lists)))])
+            kept = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(at[held], pa.int32()))
+            own = [batch.column(name) for name in ("doc_id", "grade", "same")]
+            yield pa.RecordBatch.from_arrays([*own, kept], names=["doc_id", "grade", "same", "places"])
+
+    return found.mapInArrow(number, "doc_id long, grade int, same long, places array<int>")
+
+
+def learn(docs: DataFrame, labels: DataFrame) -> Model:
+    """A model from the first ``SAMPLE`` labels by a hash of the id, and as many different labelled texts.
+
+    Spark counts in how many texts a feature occurs; what comes to the driver are the features that occur in
+    ``OCCURS`` and, of each text, its numbers of those.
+    """
+    quality, toxic = F.col("quality"), F.col("toxic")
+    graded = labels.where(quality.isNotNull() & toxic.isNotNull() & F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), (F.when(quality == 0, 0).when(toxic == 1, 1).otherwise(2)).alias("grade")
+    )
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("grade")]
+    sample = graded.orderBy(*order).limit(SAMPLE)
+    same = F.xxhash64("text").alias("same")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
+    # rows of one id may be many: as many different texts are learned from as labels at most
+    chosen = texts.select("doc_id", "grade", same).distinct().orderBy(*order, "same").limit(SAMPLE)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", same)
+    rows = rows.join(F.broadcast(written(chosen, "labelled")), ["doc_id", "same"]).select("doc_id", "grade", "same", "text")
+    found = written(_extracted(rows).dropDuplicates(["doc_id", "grade", "same"]), "features")
+    times = found.select(F.explode(F.array_distinct("places")).alias("place")).groupBy("place").agg(F.count(F.lit(1)).alias("n"))
+    places = np.sort(times.where(F.col("n") >= OCCURS).select("place").toArrow().column("place").to_numpy())
+    table = _numbered(found, places).toArrow().sort_by([("doc_id", "ascending"), ("grade", "ascending"), ("same", "ascending")])
+    lists = table.column("places").combine_chunks()
+    starts = np.cumsum(lists.value_lengths().to_numpy())[:-1] if len(lists) else np.zeros(0, np.int64)
+    numbers = np.split(lists.flatten().to_numpy(), starts) if len(lists) else []
+    return fit(numbers, table.column("grade").to_numpy().astype(np.int64), places)
 
 
 def rated(docs: DataFrame, model: Model) -> DataFrame:
@@ -205,7 +247,7 @@ def rated(docs: DataFrame, model: Model) -> DataFrame:
             )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        rate, "doc_id long, expected_grade double, top_probability double, keep boolean"
+        segments.thrifty(rate), "doc_id long, expected_grade double, top_probability double, keep boolean"
     )
 
 
@@ -222,4 +264,4 @@ def kept(docs: DataFrame, model: Model) -> DataFrame:
                 top = fitted.tails(np.bincount(row, fitted.weights[place], high - low))[:, -1]
                 yield batch.slice(low, high - low).filter(pa.array((top >= LEAST) & (words > 0)))
 
-    return docs.mapInArrow(choose, docs.schema)
+    return docs.mapInArrow(segments.thrifty(choose), docs.schema)

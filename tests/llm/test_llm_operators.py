@@ -319,6 +319,35 @@ def test_jaccard_components_against_brute_force(spark, docs):
     assert kept.count() == 20 and kept.columns == docs.columns
 
 
+@pytest.mark.parametrize("clusters", [1, 3])
+def test_jaccard_rounds_are_exact(spark, monkeypatch, clusters):
+    """Regions, pivots, cells and parts of a few sets, so that all kinds of rounds are run."""
+    for name, value in {"WHOLE": 8, "PIVOTS": 4, "BLOCK": 16, "PART": 8, "VISITORS": 8, "SHORT": 4}.items():
+        monkeypatch.setattr(jaccard_regions, name, value)
+    rng, texts = random.Random(clusters), {}
+    base = words(60, 77).split()
+    for c in range(clusters):
+        centre = list(base)
+        for k in range(3 * c):  # clusters at distances about the radius
+            centre[4 + 5 * k] = f"c{c}x{k}"
+        for k in range(60):
+            copy = list(centre)
+            for _ in range(rng.randrange(5)):
+                copy[rng.randrange(len(copy))] = f"w{rng.randrange(10**6)}"
+            texts[1000 * c + k] = " ".join(copy)
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in jaccard_regions.classes(table, 4, 85).collect()}
+    assert found == brute_components(texts, 4, 85)
+
+
+def test_near_duplicates_keep_clashing_columns(spark):
+    rows = [(1, words(40, 1), 7, "x"), (2, words(40, 1), 8, "y"), (1, words(40, 1), 7, "x"), (3, None, 9, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, __row long, row_0 string")
+    kept = jaccard_regions.one_of_each(table)
+    assert kept.columns == table.columns
+    assert sorted((r["doc_id"], r["__row"]) for r in kept.collect()) == [(1, 7), (3, 9)]
+
+
 def test_fewest_shared_shingles_of_all_close_sizes(spark):
     for per_cent in (50, 80, 85, 90, 100):
         sizes = spark.range(1, 900).withColumnRenamed("id", "n")
