@@ -3,9 +3,9 @@
 Documents are encoded and cut into pieces where they are read; from there on only a piece's document, place,
 length and checksum are moved.  Full pieces are sequences of their own.  The others are dealt by a hash into
 groups of about ``ROUND``, so that every group has the same mix of lengths however the table is sorted or
-split, and each group is packed by one task.  Pieces of sequences that were left with room are dealt anew
-into fewer groups and packed again, until they are one group or less than a tenth of them finds
-a full sequence.
+split, and each group is packed by one task.  Pieces of sequences that were left with more than ``ROOM`` are
+dealt anew into fewer groups and packed again, until they are one group or less than a tenth of them finds
+a better sequence.
 
 A group is a search by branch and bound.  Lengths are kept as counts, since pieces of one length are
 alike.  Each step takes the largest length left and enumerates ways to fill the rest of its sequence; a
@@ -37,6 +37,8 @@ from ordermill.llm.token_records import encoded
 
 #: Pieces packed together; bounds a task's memory.
 ROUND = 20_000
+#: Share of a sequence that may stay empty without its pieces being dealt anew.
+ROOM = 1 / 16
 #: Fillings considered at a step, and steps allowed for each sequence of the incumbent.
 FILLINGS, STEPS_PER_BIN = 4, 3
 _PIECE = ["doc_id", "piece", "start", "length", "ids_crc32"]
@@ -211,7 +213,7 @@ def _packed_group(table: pa.Table, capacity: int) -> pa.Table:
         for length in filling:
             i = order[following[length]]
             following[length] += 1
-            sequence[i], offset[i], full[i] = number, at, sum(filling) == capacity
+            sequence[i], offset[i], full[i] = number, at, capacity - sum(filling) <= capacity * ROOM
             at += length
     group = table.column("group")[0].as_py()
     return pa.table(

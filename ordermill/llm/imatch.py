@@ -18,8 +18,9 @@ have no term in common.
 partition looks ahead on its own, and only the partitions' first rows meet in one place.
 
 Defined results: null is the empty text; documents without an id come first; rows with one id stand in the
-order of a hash of their text; rows that repeat id and text are one document, with ``n_rows`` saying how
-often; the successor of the last document is the first, also where that is itself; an empty table gives no
+order of a hash of their text; rows that repeat id and text have the same results, each in a row of its own,
+with ``n_rows`` saying how many there are, and their successor is the next document that differs from them;
+the successor of the last document is the first, also where that is itself; an empty table gives no
 rows; long texts are read whole.  Columns other than ``doc_id`` and ``text`` are not read.
 """
 
@@ -42,6 +43,8 @@ SUBSETS = ((8, 2), (32, 12), (128, 16), (1024, 8))
 PARTS = 1 + sum(number for _, number in SUBSETS)
 #: Low bits of a term's hash by which documents are counted.
 SLOT_BITS = 24
+#: Rows of a repeated document that are written from one array.
+REPEATED = 4096
 #: What names a document: whether its id is null, the id (0 for null), a hash of its text.
 KEY = ("absent", "id", "same")
 
@@ -160,6 +163,11 @@ def near_report(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
     both = written(both, "fingerprints")
     following = both.select(*[F.col(k).alias(f"next_{k}") for k in KEY], F.col("parts").alias("next_parts"))
     out = near.join(both, list(KEY)).join(following, [f"next_{k}" for k in KEY])
+    # a row for each row that was read, in two steps so that arrays stay short
+    several, last = F.floor((F.col("n_rows") - 1) / REPEATED), (F.col("n_rows") - 1) % REPEATED
+    out = out.withColumn("some", F.explode(F.sequence(F.lit(0), several)))
+    upto = F.when(F.col("some") < several, REPEATED - 1).otherwise(last)
+    out = out.withColumn("one", F.explode(F.sequence(F.lit(0).cast("long"), upto.cast("long"))))
     return out.select(
         F.when(~F.col("absent"), F.col("id")).alias("doc_id"),
         "n_chars",

@@ -199,6 +199,85 @@ def test_license_notices_are_found_when_wrapped(spark):
     assert {r["doc_id"]: r["licences"] for r in found} == dict(enumerate(cases))
 
 
+def test_fingerprints_have_a_row_for_every_row(spark, monkeypatch):
+    monkeypatch.setattr(imatch, "REPEATED", 3)
+    rows = [(i, words(40, i)) for i in range(6)] + [(3, words(40, 3))] * 7 + [(None, "none"), (None, "none")]
+    rows += [(4, "another text of this id"), (9, "long " * 40_000)]
+    found = imatch.near_report(spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, n_rows long"))
+    got = found.groupBy("doc_id", "n_chars", "n_rows").count().collect()
+    assert found.count() == len(rows)
+    assert all(r["n_rows"] == r["count"] for r in got)
+    assert {(r["doc_id"], r["n_chars"], r["n_rows"]) for r in got} >= {(3, len(words(40, 3)), 8), (None, 4, 2), (9, 200_000, 1)}
+
+
+def test_nearest_answers_every_query(spark):
+    """A lone vector far from all others, huge and tiny components, ties and repeated ids."""
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((9, 8))
+    some = (centres[rng.integers(0, 9, 3000)] + 0.01 * rng.standard_normal((3000, 8))).tolist()
+    rows = [(i + 1, v) for i, v in enumerate(some)]
+    rows += [(50_000, [0.0] * 7 + [-5.0]), (50_050, [1e200] * 8), (50_100, [1e-200] * 8), (50_100, [1e-200] * 8)]
+    rows += [(60_001, [1.0] * 8), (60_002, [2.0] * 8), (60_003, [1.0] * 8)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = onebit_search.nearest(table, F.col("vec_id") % 50 == 0).collect()
+    answers = {}
+    for r in found:
+        answers.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert set(answers) == {i for i, _ in rows if i % 50 == 0}
+    assert all(sorted(x[0] for x in a) == [1, 2, 3, 4, 5] and all(np.isfinite(x[2]) for x in a) for a in answers.values())
+    matrix = np.array([v for _, v in rows])
+    unit = matrix / np.abs(matrix).max(axis=1, keepdims=True)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    ids, right, total = np.array([i for i, _ in rows]), 0, 0
+    for query, got in answers.items():
+        close = unit @ unit[np.flatnonzero(ids == query)[0]]
+        close[ids == query] = -2
+        least = np.sort(close)[-5] - 1e-9
+        right += sum(score >= least for _, _, score in got)
+        total += 5
+    assert right / total >= 0.9
+    same = sorted(answers[50_050])
+    assert [x[1] for x in same[:3]] == [50_100, 50_100, 60_001] or [x[1] for x in same[:3]][-1] == 60_001
+
+
+def test_packing_does_not_depend_on_order_or_partitions(spark, monkeypatch):
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    monkeypatch.setattr(bin_packing, "ROUND", 500)
+    texts = [" the" * 699 for _ in range(600)] + [" the" * 299 for _ in range(600)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lengths = bin_packing.pieces(table.limit(1), file, 2, 1024).first()["length"]
+    assert lengths == 700
+    for parts in (1, 6):
+        rows = bin_packing.packed(table.coalesce(1).repartitionByRange(parts, "doc_id"), file).collect()
+        filled = {}
+        for r in rows:
+            filled.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        assert len(rows) == 1200 and len(filled) <= 606  # bound 600
+        for places in filled.values():
+            ends = [0, *np.cumsum([n for _, n in sorted(places)])]
+            assert [at for at, _ in sorted(places)] == ends[:-1] and ends[-1] <= 1024
+
+
+def test_packing_pieces_are_the_documents(spark):
+    import zlib
+
+    from tokenizers import Tokenizer
+
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(file)
+    texts = {1: words(900, 1), 2: None, 3: "", 4: words(30, 4), 5: words(3000, 5)}
+    table = spark.createDataFrame([(i, t, 0) for i, t in texts.items()], "doc_id long, text string, row long")
+    rows = bin_packing.packed(table, file, capacity=256).collect()
+    for i, text in texts.items():
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        mine = sorted((r for r in rows if r["doc_id"] == i), key=lambda r: r["piece"])
+        assert [r["piece"] for r in mine] == list(range(-(-len(ids) // 256)))
+        assert all(r["length"] == 256 for r in mine[1:]) and sum(r["length"] for r in mine) == len(ids)
+        for r in mine:
+            part = ids[r["start"] : r["start"] + r["length"]]
+            assert r["ids_crc32"] == zlib.crc32(part.tobytes())
+
+
 def test_language_filters(spark, docs):
     def text(alphabet: str, seed: int) -> str:
         rng = random.Random(seed)
