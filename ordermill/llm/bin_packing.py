@@ -37,6 +37,8 @@ from ordermill.llm.token_records import encoded
 
 #: Pieces packed together; bounds a task's memory.
 ROUND = 20_000
+#: Bytes of text that are encoded at once.
+SLICE = 1_000_000
 #: Share of a sequence that may stay empty without its pieces being dealt anew.
 ROOM = 1 / 16
 #: Fillings considered at a step, and steps allowed for each sequence of the incumbent.
@@ -182,7 +184,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataF
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
             done: list[tuple] = []
-            for row, ids in encoded(batch, tokenizer, end_id):
+            for row, ids in encoded(batch, tokenizer, end_id, SLICE):
                 data, start, piece = ids.astype("<u4"), 0, 0
                 while start < len(data):
                     size = (len(data) - start - 1) % capacity + 1 if not piece else capacity
@@ -235,6 +237,7 @@ def packed(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 102
         group = F.pmod(F.xxhash64("row", F.lit(used)), F.lit(groups)) + used
         found = written(
             left.withColumn("group", group)
+            .repartition(groups, "group")  # a task for a group or few: there is little to read and much to do
             .groupBy("group")
             .applyInArrow(lambda table: _packed_group(table, capacity), "row long, sequence_id long, offset long, full boolean"),
             "packed",

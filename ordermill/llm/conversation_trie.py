@@ -57,7 +57,8 @@ def sequences(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("words"),
         F.monotonically_increasing_id().alias("read"),
     )
-    placed = ordered(turns, "conv_id", F.col("turn").asc_nulls_first(), *_TURN, "read", name="place")
+    # written, as a sort by ranges reads its input twice: texts are hashed once
+    placed = ordered(written(turns, "hashed-turns"), "conv_id", F.col("turn").asc_nulls_first(), *_TURN, "read", name="place")
     starts = written(
         placed.groupBy("conv_id").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("length")), "starts"
     )

@@ -57,7 +57,9 @@ LEAST_LISTED = 64
 PIVOTS, BLOCK, FILTER_BITS = 64, 256, 24
 #: Sets, shingles of all of them, and look-ups of shingles for 64 sets at a time, with which one task joins a
 #: region whole.
-WHOLE, WHOLE_SHINGLES, WHOLE_WORK = 512, 4_000_000, 150_000_000
+WHOLE, WHOLE_SHINGLES, WHOLE_WORK = 512, 2_000_000, 100_000_000
+#: Shingles that are looked up at once.
+LOOKED_UP = 200_000
 #: Members of a cell, and visitors of it, that meet in one task.
 PART, VISITORS = 1024, 4096
 #: Share of a region that pivots have to settle for the rest to be joined as a region of its own.
@@ -105,12 +107,12 @@ def shingle_sets(flat: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.
 
 def sets_of(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Slices of a batch: first row, row after the last, shingles, places."""
-    flat, offsets = segments.utf8(batch.column("text"))
-    for low, high in segments.slices(offsets, 1_000_000):
+    for low, high, some in segments.row_slices(batch.column("text"), 500_000):
+        flat, offsets = segments.utf8(some)
         for begin in range(low, high, 1 << 16):
             end = min(high, begin + (1 << 16))
-            part = flat[offsets[begin] : offsets[end]]
-            yield begin, end, *shingle_sets(part, offsets[begin : end + 1] - offsets[begin], words)
+            places = offsets[begin - low : end - low + 1]
+            yield begin, end, *shingle_sets(flat[places[0] : places[-1]], places - places[0], words)
 
 
 def names_of(shingles: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -387,13 +389,17 @@ def _closeness(pivots: list[np.ndarray], members: list[np.ndarray], per_cent: in
     distinct, first = np.unique(held[order], return_index=True)
     masks = np.bitwise_or.reduceat(bit[order], first)
     sizes = np.array([len(x) for x in members])
-    values = np.concatenate(members)
-    at = np.minimum(np.searchsorted(distinct, values), len(distinct) - 1)
-    mask = np.where(distinct[at] == values, masks[at], np.uint64(0))
-    starts = np.cumsum(sizes) - sizes
-    shared = np.stack(
-        [np.add.reduceat((mask >> np.uint64(r) & np.uint64(1)).astype(np.int64), starts) for r in range(len(pivots))], axis=1
-    )
+    shared = np.zeros((len(members), len(pivots)), np.int64)
+    low = 0
+    while low < len(members):  # a part of the members at a time, so that arrays stay short
+        high = max(low + 1, int(np.searchsorted(np.cumsum(sizes[low:]), LOOKED_UP, side="right")) + low)
+        values = np.concatenate(members[low:high])
+        at = np.minimum(np.searchsorted(distinct, values), len(distinct) - 1)
+        mask = np.where(distinct[at] == values, masks[at], np.uint64(0))
+        starts = np.cumsum(sizes[low:high]) - sizes[low:high]
+        for r in range(len(pivots)):
+            shared[low:high, r] = np.add.reduceat((mask >> np.uint64(r) & np.uint64(1)).astype(np.int32), starts)
+        low = high
     union = sizes[:, None] + np.array([len(x) for x in pivots])[None, :] - shared
     return 100 * shared >= per_cent * union, 1 - shared / union
 
@@ -583,18 +589,20 @@ def region_links(regions: DataFrame, sets: DataFrame, per_cent: int) -> list[Dat
     The first pivots are those with the largest share, as they lie in the middle of their family; later
     ones are taken by a hash.
     """
-    found, first = [], True
+    found, first, held = [], True, None
     sizes = regions.select("node", "n")
     while True:
         large = written(_large(regions), "large")
         # the sets of the first regions know their region, so that they are sent to it and nowhere else before
-        whole = sets if first else regions.select("region", "node").join(sets.drop("region"), "node")
+        whole = sets if first else regions.select("region", "node").join(held, "node")
         small = whole.select("region", "node", "shingles").join(large.select("region"), "region", "left_anti")
         direct = small.groupBy("region").applyInArrow(lambda table: _join_whole(table, per_cent), "a long, b long")
         found.append(written(direct, "links"))
         if large.isEmpty():
             return found
-        some, left = _round(regions, large, sets.select("node", "shingles"), per_cent)
+        if first:  # rounds move the sets of large regions only
+            held = written(sets.join(large.select("region"), "region", "left_semi").select("node", "shingles"), "held")
+        some, left = _round(regions, large, held, per_cent)
         found += [written(links, "links") for links in some]
         regions, first = written(left.join(sizes, "node"), "regions"), False
 

@@ -70,9 +70,8 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _row_slices(column: pa.Array) -> Iterator[tuple[int, int, list]]:
-    _, offsets = segments.utf8(column)
-    for low, high in segments.slices(offsets, 1_000_000):
-        yield low, high, column.slice(low, high - low).to_pylist()
+    for low, high, some in segments.row_slices(column, 500_000):
+        yield low, high, some.to_pylist()
 
 
 def gram_counts(training: DataFrame) -> DataFrame:

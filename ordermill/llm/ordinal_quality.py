@@ -165,9 +165,8 @@ def _extracted(texts: DataFrame) -> DataFrame:
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat, offsets = segments.utf8(batch.column("text"))
-            for low, high in segments.slices(offsets, 1_000_000):
-                row, place, _ = features(flat[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
+            for low, high, some in segments.row_slices(batch.column("text"), 500_000):
+                row, place, _ = features(*segments.utf8(some))
                 order = np.argsort(row, kind="stable")
                 ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=high - low))])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(place[order], pa.int32()))
@@ -232,10 +231,9 @@ def rated(docs: DataFrame, model: Model) -> DataFrame:
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
         for batch in batches:
-            flat, offsets = segments.utf8(batch.column("text"))
             expected, top, keep = [], [], []
-            for low, high in segments.slices(offsets, 1_000_000):
-                row, place, words = features(flat[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
+            for low, high, some in segments.row_slices(batch.column("text"), 500_000):
+                row, place, words = features(*segments.utf8(some))
                 tails = fitted.tails(np.bincount(row, fitted.weights[place], high - low)) * (words > 0)[:, None]
                 expected.append(tails.sum(axis=1))
                 top.append(tails[:, -1])
@@ -258,9 +256,8 @@ def kept(docs: DataFrame, model: Model) -> DataFrame:
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
         for batch in batches:
-            flat, offsets = segments.utf8(batch.column("text"))
-            for low, high in segments.slices(offsets, 1_000_000):
-                row, place, words = features(flat[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
+            for low, high, some in segments.row_slices(batch.column("text"), 500_000):
+                row, place, words = features(*segments.utf8(some))
                 top = fitted.tails(np.bincount(row, fitted.weights[place], high - low))[:, -1]
                 yield batch.slice(low, high - low).filter(pa.array((top >= LEAST) & (words > 0)))
 

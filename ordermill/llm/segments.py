@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Segments of up to this many bytes are compared as 64-bit words; longer ones one by one.
 KEY_WORDS = 4
@@ -70,6 +71,14 @@ def slices(offsets: np.ndarray, size: int = SLICE) -> list[tuple[int, int]]:
     return out
 
 
+def row_slices(column: pa.Array, size: int) -> Iterator[tuple[int, int, pa.Array]]:
+    """Rows low to high of a string column, about ``size`` bytes at a time, without a copy of the whole."""
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    offsets = np.concatenate([[0], np.cumsum(lengths.astype(np.int64))])
+    for low, high in slices(offsets, size):
+        yield low, high, column.slice(low, high - low)
+
+
 def _letter_ends(flat: np.ndarray) -> np.ndarray:
     """True where a byte ends a letter of ASCII or of U+00C0 to U+00FF; one shorter than ``flat``."""
     out = _LETTER[flat[:-1]]

@@ -84,11 +84,13 @@ def _table(path: str) -> segments.SegmentTable:
     return segments.library_table(path)
 
 
-def encoded(batch: pa.RecordBatch, tokenizer: str, end_id: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Row and ids of every text of a batch, with the end id."""
+def encoded(
+    batch: pa.RecordBatch, tokenizer: str, end_id: int, size: int = segments.SLICE
+) -> Iterator[tuple[int, np.ndarray]]:
+    """Row and ids of every text of a batch, with the end id; about ``size`` bytes are worked on at once."""
     table, tail = _table(tokenizer), np.array([end_id], np.int32)
     flat, offsets = segments.utf8(batch.column("text"))
-    for low, high in segments.slices(offsets):
+    for low, high in segments.slices(offsets, size):
         part = flat[offsets[low] : offsets[high]]
         ids, starts = table.gather(*table.slots(part, offsets[low : high + 1] - offsets[low]))
         for row in range(low, high):
