@@ -269,25 +269,46 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np
             yield np.frombuffer(tokens, np.uint32), np.frombuffer(names, np.int64), np.frombuffer(many, bool)
 
 
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_COUNTS = "part int, names binary, met binary, common binary"
+
+
+def _met(parts: int):
     """How many listed shingles of each set others list too, and how many of those are common, added up over
-    some buckets of a task."""
-    held, waiting = [], 0
+    some buckets of a task and packed by parts of the names."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, waiting = [], 0
+
+        def passed_on() -> pa.RecordBatch:
+            names, back = np.unique(np.concatenate([n for n, _ in held] or [np.zeros(0, np.int64)]), return_inverse=True)
+            many = np.concatenate([m for _, m in held] or [np.zeros(0, bool)])
+            held.clear()
+            counts = np.bincount(back, minlength=len(names)), np.bincount(back, many, len(names))
+            part = (_mixed(names.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            cuts = np.searchsorted(part[order], np.arange(parts + 1))
+            some = np.flatnonzero(np.diff(cuts)).tolist()
+            pack = lambda x: pa.array([x[order[cuts[p] : cuts[p + 1]]].tobytes() for p in some], pa.binary())
+            columns = [pa.array(some, pa.int32()), pack(names), *(pack(c.astype(np.int32)) for c in counts)]
+            return pa.RecordBatch.from_arrays(columns, names=["part", "names", "met", "common"])
+
+        for _, names, many in _buckets(batches):
+            held.append((names, many))
+            waiting += len(names)
+            if waiting > HELD:
+                waiting = 0
+                yield passed_on()
+        yield passed_on()
+
+    return count
 
-    def passed_on() -> pa.RecordBatch:
-        names, back = np.unique(np.concatenate([n for n, _ in held] or [np.zeros(0, np.int64)]), return_inverse=True)
-        many = np.concatenate([m for _, m in held] or [np.zeros(0, bool)])
-        held.clear()
-        counts = [np.bincount(back, minlength=len(names)), np.bincount(back, many, len(names)).astype(np.int64)]
-        return pa.RecordBatch.from_arrays([pa.array(names), *map(pa.array, counts)], names=["name", "met", "common"])
 
-    for _, names, many in _buckets(batches):
-        held.append((names, many))
-        waiting += len(names)
-        if waiting > HELD:
-            waiting = 0
-            yield passed_on()
-    yield passed_on()
+def _met_sums(table: pa.Table) -> pa.Table:
+    """The counts of a part's names, one row each."""
+    whole = lambda c, kind: np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
+    names, back = np.unique(whole("names", np.int64), return_inverse=True)
+    sums = [np.bincount(back, whole(c, np.int32), len(names)).astype(np.int64) for c in ("met", "common")]
+    return pa.table([pa.array(names), *map(pa.array, sums)], names=["name", "met", "common"])
 
 
 def _pairs(token: np.ndarray, name: np.ndarray, many: np.ndarray) -> pa.RecordBatch:
@@ -312,7 +333,7 @@ def _pairs(token: np.ndarray, name: np.ndarray, many: np.ndarray) -> pa.RecordBa
     )
 
 
-def family_links(listed: DataFrame, named: DataFrame, per_cent: int) -> tuple[DataFrame, DataFrame]:
+def family_links(listed: DataFrame, named: DataFrame, per_cent: int, buckets: int) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) that connect the sets of each family; and (name, share) of sets that can have links.
 
     Buckets stay packed: a task reads its bucket's shingles twice, to count and then to pair them, and only
@@ -324,8 +345,8 @@ def family_links(listed: DataFrame, named: DataFrame, per_cent: int) -> tuple[Da
     listed_of = lambda n: F.least(n, F.greatest(F.lit(LEAST_LISTED), first(n) + F.floor(first(n) / 2)))
     least = lambda n: listed_of(n) - first(n) + 1
     sizes = named.where(F.col("name").isNotNull()).groupBy("name").agg(F.max("n").alias("n"))
-    counts = shared.mapInArrow(segments.thrifty(_met), "name long, met long, common long")
-    met = counts.groupBy("name").agg(F.sum("met").alias("met"), F.sum("common").alias("common"))
+    counts = shared.mapInArrow(segments.thrifty(_met(buckets)), _COUNTS)
+    met = counts.groupBy("part").applyInArrow(_met_sums, "name long, met long, common long")
     fewest = shared_fewest(F.col("n"), per_cent)  # with any set that is close enough
     enough = met.join(sizes, "name").where(F.col("met") >= fewest)
     share = F.col("met") / listed_of(F.col("n"))
@@ -614,7 +635,7 @@ def classes(docs: DataFrame, words: int = 5, per_cent: int = 80) -> DataFrame:
     rows = written(_listed(docs, words, per_cent, buckets), "shingles")
     named = rows.where(F.col("bucket").isNull()).select("doc_id", "n", "name")
     listed = rows.where(F.col("bucket").isNotNull()).select("bucket", "tokens", "names")
-    links, shares = family_links(listed, named, per_cent)
+    links, shares = family_links(listed, named, per_cent, buckets)
     families = components(links)
 
     smallest = named.where(F.col("name").isNotNull()).groupBy(F.col("name").alias("node")).agg(
@@ -642,7 +663,9 @@ def classes(docs: DataFrame, words: int = 5, per_cent: int = 80) -> DataFrame:
     id_column = F.col("doc_id").cast("long")
     texts = docs.where(F.col("doc_id").isNotNull()).select(id_column.alias("doc_id"), F.xxhash64(id_column).alias("key"), "text")
     picked = texts.mapInArrow(segments.thrifty(pick), "doc_id long, node long, shingles binary")
-    sets = written(picked.join(firsts.select("doc_id", "node", "region"), ["doc_id", "node"]).drop("doc_id"), "sets")
+    # the side without shingles grows with the corpus too and is not broadcast
+    regions_of = firsts.select("doc_id", "node", "region").hint("merge")
+    sets = written(picked.join(regions_of, ["doc_id", "node"]).drop("doc_id"), "sets")
 
     links = None
     for some in region_links(firsts.select("region", "node", "n", "share"), sets, per_cent):
