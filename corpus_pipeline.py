@@ -49,7 +49,8 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: Learned models and packing are not expressed in SQL; tests compare with brute force.
+#: Learned models and packing are not expressed in SQL; near duplicates and packing are tested against brute force,
+#: language and quality against held-out labels.
 ORACLE_SQL = None
 
 
