@@ -113,15 +113,32 @@ def piece_cut(flat: np.ndarray) -> np.ndarray:
     return ((a != 32) & (b == 32)) | (a == 10) | (b == 10)
 
 
+def occurrences(flat: np.ndarray, offsets: np.ndarray, strings: tuple[bytes, ...]) -> Iterator[tuple[int, int]]:
+    """Places of the strings, which neither overlap nor hold each other, within rows."""
+    text = flat.tobytes() if strings else b""
+    for string in strings:
+        low = text.find(string)
+        while low >= 0:
+            high = low + len(string)
+            row = np.searchsorted(offsets, low, side="right")
+            if high <= offsets[row]:
+                yield low, high
+                low = text.find(string, high)
+            else:  # begins in one row and ends in another
+                low = text.find(string, low + 1)
+
+
 class SegmentTable:
     """Ids of the segments seen so far by this worker.
 
     ``encode(list of str) -> (all ids, number of ids of each)`` is called for segments that are not in
-    the table.  ``drop_space`` leaves out segments of white space only, which have no ids.
+    the table.  ``drop_space`` leaves out segments of white space only, which have no ids.  ``whole`` are
+    strings that stand for one id wherever they occur: each is a segment of its own.
     """
 
-    def __init__(self, encode: Callable, cut: Callable, drop_space: bool = False):
+    def __init__(self, encode: Callable, cut: Callable, drop_space: bool = False, whole: tuple[str, ...] = ()):
         self.encode, self.cut, self.drop_space = encode, cut, drop_space
+        self.whole = tuple(x.encode() for x in whole)
         self._empty()
 
     def _empty(self) -> None:
@@ -156,6 +173,9 @@ class SegmentTable:
         edge = np.zeros(len(flat) + 1, bool)
         edge[1:-1] = self.cut(flat)
         edge[offsets] = True
+        for low, high in occurrences(flat, offsets, self.whole):
+            edge[low:high] = False
+            edge[[low, high]] = True
         edge[-1] = False
         starts = np.flatnonzero(edge)
         ends = np.append(starts[1:], len(flat))
@@ -217,31 +237,32 @@ class SegmentTable:
 
 
 def library_table(path: str) -> SegmentTable:
-    """A table over a file of the tokenizers library, whose pattern is known to allow the cuts."""
+    """A table over a file of the tokenizers library, whose pattern is known to allow the cuts.
+
+    Ids are those of the library as it stands: a special token's string in a text is that token.
+    """
     from tokenizers import Tokenizer
 
-    whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
-    joined = Tokenizer.from_file(path)
-    mark, mark_id = next((t.content, i) for i, t in joined.get_added_tokens_decoder().items() if t.content == "<|endoftext|>")
+    library = Tokenizer.from_file(path)
+    specials = {t.content: i for i, t in library.get_added_tokens_decoder().items()}
+    mark = "<|endoftext|>"
 
     def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        # segments are encoded many at a time, parted by a special token; those that hold a string of
-        # such a token go alone, as ordinary text
-        if any("<|" in text for text in texts):
-            found = [np.array(one.ids, np.int32) for one in whole.encode_batch(texts, add_special_tokens=False)]
+        # segments are encoded many at a time, parted by a special token; those that are one go alone
+        if any(special in text for text in texts for special in specials):
+            found = [np.array(one.ids, np.int32) for one in library.encode_batch(texts, add_special_tokens=False)]
             return np.concatenate(found), np.array([len(x) for x in found], np.int64)
         flats, counts = [], []
         for low in range(0, len(texts), 1000):
-            ids = np.array(joined.encode(mark.join(texts[low : low + 1000]), add_special_tokens=False).ids, np.int32)
-            at = np.flatnonzero(ids == mark_id)
+            ids = np.array(library.encode(mark.join(texts[low : low + 1000]), add_special_tokens=False).ids, np.int32)
+            at = np.flatnonzero(ids == specials[mark])
             counts.append(np.diff(np.concatenate([[-1], at, [len(ids)]])) - 1)
             flats.append(np.delete(ids, at))
         return np.concatenate(flats), np.concatenate(counts)
 
-    if whole.normalizer is None:
-        return SegmentTable(encode, spaced_cut)
-    return SegmentTable(encode, words_cut, drop_space=True)
+    if library.normalizer is None:
+        return SegmentTable(encode, spaced_cut, whole=tuple(specials))
+    return SegmentTable(encode, words_cut, drop_space=True, whole=tuple(specials))
 
 
 _ROOT = np.uint64(0x9E3779B97F4A7C15)

@@ -33,6 +33,8 @@ HARD = [
     " ",
     "don't 's 'tis ..'s",
     "a<|endoftext|>b",
+    " 1 <|endoftext|> \n<|startoftext|><|endoftext|><|endoftext|>'s <|EndOfText|> <|endoftext",
+    "|>begins as the one before ended <|",
     "École Ünï ΣΣ \n\n x ​ 日本",
     "tail \n ",
     "a" * 5000 + " b" * 300,
@@ -65,7 +67,6 @@ def test_segments_give_the_ids_of_whole_texts():
     texts = HARD + [words(50, 7)]
     for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
         whole = Tokenizer.from_file(public_tokenizers.path(name))
-        whole.encode_special_tokens = True
         table = segments.library_table(public_tokenizers.path(name))
         flat, offsets = segments.utf8(pa.array(texts))
         for _ in range(2):  # from the library, then from the table
@@ -83,7 +84,6 @@ def test_token_records_round_trip(spark, docs, no_docs):
     token_records.write_records(docs, path, file, end_id=2)
     rows = token_records.read_records(spark, path).orderBy("start").collect()
     whole = Tokenizer.from_file(file)
-    whole.encode_special_tokens = True
     assert [r["doc_id"] for r in rows][:3] == [None, 0, 1] and len(rows) == docs.count()
     start, texts = 0, dict(enumerate(HARD))
     for row in rows:
@@ -268,7 +268,7 @@ def test_packing_pieces_are_the_documents(spark):
 
     file = public_tokenizers.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(file)
-    texts = {1: words(900, 1), 2: None, 3: "", 4: words(30, 4), 5: words(3000, 5)}
+    texts = {1: words(900, 1), 2: None, 3: "", 4: words(30, 4), 5: words(3000, 5), 6: "a <|endoftext|> b" * 200}
     table = spark.createDataFrame([(i, t, 0) for i, t in texts.items()], "doc_id long, text string, row long")
     rows = bin_packing.packed(table, file, capacity=256).collect()
     for i, text in texts.items():
