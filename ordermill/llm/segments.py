@@ -10,6 +10,7 @@ arrays, without a Python object per word.
 from __future__ import annotations
 
 import ctypes
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -243,18 +244,23 @@ def library_table(path: str) -> SegmentTable:
     """
     from tokenizers import Tokenizer
 
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     library = Tokenizer.from_file(path)
     specials = {t.content: i for i, t in library.get_added_tokens_decoder().items()}
     mark = "<|endoftext|>"
 
+    def encoded(texts: list[str]) -> Iterator[list[int]]:
+        # the same ids as encode, without the places of tokens in texts
+        return (one.ids for one in library.encode_batch_fast(texts, add_special_tokens=False))
+
     def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         # segments are encoded many at a time, parted by a special token; those that are one go alone
         if any(special in text for text in texts for special in specials):
-            found = [np.array(one.ids, np.int32) for one in library.encode_batch(texts, add_special_tokens=False)]
+            found = [np.array(ids, np.int32) for ids in encoded(texts)]
             return np.concatenate(found), np.array([len(x) for x in found], np.int64)
         flats, counts = [], []
         for low in range(0, len(texts), 1000):
-            ids = np.array(library.encode(mark.join(texts[low : low + 1000]), add_special_tokens=False).ids, np.int32)
+            ids = np.array(next(encoded([mark.join(texts[low : low + 1000])])), np.int32)
             at = np.flatnonzero(ids == specials[mark])
             counts.append(np.diff(np.concatenate([[-1], at, [len(ids)]])) - 1)
             flats.append(np.delete(ids, at))
