@@ -8,11 +8,14 @@ subset, distinct and sorted, are hashed in order.  The likeness of two fingerpri
 hashes, so that small subsets tell texts that have little in common from those that have nothing.  Where a
 document has no term of a subset, the hash of all its terms stands in its place.
 
-Document frequencies come from all documents.  They are counted by the low ``SLOT_BITS`` bits of a term's
-hash, and terms that share these are in the lexicon together or not at all.  The lexicon is therefore a bitmap
-of one size for every corpus (2 MB), and a document's lexicon terms are found by looking at it where the text is
-read: neither the terms nor the lexicon are shuffled.  Subsets go by the bits above those; those of one size
-have no term in common.
+Document frequencies come from all documents.  Documents are first counted by the low ``SLOT_BITS`` bits of
+their terms' hashes; a term is at most as frequent as its slot, so only terms of frequent slots are then counted
+one by one, and the multitude of rare terms is never shuffled.  The terms within the band are marked in a bitmap
+of one size for every corpus (2 MB), each by ``MARKS`` bits, and a document's lexicon terms are those that find
+all of theirs, where the text is read.  There are at most 1 / ``BAND[0]`` times as many terms in the band as
+distinct terms in a document on average; with 100,000 of them one in 180,000 other terms is taken for one of
+them, with a million one in 230, and the same ones in every text.  Subsets go by bits of the hash; those of one
+size have no term in common.
 
 ``neighbours`` finds each document's successor without gathering the table: ids are sorted by range, each
 partition looks ahead on its own, and only the partitions' first rows meet in one place.
@@ -41,8 +44,8 @@ BAND = (0.002, 0.04)
 #: for short, usual and long texts are needed.
 SUBSETS = ((8, 2), (32, 12), (128, 16), (1024, 8))
 PARTS = 1 + sum(number for _, number in SUBSETS)
-#: Low bits of a term's hash by which documents are counted.
-SLOT_BITS = 24
+#: Bits of a place in the bitmaps, and how far apart in a term's hash the places of its marks begin.
+SLOT_BITS, MARKS = 24, (0, 20, 40)
 #: Rows of a repeated document that are written from one array.
 REPEATED = 4096
 #: What names a document: whether its id is null, the id (0 for null), a hash of its text.
@@ -64,29 +67,54 @@ def terms(text: Column) -> Column:
     return F.sort_array(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))))
 
 
-def lexicon(texts: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
-    """One row with the bitmap of the slots within the band, as ``bits``, an array of longs."""
-    slots = F.array_distinct(F.transform(terms(F.col("text")), lambda t: t.bitwiseAND(F.lit((1 << SLOT_BITS) - 1))))
-    used = texts.select(F.explode(slots).alias("slot")).groupBy("slot").agg(F.count(F.lit(1)).alias("documents"))
-    total = texts.agg(F.count(F.lit(1)).alias("total"))
-    # one row with the number of documents
-    share = F.col("documents") / total.scalar()
-    inside = used.where((share >= band[0]) & (share <= band[1]))
+def slot(term: Column, low: int = 0) -> Column:
+    return F.shiftright(term, low).bitwiseAND(F.lit((1 << SLOT_BITS) - 1))
+
+
+def bitmap(slots: DataFrame) -> DataFrame:
+    """One row, ``bits``: an array of longs with a bit set for each ``slot``."""
     bit = F.expr("shiftleft(1L, cast(slot & 63 AS int))")
-    some = inside.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
-    every = texts.sparkSession.range(1 << (SLOT_BITS - 6)).withColumnRenamed("id", "word").join(some, "word", "left")
+    some = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    every = slots.sparkSession.range(1 << (SLOT_BITS - 6)).withColumnRenamed("id", "word").join(some, "word", "left")
     # as many rows as the bitmap has words, whatever the table
     ordered = F.sort_array(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0)).alias("bits"))))
     return written(every.agg(ordered.alias("words")).select(F.col("words.bits").alias("bits")), "lexicon")
 
 
+def is_set(bits: str, at: Column) -> Column:
+    return F.getbit(F.get(bits, F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
+def band_terms(texts: DataFrame, band: tuple[float, float]) -> DataFrame:
+    """The terms whose share of the rows of ``texts`` lies within the band."""
+    total = texts.agg(F.count(F.lit(1)).alias("total"))
+    # one row with the number of documents
+    share = F.col("documents") / total.scalar()
+    listed = texts.select(terms(F.col("text")).alias("terms"))
+    slots = F.array_distinct(F.transform("terms", lambda t: slot(t)))
+    used = listed.select(F.explode(slots).alias("slot")).groupBy("slot").agg(F.count(F.lit(1)).alias("documents"))
+    frequent = bitmap(used.where(share >= band[0]).select("slot"))
+    asked = listed.select("terms", frequent.scalar().alias("__bits"))
+    asked = asked.select(F.explode(F.filter("terms", lambda t: is_set("__bits", slot(t)))).alias("term"))
+    counted = asked.groupBy("term").agg(F.count(F.lit(1)).alias("documents"))
+    return counted.where((share >= band[0]) & (share <= band[1])).select("term")
+
+
+def lexicon(texts: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
+    """One row with the bitmap of the marks of the band's terms, as ``bits``."""
+    marks = F.array(*[slot(F.col("term"), low) for low in MARKS])
+    return bitmap(band_terms(texts, band).select(F.explode(marks).alias("slot")))
+
+
 def with_fingerprint(texts: DataFrame, column: str, words: DataFrame, name: str) -> DataFrame:
     """``texts`` with ``name`` (a hash for the lexicon and each subset) in place of the text in ``column``."""
     others = [c for c in texts.columns if c != column]
 
     def in_lexicon(term: Column) -> Column:
-        word = F.shiftright(term, 6).bitwiseAND(F.lit((1 << (SLOT_BITS - 6)) - 1))
-        return F.getbit(F.get("__bits", word.cast("int")), term.bitwiseAND(F.lit(63)).cast("int")) == 1
+        inside = is_set("__bits", slot(term, MARKS[0]))
+        for low in MARKS[1:]:
+            inside = inside & is_set("__bits", slot(term, low))
+        return inside
 
     def member(bits: Column, value: Column) -> Callable[[Column], Column]:
         return lambda term: term.bitwiseAND(bits) == value

@@ -5,10 +5,13 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import struct
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from ordermill.llm import (
@@ -213,6 +216,55 @@ def test_fingerprints_have_a_row_for_every_row(spark, monkeypatch):
     assert {(r["doc_id"], r["n_chars"], r["n_rows"]) for r in got} >= {(3, len(words(40, 3)), 8), (None, 4, 2), (9, 200_000, 1)}
 
 
+def _signed(data: bytes, seed: int = 42) -> int:
+    """Spark's xxhash64 of one value, whose seed is the value before it."""
+    value = xxhash.xxh64_intdigest(data, seed % (1 << 64))
+    return value - (1 << 64) if value >> 63 else value
+
+
+def _fingerprint(text: str, lexicon: set[int]) -> list[int]:
+    def folded(seed: int, values: list[int]) -> int:
+        for value in values:
+            seed = _signed(struct.pack("<q", value), seed)
+        return seed
+
+    every = sorted({_signed(w.encode()) for w in re.findall("[a-z0-9]+", text.lower())})
+    kept = [t for t in every if t in lexicon]
+    subsets, low = [kept], imatch.SLOT_BITS
+    for one_in, number in imatch.SUBSETS:
+        subsets += [[t for t in kept if t >> low & (one_in - 1) == k] for k in range(number)]
+        low += one_in.bit_length() - 1
+    whole = folded(_signed(b"all"), every)
+    return [folded(_signed(struct.pack("<i", k)), own) if own else whole for k, own in enumerate(subsets)]
+
+
+@pytest.mark.parametrize("slot_bits", [24, 8])
+def test_fingerprints_are_as_by_brute_force(spark, monkeypatch, slot_bits):
+    """With slots for 256 terms only, the terms of a slot are still counted one by one."""
+    band = (0.1, 0.3)
+    texts = {3 * i: words(5 + 17 * (i % 9), i) for i in range(40)} | {7: "", 8: words(60, 1) + " Extra", 200: words(60, 1)}
+    held = {i: {_signed(w.encode()) for w in re.findall("[a-z0-9]+", t.lower())} for i, t in texts.items()}
+    times = Counter(t for own in held.values() for t in own)
+    lexicon = {t for t, n in times.items() if band[0] <= n / len(texts) <= band[1]}
+    assert 20 < len(lexicon) < len(times)
+    table = spark.createDataFrame([(i, t or None) for i, t in texts.items()], "doc_id long, text string")
+    monkeypatch.setattr(imatch, "SLOT_BITS", slot_bits)
+    found = {r["term"] for r in imatch.band_terms(imatch.keyed(table), band).collect()}
+    assert found == lexicon
+    if slot_bits < 24:
+        return
+    shown = lambda parts: "-".join(f"{h % (1 << 64):016x}" for h in parts)
+    alike = lambda a, b: sum(x == y for x, y in zip(a, b, strict=True)) / imatch.PARTS
+    rows = {r["doc_id"]: r for r in imatch.near_report(table, band).collect()}
+    ids = sorted(texts)
+    for i, after in zip(ids, [*ids[1:], ids[0]], strict=True):
+        half = len(texts[i]) // 2
+        own, following = _fingerprint(texts[i], lexicon), _fingerprint(texts[after], lexicon)
+        edited = _fingerprint(texts[i][: len(texts[i]) - half] + texts[after][:half], lexicon)
+        assert rows[i]["fingerprint"] == shown(own) and rows[i]["edited_fingerprint"] == shown(edited)
+        assert rows[i]["near_edited"] == alike(own, edited) and rows[i]["near_next"] == alike(own, following)
+
+
 def test_nearest_answers_every_query(spark):
     """A lone vector far from all others, huge and tiny components, ties and repeated ids."""
     rng = np.random.default_rng(3)
