@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import ctypes
 import os
+import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -247,24 +249,44 @@ def library_table(path: str) -> SegmentTable:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     library = Tokenizer.from_file(path)
     specials = {t.content: i for i, t in library.get_added_tokens_decoder().items()}
-    mark = "<|endoftext|>"
-
-    def encoded(texts: list[str]) -> Iterator[list[int]]:
-        # the same ids as encode, without the places of tokens in texts
-        return (one.ids for one in library.encode_batch_fast(texts, add_special_tokens=False))
+    mark, model = "<|endoftext|>", library.model
+
+    def shown(text: str) -> str:
+        """What the model is given for a text that is one word."""
+        if library.normalizer is not None:
+            text = library.normalizer.normalize_str(text)
+        return "".join(part for part, _ in library.pre_tokenizer.pre_tokenize_str(text))
+
+    letters = {ord(x): shown(x) for x in map(chr, [*range(65, 91), *range(97, 123), *range(0xC0, 0x100)]) if x.isalpha()}
+    word = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+    if library.normalizer is None:  # a space belongs to the word after it
+        letters[ord(" ")] = shown(" a").removesuffix("a")
+        word = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+    def plain(texts: list[str]) -> Iterator[list[int]]:
+        # a word of these letters is one word to the library's pattern too, so its model can be asked at once
+        for text in "\n".join(texts).translate(letters).split("\n"):
+            yield [token.id for token in model.tokenize(text)]
+
+    def other(texts: list[str]) -> Iterator[np.ndarray]:
+        # encoded many at a time, parted by a special token; segments that are one go alone
+        for low in range(0, len(texts), 100):
+            some = texts[low : low + 100]
+            if any(special in text for text in some for special in specials):
+                yield from (np.array(one.ids, np.int32) for one in library.encode_batch_fast(some, add_special_tokens=False))
+            else:
+                # the same ids as encode, without the places of tokens in texts
+                ids = np.array(library.encode_batch_fast([mark.join(some)], add_special_tokens=False)[0].ids, np.int32)
+                at = np.flatnonzero(ids == specials[mark])
+                yield from (x[i > 0 :] for i, x in enumerate(np.split(ids, at)))
 
     def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        # segments are encoded many at a time, parted by a special token; those that are one go alone
-        if any(special in text for text in texts for special in specials):
-            found = [np.array(ids, np.int32) for ids in encoded(texts)]
-            return np.concatenate(found), np.array([len(x) for x in found], np.int64)
-        flats, counts = [], []
-        for low in range(0, len(texts), 1000):
-            ids = np.array(next(encoded([mark.join(texts[low : low + 1000])])), np.int32)
-            at = np.flatnonzero(ids == specials[mark])
-            counts.append(np.diff(np.concatenate([[-1], at, [len(ids)]])) - 1)
-            flats.append(np.delete(ids, at))
-        return np.concatenate(flats), np.concatenate(counts)
+        is_word = [word.fullmatch(text) is not None for text in texts]
+        words = plain([text for text, one in zip(texts, is_word, strict=True) if one])
+        rest = other([text for text, one in zip(texts, is_word, strict=True) if not one])
+        found = [next(words) if one else next(rest) for one in is_word]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum())), counts
 
     if library.normalizer is None:
         return SegmentTable(encode, spaced_cut, whole=tuple(specials))
