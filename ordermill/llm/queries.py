@@ -67,9 +67,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    planted = spark.createDataFrame(
-        [(-1, 0, "user", HOSTILE), (-1, 1, "assistant", HOSTILE)], "conv_id long, turn long, role string, text string"
-    )
+    said = [
+        F.struct(F.lit(-1).cast("long").alias("conv_id"), F.lit(turn).cast("long").alias("turn"), F.lit(role).alias("role"), F.lit(HOSTILE).alias("text"))
+        for turn, role in enumerate(("user", "assistant"))
+    ]
+    planted = spark.range(1).select(F.inline(F.array(*said)))
     return chat_grammar.read_back(chat_grammar.formatted(rows.unionByName(planted)))
 
 
