@@ -49,8 +49,8 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: Learned models and packing are not expressed in SQL; near duplicates and packing are tested against brute force,
-#: language and quality against held-out labels.
+#: Learned models and packing are not expressed in SQL; every stage and the rows of ``run`` are tested against
+#: brute force in plain Python.
 ORACLE_SQL = None
 
 
