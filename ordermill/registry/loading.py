@@ -8,7 +8,7 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
-from ordermill.functions.values import parse_as, ratio
+from ordermill.functions.values import ratio
 from ordermill.model import SOURCE, STAR, struct
 from ordermill.operators.calendar import calendar, missing_days
 from ordermill.operators.keyed import conform, top_per_key
@@ -22,7 +22,7 @@ from ordermill.registry.reporting import DAY_REVENUE
 from ordermill.registry.sqltext import mean, number, share, sql
 from ordermill.registry.transforming import over_typed, typed
 from ordermill.session import shared_folder, side_by_side
-from ordermill.sources import ingest, layout, publish, trade, trade_drops, trade_raw
+from ordermill.sources import ingest, layout, publish, trade, trade_raw
 from ordermill.sources.lake import Lake
 from ordermill.sources.star import Star
 from ordermill.sources.warehouse import Warehouse
@@ -223,17 +223,16 @@ def _loaded_revenue(spark, folder):
 
 
 def _history(spark, folder):
-    """Order history by year, and what is read of it strictly before 1999."""
+    """Raw orders cleaned and stored by year, and what is read of them strictly before 1999.
+
+    Orders without a readable date lie in the first year's partition.
+    """
     lake = Lake(spark, shared_folder(spark, "history"))
-    sound = trade_drops.as_raw(trade_drops.orders(spark, folder).withColumn("_copy", F.lit(0)), "orders")
-    clean = evaluate.normalise(sound, "orders").select(
-        *(parse_as(F.col(f.name), f.dataType).alias(f.name) for f in SOURCE["orders"]),
-        *evaluate.LINEAGE_COLUMNS,
-    )
-    placed = conforming.conformed("orders", clean, "r1")
-    placed.withColumns(
-        {"year": F.year("order_date"), "month": F.lit(1), "day": F.lit(1)}
-    ).write.partitionBy("year", "month", "day").parquet(lake.uri("processed/orders"))
+    placed = conforming.conformed("orders", typed(spark, folder, "orders"), "r1")
+    filed = F.coalesce(F.year("order_date"), F.lit(date.fromisoformat(trade.FIRST_DAY).year))
+    placed.withColumns({"year": filed, "month": F.lit(1), "day": F.lit(1)}).write.partitionBy(
+        "year", "month", "day"
+    ).parquet(lake.uri("processed/orders"))
     return (
         lake.history("orders", date(1999, 1, 1))
         .groupBy(F.year("order_date").alias("year"))
@@ -604,11 +603,11 @@ SQL = {
                   CAST(SUM(order_amount) AS DECIMAL(22,2)) AS amount, CAST(1 AS BIGINT) AS sources
            FROM t_orders"""
     ),
-    "src_history_before": sql(
-        """SELECT CAST(year(order_date) AS INTEGER) AS year, COUNT(*) AS orders,
+    "src_history_before": over_typed(
+        """SELECT CAST(year(order_timestamp) AS INTEGER) AS year, COUNT(*) AS orders,
                   CAST(SUM(order_amount) AS DECIMAL(20,2)) AS amount
-           FROM ord WHERE year(order_date) < 1999 GROUP BY 1""",
-        "ord",
+           FROM t_orders WHERE year(order_timestamp) < 1999 OR order_timestamp IS NULL
+           GROUP BY 1"""
     ),
     "snk_replace_partition": """
         SELECT DATE '2001-06-29' AS day, COUNT(*) AS records FROM customer

@@ -51,3 +51,14 @@ def test_gate_is_passed_and_stops(spark):
     stopped = all_queries()["run_gate_stopped"](spark, str(FOLDER)).collect()
     failed = {(r["name"], r["dataset"]) for r in stopped if r["status"] == "FAILED"}
     assert failed == {("validation", "payments"), ("validation", "_pipeline"), ("pipeline", "_pipeline")}
+
+
+def test_history_holds_raw_orders(spark, duck):
+    """Damaged dates too: an order without a readable one is read with the first year's."""
+    rows = {r["year"]: r["orders"] for r in all_queries()["src_history_before"](spark, str(FOLDER)).collect()}
+    undated, dated = duck.execute(
+        """SELECT COUNT(*) FILTER (WHERE unread), COUNT(*) FILTER (WHERE NOT unread AND year(o_orderdate) < 1999)
+           FROM (SELECT *, o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'P' AS unread FROM orders)"""
+    ).fetchone()
+    assert undated and rows.pop(None) == undated
+    assert sum(rows.values()) == dated and max(rows) == 1998
