@@ -29,6 +29,17 @@ FIRST, SECOND = date(2001, 12, 30), date(2001, 12, 31)
 #: Orders from this day on come with the second drop.
 SPLIT = "1998-07-01"
 LIGHT, HEAVY = 1000, 10
+#: Records of a drop's file where a drop has more than three files.
+FILE_RECORDS = 500_000
+#: The given table whose rows are a dataset's records, or more.
+_FROM = {
+    "customers": "customer",
+    "restaurants": "supplier",
+    "delivery_partners": "part",
+    "orders": "orders",
+    "payments": "lineitem",
+    "delivery": "orders",
+}
 
 
 def _run(spark, root: str, day: date, load_type: str) -> daily_run.Run:
@@ -244,7 +255,10 @@ def _headers(spark, folder):
 
 def _counts(spark, folder):
     """All six datasets as drops of several files, some of them with values that span lines: what was
-    read, what was written, and the row numbers given."""
+    read, what was written, and the row numbers given.
+
+    A larger table gives more files, not larger ones, as a file with values that span lines is read whole.
+    """
     root = shared_folder(spark, "counts")
     lake = Lake(spark, f"{root}/lake")
     text = {"customers": "customer_name", "restaurants": "restaurant_name"}
@@ -255,7 +269,8 @@ def _counts(spark, folder):
             two_lines = F.concat(text[name], F.lit('\n, "known" too'))
             value = F.when(F.col(BASE) % 3 == 0, two_lines).otherwise(F.col(text[name]))
             records = records.withColumn(text[name], value)
-        trade_drops.write_drop(records.repartition(3), f"{root}/drops", name, "historical", FIRST)
+        files = max(3, trade.read(spark, folder, _FROM[name]).count() // FILE_RECORDS)
+        trade_drops.write_drop(records.repartition(files), f"{root}/drops", name, "historical", FIRST)
         return ingest.ingest(lake, f"{root}/drops", name, "historical", FIRST, "r1")
 
     results = side_by_side([partial(one, name) for name in SOUND])

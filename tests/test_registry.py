@@ -62,3 +62,23 @@ def test_history_holds_raw_orders(spark, duck):
     ).fetchone()
     assert undated and rows.pop(None) == undated
     assert sum(rows.values()) == dated and max(rows) == 1998
+
+
+def test_larger_tables_give_more_files_of_a_drop(spark, duck, monkeypatch):
+    """No task of ``src_counts`` writes or reads a fixed share of a table."""
+    from ordermill.registry import running
+
+    rows, files, write = {}, {}, running.trade_drops.write_drop
+
+    def spy(records, root, name, *rest):
+        write(records, root, name, *rest)
+        drop = running.Lake(spark, root).names(running.layout.drop(name, "historical", running.FIRST))
+        files[name] = sum(part.startswith("part-") for part in drop)
+
+    monkeypatch.setattr(running, "FILE_RECORDS", 500)
+    monkeypatch.setattr(running.trade_drops, "write_drop", spy)
+    all_queries()["src_counts"](spark, str(FOLDER)).collect()
+    for name, table in (("customers", "customer"), ("orders", "orders"), ("payments", "lineitem")):
+        rows[name] = duck.execute(f"SELECT COUNT(*) FROM {table}").fetchone()[0]
+        assert files[name] == max(3, rows[name] // 500)
+    assert files["payments"] > 3
