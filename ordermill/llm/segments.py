@@ -27,6 +27,15 @@ KEPT = 600_000
 SLICE = 4_000_000
 
 
+def give_back() -> None:
+    """Freed memory of this process back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not the GNU C library
+        pass
+
+
 def thrifty(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
     """``work`` as a task for ``mapInArrow`` that gives freed memory back to the system when it ends.
 
@@ -35,11 +44,7 @@ def thrifty(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from work(batches)
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except AttributeError:  # not the GNU C library
-            pass
+        give_back()
 
     return run
 

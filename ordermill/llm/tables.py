@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
+from ordermill.llm.segments import give_back
 from ordermill.session import shared_folder
 
 
@@ -15,9 +17,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written to the shared folder and read back, which cuts its lineage."""
+    """``df`` written to the shared folder and read back, which cuts its lineage.
+
+    Handles of plans that are no longer needed go with it, and what the driver learned from them: an
+    operator of many steps would otherwise keep all its plans until Python happens to look.
+    """
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
+    gc.collect()
+    give_back()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -518,3 +518,26 @@ def test_pipeline_keeps_columns_and_removes_copies(spark):
     assert kept.groupBy("text").count().where("count > 1").count() == 0
     rows = corpus_pipeline.packing(spark, kept, folder)
     assert rows.select("doc_id").distinct().count() == kept.count()
+
+
+def test_written_lets_go_of_unreachable_plans(spark):
+    """Plans that only a cycle of Python objects holds are let go with the next written table."""
+    import gc
+    import weakref
+
+    from ordermill.llm import tables
+
+    class Step:
+        pass
+
+    gc.disable()
+    try:
+        step = Step()
+        step.frame, step.itself = spark.range(10), step
+        held = weakref.ref(step.frame)
+        del step
+        assert held() is not None
+        assert tables.written(spark.range(3).toDF("n"), "let-go").count() == 3
+        assert held() is None
+    finally:
+        gc.enable()
