@@ -518,6 +518,32 @@ def _compare(table: pa.Table, per_cent: int) -> pa.Table:
     )
 
 
+_SIDES = "region long, cell int, low array<float>, high array<float>"
+
+
+def _sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The least ``low`` and the greatest ``high`` for each pivot, of each cell's rows in a batch.  Rows of a
+    region have as many of them as it has pivots."""
+    for batch in batches:
+        regions = batch.column("region").to_numpy()
+        for region in np.unique(regions).tolist():
+            some = batch.filter(pa.array(regions == region))
+            cells, back = np.unique(some.column("cell").to_numpy(), return_inverse=True)
+            order = np.argsort(back, kind="stable")
+            starts = np.searchsorted(back[order], np.arange(len(cells)))
+            sides = []
+            for name, least in (("low", np.minimum), ("high", np.maximum)):
+                values = some.column(name).flatten().to_numpy().reshape(len(order), -1)
+                sides.append(pa.array(list(least.reduceat(values[order], starts)), pa.list_(pa.float32())))
+            columns = [pa.array([region] * len(cells), pa.int64()), pa.array(cells, pa.int32()), *sides]
+            yield pa.RecordBatch.from_arrays(columns, names=["region", "cell", "low", "high"])
+
+
+def _sides_of_cell(table: pa.Table) -> pa.Table:
+    """:func:`_sides` of all rows of a cell."""
+    return pa.Table.from_batches(_sides(iter(table.combine_chunks().to_batches())))
+
+
 def _large(regions: DataFrame) -> DataFrame:
     """Regions that one task does not join whole, with their number of members."""
     sizes = regions.groupBy("region").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
@@ -580,25 +606,28 @@ def _round(regions: DataFrame, large: DataFrame, sets: DataFrame, per_cent: int)
     counted = marked.groupBy("region").agg((F.avg(F.col("settled").cast("int")) >= SETTLES).alias("again"))
     opened = marked.where("NOT settled").join(counted, "region").withColumnRenamed("cell", "home")
 
-    # the sides of each cell, from one aggregate for each pivot
-    side = lambda of: F.array(*(of(F.get("distances", F.lit(i))) for i in range(PIVOTS)))
     near = F.forall(
         F.arrays_zip("distances", "low", "high"),
-        lambda x: x["distances"].isNull() | ((x["distances"] >= x["low"] - radius) & (x["distances"] <= x["high"] + radius)),
+        lambda x: (x["distances"] >= x["low"] - radius) & (x["distances"] <= x["high"] + radius),
     )
 
     def visited(rows: DataFrame, cells_of: DataFrame, which: Column) -> DataFrame:
-        boxes = cells_of.groupBy("region", "cell").agg(side(F.min).alias("low"), side(F.max).alias("high"))
-        return rows.join(boxes, "region").where(near & which).select("region", "cell", "node")
+        distance = F.col("distances")
+        parts = cells_of.select("region", "cell", distance.alias("low"), distance.alias("high")).mapInArrow(_sides, _SIDES)
+        boxes = parts.groupBy("region", "cell").applyInArrow(_sides_of_cell, _SIDES)
+        # written, as the meeting reads them twice
+        return written(rows.join(boxes, "region").where(near & which).select("region", "cell", "node"), "visits")
 
     # open sets with settled ones
-    met_settled = visited(opened, marked.where("settled"), F.lit(True))
-    links.append(_meet(marked.where("settled").select("region", "cell", "node"), met_settled, sets, per_cent))
+    settled_ones = marked.where("settled")
+    meetings = [(settled_ones, visited(opened, settled_ones, F.lit(True)))]
     # open sets with each other, where little was settled: each goes to its own cell and to those before it
     last = opened.where("NOT again")
     homes = last.withColumnRenamed("home", "cell")
-    met_open = visited(last, homes, F.col("cell") <= F.col("home"))
-    links.append(_meet(homes.select("region", "cell", "node"), met_open, sets, per_cent))
+    meetings.append((homes, visited(last, homes, F.col("cell") <= F.col("home"))))
+    for members, visits in meetings:
+        if not visits.isEmpty():
+            links.append(_meet(members.select("region", "cell", "node"), visits, sets, per_cent))
     left = opened.where("again").select(F.xxhash64("region", F.lit("open")).alias("region"), "node")
     return links, left.withColumn("share", F.lit(0.0))
 

@@ -474,6 +474,29 @@ def test_jaccard_rounds_are_exact(spark, monkeypatch, clusters):
     assert found == brute_components(texts, 4, 85)
 
 
+def test_jaccard_rounds_have_short_plans(spark, monkeypatch, capsys):
+    """The driver holds every plan of a round while it runs: none has a column for each pivot, or a step twice."""
+    monkeypatch.setattr(jaccard_regions, "WHOLE", 8)
+    plans, write = [], jaccard_regions.written
+
+    def written(df, purpose):
+        df.explain()
+        plans.append((len(capsys.readouterr().out), purpose))
+        return write(df, purpose)
+
+    monkeypatch.setattr(jaccard_regions, "written", written)
+    rng, base, texts = random.Random(5), words(60, 78).split(), {}
+    for k in range(100):
+        copy = list(base)
+        for _ in range(rng.randrange(5)):
+            copy[rng.randrange(len(copy))] = f"w{rng.randrange(10**6)}"
+        texts[k] = " ".join(copy)
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in jaccard_regions.classes(table, 4, 85).collect()}
+    assert found == brute_components(texts, 4, 85)
+    assert max(plans)[0] < 30_000, max(plans)
+
+
 def test_near_duplicates_keep_clashing_columns(spark):
     rows = [(1, words(40, 1), 7, "x"), (2, words(40, 1), 8, "y"), (1, words(40, 1), 7, "x"), (3, None, 9, None)]
     table = spark.createDataFrame(rows, "doc_id long, text string, __row long, row_0 string")
