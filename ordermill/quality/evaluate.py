@@ -97,6 +97,15 @@ def breaks(dataset: str, *rules: Rule) -> Column:
     return F.col(BROKEN).bitwiseAND(F.lit(sum(_bit(dataset, r) for r in rules))) != 0
 
 
+def breaks_only(dataset: str, rule: Rule) -> Column:
+    """Whether a tagged record breaks ``rule`` and no other.
+
+    Looks at the bits once: Spark puts the rules themselves in the place of a column that it filters by, as
+    often as the filter names it.
+    """
+    return F.col(BROKEN) == F.lit(_bit(dataset, rule))
+
+
 def held_back(dataset: str) -> Column:
     """Whether a tagged record breaks a rule of severity ERROR."""
     return breaks(dataset, *(r for r in CATALOG[dataset] if r.severity == ERROR))

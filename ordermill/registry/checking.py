@@ -133,7 +133,8 @@ def _quarantined_orders(spark, folder):
 def _cascade(spark, folder):
     """Payments held back only because their order was held back."""
     tagged = _tagged(spark, folder, "payments")["payments"]
-    return tagged.where(evaluate.broken_ids("payments") == "DQ-PAY-003").select(
+    rule = next(r for r in CATALOG["payments"] if r.rule_id == "DQ-PAY-003")
+    return tagged.where(evaluate.breaks_only("payments", rule)).select(
         "payment_id", "order_id", F.col("_source_row_number").alias("position")
     )
 

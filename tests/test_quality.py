@@ -10,6 +10,7 @@ from ordermill.model import DATASETS, LINEAGE, SOURCE
 from ordermill.quality import evaluate, report
 from ordermill.quality.catalog import CATALOG, parents_of
 from ordermill.quality.rules import Scope, WARN
+from ordermill.registry.checking import QUERIES
 
 RUN_DATE = date(2026, 9, 29)
 RULES = {rule.rule_id: (name, rule) for name, rules in CATALOG.items() for rule in rules}
@@ -220,3 +221,21 @@ def test_gate():
         report.enforce_gate([make_report(9500, 10000), make_report(9499, 10000)])
     assert make_report(0, 0)["status"] == "NO_DATA"
     assert make_report(1, 2)["status"] == "FAILED"
+
+
+def test_cascade_looks_at_each_rule_once(spark, capsys):
+    """Spark puts the rules in the place of the column that holds their bits; no filter names it for each rule."""
+    found = QUERIES["dq_cascade"](spark, "/root/testdata/sf0.001")
+    found.explain()
+    filters = [line for line in capsys.readouterr().out.splitlines() if "Filter" in line]
+    assert max(line.count("CASH") for line in filters) == 1
+    rows = [{"payment_id": "p1", "order_id": "o1"}, {"payment_id": "p2", "order_id": "o2", "payment_amount": "-1"}]
+    _, rule = RULES["DQ-PAY-003"]
+    fine = {"payment_amount": "1", "payment_status": "SUCCESS", "payment_method": "UPI", "payment_date": "2026-09-01 00:00:00"}
+    known = {"orders": spark.createDataFrame([("o3",)], "order_id string")}
+    scope = Scope(SOURCE["payments"], RUN_DATE, known)
+    rows.append({"payment_id": "p3", "order_id": "o3"})
+    tagged = evaluate.tag(raw(spark, "payments", [fine | row for row in rows]), "payments", scope)
+    only = tagged.where(evaluate.breaks_only("payments", rule)).select("payment_id").collect()
+    by_ids = tagged.where(evaluate.broken_ids("payments") == "DQ-PAY-003").select("payment_id").collect()
+    assert only == by_ids == [("p1",)]
