@@ -603,7 +603,8 @@ def _round(regions: DataFrame, large: DataFrame, sets: DataFrame, per_cent: int)
     marked = compared.where(F.col("node").isNotNull()).join(hub, "region", "left")
     settled = F.coalesce(F.arrays_overlap("links", "hub"), F.lit(False)).alias("settled")
     marked = written(marked.select("region", "node", settled, "cell", "distances"), "marked")
-    counted = marked.groupBy("region").agg((F.avg(F.col("settled").cast("int")) >= SETTLES).alias("again"))
+    # a row for each region, which five steps read
+    counted = written(marked.groupBy("region").agg((F.avg(F.col("settled").cast("int")) >= SETTLES).alias("again")), "counted")
     opened = marked.where("NOT settled").join(counted, "region").withColumnRenamed("cell", "home")
 
     near = F.forall(
@@ -622,9 +623,10 @@ def _round(regions: DataFrame, large: DataFrame, sets: DataFrame, per_cent: int)
     settled_ones = marked.where("settled")
     meetings = [(settled_ones, visited(opened, settled_ones, F.lit(True)))]
     # open sets with each other, where little was settled: each goes to its own cell and to those before it
-    last = opened.where("NOT again")
-    homes = last.withColumnRenamed("home", "cell")
-    meetings.append((homes, visited(last, homes, F.col("cell") <= F.col("home"))))
+    if not counted.where("NOT again").isEmpty():
+        last = opened.where("NOT again")
+        homes = last.withColumnRenamed("home", "cell")
+        meetings.append((homes, visited(last, homes, F.col("cell") <= F.col("home"))))
     for members, visits in meetings:
         if not visits.isEmpty():
             links.append(_meet(members.select("region", "cell", "node"), visits, sets, per_cent))
