@@ -59,6 +59,17 @@ def flag_unknown(child: DataFrame, column: str, known: DataFrame, flag: str) ->
     return joined.withColumn(flag, F.col("_known").isNull()).drop("_known")
 
 
+def unknown_keys(child: DataFrame, column: str, *parents: DataFrame) -> DataFrame:
+    """Distinct keys of ``child.column`` that occur in no parent, as ``_unknown_key``.
+
+    The keys that narrow the parents and those that are looked up are the same frame, so Spark shuffles them
+    once for both.
+    """
+    wanted = child.select(F.col(column).alias("_unknown_key"))
+    given = wanted.where(F.col("_unknown_key").isNotNull()).distinct()
+    return given.join(known_keys(wanted, *parents), "_unknown_key", "left_anti")
+
+
 def flag_unknown_written(
     child: DataFrame,
     column: str,
@@ -71,13 +82,34 @@ def flag_unknown_written(
     Distinct keys meet the known ones; the rows of ``child`` meet the written rest only, and are shuffled
     only where that is too large to be broadcast.
     """
-    given = child.select(F.col(column).alias("_unknown_key")).where(F.col(column).isNotNull())
-    keys = known.toDF("_unknown_key")
-    unknown = write(given.distinct().join(keys, "_unknown_key", "left_anti"))
-    marked = unknown.withColumn("_unknown", F.lit(True))
-    joined = splittable_left_join(child, marked, column, "_unknown_key")
-    missing = F.col(column).isNull() | F.col("_unknown").isNotNull()
-    return joined.withColumn(flag, missing).drop("_unknown")
+    unknown = write(unknown_keys(child, column, known))
+    joined, listed = with_unknown(child, column, unknown, flag)
+    return joined.withColumn(flag, F.col(column).isNull() | listed)
+
+
+def with_unknown(
+    child: DataFrame, column: str, unknown: DataFrame, name: str
+) -> tuple[DataFrame, Column]:
+    """``child`` with a column ``name``, and the condition on it that ``column`` is among ``unknown``, written
+    :func:`unknown_keys`.  Written keys are shuffled for the join, so AQE can split it as it is."""
+    right = unknown.withColumn(name, F.lit(True))
+    joined = child.join(right, F.col(column) == F.col("_unknown_key"), "left").drop("_unknown_key")
+    return joined, F.col(name).isNotNull()
+
+
+def first_positions(child: DataFrame, column: str, position: str) -> DataFrame:
+    """The first position ``_first`` of every non-null key and its number of copies, combined before the
+    shuffle, so a hot key is never gathered."""
+    return (
+        child.where(F.col(column).isNotNull())
+        .groupBy(F.col(column).alias("_repeated"))
+        .agg(F.min(position).alias("_first"), F.count(F.lit(1)).alias("_copies"))
+    )
+
+
+def repeated_keys(child: DataFrame, column: str, position: str) -> DataFrame:
+    """Keys of ``child.column`` with several copies, as ``_repeated``, and their ``_first`` positions."""
+    return first_positions(child, column, position).where("_copies > 1").drop("_copies")
 
 
 def flag_repeats(
@@ -94,20 +126,25 @@ def flag_repeats(
     write those keys first; the rows of ``child`` are then shuffled only where they are too many to be
     broadcast.
     """
-    firsts = (
-        child.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("_repeated"))
-        .agg(F.min(position).alias("_first"), F.count(F.lit(1)).alias("_copies"))
-        .where("_copies > 1")
-        .drop("_copies")
-    )
+    firsts = repeated_keys(child, column, position)
     if write is not None:
-        firsts = write(firsts)
+        joined, later = with_firsts(child, column, position, write(firsts), "_first_copy")
+        return joined.withColumn(flag, later).drop("_first_copy")
     joined = splittable_left_join(child, firsts, column, "_repeated")
     later = F.coalesce(F.col(position) > F.col("_first"), F.lit(False))
     return joined.withColumn(flag, later).drop("_first")
 
 
+def with_firsts(
+    child: DataFrame, column: str, position: str, firsts: DataFrame, name: str
+) -> tuple[DataFrame, Column]:
+    """``child`` with a column ``name``, and the condition on it that ``column`` occurred at an earlier
+    position, by ``firsts``, written :func:`repeated_keys`."""
+    right = firsts.withColumnRenamed("_first", name)
+    joined = child.join(right, F.col(column) == F.col("_repeated"), "left").drop("_repeated")
+    return joined, F.coalesce(F.col(position) > F.col(name), F.lit(False))
+
+
 def orphans(child: DataFrame, column: str, parents: DataFrame) -> DataFrame:
     """Keys of ``child`` without a parent and how many rows carry each (NULL counts as one key).
 

@@ -16,6 +16,7 @@ from ordermill.quality.rules import ERROR, POSITION, Rule, Scope, SetRule
 from ordermill.session import side_by_side
 
 BROKEN = "_broken_rules"  # one bit per rule of the dataset, in catalogue order
+LONG_LIST = 1_000_000  # keys; longer lists are not expected to be broadcast
 Keep = Callable[[str, DataFrame], DataFrame]  # write a frame under a name, return the copy
 LINEAGE_COLUMNS = LINEAGE.fieldNames()
 
@@ -30,25 +31,57 @@ def normalise(raw: DataFrame, dataset: str) -> DataFrame:
     return raw.select(*map(cleaned, SOURCE[dataset].fieldNames()), *LINEAGE_COLUMNS)
 
 
-def broken_positions(
-    records: DataFrame, scope: Scope, rules: list[SetRule], keep: Keep | None = None
-) -> DataFrame | None:
-    """Positions of records that break set rules, with one bit per rule; None without any.
+def by_positions(records: DataFrame, scope: Scope, rules: list[SetRule]) -> DataFrame:
+    """``records`` with the rules' columns, by the positions of broken records; lazy."""
+    lists = [(rule, rule.positions(records, scope)) for rule in rules]
+    lists = [(rule, positions) for rule, positions in lists if positions is not None]
+    joined, found = with_positions(records, lists)
+    return joined.withColumns({rule.name: found[rule] for rule, _ in lists}).drop("_bits")
 
-    With ``keep`` each rule's broken keys are written first, side by side.
-    """
 
-    def listed(rule: SetRule) -> DataFrame | None:
-        write = None if keep is None else partial(keep, f"keys_{rule.rule_id}")
-        return rule.positions(records, scope, write)
+def by_keys(records: DataFrame, scope: Scope, rules: list[SetRule], keep: Keep) -> DataFrame:
+    """``records`` with the rules' columns, by the keys that break them, which ``keep`` writes side by side.
+
+    Short lists are joined to the records as they lie, and so is a single long one, for which Spark shuffles
+    the records once.  Several long ones would shuffle them once each: these lead to positions first, from
+    narrow rows, and the records are shuffled once for all positions.
+    """
 
-    found = None
-    tasks = [partial(listed, rule) for rule in rules]
-    for bit, positions in enumerate(side_by_side(tasks) if keep else [task() for task in tasks]):
-        if positions is not None:
-            marked = positions.withColumn("_bit", F.lit(1 << bit))
-            found = marked if found is None else found.unionByName(marked)
-    return None if found is None else found.groupBy(POSITION).agg(F.bit_or("_bit").alias("_bits"))
+    def listed(rule: SetRule) -> tuple[DataFrame | None, bool]:
+        keys = rule.keys(records, scope)
+        if keys is None:
+            return None, True
+        written = keep(f"keys_{rule.rule_id}", keys)
+        return written, written.count() > LONG_LIST
+
+    rules = [rule for rule in rules if not rule.decided(scope)]
+    lists = dict(zip(rules, side_by_side([partial(listed, rule) for rule in rules]), strict=True))
+    long = [(rule, keys) for rule, (keys, many) in lists.items() if many]
+    if len(long) == 1 and long[0][1] is not None:
+        long = []
+    narrow = {rule: rule.positions_by(records, keys) for rule, keys in long}
+    for rule, (keys, _) in lists.items():
+        if rule not in narrow:
+            records = rule.joined(records, keys)
+    joined, found = with_positions(records, [(rule, rows) for rule, (rows, _) in narrow.items()])
+    return joined.withColumns(
+        {rule.name: rule.told(found[rule], sound) for rule, (_, sound) in narrow.items()}
+    ).drop("_bits")
+
+
+def with_positions(
+    records: DataFrame, lists: list[tuple[SetRule, DataFrame]]
+) -> tuple[DataFrame, dict[SetRule, Column]]:
+    """``records`` joined with lists of positions, and per rule whether a record's is in its list."""
+    if not lists:
+        return records, {}
+    marked = (rows.withColumn("_bit", F.lit(1 << bit)) for bit, (_, rows) in enumerate(lists))
+    found = reduce(DataFrame.unionByName, marked)
+    found = found.groupBy(POSITION).agg(F.bit_or("_bit").alias("_bits"))
+    bits = F.coalesce("_bits", F.lit(0))
+    return records.join(found, POSITION, "left"), {
+        rule: bits.bitwiseAND(F.lit(1 << bit)) != 0 for bit, (rule, _) in enumerate(lists)
+    }
 
 
 def tag(
@@ -61,26 +94,19 @@ def tag(
 ) -> DataFrame:
     """Normalised records with the rules each one breaks, as bits in ``_broken_rules``.
 
-    With ``keep`` the broken keys and positions and then the tagged records are written, so that the rules are
+    With ``keep`` the broken keys and then the tagged records are written, so that the rules are
     evaluated once however often the result is read; ``seen`` gets the counts of :func:`summary` from
-    that write.  Spark joins the positions by their written size: few are broadcast, many sorted and
+    that write.  Spark joins the keys by their written size: few are broadcast, many sorted and
     merged.
     """
     rules = CATALOG[dataset] if rules is None else rules
     records = normalise(raw, dataset)
     columns = records.columns
     set_rules = [rule for rule in rules if isinstance(rule, SetRule)]
-    found = broken_positions(records, scope, set_rules, keep)
-    if found is not None:
-        if keep:
-            found = keep(f"{dataset}_positions", found)
-        bits = F.coalesce("_bits", F.lit(0))
-        records = records.join(found, POSITION, "left").withColumns(
-            {
-                f"_{rule.rule_id}": bits.bitwiseAND(F.lit(1 << bit)) != 0
-                for bit, rule in enumerate(set_rules)
-            }
-        )
+    if keep:
+        records = by_keys(records, scope, set_rules, keep)
+    else:
+        records = by_positions(records, scope, set_rules)
     marks = (F.when(r.failed(scope), F.lit(_bit(dataset, r))).otherwise(0) for r in rules)
     tagged = records.select(*columns, reduce(Column.bitwiseOR, marks).cast("long").alias(BROKEN))
     if seen is not None:
@@ -174,7 +200,7 @@ def scope_for(
     Frames in both dictionaries need only the parent's key column.  A parent without either has no
     known keys.
     """
-    parents = {}
+    parents, sources = {}, {}
     for parent in parents_of(dataset):
         frames = [
             side[parent].select(KEY[parent])
@@ -182,10 +208,11 @@ def scope_for(
             if side.get(parent) is not None
         ]
         if frames:
+            sources[parent] = tuple(frames)
             columns = {r.column for r in CATALOG[dataset] if getattr(r, "parent", None) == parent}
             seen = F.explode(F.array(*(blank_to_null(F.col(name)) for name in sorted(columns))))
             parents[parent] = known_keys(records.select(seen.alias("key")), *frames)
-    return Scope(SOURCE[dataset], run_date, parents)
+    return Scope(SOURCE[dataset], run_date, parents, sources)
 
 
 def tag_all(

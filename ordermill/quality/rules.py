@@ -2,13 +2,13 @@
 
 A rule says when a record is broken.  Row rules are plain expressions and are all evaluated in one
 projection.  The two set rules (``Unique``, ``ExistsIn``) compare records with other records; they
-work on one column and the record's position only, and give the positions of broken records, so the
-full records are not shuffled for them.
+list the keys that break them, or work on one column and the record's position only, so the full records
+are not shuffled for each of them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import date
 
@@ -17,23 +17,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill.functions.values import parse_as
-from ordermill.operators.lookup import flag_repeats, flag_unknown, flag_unknown_written
+from ordermill.operators.lookup import (
+    first_positions,
+    flag_repeats,
+    flag_unknown,
+    repeated_keys,
+    unknown_keys,
+    with_firsts,
+    with_unknown,
+)
 
 ERROR, WARN = "ERROR", "WARN"
 POSITION = "_source_row_number"
-Write = Callable[[DataFrame], DataFrame]  # write a frame, return the copy
+#: Distinct share of a column's values below which first copies are listed instead of repeated keys.
+MANY_COPIES = 0.875
 
 
 @dataclass(frozen=True)
 class Scope:
     """What the rules of one dataset may look at besides the record itself.
 
-    ``parents`` holds, per parent dataset, a one-column frame of distinct known keys.
+    ``parents`` holds, per parent dataset, a one-column frame of distinct known keys; ``sources`` the frames
+    of keys that these come from, where they are given.
     """
 
     schema: T.StructType
     run_date: date
     parents: Mapping[str, DataFrame] = field(default_factory=dict)
+    sources: Mapping[str, tuple[DataFrame, ...]] = field(default_factory=dict)
 
     def typed(self, column: str) -> Column:
         return parse_as(F.col(column), self.schema[column].dataType)
@@ -62,32 +73,72 @@ class NotNull(Rule):
 
 
 class SetRule(Rule):
-    """A rule that needs other records: :meth:`positions` are looked up by :meth:`broken`."""
+    """A rule that needs other records, which :meth:`broken` knows from the column :attr:`name`.
 
-    def positions(
-        self, records: DataFrame, scope: Scope, write: Write | None = None
-    ) -> DataFrame | None:
-        """Positions of broken records; None when ``broken`` can tell without them.
+    That column is made from :meth:`positions`; or from written :meth:`keys`, which are joined to the records
+    by :meth:`joined`, or lead to positions by :meth:`positions_by`.
+    """
 
-        ``write`` gets the keys that break the rule: Spark then knows how many there are before it looks
-        them up, and shuffles no records for a few.
-        """
-        raise NotImplementedError
+    @property
+    def name(self) -> str:
+        """Column that tells whether another record, or its absence, breaks the rule."""
+        return f"_{self.rule_id}"
 
     @property
     def listed(self) -> Column:
-        """Whether the record's position is among :meth:`positions` (joined on by the caller)."""
-        return F.col(f"_{self.rule_id}")
+        return F.col(self.name)
+
+    def positions(self, records: DataFrame, scope: Scope) -> DataFrame | None:
+        """Positions of broken records; None when ``broken`` can tell without them."""
+        raise NotImplementedError
+
+    def decided(self, scope: Scope) -> bool:
+        """Whether ``broken`` can tell without other records."""
+        return False
+
+    def keys(self, records: DataFrame, scope: Scope) -> DataFrame | None:
+        """Distinct keys that break the rule; None where they would be too many to be worth listing."""
+        raise NotImplementedError
+
+    def joined(self, records: DataFrame, keys: DataFrame) -> DataFrame:
+        """``records`` with the column :attr:`name`, by written :meth:`keys`."""
+        raise NotImplementedError
+
+    def positions_by(self, records: DataFrame, keys: DataFrame | None) -> tuple[DataFrame, bool]:
+        """By written :meth:`keys`, positions of the broken records that have a value, or of the sound ones, and
+        whether it is those of the sound ones."""
+        raise NotImplementedError
+
+    def told(self, found: Column, sound: bool) -> Column:
+        """The column :attr:`name`, if ``found`` tells that a record is among :meth:`positions_by`."""
+        return F.col(self.column).isNotNull() & ~found if sound else found
 
 
 class Unique(SetRule):
     """Every copy of a key after the first one; NULL keys are left to ``NotNull``."""
 
-    def positions(self, records, scope, write=None):
+    def positions(self, records, scope):
         keyed = records.select(self.column, POSITION).where(F.col(self.column).isNotNull())
-        flagged = flag_repeats(keyed, self.column, POSITION, "_later", write)
+        flagged = flag_repeats(keyed, self.column, POSITION, "_later")
         return flagged.where("_later").select(POSITION)
 
+    def keys(self, records, scope):
+        values, distinct = records.agg(
+            F.count(self.column), F.approx_count_distinct(self.column)
+        ).first()
+        if distinct < MANY_COPIES * values:
+            return None
+        return repeated_keys(records, self.column, POSITION)
+
+    def joined(self, records, keys):
+        found, later = with_firsts(records, self.column, POSITION, keys, "_first_copy")
+        return found.withColumn(self.name, later).drop("_first_copy")
+
+    def positions_by(self, records, keys):
+        """Those of the first copies: each key is one row, and no record is shuffled to look its key up."""
+        firsts = first_positions(records, self.column, POSITION)
+        return firsts.select(F.col("_first").alias(POSITION)), True
+
     def broken(self, scope):
         return self.listed
 
@@ -155,19 +206,35 @@ class ExistsIn(SetRule):
 
     parent: str
 
-    def positions(self, records, scope, write=None):
-        known = scope.parents.get(self.parent)
-        if known is None:
+    def positions(self, records, scope):
+        if self.decided(scope):
             return None
         given = records.select(self.column, POSITION).where(F.col(self.column).isNotNull())
-        if write is None:
-            flagged = flag_unknown(given, self.column, known, "_new")
-        else:
-            flagged = flag_unknown_written(given, self.column, known, "_new", write)
+        flagged = flag_unknown(given, self.column, scope.parents[self.parent], "_new")
         return flagged.where("_new").select(POSITION)
 
+    def decided(self, scope):
+        return scope.parents.get(self.parent) is None
+
+    def keys(self, records, scope):
+        known = scope.sources.get(self.parent) or (scope.parents[self.parent],)
+        return unknown_keys(records, self.column, *known)
+
+    def joined(self, records, keys):
+        found, unknown = with_unknown(records, self.column, keys, "_unknown")
+        return found.withColumn(self.name, unknown).drop("_unknown")
+
+    def positions_by(self, records, keys):
+        """Those of known keys where most keys are unknown."""
+        distinct = records.agg(F.approx_count_distinct(self.column)).first()[0]
+        mostly = 2 * keys.count() > distinct
+        given = records.select(F.col(self.column).alias("_unknown_key"), POSITION)
+        given = given.where(F.col("_unknown_key").isNotNull())
+        found = given.join(keys, "_unknown_key", "left_anti" if mostly else "left_semi")
+        return found.select(POSITION), mostly
+
     def broken(self, scope):
-        if scope.parents.get(self.parent) is None:
+        if self.decided(scope):
             return F.lit(True)
         return F.col(self.column).isNull() | self.listed
 

@@ -239,3 +239,63 @@ def test_cascade_looks_at_each_rule_once(spark, capsys):
     only = tagged.where(evaluate.breaks_only("payments", rule)).select("payment_id").collect()
     by_ids = tagged.where(evaluate.broken_ids("payments") == "DQ-PAY-003").select("payment_id").collect()
     assert only == by_ids == [("p1",)]
+
+
+def kept_in(spark, folder, plans=None):
+    """Writes frames under their names and notes how Spark means to make them."""
+
+    def keep(name, df):
+        if plans is not None:
+            plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    return keep
+
+
+PAID = {"payment_amount": "1", "payment_status": "SUCCESS", "payment_method": "UPI", "payment_date": "2026-09-01 00:00:00"}
+
+
+@pytest.mark.parametrize("copies", [1, 4])
+@pytest.mark.parametrize("unknown", [1, 9])
+@pytest.mark.parametrize("long_list", [0, 1000])
+def test_records_by_written_keys_are_tagged_as_without_writing(spark, tmp_path, monkeypatch, copies, unknown, long_list):
+    """Whether keys repeat seldom or often, parents lack seldom or mostly, and lists are short or long."""
+    monkeypatch.setattr(evaluate, "LONG_LIST", long_list, raising=False)
+    rows = [
+        PAID | {"payment_id": f"p{n}", "order_id": f" o{n % 10} " if n % 7 else None}
+        for n in range(30)
+        for _ in range(copies)
+    ]
+    rows += [PAID | {"payment_id": key, "order_id": "o9"} for key in (None, " ", "p3", " p3", "p29")]
+    orders = spark.createDataFrame([(f"o{n}",) for n in range(unknown, 12)], "order_id string")
+    records = raw(spark, "payments", rows)
+    scope = evaluate.scope_for("payments", records, RUN_DATE, {"orders": orders}, {})
+    plain = evaluate.tag(records, "payments", scope)
+    kept = evaluate.tag(records, "payments", scope, keep=kept_in(spark, tmp_path))
+    assert sorted(kept.columns) == sorted(plain.columns)
+    found = sorted(kept.select("_source_row_number", evaluate.BROKEN).collect())
+    assert found == sorted(plain.select("_source_row_number", evaluate.BROKEN).collect())
+    assert len(found) == len(rows) and len({bits for _, bits in found}) > 3
+
+
+def test_many_records_of_few_unknown_keys_stay_in_place(spark, tmp_path, monkeypatch):
+    """The list of unknown keys is broadcast, however many records have them; no positions are written."""
+    rows = [{"order_id": f"o{n}", "customer_id": "nobody", "restaurant_id": "r1"} for n in range(3000)]
+    parents = {
+        "customers": spark.createDataFrame([("c1",)], "customer_id string"),
+        "restaurants": spark.createDataFrame([("r1",)], "restaurant_id string"),
+    }
+    path = f"{tmp_path}/raw"
+    raw(spark, "orders", rows).write.parquet(path)
+    records, plans = spark.read.parquet(path), {}
+    scope = evaluate.scope_for("orders", records, RUN_DATE, parents, {})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "3000")
+    try:
+        tagged = evaluate.tag(records, "orders", scope, keep=kept_in(spark, f"{tmp_path}/kept", plans))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    rule = RULES["DQ-ORD-004"][1]
+    assert tagged.where(evaluate.breaks("orders", rule)).count() == len(rows)
+    assert "orders_positions" not in plans
+    assert "BroadcastHashJoin" in plans["orders_tagged"] and "hashpartitioning" not in plans["orders_tagged"]
