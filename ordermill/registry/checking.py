@@ -13,19 +13,18 @@ from ordermill.operators.lookup import known_keys
 from ordermill.quality import evaluate, report
 from ordermill.quality.catalog import CATALOG, parents_of
 from ordermill.registry.sqltext import share, sql
-from ordermill.session import shared_folder, side_by_side
+from ordermill.session import CODEC, shared_folder, side_by_side
 from ordermill.sources import trade_raw
 
 VALIDATED_AT = "2001-06-30 08:00:00"
 
 
 def kept_in_folder(spark, purpose: str = "tagged"):
-    """Write each frame once into the shared folder, small, as it is read once or twice, and go on with the
-    written copy."""
+    """Write each frame once into the shared folder and go on with the written copy."""
     folder = shared_folder(spark, purpose)
 
     def keep(name: str, df: DataFrame) -> DataFrame:
-        df.write.option("compression", "zstd").parquet(f"{folder}/{name}")
+        df.write.option("compression", CODEC).parquet(f"{folder}/{name}")
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
     return keep

@@ -314,3 +314,15 @@ def test_second_writer_of_a_version_is_refused(spark, tmp_path):
         second.replace("dim_date", rows, seen[1])
     assert second.read("dim_date").count() == 0
     assert first.record("dim_date")["parts"] == {"all": folder}
+
+
+def test_partitions_are_stored_as_zstd(spark, tmp_path):
+    """Whatever the session's own codec is; the rows are those written."""
+    from ordermill.sources.lake import Lake
+
+    lake = Lake(spark, str(tmp_path))
+    rows = spark.range(10).selectExpr("CAST(id AS STRING) AS order_id")
+    path = lake.write_partition(rows, "validated", "orders", date(2026, 9, 3), "r1")
+    files = [file.name for file in (tmp_path / path).iterdir() if file.name.endswith(".parquet")]
+    assert files and all(name.endswith(".zstd.parquet") for name in files)
+    assert sorted(lake.read(path, rows.schema).collect()) == sorted(rows.collect())
