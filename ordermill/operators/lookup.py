@@ -59,15 +59,18 @@ def flag_unknown(child: DataFrame, column: str, known: DataFrame, flag: str) ->
     return joined.withColumn(flag, F.col("_known").isNull()).drop("_known")
 
 
-def unknown_keys(child: DataFrame, column: str, *parents: DataFrame) -> DataFrame:
+def unknown_keys(child: DataFrame, column: str, batch: DataFrame, *history: DataFrame) -> DataFrame:
     """Distinct keys of ``child.column`` that occur in no parent, as ``_unknown_key``.
 
-    The keys that narrow the parents and those that are looked up are the same frame, so Spark shuffles them
-    once for both.
+    The keys are looked up in the batch's own parents as they are.  Only those that are left narrow the parents
+    of earlier batches.
     """
     wanted = child.select(F.col(column).alias("_unknown_key"))
     given = wanted.where(F.col("_unknown_key").isNotNull()).distinct()
-    return given.join(known_keys(wanted, *parents), "_unknown_key", "left_anti")
+    left = given.join(batch.toDF("_unknown_key"), "_unknown_key", "left_anti")
+    if not history:
+        return left
+    return left.join(known_keys(left, *history), "_unknown_key", "left_anti")
 
 
 def flag_unknown_written(
@@ -97,6 +100,15 @@ def with_unknown(
     return joined, F.col(name).isNotNull()
 
 
+def with_known(
+    child: DataFrame, column: str, known: DataFrame, name: str
+) -> tuple[DataFrame, Column]:
+    """:func:`with_unknown` by the distinct keys that are known, as ``_known_key``, where these are fewer."""
+    right = known.withColumn(name, F.lit(True))
+    joined = child.join(right, F.col(column) == F.col("_known_key"), "left").drop("_known_key")
+    return joined, F.col(column).isNotNull() & F.col(name).isNull()
+
+
 def first_positions(child: DataFrame, column: str, position: str) -> DataFrame:
     """The first position ``_first`` of every non-null key and its number of copies, combined before the
     shuffle, so a hot key is never gathered."""

@@ -24,6 +24,7 @@ from ordermill.operators.lookup import (
     repeated_keys,
     unknown_keys,
     with_firsts,
+    with_known,
     with_unknown,
 )
 
@@ -31,6 +32,8 @@ ERROR, WARN = "ERROR", "WARN"
 POSITION = "_source_row_number"
 #: Distinct share of a column's values below which first copies are listed instead of repeated keys.
 MANY_COPIES = 0.875
+#: Times that the unknown keys, or the known ones, go into all distinct ones where the other list is the longer.
+MOSTLY = 2
 
 
 @dataclass(frozen=True)
@@ -217,20 +220,33 @@ class ExistsIn(SetRule):
         return scope.parents.get(self.parent) is None
 
     def keys(self, records, scope):
+        """The unknown keys, or where most keys are unknown the known ones, for which no key of a record is looked
+        up before the records themselves are.
+
+        Both estimates only choose between the two; the keys of earlier batches are not counted for it.
+        """
         known = scope.sources.get(self.parent) or (scope.parents[self.parent],)
+        if len(known) == 1:
+            distinct = records.agg(F.approx_count_distinct(self.column)).first()[0]
+            if MOSTLY * known[0].count() < distinct:
+                return known[0].toDF("_known_key").where("_known_key IS NOT NULL").distinct()
         return unknown_keys(records, self.column, *known)
 
     def joined(self, records, keys):
-        found, unknown = with_unknown(records, self.column, keys, "_unknown")
-        return found.withColumn(self.name, unknown).drop("_unknown")
+        by = with_known if "_known_key" in keys.columns else with_unknown
+        found, unknown = by(records, self.column, keys, "_listed")
+        return found.withColumn(self.name, unknown).drop("_listed")
 
     def positions_by(self, records, keys):
-        """Those of known keys where most keys are unknown."""
+        """Those of known keys where these are listed, or where most keys are unknown."""
+        key = keys.columns[0]
+        given = records.select(F.col(self.column).alias(key), POSITION)
+        given = given.where(F.col(key).isNotNull())
+        if key == "_known_key":
+            return given.join(keys, key, "left_semi").select(POSITION), True
         distinct = records.agg(F.approx_count_distinct(self.column)).first()[0]
-        mostly = 2 * keys.count() > distinct
-        given = records.select(F.col(self.column).alias("_unknown_key"), POSITION)
-        given = given.where(F.col("_unknown_key").isNotNull())
-        found = given.join(keys, "_unknown_key", "left_anti" if mostly else "left_semi")
+        mostly = MOSTLY * keys.count() > distinct
+        found = given.join(keys, key, "left_anti" if mostly else "left_semi")
         return found.select(POSITION), mostly
 
     def broken(self, scope):

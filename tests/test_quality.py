@@ -299,3 +299,20 @@ def test_many_records_of_few_unknown_keys_stay_in_place(spark, tmp_path, monkeyp
     assert tagged.where(evaluate.breaks("orders", rule)).count() == len(rows)
     assert "orders_positions" not in plans
     assert "BroadcastHashJoin" in plans["orders_tagged"] and "hashpartitioning" not in plans["orders_tagged"]
+
+
+def test_known_keys_are_listed_where_most_are_unknown(spark, tmp_path):
+    """The shorter of the two lists is written, and the keys of the records are not looked up for it."""
+    rows = [PAID | {"payment_id": f"p{n}", "order_id": f"o{n}"} for n in range(40)]
+    rows.append(PAID | {"payment_id": "p40", "order_id": None})
+    rule, plans, found = RULES["DQ-PAY-003"][1], {}, {}
+    for known in (3, 37):
+        orders = spark.createDataFrame([(f"o{n}",) for n in range(known)] * 2 + [(None,)], "order_id string")
+        records = raw(spark, "payments", rows)
+        scope = evaluate.scope_for("payments", records, RUN_DATE, {"orders": orders}, {})
+        keep = kept_in(spark, f"{tmp_path}/{known}", plans)
+        tagged = evaluate.tag(records, "payments", scope, keep=keep)
+        assert tagged.where(~evaluate.breaks("payments", rule)).count() == known
+        assert tagged.count() == len(rows)
+        found[known] = spark.read.parquet(f"{tmp_path}/{known}/keys_DQ-PAY-003").count()
+    assert found == {3: 3, 37: 3}
