@@ -109,13 +109,16 @@ def with_known(
     return joined, F.col(column).isNotNull() & F.col(name).isNull()
 
 
-def first_positions(child: DataFrame, column: str, position: str) -> DataFrame:
-    """The first position ``_first`` of every non-null key and its number of copies, combined before the
-    shuffle, so a hot key is never gathered."""
+def first_positions(
+    child: DataFrame, column: str, position: str, shown: str | None = None
+) -> DataFrame:
+    """The first position ``_first`` of every non-null key, or the column ``shown`` of the row there, and the number of
+    copies, combined before the shuffle, so a hot key is never gathered.  Positions are unique."""
+    first = F.min(position) if shown in (None, position) else F.min_by(shown, position)
     return (
         child.where(F.col(column).isNotNull())
         .groupBy(F.col(column).alias("_repeated"))
-        .agg(F.min(position).alias("_first"), F.count(F.lit(1)).alias("_copies"))
+        .agg(first.alias("_first"), F.count(F.lit(1)).alias("_copies"))
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ordermill.functions.values import blank_to_null, count_if, parse_as, upper_code
 from ordermill.model import ALLOWED, KEY, LINEAGE, SOURCE
 from ordermill.operators.lookup import known_keys
+from ordermill.operators.places import PLACE, blocks_of, placed, with_marks
 from ordermill.quality.catalog import CATALOG, WAVES, parents_of
 from ordermill.quality.rules import ERROR, POSITION, Rule, Scope, SetRule
 from ordermill.session import side_by_side
@@ -21,14 +22,14 @@ Keep = Callable[[str, DataFrame], DataFrame]  # write a frame under a name, retu
 LINEAGE_COLUMNS = LINEAGE.fieldNames()
 
 
-def normalise(raw: DataFrame, dataset: str) -> DataFrame:
-    """Source columns trimmed, blank ones NULL, codes in upper case; lineage as it is."""
+def normalise(raw: DataFrame, dataset: str, *also: str) -> DataFrame:
+    """Source columns trimmed, blank ones NULL, codes in upper case; lineage and columns ``also`` named as they are."""
 
     def cleaned(name: str):
         value = blank_to_null(F.col(name))
         return (upper_code(value) if name in ALLOWED else value).alias(name)
 
-    return raw.select(*map(cleaned, SOURCE[dataset].fieldNames()), *LINEAGE_COLUMNS)
+    return raw.select(*map(cleaned, SOURCE[dataset].fieldNames()), *LINEAGE_COLUMNS, *also)
 
 
 def by_positions(records: DataFrame, scope: Scope, rules: list[SetRule]) -> DataFrame:
@@ -39,12 +40,19 @@ def by_positions(records: DataFrame, scope: Scope, rules: list[SetRule]) -> Data
     return joined.withColumns({rule.name: found[rule] for rule, _ in lists}).drop("_bits")
 
 
-def by_keys(records: DataFrame, scope: Scope, rules: list[SetRule], keep: Keep) -> DataFrame:
+def by_keys(
+    records: DataFrame,
+    scope: Scope,
+    rules: list[SetRule],
+    keep: Keep,
+    located: DataFrame | None = None,
+) -> DataFrame:
     """``records`` with the rules' columns, by the keys that break them, which ``keep`` writes side by side.
 
-    Short lists are joined to the records as they lie, and so is a single long one, for which Spark shuffles
-    the records once.  Several long ones would shuffle them once each: these lead to positions first, from
-    narrow rows, and the records are shuffled once for all positions.
+    Short lists are joined to the records as they lie.  Long ones lead to the places of records in their files, from
+    narrow rows, and what is joined to ``located``, the records with their places, are bitmaps of the places.  Records
+    without places are joined to a single long list, for which Spark shuffles them once; several lead to positions
+    first, and the records are shuffled once for all positions.
     """
 
     def listed(rule: SetRule) -> tuple[DataFrame | None, bool]:
@@ -57,16 +65,27 @@ def by_keys(records: DataFrame, scope: Scope, rules: list[SetRule], keep: Keep)
     rules = [rule for rule in rules if not rule.decided(scope)]
     lists = dict(zip(rules, side_by_side([partial(listed, rule) for rule in rules]), strict=True))
     long = [(rule, keys) for rule, (keys, many) in lists.items() if many]
-    if len(long) == 1 and long[0][1] is not None:
+    place = POSITION
+    if long and located is not None:
+        records, place = located, PLACE
+    elif len(long) == 1 and long[0][1] is not None:
         long = []
-    narrow = {rule: rule.positions_by(records, keys) for rule, keys in long}
+    narrow = {rule: rule.positions_by(records, keys, place) for rule, keys in long}
     for rule, (keys, _) in lists.items():
         if rule not in narrow:
             records = rule.joined(records, keys)
-    joined, found = with_positions(records, [(rule, rows) for rule, (rows, _) in narrow.items()])
+    if not narrow:
+        return records
+    rows = [rows for rows, _ in narrow.values()]
+    if place == PLACE:
+        blocks = keep(f"marks_{next(iter(narrow)).rule_id}", blocks_of(rows))
+        joined, marks = with_marks(records, blocks, len(rows))
+        found = dict(zip(narrow, marks, strict=True))
+    else:
+        joined, found = with_positions(records, list(zip(narrow, rows, strict=True)))
     return joined.withColumns(
         {rule.name: rule.told(found[rule], sound) for rule, (_, sound) in narrow.items()}
-    ).drop("_bits")
+    )
 
 
 def with_positions(
@@ -104,7 +123,9 @@ def tag(
     columns = records.columns
     set_rules = [rule for rule in rules if isinstance(rule, SetRule)]
     if keep:
-        records = by_keys(records, scope, set_rules, keep)
+        located = placed(raw)
+        located = None if located is None else normalise(located, dataset, PLACE)
+        records = by_keys(records, scope, set_rules, keep, located)
     else:
         records = by_positions(records, scope, set_rules)
     marks = (F.when(r.failed(scope), F.lit(_bit(dataset, r))).otherwise(0) for r in rules)

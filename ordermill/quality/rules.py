@@ -107,9 +107,11 @@ class SetRule(Rule):
         """``records`` with the column :attr:`name`, by written :meth:`keys`."""
         raise NotImplementedError
 
-    def positions_by(self, records: DataFrame, keys: DataFrame | None) -> tuple[DataFrame, bool]:
-        """By written :meth:`keys`, positions of the broken records that have a value, or of the sound ones, and
-        whether it is those of the sound ones."""
+    def positions_by(
+        self, records: DataFrame, keys: DataFrame | None, place: str = POSITION
+    ) -> tuple[DataFrame, bool]:
+        """By written :meth:`keys`, the column ``place`` of the broken records that have a value, or of the sound
+        ones, and whether it is those of the sound ones."""
         raise NotImplementedError
 
     def told(self, found: Column, sound: bool) -> Column:
@@ -137,10 +139,10 @@ class Unique(SetRule):
         found, later = with_firsts(records, self.column, POSITION, keys, "_first_copy")
         return found.withColumn(self.name, later).drop("_first_copy")
 
-    def positions_by(self, records, keys):
+    def positions_by(self, records, keys, place=POSITION):
         """Those of the first copies: each key is one row, and no record is shuffled to look its key up."""
-        firsts = first_positions(records, self.column, POSITION)
-        return firsts.select(F.col("_first").alias(POSITION)), True
+        firsts = first_positions(records, self.column, POSITION, place)
+        return firsts.select(F.col("_first").alias(place)), True
 
     def broken(self, scope):
         return self.listed
@@ -237,17 +239,17 @@ class ExistsIn(SetRule):
         found, unknown = by(records, self.column, keys, "_listed")
         return found.withColumn(self.name, unknown).drop("_listed")
 
-    def positions_by(self, records, keys):
+    def positions_by(self, records, keys, place=POSITION):
         """Those of known keys where these are listed, or where most keys are unknown."""
         key = keys.columns[0]
-        given = records.select(F.col(self.column).alias(key), POSITION)
+        given = records.select(F.col(self.column).alias(key), place)
         given = given.where(F.col(key).isNotNull())
         if key == "_known_key":
-            return given.join(keys, key, "left_semi").select(POSITION), True
+            return given.join(keys, key, "left_semi").select(place), True
         distinct = records.agg(F.approx_count_distinct(self.column)).first()[0]
         mostly = MOSTLY * keys.count() > distinct
         found = given.join(keys, key, "left_anti" if mostly else "left_semi")
-        return found.select(POSITION), mostly
+        return found.select(place), mostly
 
     def broken(self, scope):
         if self.decided(scope):

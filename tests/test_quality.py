@@ -316,3 +316,32 @@ def test_known_keys_are_listed_where_most_are_unknown(spark, tmp_path):
         assert tagged.count() == len(rows)
         found[known] = spark.read.parquet(f"{tmp_path}/{known}/keys_DQ-PAY-003").count()
     assert found == {3: 3, 37: 3}
+
+
+@pytest.mark.parametrize("max_blocks", [0, 8192])
+@pytest.mark.parametrize("unknown", [1, 9])
+@pytest.mark.parametrize("copies", [1, 4])
+def test_records_of_files_are_marked_where_they_lie(spark, tmp_path, monkeypatch, copies, unknown, max_blocks):
+    """Long lists lead to bitmaps over the records' files; the records stay in their places and are tagged alike."""
+    monkeypatch.setattr(evaluate, "LONG_LIST", 0)
+    monkeypatch.setattr("ordermill.operators.places.MAX_BLOCKS", max_blocks)
+    # few rows a block, so that files have several and words are at their ends
+    monkeypatch.setattr("ordermill.operators.places.BLOCK_BITS", 7)
+    monkeypatch.setattr("ordermill.operators.places.WORDS", 2)
+    rows = [
+        PAID | {"payment_id": f"p{n}", "order_id": f" o{n % 10} " if n % 7 else None}
+        for n in range(500)
+        for _ in range(copies)
+    ]
+    rows += [PAID | {"payment_id": key, "order_id": "o9"} for key in (None, " ", "p3", " p3", "p29")]
+    orders = spark.createDataFrame([(f"o{n}",) for n in range(unknown, 12)], "order_id string")
+    raw(spark, "payments", rows).repartition(3).write.parquet(f"{tmp_path}/raw")
+    records, plans = spark.read.parquet(f"{tmp_path}/raw"), {}
+    scope = evaluate.scope_for("payments", records, RUN_DATE, {"orders": orders}, {})
+    plain = evaluate.tag(records, "payments", scope)
+    kept = evaluate.tag(records, "payments", scope, keep=kept_in(spark, tmp_path, plans))
+    assert kept.columns == plain.columns
+    assert sorted(map(str, kept.collect())) == sorted(map(str, plain.collect()))
+    assert kept.count() == len(rows)
+    if max_blocks:
+        assert "hashpartitioning" not in plans["payments_tagged"]
