@@ -1,6 +1,7 @@
 """Whole runs: historical, daily, late rerun, and runs that must fail."""
 
 import re
+import time
 from datetime import date, timedelta
 
 import drops
@@ -8,10 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from ordermill.errors import LoadRefused, QualityGateFailed, RunError, SourceMalformed
-from ordermill.model import CONFORMED, DATASETS, STAR
+from ordermill.model import CONFORMED, DATASETS, SOURCE, STAR
 from ordermill.plans import audit, checks, daily_run, load, reports, views
 from ordermill.plans.daily_run import Run
-from ordermill.sources import layout
+from ordermill.session import let_go
+from ordermill.sources import layout, trade_drops
 from ordermill.sources.lake import Lake
 from ordermill.sources.star import Star
 from ordermill.sources.warehouse import Warehouse
@@ -328,3 +330,52 @@ def test_gate_stops_after_outputs_are_written(spark, tmp_path):
     for name in DATASETS:
         assert run.lake.exists(layout.partition("validated", name, HISTORICAL))
         assert run.lake.read_json(layout.quality_report(name, HISTORICAL))["dataset"] == name
+
+
+def test_two_drops_are_made_of_one_reading(spark, tmp_path):
+    """Every record comes with one of the drops, undecided ones with none; a drop without records has its header."""
+    columns = SOURCE["customers"].fieldNames()
+    rows = [tuple(f"{name} {n}, {n}" for name in columns) + (early,) for n, early in enumerate([True, False, None, True])]
+    records = spark.createDataFrame(rows, [*columns, "early"])
+    kinds = ((HISTORICAL, "historical"), (DAY1, "incremental"))
+    wanted = {"some": ([0, 3], [1]), "all": ([0, 1, 2, 3], [])}
+    for name, first in (("some", F.col("early")), ("all", F.lit(True))):
+        trade_drops.write_two_drops(records, first, f"{tmp_path}/{name}", "customers", kinds)
+        for (day, kind), numbers in zip(kinds, wanted[name], strict=True):
+            path = f"{tmp_path}/{name}/{layout.drop('customers', kind, day)}"
+            read = spark.read.csv(path, header=True, escape='"')
+            assert read.columns == columns
+            assert sorted(map(tuple, read.collect())) == [rows[n][:-1] for n in numbers]
+        assert not (tmp_path / name / "_split").joinpath("customers").exists()
+
+
+def test_shuffled_rows_are_let_go(spark):
+    """Files of plans that nobody can read any more are removed, not kept until the driver happens to collect them."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    spark.range(1000).groupBy(F.col("id") % 7).count().collect()
+    assert blocks.getAllFiles().size() > 0
+    for _ in range(40):
+        let_go(spark)
+        left = [blocks.getAllFiles().apply(n).getName() for n in range(blocks.getAllFiles().size())]
+        if not any(name.startswith("shuffle_") for name in left):
+            break
+        time.sleep(0.25)
+    else:
+        raise AssertionError(left)
+
+
+def test_touched_parts_do_not_look_dimensions_up(spark, ran, monkeypatch):
+    """Which parts a batch touches depends on its days and keys; dimensions are read for the rows only."""
+    _, first, _, _ = ran
+    house, seen = first.warehouse, []
+    plain = load.touched_parts
+
+    def touched(warehouse, target, keys, rows):
+        seen.append((target.table, rows.columns))
+        return plain(warehouse, target, keys, rows)
+
+    monkeypatch.setattr(load, "touched_parts", touched)
+    again = Warehouse(spark, f"{house.files.root}-again")
+    load.load_warehouse(again, first.lake, HISTORICAL)
+    assert len(seen) == 3 and all(len(columns) == 3 for _, columns in seen)
+    assert sorted(r["order_key"] for r in again.read("fact_order").collect()) == list(range(1, 31))
