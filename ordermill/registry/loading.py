@@ -21,7 +21,7 @@ from ordermill.registry.checking import SCORES, all_tagged, errors, kept_in_fold
 from ordermill.registry.reporting import DAY_REVENUE
 from ordermill.registry.sqltext import mean, number, share, sql
 from ordermill.registry.transforming import over_typed, typed
-from ordermill.session import shared_folder, side_by_side
+from ordermill.session import let_go, shared_folder, side_by_side
 from ordermill.sources import ingest, layout, publish, trade, trade_raw
 from ordermill.sources.lake import Lake
 from ordermill.sources.star import Star
@@ -158,6 +158,7 @@ def published(spark, folder):
         lake.write_partition(evaluate.valid_records(tagged[name], name), "validated", name, BATCH_DAY, "r1")
         lake.write_partition(held, "quarantine", name, BATCH_DAY, "r1")
 
+    let_go(spark)
     side_by_side([partial(split, name) for name in tagged])
     conforming.process(
         {
@@ -169,6 +170,7 @@ def published(spark, folder):
         keep=lambda name, df: publish.stage(lake, name, df, BATCH_DAY, "r1"),
         check=True,
     )
+    let_go(spark)
     return lake, publish.publish(lake, BATCH_DAY, "r1")
 
 
